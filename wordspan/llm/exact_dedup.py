@@ -61,50 +61,72 @@ def build(keys: np.ndarray) -> np.ndarray:
     return pilots
 
 
+def sealed(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
+    """Pilots, slots (full digests in order) and the groups in the order of their slots."""
+    keys = words_of(list(pdf["digest"]))
+    pilots = build(keys)
+    order = np.argsort(position(keys, pilots[(keys[:, 1] % np.uint64(len(pilots))).astype(np.int64)], len(keys)))
+    return pilots, keys[order], pdf.iloc[order].reset_index(drop=True)
+
+
+def merged(new: pd.DataFrame, pilots: np.ndarray, slots: np.ndarray, old: pd.DataFrame) -> pd.DataFrame:
+    """Looks the new groups up: members join their slot's group, whose winner may change; the others stand apart."""
+    if not len(new):
+        return old
+    keys = words_of(list(new["digest"]))
+    at = position(keys, pilots[(keys[:, 1] % np.uint64(len(pilots))).astype(np.int64)], len(slots))
+    member = (slots[at] == keys).all(axis=1)  # all 32 bytes
+    hit, at = new[member], at[member]
+    keep_id, keep_len, size = (old[c].to_numpy(np.int64).copy() for c in ("keep_id", "keep_len", "group_size"))
+    new_id, new_len = hit["keep_id"].to_numpy(np.int64), hit["keep_len"].to_numpy(np.int64)
+    wins = (new_len > keep_len[at]) | ((new_len == keep_len[at]) & (new_id < keep_id[at]))
+    keep_id[at[wins]], keep_len[at[wins]] = new_id[wins], new_len[wins]
+    size[at] += hit["group_size"].to_numpy(np.int64)
+    return pd.concat([old.assign(keep_id=keep_id, keep_len=keep_len, group_size=size), new[~member]], ignore_index=True)
+
+
 def index_of(groups: DataFrame) -> DataFrame:
-    """One row a shard: pilots, and slots in order with digest and winner."""
+    """An index to keep for later loads: one row a shard, with pilots, and slots in order with digest and winner."""
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = words_of(list(pdf["digest"]))
-        pilots = build(keys)
-        order = np.argsort(position(keys, pilots[(keys[:, 1] % np.uint64(len(pilots))).astype(np.int64)], len(keys)))
-        columns = {c: [pdf[c].to_numpy(np.int64)[order].tobytes()] for c in ("keep_id", "keep_len", "group_size")}
-        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "pilots": [pilots.tobytes()], "slots": [keys[order].tobytes()], **columns})
+        pilots, slots, old = sealed(pdf)
+        columns = {c: [old[c].to_numpy(np.int64).tobytes()] for c in ("keep_id", "keep_len", "group_size")}
+        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "pilots": [pilots.tobytes()], "slots": [slots.tobytes()], **columns})
 
     return groups.groupBy("shard").applyInPandas(make, "shard int, pilots binary, slots binary, keep_id binary, keep_len binary, group_size binary")
 
 
 def look_up(groups: DataFrame, index: DataFrame) -> DataFrame:
-    """Merges the incoming groups with the index: a row for each slot and for each group that is no member."""
+    """Merges a later load's groups, dealt into as many shards, with an index: a row for each slot and each other group."""
 
-    def merge(new: pd.DataFrame, slot: pd.DataFrame) -> pd.DataFrame:
-        if slot.empty:
+    def merge(new: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:
+        if row.empty:
             return new
-        row = slot.iloc[0]
-        pilots, old = np.frombuffer(row["pilots"], "<u8"), np.frombuffer(row["slots"], "<u8").reshape(-1, 4)
-        keep_id, keep_len, size = (np.frombuffer(row[c], "<i8").copy() for c in ("keep_id", "keep_len", "group_size"))
-        rest = new.iloc[:0]
-        if len(new):
-            keys = words_of(list(new["digest"]))
-            at = position(keys, pilots[(keys[:, 1] % np.uint64(len(pilots))).astype(np.int64)], len(old))
-            member = (old[at] == keys).all(axis=1)
-            hit, at = new[member], at[member]
-            wins = (hit["keep_len"].to_numpy() > keep_len[at]) | ((hit["keep_len"].to_numpy() == keep_len[at]) & (hit["keep_id"].to_numpy() < keep_id[at]))
-            keep_id[at[wins]], keep_len[at[wins]] = hit["keep_id"].to_numpy()[wins], hit["keep_len"].to_numpy()[wins]
-            size[at] += hit["group_size"].to_numpy()
-            rest = new[~member]
+        row = row.iloc[0]
         raw = row["slots"]
-        slots = pd.DataFrame({"shard": row["shard"], "digest": [bytes(raw[32 * i : 32 * i + 32]) for i in range(len(old))], "keep_id": keep_id, "keep_len": keep_len, "group_size": size})
-        return pd.concat([slots, rest], ignore_index=True) if len(rest) else slots
+        slots = np.frombuffer(raw, "<u8").reshape(-1, 4)
+        old = pd.DataFrame({"shard": row["shard"], "digest": [raw[i : i + 32] for i in range(0, len(raw), 32)], **{c: np.frombuffer(row[c], "<i8") for c in ("keep_id", "keep_len", "group_size")}})
+        return merged(new, np.frombuffer(row["pilots"], "<u8"), slots, old)
 
     return groups.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(merge, GROUP)
 
 
+def look_up_within(groups: DataFrame) -> DataFrame:
+    """The same where both loads are at hand (column old): each shard's index is built and used in one task."""
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        old, new = pdf[pdf["old"]].drop(columns="old"), pdf[~pdf["old"]].drop(columns="old")
+        return merged(new, *sealed(old)) if len(old) else new
+
+    return groups.groupBy("shard").applyInPandas(merge, GROUP)
+
+
 def grouped(rows: DataFrame, shards: int) -> DataFrame:
-    """A row for each distinct digest with its winner (most code points, then smallest id), dealt into shards."""
+    """A row for each load and distinct digest with its winner (most code points, then smallest id), dealt into shards."""
     best = F.max(F.struct(F.col("n_points").alias("l"), (-F.col("doc_id")).alias("i")))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
-    return rows.groupBy("digest").agg(best.alias("b"), F.count("*").alias("group_size")).select(shard.alias("shard"), "digest", (-F.col("b.i")).alias("keep_id"), F.col("b.l").alias("keep_len"), "group_size")
+    made = rows.groupBy("digest", "old").agg(best.alias("b"), F.count("*").alias("group_size"))
+    return made.select(shard.alias("shard"), "digest", (-F.col("b.i")).alias("keep_id"), F.col("b.l").alias("keep_len"), "group_size", "old")
 
 
 def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,18 +134,15 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str =
 
     `is_history` marks the rows of the earlier load, whose distinct digests the index holds; by default those are half
     of the rows by a hash of the id. The rows that stay do not depend on it. Null texts count as empty, empty texts
-    form one group, rows with the same id and text each count, an empty table gives no rows; a null id stays only if
-    its group has no other.
+    form one group, rows with the same id and text each count and are both kept, an empty table gives no rows; ids are
+    never null.
     """
     spark = docs.sparkSession
     is_history = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 0 if is_history is None else is_history
-    marked = docs.withColumn("_old", F.coalesce(is_history, F.lit(False)))
-    made = stage(digests(marked, id_col, text_col))
-    shards = max(4 * shuffle_width(spark), -(-made.count() // SHARD))
-    old, new = made.where("old"), made.where("not old")
-    merged = look_up(grouped(new, shards), index_of(grouped(old, shards)))
-    out = made.join(merged.select("digest", "keep_id", "group_size"), "digest")
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    made = stage(digests(docs.withColumn("_old", F.coalesce(is_history, F.lit(False))), id_col, text_col))
+    shards = max(2 * shuffle_width(spark), -(-made.count() // SHARD))
+    found = look_up_within(grouped(made, shards)).select("digest", "keep_id", "group_size")
+    return made.join(found, "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def digests(marked: DataFrame, id_col: str, text_col: str) -> DataFrame:

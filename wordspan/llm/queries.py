@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordspan.llm import html_text, langid, toxicity
 from wordspan.llm.bpe import encode_documents
-from wordspan.llm.common import table
+from wordspan.llm.common import remainder, table
 from wordspan.llm.exact_dedup import exact_dedup
 from wordspan.llm.packing import pack_documents
 from wordspan.llm.sharding import shard_documents
@@ -19,6 +20,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digest_only=True)
 
@@ -29,14 +41,23 @@ def op7_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, remainder("doc_id", 4) != 2)
+    return langid.predict(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_html_text": op3_html_text,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_histogram_sharding": op7_histogram_sharding,
+    "op8_language_id": op8_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
