@@ -1,9 +1,188 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Equal vectors of a label are one class from the start. A tree splits each label's classes again and again at a quantile
-of their projection on a random direction; vectors near a split go to both sides. Splits are found by grouped counts
-in Spark, level by level, so no tree, sample or leaf is held on the driver. Classes that share a leaf are compared in
-double precision, large leaves in pairs of blocks; links found are joined over all trees.
+Equal vectors of a label are one class from the start. Trees are grown on a bounded sample of the classes: a node splits
+at the median projection on a random direction, and vectors within a margin of the split go down both sides. Every
+class is sent to its leaves in every tree and compared there in double precision, large leaves in pairs of blocks. A
+pair that meets in several leaves counts in the first only, so a task returns a row for each vector, not for each pair:
+its links found there and one link to its local component.
 """
 
 from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from wordspan.llm.common import arrow_pass, stage
+from wordspan.llm.components import components
+
+#: Trees of the forest, classes a leaf should have at most, classes a label grows its trees on, all labels together.
+TREES, LEAF, SAMPLE = 6, 400, 20_000
+#: Vectors of a block; leaves with more are compared in pairs of blocks.
+BLOCK = 2000
+#: The spill margin in standard deviations of the projected difference of two unit vectors that just link.
+SPILL = 1.5
+
+
+@dataclass
+class Node:
+    direction: np.ndarray
+    split: float
+    low: Node | int
+    high: Node | int
+
+
+def usable(vector: str, label: str) -> Column:
+    """Rows that can link: a label, and a vector of finite numbers that isn't zero or empty."""
+    v = F.col(vector)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(F.col(label).isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def unit(vectors) -> np.ndarray:
+    x = np.array([np.asarray(v, np.float64) for v in vectors])
+    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow or underflow in the squares
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def grow(sample: np.ndarray, expected: float, margin: float, leaves: list[int], random) -> Node | int:
+    """A tree over the sample, split until `expected` classes (of all, not of the sample) fit a leaf."""
+    if expected <= LEAF or len(sample) < 4:
+        leaves.append(len(leaves))
+        return leaves[-1]
+    direction = random.standard_normal(sample.shape[1])
+    direction /= np.linalg.norm(direction)
+    at = sample @ direction
+    split = float(np.median(at))
+    low, high = sample[at <= split + margin], sample[at > split - margin]
+    parts = [grow(s, expected * len(s) / len(sample) if len(s) < len(sample) else 0, margin, leaves, random) for s in (low, high)]
+    return Node(direction, split, *parts)
+
+
+def forest(sample: pd.DataFrame, sizes: dict, threshold: float) -> dict:
+    """label -> trees; the margin follows from the longest difference of unit vectors that link."""
+    out = {}
+    for (label, dims), rows in sample.groupby(["label", "dims"]):
+        x = unit(rows["vector"])
+        margin = SPILL * np.sqrt((2 - 2 * threshold) / dims)
+        random, leaves = np.random.default_rng([29, abs(hash((int(label), int(dims)))) % 2**32]), []
+        out[label, dims] = [grow(x, sizes[label, dims], margin, leaves, random) for _ in range(TREES)], margin
+    return out
+
+
+def leaves_of(x: np.ndarray, trees: list, margin: float) -> list[list[int]]:
+    """Each vector's leaves in all trees, in ascending order; leaf numbers rise from tree to tree."""
+    found: list[list[int]] = [[] for _ in range(len(x))]
+
+    def descend(node, rows: np.ndarray) -> None:
+        if not len(rows):
+            return
+        if isinstance(node, int):
+            for r in rows.tolist():
+                found[r].append(node)
+            return
+        at = x[rows] @ node.direction
+        descend(node.low, rows[at <= node.split + margin])
+        descend(node.high, rows[at > node.split - margin])
+
+    for tree in trees:
+        descend(tree, np.arange(len(x)))
+    return found
+
+
+def route(classes: DataFrame, sent) -> DataFrame:
+    """label, dims, cid, size, vector and leaves; a label without trees has the one leaf 0."""
+
+    def each():
+        trees = sent.value
+
+        def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            pdf = batch.to_pandas()
+            leaves = pd.Series([None] * len(pdf), dtype=object)
+            for key, rows in pdf.groupby(["label", "dims"]).groups.items():
+                own = leaves_of(unit(pdf["vector"].loc[rows]), *trees[key]) if key in trees else [[0]] * len(rows)
+                for r, found in zip(rows, own, strict=True):
+                    leaves[r] = found
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(leaves), pa.list_(pa.int32()))], [*batch.schema.names, "leaves"])
+
+        return turn
+
+    return arrow_pass(classes, each, "label long, dims int, cid long, size long, vector array<double>, leaves array<int>")
+
+
+def compare(threshold: float):
+    def work(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        leaf, i, j = int(key[2]), int(key[3]), int(key[4])
+        pdf = pdf.sort_values("cid", ignore_index=True)
+        n, x, size, block = len(pdf), unit(pdf["vector"]), pdf["size"].to_numpy(), pdf["block"].to_numpy()
+        earlier = [[v for v in leaves if v < leaf] for leaves in pdf["leaves"]]
+        names = {v: k for k, v in enumerate(sorted({v for own in earlier for v in own}))}
+        met = np.zeros((n, len(names)), np.float32)
+        for r, own in enumerate(earlier):
+            met[r, [names[v] for v in own]] = 1
+        links, root = np.zeros(n, np.int64), np.arange(n)
+        a, b = (np.flatnonzero(block == i), np.flatnonzero(block == j))
+        near = []
+        for start in range(0, len(a), 512):
+            rows = a[start : start + 512]
+            r, c = np.nonzero(x[rows] @ x[b].T >= threshold)
+            r, c = rows[r], b[c]
+            if i == j:
+                r, c = r[r < c], c[r < c]
+            near.append((r, c))
+            new = (met[r] * met[c]).sum(axis=1) == 0 if len(names) else np.ones(len(r), bool)
+            np.add.at(links, r[new], size[c[new]])
+            np.add.at(links, c[new], size[r[new]])
+        r, c = (np.concatenate(z) for z in zip(*near, strict=True)) if near else (root[:0], root[:0])
+        while len(r):  # smallest place reachable, by passing minima along links and jumping to the root's root
+            old = root.copy()
+            np.minimum.at(root, c, root[r])
+            np.minimum.at(root, r, root[c])
+            root = root[root]
+            if (old == root).all():
+                break
+        cid = pdf["cid"].to_numpy()
+        keep = (links > 0) | (root != np.arange(n))
+        return pd.DataFrame({"cid": cid[keep], "links": links[keep], "root": cid[root[keep]]})
+
+    return work
+
+
+def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """A row for each row: vec_id, n_links, component_id, kept.
+
+    Vectors are compared if their labels are equal and not null and they have as many dimensions. Null, empty and zero
+    vectors and those with null or non-finite components link with nothing. A row given twice counts as two vectors,
+    linked with each other. Pairs at or over the threshold are found unless split in all trees; none below it is linked.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vector"), usable(vector_col, label_col).alias("ok"))
+    same = ["label", "hash", "vector"]
+    good = rows.where("ok").withColumn("hash", F.xxhash64("vector"))
+    classes = stage(good.groupBy(*same).agg(F.min("vec_id").alias("cid"), F.count("*").alias("size")))
+    members = classes.select("label", F.size("vector").alias("dims"), "cid", "size", "vector")
+    sizes = {(r["label"], r["dims"]): r["n"] for r in members.groupBy("label", "dims").agg(F.count("*").alias("n")).collect()}
+    large = {k: n for k, n in sizes.items() if n > LEAF}
+    share = SAMPLE / max(1, sum(large.values()))
+    drawn = members.where(F.pmod(F.xxhash64(F.lit(19), "cid"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).select("label", "dims", "cid", "vector").toPandas().sort_values("cid")
+    trees = forest(drawn[[k in large for k in zip(drawn["label"], drawn["dims"], strict=True)]], sizes, threshold)
+
+    routed = stage(route(members, spark.sparkContext.broadcast(trees)))
+    spread = routed.select("*", F.explode("leaves").alias("leaf"))
+    cell = ["label", "dims", "leaf"]
+    blocks = spread.groupBy(*cell).agg(F.count("*").alias("n")).select(*cell, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = spread.join(blocks, cell).withColumn("block", F.pmod(F.xxhash64(F.lit(23), "cid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = dealt.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    found = stage(pairs.select(*cell, "i", "j", "block", "cid", "size", "vector", "leaves").groupBy(*cell, "i", "j").applyInPandas(compare(threshold), "cid long, links long, root long"))
+
+    joined = components(found, "cid", "root").select(F.col("a").alias("cid"), F.col("b").alias("component_id"))
+    linked = found.groupBy("cid").agg(F.sum("links").alias("links")).join(joined, "cid", "full")
+    known = classes.join(linked, "cid", "left").select(*same, (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component_id", "cid").alias("component_id"))
+    out = good.join(known, same).select("vec_id", "n_links", "component_id")
+    out = out.unionByName(rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordspan.llm import html_text, langid, toxicity
 from wordspan.llm.bpe import encode_documents
 from wordspan.llm.common import remainder, table
+from wordspan.llm.embed_dedup import near_vectors
 from wordspan.llm.exact_dedup import exact_dedup
 from wordspan.llm.packing import pack_documents
 from wordspan.llm.sharding import shard_documents
@@ -31,6 +32,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digest_only=True)
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_histogram_sharding": op7_histogram_sharding,
     "op8_language_id": op8_language_id,
