@@ -13,6 +13,7 @@ from wordspan.llm.bpe import encode_documents
 from wordspan.llm.common import remainder, table
 from wordspan.llm.embed_dedup import near_vectors
 from wordspan.llm.exact_dedup import exact_dedup
+from wordspan.llm.ngram_join import near_documents
 from wordspan.llm.packing import pack_documents
 from wordspan.llm.sharding import shard_documents
 
@@ -40,6 +41,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digest_only=True)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_text": op3_html_text,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_histogram_sharding": op7_histogram_sharding,
     "op8_language_id": op8_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,

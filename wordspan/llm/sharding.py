@@ -78,7 +78,7 @@ def at_or_after(prefix: tuple[int, ...]) -> Column:
     return out
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.002, whole_below: float = 0.02, rows_a_cell: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.002, whole_below: float = 0.02, rows_a_cell: int = 16_384, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of `docs` with size (UTF-8 bytes plus 1; null: 1), shard and slot (gapless from 0 in each shard).
 
     Shards have near equal bytes. Equal texts share a shard unless their group holds over `whole_below` of one.
