@@ -38,7 +38,7 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
+def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema) -> DataFrame:
     """mapInArrow with a set-up that runs once a task; the function it returns turns one batch into one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,6 +50,16 @@ def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.R
     return df.mapInArrow(run, schema)
 
 
+def where_arrow(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], list[bool]]]) -> DataFrame:
+    """The rows, with all columns, for which the function that `each` returns says True; no shuffle."""
+
+    def masked():
+        turn = each()
+        return lambda batch: batch.filter(pa.array(turn(batch), pa.bool_()))
+
+    return arrow_pass(df, masked, df.schema)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's strings; null becomes the empty string."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordspan.llm.common import arrow_pass, texts
+from wordspan.llm.common import arrow_pass, texts, where_arrow
 
 #: Features, documents that a language trains on at most, passes over them, and the share kept for the temperature.
 FEATURES, MOST_A_LANGUAGE, PASSES, TEMPERATURE_FOLD = 1 << 17, 600, 3, 5
@@ -213,3 +213,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         return turn
 
     return arrow_pass(docs.select(id_col, text_col), each, "doc_id long, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter and a language predicted with a score of `least` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def each():
+        return lambda batch: [lang != UNKNOWN and p >= least for lang, p in map(sent.value.predict, batch.column(text_col).to_pylist())]
+
+    return where_arrow(docs, each)

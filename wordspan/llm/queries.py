@@ -16,6 +16,7 @@ from wordspan.llm.exact_dedup import exact_dedup
 from wordspan.llm.ngram_join import near_documents
 from wordspan.llm.packing import pack_documents
 from wordspan.llm.sharding import shard_documents
+from wordspan.llm.token_counts import count_edited
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_edited(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_histogram_sharding": op7_histogram_sharding,
     "op8_language_id": op8_language_id,
+    "op9_edit_aware_token_counts": op9_edit_aware_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
