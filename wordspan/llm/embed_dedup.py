@@ -21,11 +21,11 @@ from wordspan.llm.common import arrow_pass, stage
 from wordspan.llm.components import components
 
 #: Trees of the forest, classes a leaf should have at most, classes a label grows its trees on, all labels together.
-TREES, LEAF, SAMPLE = 6, 400, 20_000
+TREES, LEAF, SAMPLE = 5, 400, 20_000
 #: Vectors of a block; leaves with more are compared in pairs of blocks.
 BLOCK = 2000
 #: The spill margin in standard deviations of the projected difference of two unit vectors that just link.
-SPILL = 1.5
+SPILL = 1.0
 
 
 @dataclass
@@ -111,7 +111,7 @@ def route(classes: DataFrame, sent) -> DataFrame:
 
         return turn
 
-    return arrow_pass(classes, each, "label long, dims int, cid long, size long, vector array<double>, leaves array<int>")
+    return arrow_pass(classes, each, f"label long, dims int, cid long, size long, vector {dict(classes.dtypes)['vector']}, leaves array<int>")
 
 
 def compare(threshold: float):
@@ -129,22 +129,23 @@ def compare(threshold: float):
         near = []
         for start in range(0, len(a), 512):
             rows = a[start : start + 512]
-            r, c = np.nonzero(x[rows] @ x[b].T >= threshold)
-            r, c = rows[r], b[c]
+            linked = x[rows] @ x[b].T >= threshold
             if i == j:
-                r, c = r[r < c], c[r < c]
-            near.append((r, c))
-            new = (met[r] * met[c]).sum(axis=1) == 0 if len(names) else np.ones(len(r), bool)
-            np.add.at(links, r[new], size[c[new]])
-            np.add.at(links, c[new], size[r[new]])
-        r, c = (np.concatenate(z) for z in zip(*near, strict=True)) if near else (root[:0], root[:0])
-        while len(r):  # smallest place reachable, by passing minima along links and jumping to the root's root
+                linked &= rows[:, None] < b[None, :]
+            new = linked & (met[rows] @ met[b].T == 0)
+            links[rows] += new @ size[b]
+            links[b] += size[rows] @ new
+            near.append((rows, np.packbits(linked, axis=1)))
+        moved = True
+        while moved:  # smallest place reachable, by passing minima along links and jumping to the root's root
             old = root.copy()
-            np.minimum.at(root, c, root[r])
-            np.minimum.at(root, r, root[c])
+            for rows, bits in near:
+                linked = np.unpackbits(bits, axis=1, count=len(b)).astype(bool)
+                least = np.minimum(root[rows], np.where(linked, root[b], n).min(axis=1, initial=n))
+                root[b] = np.minimum(root[b], np.where(linked, least[:, None], n).min(axis=0, initial=n))
+                root[rows] = np.minimum(root[rows], least)
             root = root[root]
-            if (old == root).all():
-                break
+            moved = bool((old != root).any())
         cid = pdf["cid"].to_numpy()
         keep = (links > 0) | (root != np.arange(n))
         return pd.DataFrame({"cid": cid[keep], "links": links[keep], "root": cid[root[keep]]})
@@ -160,7 +161,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     linked with each other. Pairs at or over the threshold are found unless split in all trees; none below it is linked.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vector"), usable(vector_col, label_col).alias("ok"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("vector"), usable(vector_col, label_col).alias("ok"))
     same = ["label", "hash", "vector"]
     good = rows.where("ok").withColumn("hash", F.xxhash64("vector"))
     classes = stage(good.groupBy(*same).agg(F.min("vec_id").alias("cid"), F.count("*").alias("size")))
