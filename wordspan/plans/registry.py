@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLE_SQL = {}
+from wordspan.plans import oracle, queries
+
+QUERIES = {q.__name__: q for q in queries.ALL}
+ORACLE_SQL = oracle.SQL
 FLAGSHIP = "boundary_windows"
