@@ -30,6 +30,9 @@ DISTANCE = 1 - NEAR / WHOLE
 MOST_FREQUENT, FILTER_BITS, BLOCK = 1 << 18, 1 << 25, 1000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SLACK = 1e-9
+#: A set's prefix has 1/LONGER of its n-grams more than needed: two sets within the distance, n and m in size, then share
+#: 1 + min(n, m) // LONGER cells or more.
+LONGER = 10
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -91,7 +94,7 @@ def prefixes(docs: DataFrame, order, id_col: str, text_col: str) -> DataFrame:
                 n = len(s)
                 at = np.minimum(np.searchsorted(codes, signed(s)), max(0, len(codes) - 1))
                 known = np.where(codes[at] == signed(s), rank[at], 0) if len(codes) else np.zeros(n)
-                cells.append(signed(s[np.lexsort((s, known))[: n - -(-NEAR * n // WHOLE) + 1]]))
+                cells.append(signed(s[np.lexsort((s, known))[: n - -(-NEAR * n // WHOLE) + 1 + n // LONGER]]))
                 ids.append(np.full(len(cells[-1]), doc, np.int64))
             none = [np.zeros(0, np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells or none)), pa.array(np.concatenate(ids or none))], ["cell", "id"])
@@ -210,14 +213,18 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     cell = Window.partitionBy("cell")
     spread = prefixes(docs, order, id_col, text_col).withColumns({"least": F.min("id").over(cell), "most": F.max("id").over(cell)})
-    mapped = stage(spread.where("least < most").select("cell", "id")).join(node_of.select("id", "node"), "id").select("cell", "node").distinct()
-    pivots = mapped.groupBy("cell").agg(F.min("node").alias("p"), F.max("node").alias("last")).where("p < last").drop("last")
-    cells = stage(mapped.join(pivots, "cell").select("cell", F.col("node").alias("x"), "p"))
+    cells = stage(stage(spread.where("least < most").select("cell", "id")).join(node_of, "id").select("cell", "node", "n").distinct())
+    for _ in range(2):  # a node's partner has four fifths of its n-grams at least
+        shared = cells.join(cells.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1").select("cell"), "cell", "left_semi")
+        enough = shared.groupBy("node", "n").agg(F.count("*").alias("m")).where(F.col("m") > F.floor(F.col("n") * NEAR / WHOLE / LONGER))
+        cells = stage(shared.join(enough.select("node"), "node", "left_semi"))
+    pivots = cells.groupBy("cell").agg(F.min("node").alias("p"), F.max("node").alias("last")).where("p < last").drop("last")
+    cells = stage(cells.join(pivots, "cell").select("cell", F.col("node").alias("x"), "n", "p"))
     sets = stage(sets_of(docs, cells.select(F.col("x").alias("id")).distinct(), id_col, text_col))
 
     # Regions: the pivot that a node shares most cells with. A node that is the pivot of all its cells is its own.
-    shared = cells.where("x <> p").groupBy("x", "p").agg(F.count("*").alias("n"))
-    home = shared.groupBy("x").agg(F.max(F.struct("n", (-F.col("p")).alias("p"))).alias("m")).select("x", (-F.col("m.p")).alias("p"))
+    met = cells.where("x <> p").groupBy("x", "p").agg(F.count("*").alias("n"))
+    home = met.groupBy("x").agg(F.max(F.struct("n", (-F.col("p")).alias("p"))).alias("m")).select("x", (-F.col("m.p")).alias("p"))
     members = stage(distances(home, sets))
     links = members.where("near").select(F.col("x").alias("a"), F.col("p").alias("b"))
     reach = members.where("not near").groupBy("p").agg(F.min("d").alias("from"))
@@ -229,13 +236,16 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = components(links)
     regions = cells.select("x").distinct().join(members.select("x", F.col("p").alias("r"), "d"), "x", "left").join(joined.select(F.col("a").alias("x"), F.col("b").alias("c")), "x", "left")
     regions = regions.select("x", F.coalesce("r", "x").alias("r"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("c", "x").alias("c"))
-    placed = cells.select("cell", "x").join(regions, "x")
+    placed = cells.select("cell", "x", "n").join(regions, "x")
     spans = placed.groupBy("cell").agg(*[f(k).alias(f"{n}_{k}") for k in ("r", "c") for n, f in (("min", F.min), ("max", F.max))]).where("min_r < max_r and min_c < max_c").select("cell")
     open_cells = stage(placed.join(spans, "cell"))
-    width = open_cells.groupBy("r").agg(F.max("d").alias("w"))
+    width = open_cells.groupBy("r").agg(F.max("d").alias("w"), F.min("n").alias("size"))
     sides = open_cells.select("cell", "r").distinct()
-    pairs = sides.select("cell", F.col("r").alias("x")).join(sides.select("cell", F.col("r").alias("p")), "cell").where("x < p").select("x", "p").distinct()
-    pairs = stage(distances(pairs, sets).join(width.select(F.col("r").alias("x"), F.col("w").alias("wx")), "x").join(width.select(F.col("r").alias("p"), F.col("w").alias("wp")), "p").where(F.col("d") <= F.col("wx") + F.col("wp") + DISTANCE + SLACK).withColumnRenamed("d", "apart"))
+    met = sides.select("cell", F.col("r").alias("x")).join(sides.select("cell", F.col("r").alias("p")), "cell").where("x < p").groupBy("x", "p").agg(F.count("*").alias("m"))
+    met = met.join(width.select(F.col("r").alias("x"), F.col("w").alias("wx"), F.col("size").alias("nx")), "x").join(width.select(F.col("r").alias("p"), F.col("w").alias("wp"), F.col("size").alias("np")), "p")
+    met = stage(met.where(F.col("m") > F.floor(F.least("nx", "np") / LONGER)).select("x", "p", "wx", "wp"))
+    apart = distances(met, sets).select("x", "p", F.col("d").alias("apart"))
+    pairs = stage(apart.join(met, ["x", "p"]).where(F.col("apart") <= F.col("wx") + F.col("wp") + DISTANCE + SLACK))
     nodes = open_cells.select("x", "r", "d").distinct()
     left = pairs.select(F.col("x").alias("r"), F.col("p").alias("q"), F.col("wp").alias("w"), "apart", F.lit(True).alias("first"))
     right = pairs.select(F.col("p").alias("r"), F.col("x").alias("q"), F.col("wx").alias("w"), "apart", F.lit(False).alias("first"))
