@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import build
+from wordspan.functions.once import once
 from wordspan.functions.rng import draw
 from wordspan.functions.text import join_words, prefix_sums, sentences, tokens
 
@@ -62,8 +63,8 @@ def joined(parts: Column, start: Column, length: Column) -> Column:
 
 def with_sentences(docs: DataFrame, text_col: str) -> DataFrame:
     """Adds _words, _parts (sentences) and _sums (their running lengths), each worked out once a row."""
-    cut = docs.withColumns({"_words": tokens(F.col(text_col)), "_parts": sentences(F.col(text_col))})
-    return cut.withColumn("_sums", prefix_sums(F.transform("_parts", F.length)))
+    cut = once(docs, _words=tokens(F.col(text_col)), _parts=sentences(F.col(text_col)))
+    return once(once(cut, _lengths=F.transform("_parts", F.length)), _sums=prefix_sums(F.col("_lengths"))).drop("_lengths")
 
 
 def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -72,8 +73,8 @@ def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
     By sentences if there are two or more and both parts have two words; else by words, which takes thirty.
     """
     few = lambda c: F.size(c) < LEAST_PART
-    out = with_sentences(docs, text_col).withColumn("_k", F.when(F.size("_parts") >= 2, two_way_cut(F.col("_sums"))))
-    out = out.withColumns({"_p": tokens(joined(F.col("_parts"), F.lit(1), F.col("_k"))), "_s": tokens(joined(F.col("_parts"), F.col("_k") + 1, F.size("_parts")))})
+    out = once(with_sentences(docs, text_col), _k=F.when(F.size("_parts") >= 2, two_way_cut(F.col("_sums"))))
+    out = once(out, _p=tokens(joined(F.col("_parts"), F.lit(1), F.col("_k"))), _s=tokens(joined(F.col("_parts"), F.col("_k") + 1, F.size("_parts"))))
     n = F.size("_words")
     half = F.greatest(F.lit(LEAST_PART), F.floor(n / 2).cast("int"))
     how = F.when(F.col("_k").isNotNull() & ~few("_p") & ~few("_s"), "sentences").when(n >= LEAST_TEXT, "words")
@@ -85,10 +86,10 @@ def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def three_parts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds begin, middle, end (word arrays), how and reason, like prefix_suffix."""
-    out = with_sentences(docs, text_col).withColumn("_c", F.when(F.size("_parts") >= 3, three_way_cut(F.col("_sums"))))
+    out = once(with_sentences(docs, text_col), _c=F.when(F.size("_parts") >= 3, three_way_cut(F.col("_sums"))))
     a, b, parts = F.col("_c.a"), F.col("_c.b"), F.col("_parts")
     cut = {"_b": joined(parts, F.lit(1), a), "_m": joined(parts, a + 1, b - a), "_e": joined(parts, b + 1, F.size(parts))}
-    out = out.withColumns({k: tokens(v) for k, v in cut.items()})
+    out = once(out, **{k: tokens(v) for k, v in cut.items()})
     n = F.size("_words")
     first = F.greatest(F.lit(LEAST_PART), F.floor(n / 3).cast("int"))
     second = F.least(F.greatest(first + LEAST_PART, F.floor(2 * n / 3).cast("int")), n - LEAST_PART)
@@ -106,7 +107,7 @@ def between(low: Column | int, high: Column, seed: int, *keys: Column | str) ->
 
 def append_plan(docs: DataFrame, seed: int, id_col: str, least: int = 10, most: int = 100, text_col: str = "text") -> DataFrame:
     """Adds cut (words kept), need (words to write), kept and total, for texts of three words or more."""
-    out = docs.withColumn("_w", tokens(F.col(text_col))).where(F.size("_w") >= 3)
+    out = once(docs, _w=tokens(F.col(text_col))).where(F.size("_w") >= 3)
     key = F.col(id_col)
     out = out.withColumns({"cut": between(3, F.least(F.lit(100), F.size("_w")), seed, key, "cut"), "need": between(least, F.lit(most), seed, key, "need")})
     return out.withColumns({"kept": join_words(F.slice("_w", F.lit(1), F.col("cut"))), "total": F.col("cut") + F.col("need")}).drop("_w")
@@ -114,7 +115,7 @@ def append_plan(docs: DataFrame, seed: int, id_col: str, least: int = 10, most:
 
 def sandwich_plan(docs: DataFrame, seed: int, id_col: str, least: int = 50, most: int = 300, text_col: str = "text") -> DataFrame:
     """Adds start, tail (words kept at both ends), need, head_text and tail_text, for texts of fifteen words or more."""
-    out = docs.withColumn("_w", tokens(F.col(text_col))).where(F.size("_w") >= 15)
+    out = once(docs, _w=tokens(F.col(text_col))).where(F.size("_w") >= 15)
     key, n = F.col(id_col), F.size("_w")
     out = out.withColumns({"need": between(least, F.lit(most), seed, key, "need"), "start": between(3, F.greatest(F.lit(3), F.least(F.lit(50), F.floor(n / 3).cast("int"))), seed, key, "start")})
     out = out.withColumn("tail", between(3, F.greatest(F.lit(3), F.least(F.lit(50), n - F.col("start") - 1)), seed, key, "tail"))

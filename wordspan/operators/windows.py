@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import boundaries
+from wordspan.functions.once import once
 from wordspan.functions.rng import draw, heads
 from wordspan.functions.text import join_words, tokens
 
@@ -36,20 +37,20 @@ def boundary_spans(n: Column, bounds: Column, key: Column, seed: int, least: int
 
 def boundary_windows(samples: DataFrame, seed: int, id_col: str, least: int = 35, most: int = 350, copies: int = 10, text_col: str = "text", label_col: str = "label") -> DataFrame:
     """id, copy, s, e, text, label: windows of samples whose words and labels agree and that have a boundary."""
-    words = samples.select(id_col, tokens(F.col(text_col)).alias("w"), F.col(label_col).alias("l"))
-    parsed = words.where((F.size("w") == F.size("l")) & (F.size("l") >= 2)).withColumn("bounds", boundaries(F.col("l"))).where(F.size("bounds") > 0)
-    spans = boundary_spans(F.size("w"), F.col("bounds"), F.col(id_col), seed, least, most, copies)
-    out = parsed.withColumn("spans", spans).select(id_col, "w", "l", F.posexplode("spans").alias("copy", "t"))
+    words = once(samples, w=tokens(F.col(text_col)), l=F.col(label_col)).select(id_col, "w", "l")
+    parsed = once(words.where((F.size("w") == F.size("l")) & (F.size("l") >= 2)), bounds=boundaries(F.col("l")), n=F.size("w")).where(F.size("bounds") > 0)
+    spans = boundary_spans(F.col("n"), F.col("bounds"), F.col(id_col), seed, least, most, copies)
+    out = once(parsed, spans=spans).select(id_col, "w", "l", F.posexplode("spans").alias("copy", "t"))
     width = F.col("t.e") - F.col("t.s")
     return out.select(id_col, "copy", F.col("t.s").alias("s"), F.col("t.e").alias("e"), join_words(F.slice("w", F.col("t.s") + 1, width)).alias("text"), F.slice("l", F.col("t.s") + 1, width).alias("label"))
 
 
 def one_class_windows(docs: DataFrame, seed: int, id_col: str, label: int, least: int = 35, most: int = 350, copies: int = 8, text_col: str = "text") -> DataFrame:
     """id, copy, s, e, text, label: `copies` windows of each text of `least` words or more; equal windows all stay."""
-    words = docs.select(id_col, tokens(F.col(text_col)).alias("w")).where(F.size("w") >= least)
+    words = once(docs, w=tokens(F.col(text_col))).select(id_col, "w").where(F.size("w") >= least)
     key, n = F.col(id_col), F.size("w")
     size = lambda k: (least + draw(seed, key, k, "n", below=F.least(F.lit(most), n) - least + 1)).cast("int")
     sized = F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), lambda k: F.struct(k.alias("k"), size(k).alias("n")))
     placed = F.transform(sized, lambda t: F.struct(draw(seed, key, t["k"], "s", below=n - t["n"] + 1).cast("int").alias("s"), t["n"].alias("n")))
-    out = words.withColumn("spans", placed).select(id_col, "w", F.posexplode("spans").alias("copy", "t"))
+    out = once(words, spans=placed).select(id_col, "w", F.posexplode("spans").alias("copy", "t"))
     return out.select(id_col, "copy", F.col("t.s").alias("s"), (F.col("t.s") + F.col("t.n")).alias("e"), join_words(F.slice("w", F.col("t.s") + 1, F.col("t.n"))).alias("text"), F.array_repeat(F.lit(label), F.col("t.n")).alias("label"))

@@ -201,9 +201,9 @@ SELECT doc_id, len(y)::INTEGER AS words, greatest(20, least(len(y) // 2, 150))::
 WITH {SAMPLES}, m AS (SELECT conv_id // 20 AS chunk, CASE WHEN NOT list_contains(label, 1) THEN 'unknown' WHEN label[-1] = 0 THEN 'sandwich' ELSE 'append' END AS mode FROM samples),
 c AS (SELECT chunk, mode, count(*) AS n FROM m GROUP BY ALL) SELECT chunk, mode, n, 100.0::DOUBLE * n / sum(n) OVER (PARTITION BY chunk)::DOUBLE AS pct FROM c""",
     "label_segments": f"""
-WITH {SAMPLES}, f AS (SELECT conv_id, words AS w, label AS l, coalesce(list_position(label, 1), len(label) + 1) AS at FROM samples),
-s AS (SELECT conv_id, w[1:at-1] AS a, list_transform(list_filter(range(1, len(w) + 1), lambda i: l[i] = 1), lambda i: w[i]) AS b,
-  list_transform(list_filter(range(1, len(w) + 1), lambda i: i >= at AND l[i] = 0), lambda i: w[i]) AS c FROM f)
+WITH {SAMPLES}, f AS (SELECT conv_id, words AS w, label AS l, coalesce(list_position(label, 1), len(label) + 1) AS z FROM samples),
+s AS (SELECT conv_id, w[1:z-1] AS a, list_transform(list_filter(range(1, len(w) + 1), lambda i: l[i] = 1), lambda i: w[i]) AS b,
+  list_transform(list_filter(range(1, len(w) + 1), lambda i: i >= z AND l[i] = 0), lambda i: w[i]) AS c FROM f)
 SELECT conv_id, {joined('a[1:15]')} AS human_start, {joined('b[1:15]')} AS generated, {joined('c[1:15]')} AS human_end,
   len(a)::INTEGER AS n_human_start, len(b)::INTEGER AS n_generated, len(c)::INTEGER AS n_human_end FROM s""",
     "one_class_windows": f"WITH {pure('documents', 42, 0, 8, 'human')} SELECT * FROM human",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordspan.functions import labels as L
+from wordspan.functions.once import once
 from wordspan.functions.probability import hard_label, named_label
 from wordspan.functions.rng import draw, draw32
 from wordspan.functions.text import join_words, prefix_sums, sentences, tokens, word_count
@@ -107,7 +108,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = said.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "l", "w"))).alias("turns"))
     words = F.flatten(F.transform("turns", lambda t: t["w"]))
     marks = F.flatten(F.transform("turns", lambda t: F.array_repeat(t["l"], F.size(t["w"]))))
-    return turns.select("conv_id", words.alias("words"), marks.alias("label"))
+    return once(turns, words=words, label=marks).drop("turns")
 
 
 def conversation_word_labels(spark, sf_dir):
@@ -188,12 +189,12 @@ def pieces_of(words: Column) -> Column:
 
 
 def subword_label_alignment(spark, sf_dir):
-    ids = samples(spark, sf_dir).withColumn("word_ids", pieces_of(F.col("words")))
+    ids = once(samples(spark, sf_dir), word_ids=pieces_of(F.col("words")))
     return ids.select("conv_id", F.size("word_ids").alias("n_pieces"), F.slice(L.align(F.col("label"), F.col("word_ids")), 1, 256).alias("labels"))
 
 
 def padded_label_batches(spark, sf_dir):
-    ids = samples(spark, sf_dir).select("conv_id", "label", F.slice(pieces_of(F.col("words")), 1, 128).alias("word_ids"))
+    ids = once(samples(spark, sf_dir), word_ids=F.slice(pieces_of(F.col("words")), 1, 128))
     rows = ids.select("conv_id", F.floor(F.col("conv_id") / 4).cast("long").alias("batch"), F.transform("word_ids", lambda w: F.coalesce(w + 1, F.lit(0))).alias("input_ids"), F.transform("word_ids", lambda _: F.lit(1)).alias("attention_mask"), L.align(F.col("label"), F.col("word_ids")).alias("labels"))
     return align.padded(rows, "batch")
 
@@ -204,7 +205,7 @@ def pseudo(*keys: Column | str) -> Column:
 
 
 def subwords(spark: SparkSession, sf_dir: str, most: int = 256) -> tuple[DataFrame, DataFrame]:
-    ids = samples(spark, sf_dir).withColumn("word_ids", F.slice(pieces_of(F.col("words")), 1, most))
+    ids = once(samples(spark, sf_dir), word_ids=F.slice(pieces_of(F.col("words")), 1, most))
     pieces = ids.select("conv_id", F.posexplode("word_ids").alias("tok", "word_id")).withColumn("p", pseudo(F.col("conv_id"), F.col("tok"), "t"))
     return pieces, ids.select("conv_id", F.col("label").alias("labels"))
 
