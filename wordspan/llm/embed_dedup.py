@@ -170,7 +170,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     large = {k: n for k, n in sizes.items() if n > LEAF}
     share = SAMPLE / max(1, sum(large.values()))
     drawn = members.where(F.pmod(F.xxhash64(F.lit(19), "cid"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).select("label", "dims", "cid", "vector").toPandas().sort_values("cid")
-    trees = forest(drawn[[k in large for k in zip(drawn["label"], drawn["dims"], strict=True)]], sizes, threshold)
+    grown = np.array([k in large for k in zip(drawn["label"], drawn["dims"], strict=True)], bool)
+    trees = forest(drawn[grown], sizes, threshold)
 
     routed = stage(route(members, spark.sparkContext.broadcast(trees)))
     spread = routed.select("*", F.explode("leaves").alias("leaf"))
