@@ -278,7 +278,7 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as failures: errors are rate limits, and hashes of the id give a few of the other kinds."""
     which = draw(7, F.col("event_id"), "kind", below=F.lit(40))
     kind = F.when(which == 0, "quota").when(which < 4, "retry").when(which < 8, "content").otherwise("rate")
-    return table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("model"), "event_id", F.unix_micros("ts").alias("us"), kind.alias("kind"), cooldown.retry_after(F.when(F.col("event_id") % 3 == 0, F.col("value").cast("int").cast("string"))).alias("wait")).withColumn("at", F.floor(F.col("us") / 1000000).cast("double"))
+    return table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("model"), "event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', cast(ts AS timestamp_ntz))").alias("us"), kind.alias("kind"), cooldown.retry_after(F.when(F.col("event_id") % 3 == 0, F.col("value").cast("int").cast("string"))).alias("wait")).withColumn("at", F.floor(F.col("us") / 1000000).cast("double"))
 
 
 def cooldown_strikes(spark, sf_dir):
@@ -287,10 +287,11 @@ def cooldown_strikes(spark, sf_dir):
 
 def cooldown_stream(spark, sf_dir):
     """The state after the events have been read as a stream."""
+    import tempfile
     import uuid
 
     given = failures(spark, sf_dir).select("model", "at", "kind", "wait", "us", "event_id")
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp").rstrip("/") + f"/cooldown-{uuid.uuid4().hex}"
+    base = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()).rstrip("/") + f"/cooldown-{uuid.uuid4().hex}"
     given.withColumn("at", F.col("us") / 1e6).write.parquet(f"{base}/in")
     name = f"cooldown_{uuid.uuid4().hex}"
     read = spark.readStream.schema(given.schema).parquet(f"{base}/in")
