@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordspan.functions.text import is_blank, starts_equal, tokens, word_count
+from wordspan.functions.once import once
+from wordspan.functions.text import starts_equal, tokens, word_count
 
 
 def ranked(df: DataFrame, bucket: Column, order: list[Column], name: str) -> DataFrame:
@@ -33,7 +34,7 @@ def key_bucket(df: DataFrame, key: str, buckets: int) -> Column:
 
 def filtered(docs: DataFrame, least_words: int = 3, text_col: str = "text") -> DataFrame:
     """Texts that aren't null or blank and have enough words."""
-    return docs.where(~is_blank(F.col(text_col)) & (word_count(F.col(text_col)) >= least_words))
+    return once(docs, _n=word_count(F.col(text_col))).where(F.col("_n") >= max(1, least_words)).drop("_n")
 
 
 def indexed(docs: DataFrame, key: str, least_words: int = 3, buckets: int | None = None, text_col: str = "text") -> DataFrame:
