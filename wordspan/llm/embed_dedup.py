@@ -21,7 +21,7 @@ from wordspan.llm.common import arrow_pass, stage
 from wordspan.llm.components import components
 
 #: Trees of the forest, classes a leaf should have at most, classes a label grows its trees on, all labels together.
-TREES, LEAF, SAMPLE = 5, 400, 20_000
+TREES, LEAF, SAMPLE = 5, 400, 5_000
 #: Vectors of a block; leaves with more are compared in pairs of blocks.
 BLOCK = 2000
 #: The spill margin in standard deviations of the projected difference of two unit vectors that just link.
@@ -169,7 +169,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     sizes = {(r["label"], r["dims"]): r["n"] for r in members.groupBy("label", "dims").agg(F.count("*").alias("n")).collect()}
     large = {k: n for k, n in sizes.items() if n > LEAF}
     share = SAMPLE / max(1, sum(large.values()))
-    drawn = members.where(F.pmod(F.xxhash64(F.lit(19), "cid"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).select("label", "dims", "cid", "vector").toPandas().sort_values("cid")
+    drawn = members.where(F.pmod(F.xxhash64(F.lit(19), "cid"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).select("label", "dims", "cid", "vector").toArrow().to_pandas().sort_values("cid")
     grown = np.array([k in large for k in zip(drawn["label"], drawn["dims"], strict=True)], bool)
     trees = forest(drawn[grown], sizes, threshold)
 
