@@ -26,6 +26,8 @@ TREES, LEAF, SAMPLE = 5, 400, 5_000
 BLOCK = 2000
 #: The spill margin in standard deviations of the projected difference of two unit vectors that just link.
 SPILL = 1.0
+#: The largest share of a node that a split may send down one side.
+WORTH = 0.8
 
 
 @dataclass
@@ -59,7 +61,10 @@ def grow(sample: np.ndarray, expected: float, margin: float, leaves: list[int],
     at = sample @ direction
     split = float(np.median(at))
     low, high = sample[at <= split + margin], sample[at > split - margin]
-    parts = [grow(s, expected * len(s) / len(sample) if len(s) < len(sample) else 0, margin, leaves, random) for s in (low, high)]
+    if max(len(low), len(high)) > WORTH * len(sample):  # a cluster about the split goes both ways: leave it to blocks
+        leaves.append(len(leaves))
+        return leaves[-1]
+    parts = [grow(s, expected * len(s) / len(sample), margin, leaves, random) for s in (low, high)]
     return Node(direction, split, *parts)
 
 
