@@ -175,6 +175,20 @@ def test_toxicity_learns_held_out(spark):
     assert same == 1
 
 
+def test_toxicity_knows_rare_words_of_a_large_vocabulary(spark):
+    """More ordinary words than any fixed vocabulary, all as frequent as the toxic ones, with which they share stems."""
+    random.seed(10)
+    ordinary = [f"common{i}" for i in range(140_000)] * 5
+    random.shuffle(ordinary)
+    rows = [(i, " ".join(ordinary[i * 350 : (i + 1) * 350]), 0) for i in range(2000)]
+    bad = [f"commonvile{i}" for i in range(40)]
+    rows += [(2000 + i, " ".join(w for x in random.sample(bad, 40) for w in (random.choice(ordinary), x)), 1) for i in range(5)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert min(model.ratios(bad)) > 0 and not model.ratios(ordinary[:200]).any()
+
+
 def test_language_id(spark):
     random.seed(5)
     syllables = {"aa": ["ka", "to", "mi", "su"], "bb": ["sch", "ung", "ber", "eit"], "cc": ["ción", "que", "los", "ñar"]}

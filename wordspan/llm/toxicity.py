@@ -2,7 +2,8 @@
 
 A class's model gives a word its continuation count (distinct words seen before it), less a discount; what is discounted
 backs off to the same distribution over stems, and that to word counts shared by both classes, taken from the whole
-corpus. Rare and inflected expressions thus get their likelihood from their stem and from the shared counts. A
+corpus. Rare and inflected expressions thus get their likelihood from their stem and from the shared counts. Every word
+and stem of the labelled documents counts; those that have just what they would back off to are not sent. A
 document's score compares its two log-likelihoods, divided by its number of words, through a logistic curve fitted on
 labelled documents whose counts were left out.
 """
@@ -17,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordspan.llm.common import arrow_pass, commonest, texts, where_arrow
+from wordspan.llm.common import arrow_pass, stage, texts, where_arrow
 
-#: Labelled rows that models learn from at most; words and stems that a model has at most.
-MOST_LABELLED, MOST_WORDS, MOST_STEMS = 200_000, 1 << 17, 1 << 16
+#: Labelled rows that models learn from at most.
+MOST_LABELLED = 200_000
 #: Absolute discount (counts up to it are left to the backoff), the log ratio up to which the models don't tell a word
 #: apart, words a document counts as at least, and the share (1 in so many) kept for the logistic curve.
 DISCOUNT, INDIFFERENT, LEAST_WORDS, CURVE_FOLD = 2.0, 3.0, 8, 5
@@ -47,18 +48,18 @@ def places(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Log-likelihood ratios of units: words of the vocabulary, then stems that stand for other words."""
+    """Log-likelihood ratios of units: words that differ from their stem, then stems that stand for other words."""
 
     words: np.ndarray  # sorted codes
     stems: np.ndarray
-    ratio: np.ndarray | None = None
+    ratio: np.ndarray
     curve: tuple[float, float] = (1.0, 0.0)
 
     def units(self, codes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """Places 1.. are words; from len(words) + 1 on stems, the first of which is the unknown stem."""
-        word = places(self.words, codes[0])
-        rest = np.flatnonzero(word == 0)
-        word[rest] = len(self.words) + 1 + places(self.stems, codes[1][rest])
+        """Places 0.. are words; from len(words) on stems, the first of which is the unknown stem."""
+        word = places(self.words, codes[0]) - 1
+        rest = np.flatnonzero(word < 0)
+        word[rest] = len(self.words) + places(self.stems, codes[1][rest])
         return word
 
     def ratios(self, values: list[str]) -> np.ndarray:
@@ -89,39 +90,60 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return arrow_pass(docs.select(text_col), each, "code long, stem long, n long").groupBy("code").agg(F.min("stem").alias("stem"), F.sum("n").alias("n"))
 
 
-def continuation_counts(labelled: DataFrame, vocabulary, text_col: str) -> DataFrame:
-    """unit, toxic, n: in how many distinct contexts each class has a unit."""
+def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
+    """code, ordinary, toxic: after how many distinct words each class has a word."""
 
     def each():
-        model = vocabulary.value
-
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys = []
+            pairs: list[list[np.ndarray]] = [[], []]
             for t, y in zip(texts(batch, text_col), batch.column("toxic").to_pylist(), strict=True):
-                unit = model.units(word_codes(t))
-                keys.append((np.concatenate([[0], unit])[:-1] << 32 | unit) << 1 | y)
-            return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)))], ["key"])
+                code = word_codes(t)[0]
+                pairs[y].append(np.concatenate([[0], code])[:-1] << 32 | code)
+            found = [np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64) for own in pairs]
+            toxic = np.repeat(np.arange(2, dtype=np.int32), list(map(len, found)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(toxic)], ["pair", "toxic"])
 
         return turn
 
-    pairs = arrow_pass(labelled.select(text_col, "toxic"), each, "key long").distinct()
-    unit = F.shiftright("key", 1).bitwiseAND(F.lit(0xFFFFFFFF))
-    return pairs.groupBy(unit.alias("unit"), F.col("key").bitwiseAND(F.lit(1)).alias("toxic")).agg(F.count("*").alias("n"))
+    pairs = arrow_pass(labelled.select(text_col, "toxic"), each, "pair long, toxic int").distinct()
+    code = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("code")
+    return pairs.groupBy(code).agg(F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+CLASSES = ("ordinary", "toxic")
 
 
-def unit_ratios(counts: np.ndarray, shared: np.ndarray, stem_of: np.ndarray, n_stems: int) -> np.ndarray:
-    """Log ratio of toxic to ordinary likelihood of each unit; 0 where it tells nothing. counts: class by unit."""
-    shared = shared / shared.sum()
-    in_stem = np.bincount(stem_of, shared, minlength=n_stems)
+def learnt(counts: DataFrame, found: DataFrame) -> Model:
+    """The model without its curve, from corpus counts and continuation counts.
+
+    A word that no class has more often than the discount has its stem's ratio whatever its counts, and such a stem that
+    of the unknown stem; they enter the sums in Spark and only the others are fetched.
+    """
+    known = stage(counts.join(found, "code", "left"))
+    stems = known.groupBy("stem").agg(F.sum("n").alias("n"), F.count("toxic").alias("words"), *(F.sum(c).alias(c) for c in CLASSES)).where("words > 0")
+    often = " or ".join(f"{c} > {DISCOUNT}" for c in CLASSES)
+    spare = [F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"spare_{c}") for c in CLASSES]
+    of_words = known.agg(F.sum("n").alias("n"), F.count("toxic").alias("units"), *(F.sum(c).alias(c) for c in CLASSES), *spare).first()
+    of_stems = stems.agg(F.count("*").alias("units"), *spare).first()
+    word = known.where(often).toPandas().sort_values("code", ignore_index=True)
+    stem = stems.where(often).toPandas().sort_values("stem", ignore_index=True)
+
+    # Every unit (word, other words of a stem, words of unknown stems) has half an occurrence more.
+    total = (of_words["n"] or 0) + 0.5 * (of_words["units"] + of_stems["units"] + 1)
+    in_stem = (stem["n"].to_numpy(float) + 0.5 * (stem["words"].to_numpy(float) + 1)) / total
+    shared = (word["n"].to_numpy(float) + 0.5) / total
+    of = places(stem["stem"].to_numpy(np.int64), word["stem"].to_numpy(np.int64)) - 1
     logs = []
-    for own in counts:
-        total = max(1.0, own.sum())
-        by_stem = np.bincount(stem_of, own, minlength=n_stems)
-        stem = np.maximum(by_stem - DISCOUNT, 0) / total + max(np.minimum(by_stem, DISCOUNT).sum() / total, 1e-6) * in_stem
-        spare = max(np.minimum(own, DISCOUNT).sum() / total, 1e-6)
-        logs.append(np.log(np.maximum(own - DISCOUNT, 0) / total + spare * stem[stem_of] * shared / in_stem[stem_of]))
-    ratio = logs[1] - logs[0]
-    return np.where(np.abs(ratio) > INDIFFERENT, ratio, 0.0)
+    for c in CLASSES:
+        own = max(1.0, float(of_words[c] or 0))
+        spare_word, spare_stem = (max(float(r[f"spare_{c}"] or 0) / own, 1e-6) for r in (of_words, of_stems))
+        likely = np.maximum(stem[c].to_numpy(float) - DISCOUNT, 0) / own + spare_stem * in_stem
+        words = np.maximum(word[c].to_numpy(float) - DISCOUNT, 0) / own + spare_word * likely[of] * shared / in_stem[of]
+        # for other words the shared part is the same in both classes
+        logs.append([np.log(words), np.log(spare_word * likely / in_stem), np.log([spare_word * spare_stem])])
+    by_word, by_stem, unknown = (np.where(np.abs(b - a) > INDIFFERENT, b - a, 0.0) for a, b in zip(*logs, strict=True))
+    apart, known_stem = by_word != by_stem[of], by_stem != unknown[0]
+    return Model(word["code"].to_numpy(np.int64)[apart], stem["stem"].to_numpy(np.int64)[known_stem], np.concatenate([by_word[apart], unknown, by_stem[known_stem]]))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -156,24 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     marked = docs.select(id_col, text_col).join(F.broadcast(marks), id_col)
     held = F.pmod(F.xxhash64(F.lit(5), id_col), F.lit(CURVE_FOLD)) == 0
 
-    counts = word_counts(docs, text_col).persist()
-    words = commonest(counts, MOST_WORDS)
-    stems = commonest(counts.groupBy(F.col("stem").alias("code")).agg(F.sum("n").alias("n")), MOST_STEMS)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts.unpersist()
-    model = Model(words["code"].to_numpy(np.int64), stems["code"].to_numpy(np.int64))
-    n_words, n_stems = len(words), len(stems) + 1
-    stem_of = np.concatenate([[0], places(model.stems, words["stem"].to_numpy(np.int64)), np.arange(n_stems)])
-    by_word = np.concatenate([[0], words["n"].to_numpy(float)])
-    covered = np.bincount(stem_of[: n_words + 1], by_word, minlength=n_stems)
-    whole = np.concatenate([[total - stems["n"].sum()], stems["n"].to_numpy(float)])
-    shared = np.concatenate([by_word, np.maximum(whole - covered, 0)]) + 0.5
-
-    found = continuation_counts(marked.where(~held), spark.sparkContext.broadcast(model), text_col).toPandas()
-    own = np.zeros((2, len(shared)))
-    own[found["toxic"].to_numpy(int), found["unit"].to_numpy(int)] = found["n"].to_numpy(float)
-    model.ratio = unit_ratios(own, shared, stem_of, n_stems)
-
+    model = learnt(word_counts(docs, text_col), continuation_counts(marked.where(~held), text_col))
     sent = spark.sparkContext.broadcast(model)
 
     def each():
