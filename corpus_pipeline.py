@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wordspan.llm import langid, toxicity
 from wordspan.llm.common import remainder, stage, table
-from wordspan.llm.exact_dedup import exact_dedup
+from wordspan.llm.exact_dedup import longest
 from wordspan.llm.ngram_join import near_documents
 from wordspan.llm.packing import pack_documents
 
@@ -31,13 +31,21 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the longest document of each group of equal texts. Rows that share id and text all stay or all go."""
-    return docs.join(exact_dedup(docs).where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    return longest(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    found = near_documents(docs)
-    return docs.join(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "doc_id", "left_semi")
+    """Keeps the document with the smallest id of each group of near copies; rows with a null id come after all ids.
+
+    Rows with a null id are told apart by a hash of their text, in the room above the largest id.
+    """
+    most = docs.agg(F.max("doc_id")).first()[0] or 0
+    room = min((1 << 63) - 1 - max(most, 0), 1 << 62)
+    key = F.coalesce("doc_id", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(room)) + F.lit(max(most, 0) + 1))
+    keyed = docs.withColumn("_key", key)
+    found = near_documents(keyed, id_col="_key")
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

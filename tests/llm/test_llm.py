@@ -146,6 +146,39 @@ def test_packing(docs, none):
     assert pack_documents(none, TOKENIZER).count() == 0
 
 
+def test_packing_of_repeated_and_null_ids(spark):
+    long, other = " ".join(f"word{i}" for i in range(90)), " ".join(f"next{i}" for i in range(90))
+    big = (1 << 60) + 1
+    rows = [(1, long), (1, long), (None, long), (None, other), (None, "short"), (big, "short"), (None, None)]
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, most=64, with_ids=True).collect()
+    by_bin = {}
+    for r in got:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        by_bin.setdefault(r["sequence_id"], []).append(r)
+    for own in by_bin.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in own] == np.cumsum([0, *(r["length"] for r in own)])[:-1].tolist() and own[-1]["offset"] + own[-1]["length"] <= 64
+    firsts = [r["doc_id"] for r in got if r["piece"] == 0]
+    assert sorted(map(str, firsts)) == sorted(str(i) for i, _ in rows)
+
+
+def test_pipeline_carries_null_ids(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "changed"])
+    alone, spaced = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(3, " ".join(words)), (None, " ".join(words)), (None, near), (None, alone), (None, spaced), (None, spaced.replace(" ", "  ")), (9, "c d e"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(3, " ".join(words)), (None, near), (None, alone), (None, spaced.replace(" ", "  ")), (9, "c d e"), (None, None)]
+    exact = corpus_pipeline.exact(spark, docs, "")
+    assert sorted(map(repr, map(tuple, exact.collect()))) == sorted(map(repr, want))
+    assert sorted(map(repr, map(tuple, corpus_pipeline.near(spark, exact, "").collect()))) == sorted(map(repr, [r for r in want if r[1] != near]))
+    of = {(r["doc_id"], r["text_sha256"]): (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(docs).collect()}
+    assert of[None, hashlib.sha256("".join(words).encode()).hexdigest()] == (3, 2, None)
+    assert of[None, hashlib.sha256(spaced.replace(" ", "").encode()).hexdigest()] == (None, 2, None)
+
+
 def test_cut_and_best_fit():
     assert cut(1, 8) == [(0, 1)] and cut(8, 8) == [(0, 8)] and cut(17, 8) == [(0, 1), (1, 8), (9, 8)]
     bins, offsets, still_open = best_fit([5, 4, 3, 3], 8, 8)

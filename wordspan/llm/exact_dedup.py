@@ -20,6 +20,8 @@ from wordspan.llm.common import SPACES, arrow_pass, shuffle_width, stage, texts
 
 #: Keys a bucket of the perfect hash holds on average, and digests a shard has when there are many.
 BUCKET, SHARD = 4, 4096
+#: Stands in groups for the winner's id where all of the longest rows have a null id: any id wins over it.
+NO_ID = (1 << 63) - 1
 GROUP = "shard int, digest binary, keep_id long, keep_len long, group_size long"
 
 
@@ -126,7 +128,7 @@ def grouped(rows: DataFrame, shards: int) -> DataFrame:
     best = F.max(F.struct(F.col("n_points").alias("l"), (-F.col("doc_id")).alias("i")))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
     made = rows.groupBy("digest", "old").agg(best.alias("b"), F.count("*").alias("group_size"))
-    return made.select(shard.alias("shard"), "digest", (-F.col("b.i")).alias("keep_id"), F.col("b.l").alias("keep_len"), "group_size", "old")
+    return made.select(shard.alias("shard"), "digest", F.coalesce(-F.col("b.i"), F.lit(NO_ID)).alias("keep_id"), F.col("b.l").alias("keep_len"), "group_size", "old")
 
 
 def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,15 +136,33 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str =
 
     `is_history` marks the rows of the earlier load, whose distinct digests the index holds; by default those are half
     of the rows by a hash of the id. The rows that stay do not depend on it. Null texts count as empty, empty texts
-    form one group, rows with the same id and text each count and are both kept, an empty table gives no rows; ids are
-    never null.
+    form one group, rows with the same id and text each count and are both kept, an empty table gives no rows. A null id
+    counts in its group and is kept by none (kept is null); keep_id is null where all of the longest rows have null ids.
     """
+    return compared(docs, is_history, id_col, text_col).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def longest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, of the document that each group of equal texts keeps.
+
+    Rows with a null id stay if they are among the longest of a group and none of those has an id.
+    """
+    found = compared(docs, None, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("doc_id").isNotNull() | (F.col("n_points") == F.col("keep_len"))))
+    kept = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("n_points").alias("_n")).distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    bare = F.unhex(F.sha2(F.translate(text, SPACES, "").cast("binary"), 256))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (bare == F.col("_digest")) & (F.length(text).cast("long") == F.col("_n"))
+    return docs.join(kept, same, "left_semi")
+
+
+def compared(docs: DataFrame, is_history: Column | None, id_col: str, text_col: str) -> DataFrame:
+    """A row for each row: doc_id, n_points, digest, and its group's keep_id, keep_len and group_size."""
     spark = docs.sparkSession
     is_history = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 0 if is_history is None else is_history
     made = stage(digests(docs.withColumn("_old", F.coalesce(is_history, F.lit(False))), id_col, text_col))
     shards = max(2 * shuffle_width(spark), -(-made.count() // SHARD))
-    found = look_up_within(grouped(made, shards)).select("digest", "keep_id", "group_size")
-    return made.join(found, "digest").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    found = look_up_within(grouped(made, shards)).select("digest", F.nullif("keep_id", F.lit(NO_ID)).alias("keep_id"), "keep_len", "group_size")
+    return made.join(found, "digest").select("doc_id", "n_points", "digest", "keep_id", "keep_len", "group_size")
 
 
 def digests(marked: DataFrame, id_col: str, text_col: str) -> DataFrame:

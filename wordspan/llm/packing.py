@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,8 +27,9 @@ from wordspan.llm.common import arrow_pass, stage, texts
 OPEN_BINS, GROUP_ROWS = 1024, 4096
 #: A bin at the end of a group is not packed again when less than this share of it is free.
 GOOD = 0.01
-PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PLACED = "number long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+#: number tells pieces of the staged table apart: ids may be repeated or null.
+PIECE = "number long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(2)
@@ -49,6 +51,7 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
 def pieces_of(docs: DataFrame, tokenizer: str, most: int, end_id: int, id_col: str, text_col: str, with_ids: bool) -> DataFrame:
     def each():
         chunks, end = library_chunks(tokenizer), int(end_id).to_bytes(4, "little")
+        numbers = count(TaskContext.get().partitionId() << 40)
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows, ids = [], []
@@ -56,16 +59,16 @@ def pieces_of(docs: DataFrame, tokenizer: str, most: int, end_id: int, id_col: s
                 raw += end
                 for k, (start, length) in enumerate(cut(len(raw) // 4, most)):
                     part = raw[4 * start : 4 * (start + length)]
-                    rows.append((doc, k, start, length, zlib.crc32(part)))
+                    rows.append((next(numbers), doc, k, start, length, zlib.crc32(part)))
                     if with_ids:
                         ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             return pa.RecordBatch.from_arrays([*arrays, *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], names)
 
         return turn
 
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+    names = ["number", "doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     return arrow_pass(docs.select(id_col, text_col), each, PIECE + (", ids array<int>" if with_ids else ""))
 
 
@@ -109,16 +112,16 @@ def best_fit(lengths: list[int], most: int, open_bins: int) -> tuple[list[int],
 def placer(turn: int, last: bool, most: int, open_bins: int):
     """Packs one group; in all rounds but the last, pieces of bins left open get sequence_id -1."""
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "order", "doc_id", "piece"], ascending=[False, True, True, True], ignore_index=True)
-        bins, offsets, still_open = best_fit(pdf["length"].tolist(), most, open_bins)
+    def place(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "descending"), ("order", "ascending"), ("number", "ascending")])
+        bins, offsets, still_open = best_fit(group.column("length").to_pylist(), most, open_bins)
         bins = np.array(bins)
         # 5 bits of round, 34 of group, 24 of bin
-        at = (turn << 58) | (int(pdf["bin_group"].iloc[0]) << 24)
-        out = pdf[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(sequence_id=at + bins, offset=offsets)
+        ids = ((turn << 58) | (group.column("bin_group")[0].as_py() << 24)) + bins
         if not last:
-            out.loc[np.isin(bins, still_open), "sequence_id"] = -1
-        return out
+            ids[np.isin(bins, still_open)] = -1
+        out = group.select(["number", "doc_id", "piece", "start", "length", "ids_crc32"])
+        return out.append_column("sequence_id", pa.array(ids, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     return place
 
@@ -128,9 +131,9 @@ def pack(pieces: DataFrame, most: int, open_bins: int, group_rows: int) -> DataF
     placed, waiting, n, turn = [], pieces, pieces.count(), 0
     while n:
         groups, last = -(-n // group_rows), n <= group_rows
-        order = F.xxhash64(F.lit(turn), "doc_id", "piece")
+        order = F.xxhash64(F.lit(turn), "number")
         dealt = waiting.withColumns({"order": order, "bin_group": F.pmod(order, F.lit(groups))})
-        done = stage(dealt.groupBy("bin_group").applyInPandas(placer(turn, last, most, open_bins), PLACED))
+        done = stage(dealt.groupBy("bin_group").applyInArrow(placer(turn, last, most, open_bins), PLACED))
         placed.append(done.where("sequence_id >= 0"))
         waiting = done.where("sequence_id < 0").drop("sequence_id", "offset")
         left = 0 if last else waiting.count()
@@ -150,6 +153,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, most: int = 2048, end_id: in
     """
     made = stage(pieces_of(docs, tokenizer, most, end_id, id_col, text_col, with_ids))
     thin = made.drop("ids")
-    whole = thin.where(F.col("length") == most).withColumns({"sequence_id": -1 - F.xxhash64("doc_id", "piece").bitwiseAND(F.lit((1 << 62) - 1)), "offset": F.lit(0).cast("long")})
+    whole = thin.where(F.col("length") == most).withColumns({"sequence_id": -1 - F.col("number"), "offset": F.lit(0).cast("long")})
     out = whole.unionByName(pack(thin.where(F.col("length") < most), most, open_bins, group_rows))
-    return out.join(made.select("doc_id", "piece", "ids"), ["doc_id", "piece"]) if with_ids else out
+    return (out.join(made.select("number", "ids"), "number") if with_ids else out).drop("number")
