@@ -206,6 +206,10 @@ s AS (SELECT conv_id, w[1:z-1] AS a, list_transform(list_filter(range(1, len(w)
   list_transform(list_filter(range(1, len(w) + 1), lambda i: i >= z AND l[i] = 0), lambda i: w[i]) AS c FROM f)
 SELECT conv_id, {joined('a[1:15]')} AS human_start, {joined('b[1:15]')} AS generated, {joined('c[1:15]')} AS human_end,
   len(a)::INTEGER AS n_human_start, len(b)::INTEGER AS n_generated, len(c)::INTEGER AS n_human_end FROM s""",
+    "label_segments_whole": f"""
+WITH {SAMPLES}, f AS (SELECT conv_id, words AS w, label AS l, coalesce(list_position(label, 1), len(label) + 1) AS z FROM samples)
+SELECT conv_id, {joined('w[1:z-1]')} AS human_start, {joined('list_transform(list_filter(range(1, len(w) + 1), lambda i: l[i] = 1), lambda i: w[i])')} AS generated,
+  {joined('list_transform(list_filter(range(1, len(w) + 1), lambda i: i >= z AND l[i] = 0), lambda i: w[i])')} AS human_end FROM f""",
     "one_class_windows": f"WITH {pure('documents', 42, 0, 8, 'human')} SELECT * FROM human",
     "labelled_one_class_windows": f"WITH {pure('(SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))', 44, 1, 16, 'ai')} SELECT * FROM ai",
     "boundary_windows": f"WITH {WINDOWS} SELECT * FROM mixed",
@@ -223,6 +227,7 @@ SELECT split, kind, count(*) AS n, min(pos) AS first, max(pos) AS last, sum(e -
   2.0::DOUBLE AS avg_words, 2.0::DOUBLE AS avg_labels, list_sort(list(DISTINCT model)) AS models FROM chunked GROUP BY split, chunk_id""",
     "chunk_range_prune": f"WITH {CHUNKED}, m AS (SELECT split, chunk_id, min(idx) AS lo, max(idx) AS hi, count(*) AS n FROM chunked GROUP BY split, chunk_id) SELECT * FROM m WHERE hi >= 1200 AND lo < 4300",
     "subword_label_alignment": f"WITH {PIECES} SELECT conv_id, len(word_ids)::INTEGER AS n_pieces, ({ALIGNED})[1:256] AS labels FROM ids",
+    "subword_label_alignment_whole": f"WITH {PIECES} SELECT conv_id, {ALIGNED} AS labels FROM ids",
     "padded_label_batches": f"""
 WITH {PIECES}, c AS (SELECT conv_id, conv_id // 4 AS batch, label, word_ids[1:128] AS word_ids FROM ids),
 w AS (SELECT *, len(word_ids) AS own, max(len(word_ids)) OVER (PARTITION BY batch) AS width FROM c)

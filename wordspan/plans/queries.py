@@ -132,6 +132,11 @@ def label_segments(spark, sf_dir):
     return parts.select("conv_id", *(join_words(F.slice(f"s.{c}", 1, 15)).alias(c) for c in ("human_start", "generated", "human_end")), *(F.size(f"s.{c}").alias(f"n_{c}") for c in ("human_start", "generated", "human_end")))
 
 
+def label_segments_whole(spark, sf_dir):
+    parts = samples(spark, sf_dir).where(L.is_valid(F.col("words"), F.col("label"))).select("conv_id", L.segments(F.col("words"), F.col("label")).alias("s"))
+    return parts.select("conv_id", *(join_words(F.col(f"s.{c}")).alias(c) for c in ("human_start", "generated", "human_end")))
+
+
 def one_class_windows(spark, sf_dir):
     return windows.one_class_windows(table(spark, sf_dir, "documents").select("doc_id", "text"), SEED, "doc_id", 0)
 
@@ -193,6 +198,11 @@ def subword_label_alignment(spark, sf_dir):
     return ids.select("conv_id", F.size("word_ids").alias("n_pieces"), F.slice(L.align(F.col("label"), F.col("word_ids")), 1, 256).alias("labels"))
 
 
+def subword_label_alignment_whole(spark, sf_dir):
+    ids = once(samples(spark, sf_dir), word_ids=pieces_of(F.col("words")))
+    return ids.select("conv_id", L.align(F.col("label"), F.col("word_ids")).alias("labels"))
+
+
 def padded_label_batches(spark, sf_dir):
     ids = once(samples(spark, sf_dir), word_ids=F.slice(pieces_of(F.col("words")), 1, 128))
     rows = ids.select("conv_id", F.floor(F.col("conv_id") / 4).cast("long").alias("batch"), F.transform("word_ids", lambda w: F.coalesce(w + 1, F.lit(0))).alias("input_ids"), F.transform("word_ids", lambda _: F.lit(1)).alias("attention_mask"), L.align(F.col("label"), F.col("word_ids")).alias("labels"))
@@ -302,6 +312,6 @@ def cooldown_stream(spark, sf_dir):
 
 ALL = [
     word_profile_by_lang, word_profile_by_source_file, shortest_longest_per_group, upper_median_lengths, filtered_index_range, source_point_lookup, prefix_source_match, sentence_segments, prefix_suffix_split, three_part_split,
-    append_plan, sandwich_plan, prompt_plan, mixed_labels, conversation_word_labels, label_boundaries, detect_mode_distribution, label_segments, one_class_windows, labelled_one_class_windows, boundary_windows, window_audit, merged_split_counts,
-    chunk_manifest, chunk_range_prune, subword_label_alignment, padded_label_batches, first_subword_probs, truncation_fallback, confusion_f1, average_precision, reward, model_comparison, document_prob_broadcast, threshold_vs_round, catalog_filter, cooldown_strikes, cooldown_stream,
+    append_plan, sandwich_plan, prompt_plan, mixed_labels, conversation_word_labels, label_boundaries, detect_mode_distribution, label_segments, label_segments_whole, one_class_windows, labelled_one_class_windows, boundary_windows, window_audit, merged_split_counts,
+    chunk_manifest, chunk_range_prune, subword_label_alignment, subword_label_alignment_whole, padded_label_batches, first_subword_probs, truncation_fallback, confusion_f1, average_precision, reward, model_comparison, document_prob_broadcast, threshold_vs_round, catalog_filter, cooldown_strikes, cooldown_stream,
 ]
