@@ -285,6 +285,20 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_at_the_driver_are_bounded(spark, monkeypatch):
+    from wordspan.llm import embed_dedup
+
+    rows = [(i, np.random.default_rng(i).standard_normal(8).tolist(), 0 if i < 90 else i) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    kind, fetched = type(df), []
+    real = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: fetched.append(real(self)) or fetched[-1])
+    monkeypatch.setattr(embed_dedup, "LEAF", 40)
+    monkeypatch.setattr(embed_dedup, "SAMPLE", 30)
+    assert near_vectors(df).count() == 200
+    assert len(fetched) == 1 and 0 < len(fetched[0]) <= 30 and set(fetched[0]["label"].to_pylist()) == {0}
+
+
 def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(100, 140)] + [(7, 3), (3, 7), (5, 5)]
     got = {r["a"]: r["b"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}

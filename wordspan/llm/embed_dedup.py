@@ -68,14 +68,14 @@ def grow(sample: np.ndarray, expected: float, margin: float, leaves: list[int],
     return Node(direction, split, *parts)
 
 
-def forest(sample: pd.DataFrame, sizes: dict, threshold: float) -> dict:
+def forest(sample: pd.DataFrame, threshold: float) -> dict:
     """label -> trees; the margin follows from the longest difference of unit vectors that link."""
     out = {}
     for (label, dims), rows in sample.groupby(["label", "dims"]):
         x = unit(rows["vector"])
         margin = SPILL * np.sqrt((2 - 2 * threshold) / dims)
         random, leaves = np.random.default_rng([29, abs(hash((int(label), int(dims)))) % 2**32]), []
-        out[label, dims] = [grow(x, sizes[label, dims], margin, leaves, random) for _ in range(TREES)], margin
+        out[label, dims] = [grow(x, int(rows["n"].iloc[0]), margin, leaves, random) for _ in range(TREES)], margin
     return out
 
 
@@ -171,12 +171,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     good = rows.where("ok").withColumn("hash", F.xxhash64("vector"))
     classes = stage(good.groupBy(*same).agg(F.min("vec_id").alias("cid"), F.count("*").alias("size")))
     members = classes.select("label", F.size("vector").alias("dims"), "cid", "size", "vector")
-    sizes = {(r["label"], r["dims"]): r["n"] for r in members.groupBy("label", "dims").agg(F.count("*").alias("n")).collect()}
-    large = {k: n for k, n in sizes.items() if n > LEAF}
-    share = SAMPLE / max(1, sum(large.values()))
-    drawn = members.where(F.pmod(F.xxhash64(F.lit(19), "cid"), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).select("label", "dims", "cid", "vector").toArrow().to_pandas().sort_values("cid")
-    grown = np.array([k in large for k in zip(drawn["label"], drawn["dims"], strict=True)], bool)
-    trees = forest(drawn[grown], sizes, threshold)
+    large = members.groupBy("label", "dims").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
+    share = 2 * SAMPLE / max(1, large.agg(F.sum("n")).first()[0] or 0)
+    place = F.xxhash64(F.lit(19), "cid")
+    some = members.join(large, ["label", "dims"]).where(F.pmod(place, F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000))
+    # the limit bounds what reaches the driver; the share before it, what is put in order
+    order = F.pmod(place, F.lit(1_000_000))
+    drawn = some.orderBy(order, "cid").limit(SAMPLE).select("label", "dims", "cid", "vector", "n").toArrow().to_pandas().sort_values("cid")
+    trees = forest(drawn, threshold)
 
     routed = stage(route(members, spark.sparkContext.broadcast(trees)))
     spread = routed.select("*", F.explode("leaves").alias("leaf"))
