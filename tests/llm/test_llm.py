@@ -258,6 +258,21 @@ def test_html_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><meta charset=utf-8><body><article><p>Text here and more</p></article></body>",
+        "<head><link href=x><article><p>Text here and more</p></article>",
+        "<head><script>a = '<!--'</script></head><body><article><p>Text here and more</p></article></body>",
+        "<body><div><select><option>One</div><article><p>Text here and more</p></article></body>",
+        "<body><p><button>Go</p><article><p>Text here and more</p></article></body>",
+        "<body><article><svg><g><p>a</p></svg><p>Text here and more</p></article></body>",
+    ],
+)
+def test_html_after_unclosed_silent_elements(page):
+    assert html_text.main_text(page) == "Text here and more"
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, "u", "<article><p>é x</p></article>")], "page_id long, url string, html string")
     assert [(r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, "", 0), (2, "é x", 3)]

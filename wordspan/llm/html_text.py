@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -22,6 +23,8 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s
 SILENT = frozenset("script style noscript template svg math textarea select button iframe object canvas audio video head title".split())
 #: Of those, the ones whose content is raw: it ends at their own end tag only.
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: Tags that can stand in head; any other ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 #: Elements that stand on lines of their own.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul head".split())
 #: Blocks that have no end of their own but that of others, or none at all; they are not kept on the stack.
@@ -152,6 +155,7 @@ class Cutter:
     in_link: bool = False
     prose: bool = False
     leaf_apart: str = ""
+    leaf: str = ""  # the leaf block that is open
 
     def say(self, raw: str) -> None:
         if raw:
@@ -179,6 +183,7 @@ class Cutter:
         self.in_link, self.prose = False, name in PROSE
         _, main, apart = self.stack[-1] if self.stack else ("", False, False)
         off = name in APART or (name == "header" and not main) or marked_apart(attributes)
+        self.leaf = name if name in LEAF else ""
         if name in LEAF:
             self.leaf_apart = name if off and name not in ("html", "body") else ""
         elif not attributes.rstrip().endswith("/"):
@@ -192,6 +197,7 @@ class Cutter:
             return
         self.end_block()
         self.prose = False
+        self.leaf = "" if name not in LEAF or self.leaf == name else self.leaf
         if name in LEAF:
             self.leaf_apart = "" if self.leaf_apart == name else self.leaf_apart
             return
@@ -221,8 +227,11 @@ def marked_apart(attributes: str) -> bool:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The page's blocks in order. Unclosed elements end with the page; stray end tags are skipped."""
-    cutter, at, silent = Cutter(), 0, ""
+    """The page's blocks in order. Unclosed elements end with the page; stray end tags are skipped.
+
+    A silent element ends at its own end tag or with a block around it; head ends at the first tag that can't stand in it.
+    """
+    cutter, at, silent, inner = Cutter(), 0, "", Counter()
     while (m := TAG.search(page, at)) is not None:
         if not silent:
             cutter.say(page[at : m.start()])
@@ -231,8 +240,22 @@ def blocks_of(page: str) -> list[Block]:
         if not name:
             continue
         name = name.lower()
+        if silent == "head" and not end and name not in IN_HEAD:
+            silent = ""
         if silent:
-            silent = "" if end and name == silent else silent
+            if not end and name in RAW:
+                close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
+                at = close.end() if close else len(page)
+                continue
+            if end and name == silent:
+                silent = ""
+            elif name in BLOCK and not end:
+                inner[name] += 1
+            elif name in BLOCK and inner[name]:
+                inner[name] -= 1
+            elif end and (name == cutter.leaf or any(name == above for above, *_ in cutter.stack)):
+                silent = ""
+                cutter.close(name)
         elif end:
             cutter.close(name)
         elif name in SILENT:
@@ -240,7 +263,7 @@ def blocks_of(page: str) -> list[Block]:
                 close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
                 at = close.end() if close else len(page)
             else:
-                silent = name
+                silent, inner = name, Counter()
             if name not in ("script", "style"):
                 cutter.say(" ")
         else:
