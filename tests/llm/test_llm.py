@@ -353,3 +353,48 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
         before = docs.count()
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r["doc_id"] for r in last.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_personal_data_is_found_in_linear_time():
+    import time
+
+    from wordspan.llm.token_counts import PERSONAL, personal_edits
+
+    began = time.time()
+    for text in ("a" * 1_000_000, "1." * 500_000, "@a" * 300_000, "1 " * 300_000 + "(" * 300_000, "a@" + "b." * 300_000):
+        personal_edits(text)
+    assert time.time() - began < 20
+    random.seed(3)
+    for _ in range(3000):
+        text = "".join(random.choice("11234. -()+aé\n") for _ in range(random.randint(0, 60)))
+        assert personal_edits(text) == [(m.start(), m.end(), "[removed]") for m in PERSONAL.finditer(text)]
+    assert personal_edits("mail me.now+x@ex-am.ple.org, or 1.2.3.4") == [(5, 27, "[removed]"), (32, 39, "[removed]")]
+
+
+def test_leaves_are_kept_and_edited_later(docs, none):
+    from wordspan.llm.token_counts import apply_edits, leaf_table
+
+    pieces = piece_counts(RANKS, P.PATTERN)
+    texts = {i: t or "" for i, t, *_ in corpus()}
+    cut_out = lambda t: [(0, 1, "Z"), (len(t) // 2 + 1, len(t) // 2 + 2, "")] if len(t) > 4 else []
+    for r in apply_edits(leaf_table(docs, RANKS, P.PATTERN, cut_out), RANKS, P.PATTERN).collect():
+        after = r["text"] if r["n_edits"] else texts[r["doc_id"]]
+        assert bytes(r["leaves"]) == pieces.leaves([after])[0] or r["n_edits"]
+        assert Tree(after, pieces, bytes(r["leaves"])).total == r["n_tokens_edited"] == sum(pieces.counts(pieces.find(after)))
+        assert r["n_reencoded"] <= 30 or len(after) > 4000
+    assert count_edited(none, RANKS, P.PATTERN).count() == 0
+
+
+def test_memo_is_bounded_and_exact():
+    from wordspan.llm.bpe import Chunks, cut, is_mixed
+
+    made = []
+    chunks = Chunks(lambda some: made.extend(some) or [f"<{x}>".encode() for x in some], most_bytes=6000)
+    random.seed(4)
+    for _ in range(30):
+        values = ["".join(random.choice("abc  \n　") for _ in range(random.randint(0, 50))) for _ in range(20)]
+        for text, got in zip(values, list(chunks.encoded(values)), strict=True):
+            first, *rest = cut(text, is_mixed(text))
+            assert got == b"".join(f"<{x}>".encode() for x in [first, *(" " + x for x in rest)])
+        assert chunks.size <= 3000
+    assert list(Chunks(lambda some: [x.encode() for x in some]).encoded(["a b  c", ""])) == [b"a b  c", b""]

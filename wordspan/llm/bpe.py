@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,9 +24,11 @@ from wordspan.llm.common import arrow_pass, texts
 
 #: A space that follows no white space begins a chunk: no pre-token of the pattern spans such a place.
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-MIXED_SPACE = re.compile(r"\s ")
-#: New chunks that are encoded at once.
-SLAB = 400_000
+#: White space before a space; of that, what ASCII texts can hold.
+MIXED = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
+MIXED_ASCII = [x for x in MIXED if x.isascii()]
+#: Bytes that the ids of chunks met before may take in a Python worker, and what an entry takes besides its strings.
+MEMO_BYTES, ENTRY = 64 << 20, 200
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -181,8 +183,13 @@ def encode_many(pieces: list[bytes], merges: Merges) -> list[bytes]:
     return out
 
 
+def is_mixed(text: str) -> bool:
+    """Whether a space follows white space somewhere."""
+    return any(map(text.__contains__, MIXED_ASCII if text.isascii() else MIXED))
+
+
 def cut(text: str, mixed: bool) -> list[str]:
-    """Chunks, without the space that each but the first begins with; `mixed`: a space follows white space somewhere."""
+    """Chunks, without the space that each but the first begins with."""
     if not mixed:
         return text.split(" ")
     first, *rest = BEFORE_SPACE.split(text)
@@ -190,44 +197,56 @@ def cut(text: str, mixed: bool) -> list[str]:
 
 
 class Chunks:
-    """Cuts texts before spaces that follow a non-space, and keeps the ids of chunks met before, up to `most` chunks.
+    """Cuts texts before spaces that follow a non-space, and keeps what was made of chunks met before.
 
-    `encode` gives a list of strings' ids as bytes of little-endian 32-bit numbers. No pre-token spans two chunks, so
-    the chunks' ids in order are the text's ids.
+    `encode` turns a list of strings into bytes for each, such that those of two chunks in a row are those of the text:
+    no pre-token spans two chunks. The memo has two generations of half of `most_bytes`; chunks that aren't met again
+    go with the older one. A task makes its own, so nothing outlives the task. Chunks over `longest` aren't kept.
     """
 
-    def __init__(self, encode, most: int = 1_000_000, longest: int = 64):
-        self.encode, self.most, self.longest = encode, most, longest
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most_bytes: int = MEMO_BYTES, longest: int = 64, slab: int = 400_000):
+        self.encode, self.most_bytes, self.longest, self.slab = encode, most_bytes, longest, slab
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
-    def ids(self, values: list[str]) -> Iterator[bytes]:
-        """The ids of each text; texts are cut twice rather than kept in pieces."""
+    def encoded(self, values: list[str]) -> Iterator[bytes]:
+        """The encoded form of each text; texts are cut twice rather than kept in pieces."""
         need: set[str] = set()
         firsts, mixed = [], []
         for text in values:
-            mixed.append(MIXED_SPACE.search(text) is not None)
+            mixed.append(is_mixed(text))
             first, *rest = cut(text, mixed[-1])
             firsts.append(first)
             need.update(rest)
-        new = list(need - self.memo.keys())
-        if len(self.memo) + len(new) > self.most:  # what this batch needs again is likely to be met later too
-            self.memo = {x: self.memo[x] for x in need & self.memo.keys()}
+        need -= self.memo.keys()
+        added = {x: self.older[x] for x in need & self.older.keys()}
+        new = list(need - added.keys())
         del need
-        for i in range(0, len(new), SLAB):
-            some = new[i : i + SLAB]
-            self.memo.update(zip(some, self.encode([" " + x for x in some]), strict=True))
+        for i in range(0, len(new), self.slab):
+            some = new[i : i + self.slab]
+            added.update(zip(some, self.encode([" " + x for x in some]), strict=True))
+        self.memo.update(added)
         find = self.memo.__getitem__
         for text, apart, first in zip(values, mixed, self.encode(firsts), strict=True):
             yield first + b"".join(map(find, cut(text, apart)[1:]))
         for x in new:
             if len(x) > self.longest:
-                del self.memo[x]
+                del self.memo[x], added[x]
+        self.size += sum(map(len, added)) + sum(map(len, added.values())) + ENTRY * len(added)
+        if self.size > self.most_bytes // 2:
+            self.older, self.memo, self.size = self.memo, {}, 0
+
+
+@lru_cache(1)
+def merges_of(path: str) -> Merges:
+    """The merge table, which depends on the file only; kept while the worker lives."""
+    return Merges(load_ranks(path))
 
 
-@lru_cache(2)
-def ranked_chunks(path: str, pattern: str) -> Chunks:
-    """Chunks encoded by the rank file at `path`, each match of `pattern` by itself; kept while the worker lives."""
-    merges, find = Merges(load_ranks(path)), regex.compile(pattern).findall
+def encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of strings by the rank file at `path`, each match of `pattern` by itself, as little-endian 32-bit numbers."""
+    merges, find = merges_of(path), regex.compile(pattern).findall
 
     def encode(chunks: list[str]) -> list[bytes]:
         found = list(map(find, chunks))
@@ -235,7 +254,7 @@ def ranked_chunks(path: str, pattern: str) -> Chunks:
         ids = dict(zip(pieces, encode_many([p.encode() for p in pieces], merges), strict=True))
         return [ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for c in found]
 
-    return Chunks(encode)
+    return encode
 
 
 def decode(ids, tokens: list[bytes]) -> bytes:
@@ -260,12 +279,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """
 
     def each():
-        chunks, tokens = ranked_chunks(path, pattern), token_table(path)
+        chunks, tokens = Chunks(encoder(path, pattern)), token_table(path)
         decimal = [str(i) for i in range(len(tokens))]
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, ids_out, bytes_out = [], [], []
-            for packed in chunks.ids(texts(batch, text_col)):
+            for packed in chunks.encoded(texts(batch, text_col)):
                 raw = np.frombuffer(packed, "<u4")
                 ids = raw.tolist()
                 back = decode(ids, tokens)

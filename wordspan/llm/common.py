@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: The white space that the contracts name: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
+#: Bytes of an Arrow batch that are worked on at once.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,18 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
+    """The folder that driver and executors share. Where the session names none, a temporary one, in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="wordspan-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, **options: str) -> DataFrame:
     """Writes the rows once to the shared folder and reads them back: lineage ends here, a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,14 +42,28 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema) -> DataFrame:
-    """mapInArrow with a set-up that runs once a task; the function it returns turns one batch into one batch."""
+def parts(batch: pa.RecordBatch, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most so many bytes, or of one row."""
+    if batch.num_rows > 1 and batch.nbytes > most_bytes:
+        half = batch.num_rows // 2
+        yield from parts(batch.slice(0, half), most_bytes)
+        yield from parts(batch.slice(half), most_bytes)
+    elif batch.num_rows:
+        yield batch
+
+
+def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, most_bytes: int = BATCH_BYTES) -> DataFrame:
+    """mapInArrow with a set-up that runs once a task; the function it returns turns one batch into one batch.
+
+    Batches of long texts are worked on in parts, so a task's memory doesn't grow with the texts of 10,000 rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = each()
         for batch in batches:
-            if batch.num_rows and (out := turn(batch)) is not None:
-                yield out
+            for part in parts(batch, most_bytes):
+                if (out := turn(part)) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

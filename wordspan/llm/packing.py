@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +32,25 @@ PLACED = "number long, doc_id long, piece int, start long, length long, ids_crc3
 PIECE = "number long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-@lru_cache(2)
-def library_chunks(path: str) -> Chunks:
-    """Chunks encoded by the tokenizers library, without special tokens (their strings are ordinary text)."""
+@lru_cache(1)
+def library_tokenizer(path: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return Chunks(lambda chunks: [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(chunks, add_special_tokens=False)])
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = True  # their strings are ordinary text
+    return made
+
+
+def library_chunks(path: str) -> Chunks:
+    """Chunks encoded by the tokenizers library, without special tokens, a few thousand at once."""
+    tokenizer = library_tokenizer(path)
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        ids = [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = np.cumsum([0, *map(len, ids)]) * 4
+        return [raw[a:b] for a, b in pairwise(ends.tolist())]
+
+    return Chunks(encode, slab=8192)
 
 
 def cut(n: int, most: int) -> list[tuple[int, int]]:
@@ -55,7 +67,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, most: int, end_id: int, id_col: s
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows, ids = [], []
-            for doc, raw in zip(batch.column(id_col).to_pylist(), chunks.ids(texts(batch, text_col)), strict=True):
+            for doc, raw in zip(batch.column(id_col).to_pylist(), chunks.encoded(texts(batch, text_col)), strict=True):
                 raw += end
                 for k, (start, length) in enumerate(cut(len(raw) // 4, most)):
                     part = raw[4 * start : 4 * (start + length)]

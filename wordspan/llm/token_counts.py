@@ -1,26 +1,38 @@
 """Edit-aware token counts.
 
-A document's pre-tokens are the leaves of a segment tree that sums characters and tokens. An edit re-splits only the
-leaves it touches, the context that can change how they are split, and what follows until the new splits fall in with
-the old; only pre-tokens that come up new are encoded, and sums change on the paths to the root.
+A document's pre-tokens are the leaves of a segment tree that sums characters and tokens. The leaves of every document
+are kept in a table; a later pass builds the trees of documents with edits from them, without splitting or encoding the
+text again. An edit re-splits only the leaves it touches, the context that can change how they are split, and what
+follows until the new splits fall in with the old; only pre-tokens that come up new are encoded, and sums change on the
+paths to the root.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-
-from wordspan.llm.bpe import Merges, encode_many, load_ranks
-from wordspan.llm.common import arrow_pass, texts
-
-#: What the registered query edits out: e-mail and IP addresses, and long numbers.
-PERSONAL = regex.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+?\d[\d() -]{5,}\d")
+from pyspark.sql import functions as F
+
+from wordspan.llm.bpe import Chunks, encode_many, merges_of
+from wordspan.llm.common import arrow_pass, stage, texts
+
+#: What the registered query edits out: e-mail and IP addresses, and long numbers. An address's local part is tried from
+#: its first character only and given up whole, so the time is in proportion to the text.
+NUMBERS = r"\b\d{1,3}(?:\.\d{1,3}){3}\b|\+?\d[\d() -]{5,}\d"
+PERSONAL = re.compile(rf"(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)++|{NUMBERS}")
+WITHOUT_AT = re.compile(NUMBERS)
+#: Runs that hold all matches of NUMBERS: quick to find as most texts have few.
+RUN = re.compile(r"[\d+][\d() .-]{6,}")
 REMOVED = "[removed]"
+#: Tokens that the memo of pre-tokens holds at most.
+MOST_PIECES = 100_000
 
 Edit = tuple[int, int, str]  # start, end, replacement, in code points of the text before any edit
 
@@ -28,8 +40,8 @@ Edit = tuple[int, int, str]  # start, end, replacement, in code points of the te
 class PieceCounts:
     """Tokens of a pre-token, from a memo of bounded size."""
 
-    def __init__(self, path: str, pattern: str, most: int = 1_000_000, longest: int = 64):
-        self.merges, self.find, self.most, self.longest = Merges(load_ranks(path)), regex.compile(pattern).findall, most, longest
+    def __init__(self, path: str, pattern: str, most: int = MOST_PIECES, longest: int = 64):
+        self.merges, self.find, self.most, self.longest = merges_of(path), regex.compile(pattern).findall, most, longest
         self.memo: dict[str, int] = {}
 
     def counts(self, pieces: list[str]) -> list[int]:
@@ -46,19 +58,33 @@ class PieceCounts:
         if len(found) <= self.most:
             self.memo.update((p, n) for p, n in found.items() if len(p) <= self.longest)
 
+    def leaves(self, strings: list[str]) -> list[bytes]:
+        """Each string's leaves: characters and tokens of its pre-tokens in turn, as little-endian 32-bit numbers."""
+        split = list(map(self.find, strings))
+        met = list(set().union(*split))
+        tokens = [len(x) // 4 for x in encode_many([p.encode() for p in met], self.merges)]
+        raw = np.stack([np.array(list(map(len, met)), "<u4"), np.array(tokens, "<u4")], axis=1).tobytes()
+        known = {p: raw[8 * i : 8 * i + 8] for i, p in enumerate(met)}
+        return [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in split]
+
 
 class Tree:
-    """A document's text by pre-token. A leaf may come to hold several pre-tokens, or none; the shape stays."""
+    """A document's text by pre-token. A leaf may come to hold several pre-tokens, or none; the shape stays.
 
-    def __init__(self, text: str, pieces: PieceCounts):
+    `leaves`: what an earlier pass kept of the text; without it the text is split and encoded here.
+    """
+
+    def __init__(self, text: str, pieces: PieceCounts, leaves: bytes | None = None):
         self.pieces = pieces
-        self.parts: list[list[str]] = [[p] for p in pieces.find(text)]
-        n = len(self.parts)
+        if leaves is None:
+            leaves = pieces.leaves([text])[0]
+        chars, tokens = np.frombuffer(leaves, "<u4").reshape(-1, 2).T
+        n = len(chars)
+        self.parts: list[list[str]] = [[text[a:b]] for a, b in pairwise(accumulate(chars.tolist(), initial=0))]
+        self.counts: list[list[int]] = [[k] for k in tokens.tolist()]
         self.base = 1 << max(0, (n - 1).bit_length())
         self.chars, self.tokens = np.zeros(2 * self.base, np.int64), np.zeros(2 * self.base, np.int64)
-        if n:
-            self.chars[self.base : self.base + n] = [len(p[0]) for p in self.parts]
-            self.tokens[self.base : self.base + n] = pieces.counts([p[0] for p in self.parts])
+        self.chars[self.base : self.base + n], self.tokens[self.base : self.base + n] = chars, tokens
         level = self.base
         while level > 1:
             for sums in (self.chars, self.tokens):
@@ -70,6 +96,11 @@ class Tree:
     def total(self) -> int:
         return int(self.tokens[1])
 
+    def packed(self) -> bytes:
+        """The leaves as they are now, to be kept for a later load."""
+        sizes = [(len(p), k) for part, own in zip(self.parts, self.counts, strict=True) for p, k in zip(part, own, strict=True)]
+        return np.array(sizes, "<u4").tobytes()
+
     def text(self) -> str:
         return "".join(p for part in self.parts for p in part)
 
@@ -83,10 +114,10 @@ class Tree:
                 node += 1
         return node - self.base, begin
 
-    def put(self, leaf: int, part: list[str], tokens: int) -> None:
-        self.parts[leaf] = part
+    def put(self, leaf: int, part: list[str], counts: list[int]) -> None:
+        self.parts[leaf], self.counts[leaf] = part, counts
         node = self.base + leaf
-        self.chars[node], self.tokens[node] = sum(map(len, part)), tokens
+        self.chars[node], self.tokens[node] = sum(map(len, part)), sum(counts)
         while node > 1:
             node //= 2
             for sums in (self.chars, self.tokens):
@@ -143,49 +174,88 @@ class Tree:
         used, last = done if done is not None else (len(pieces), stop - 1)
         fresh = pieces[:used]
         self.encoded += len(fresh)
-        self.put(first, fresh, sum(self.pieces.counts(fresh)))
+        self.put(first, fresh, self.pieces.counts(fresh))
         for leaf in range(first + 1, last + 1):
             if self.parts[leaf]:
-                self.put(leaf, [], 0)
+                self.put(leaf, [], [])
 
 
 def personal_edits(text: str) -> list[Edit]:
-    return [(m.start(), m.end(), REMOVED) for m in PERSONAL.finditer(text)]
+    if "@" in text:
+        found = PERSONAL.finditer(text)
+    else:  # a run and the character after it, which a match's end may depend on
+        found = (m for run in RUN.finditer(text) for m in WITHOUT_AT.finditer(text, run.start(), run.end() + 1))
+    return [(m.start(), m.end(), REMOVED) for m in found]
 
 
-@lru_cache(2)
+@lru_cache(1)
 def piece_counts(path: str, pattern: str) -> PieceCounts:
     return PieceCounts(path, pattern)
 
 
-def count_edited(docs: DataFrame, path: str, pattern: str, edits: Callable[[str], list[Edit]] = personal_edits, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_edits, n_tokens_edited and n_reencoded (pre-tokens encoded again) of every row; no shuffle.
+EDITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("new", pa.string())]))
+
 
-    `edits` gives a text's edits in order, not overlapping, as offsets into the text as it was. Null and empty texts
-    have no tokens; without edits both counts are equal and nothing is encoded again.
+def leaf_table(docs: DataFrame, path: str, pattern: str, edits: Callable[[str], list[Edit]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, leaves (the packed leaves of its tree), edits and text of every row; no shuffle.
+
+    `edits` gives a text's edits in order, not overlapping, as offsets into the text as it was. The text is carried only
+    where it has edits to come; null and empty texts have no leaves.
     """
 
+    def each():
+        chunks = Chunks(piece_counts(path, pattern).leaves)
+
+        def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            values = texts(batch, text_col)
+            packed = list(chunks.encoded(values))
+            tokens = [int(np.frombuffer(x, "<u4")[1::2].sum(dtype=np.int64)) for x in packed]
+            changes = [edits(t) if edits else [] for t in values]
+            listed = pa.array([[{"start": a, "end": b, "new": new} for a, b, new in own] for own in changes], EDITS)
+            kept = pa.array([t if own else None for t, own in zip(values, changes, strict=True)], pa.string())
+            return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(tokens, pa.int64()), pa.array(packed, pa.binary()), listed, kept], ["doc_id", "n_tokens", "leaves", "edits", "text"])
+
+        return turn
+
+    return arrow_pass(docs.select(id_col, text_col), each, "doc_id long, n_tokens long, leaves binary, edits array<struct<start: long, end: long, new: string>>, text string")
+
+
+def apply_edits(table: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, n_edits, n_tokens_edited, n_reencoded, text and leaves after the edits, for rows of a leaf table.
+
+    Trees are built from the kept leaves. Rows without edits pass as they are, with a null text; no shuffle.
+    """
+    kinds = "n_edits long, n_tokens_edited long, n_reencoded long, text string, leaves binary"
+
     def each():
         pieces = piece_counts(path, pattern)
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows, values = [], texts(batch, text_col)
-            for i in range(0, len(values), 1000):  # pre-tokens of many texts are encoded at once
-                some = values[i : i + 1000]
-                split = [pieces.find(t) for t in some]
-                known = dict(zip(met := list(set().union(*split)), pieces.counts(met), strict=True))
-                for text, own in zip(some, split, strict=True):
-                    before, changes = sum(map(known.__getitem__, own)), edits(text)
-                    if not changes:
-                        rows.append((before, 0, before, 0))
-                        continue
-                    tree = Tree(text, pieces)
-                    for start, end, new in reversed(changes):  # from the end, so that offsets stay true
-                        tree.edit(start, end, new)
-                    rows.append((before, len(changes), tree.total, tree.encoded))
-            return pa.RecordBatch.from_arrays([batch.column(id_col), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))], names)
+            rows = []
+            for n, leaves, changes, text in zip(*(batch.column(c).to_pylist() for c in ("n_tokens", "leaves", "edits", "text")), strict=True):
+                if not changes:
+                    rows.append((0, n, 0, None, leaves))
+                    continue
+                tree = Tree(text, pieces, leaves)
+                for change in reversed(changes):  # from the end, so that offsets stay true
+                    tree.edit(change["start"], change["end"], change["new"])
+                rows.append((len(changes), tree.total, tree.encoded, tree.text(), tree.packed()))
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64()] * 3 + [pa.string(), pa.binary()], strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), *arrays], ["doc_id", "n_tokens", *(k.split()[0] for k in kinds.split(", "))])
 
         return turn
 
-    names = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_reencoded"]
-    return arrow_pass(docs.select(id_col, text_col), each, ", ".join(f"{n} long" for n in names))
+    return arrow_pass(table.select("doc_id", "n_tokens", "leaves", "edits", "text"), each, f"doc_id long, n_tokens long, {kinds}")
+
+
+def count_edited(docs: DataFrame, path: str, pattern: str, edits: Callable[[str], list[Edit]] = personal_edits, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, n_edits, n_tokens_edited and n_reencoded (pre-tokens encoded again) of every row; no shuffle.
+
+    The leaf table is written once, then the edits are applied to it. Null and empty texts have no tokens; without edits
+    both counts are equal and nothing is encoded again. Repeated rows each count, null ids are carried, an empty table
+    gives no rows, other columns are not read.
+    """
+    kept = stage(leaf_table(docs, path, pattern, edits, id_col, text_col), compression="zstd")
+    edited = apply_edits(kept.where(F.size("edits") > 0), path, pattern).drop("text", "leaves")
+    same = kept.where(F.size("edits") == 0).select("doc_id", "n_tokens", F.lit(0).cast("long").alias("n_edits"), F.col("n_tokens").alias("n_tokens_edited"), F.lit(0).cast("long").alias("n_reencoded"))
+    return edited.unionByName(same)
