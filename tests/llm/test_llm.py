@@ -285,6 +285,7 @@ def test_near_vectors(spark):
     rows += [(100 + i, (base[i % 6] + 0.02 * np.random.default_rng(900 + i).standard_normal(16)).astype(np.float32).tolist(), i % 2) for i in range(30)]
     rows += [(200 + i, rows[2][1], 0) for i in range(20)]
     rows += [(300, None, 0), (301, [0.0] * 16, 0), (302, [float("nan")] * 16, 0), (303, [1.0, None] * 8, 0), (304, rows[0][1], None), (305, [], 1), (306, [1.0], 1)]
+    nulls = [(None, rows[5][1], 1), (None, [9.0] * 16, 1), (None, [9.0] * 16, 1)]
     good = {i: (np.array(v) / np.linalg.norm(v), lab) for i, v, lab in rows if i < 300}
     root, links = {i: i for i, *_ in rows}, {i: 0 for i, *_ in rows}
     for a in good:
@@ -298,20 +299,49 @@ def test_near_vectors(spark):
     got = {r["vec_id"]: r for r in near_vectors(df).collect()}
     assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (links[i], root[i]) for i in root}
     assert near_vectors(df.limit(0)).count() == 0
+    with_nulls = near_vectors(spark.createDataFrame(rows + nulls, df.schema)).where("vec_id IS NULL").collect()
+    assert sorted((r["n_links"], r["component_id"] is None) for r in with_nulls) == [(1, True), (1, True), (links[5] + 1, False)]
 
 
-def test_vectors_at_the_driver_are_bounded(spark, monkeypatch):
+def test_trees_grow_and_find_the_pairs(spark, monkeypatch):
+    """One label of 6000 vectors with planted pairs, a tight cluster and copies, against brute force in double precision."""
     from wordspan.llm import embed_dedup
 
-    rows = [(i, np.random.default_rng(i).standard_normal(8).tolist(), 0 if i < 90 else i) for i in range(200)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    kind, fetched = type(df), []
-    real = kind.toArrow
-    monkeypatch.setattr(kind, "toArrow", lambda self: fetched.append(real(self)) or fetched[-1])
-    monkeypatch.setattr(embed_dedup, "LEAF", 40)
-    monkeypatch.setattr(embed_dedup, "SAMPLE", 30)
-    assert near_vectors(df).count() == 200
-    assert len(fetched) == 1 and 0 < len(fetched[0]) <= 30 and set(fetched[0]["label"].to_pylist()) == {0}
+    random_ = np.random.default_rng(5)
+    base = random_.standard_normal((4000, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near = base[:1500] + random_.standard_normal((1500, 32)) * 0.19 / np.sqrt(32)
+    tight = base[:1] + random_.standard_normal((500, 32)) * 0.01
+    x = np.concatenate([base, near, tight]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 3) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4)
+    fetched, kind = [], type(df)
+    real = kind.toPandas
+    monkeypatch.setattr(kind, "toPandas", lambda self: fetched.append(real(self)) or fetched[-1])
+    grown, forests = embed_dedup.grown, []
+    monkeypatch.setattr(embed_dedup, "grown", lambda *a: forests.append(grown(*a)) or forests[-1])
+    got = {r["vec_id"]: r for r in near_vectors(df).collect()}
+    forest = forests[0]
+    assert (forest.direction >= 0).sum() > 50 and np.median(forest.count[forest.direction < 0]) <= embed_dedup.LEAF
+    assert all("vector" not in t.columns and len(t) <= len(forest.count) for t in fetched)  # sums by leaf, no vectors
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    links = (y @ y.T >= 0.98).sum(axis=1) - 1
+    found = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.98 * links.sum() > 1000
+    pairs = [(i, 4000 + i) for i in range(1500) if y[i] @ y[4000 + i] >= 0.98]
+    assert len(pairs) > 400 and sum(got[a]["component_id"] == got[b]["component_id"] for a, b in pairs) >= 0.98 * len(pairs)
+
+
+def test_many_labels_and_large_leaves(spark, monkeypatch):
+    from wordspan.llm import embed_dedup
+
+    rows = [(i, np.random.default_rng(i % 150).standard_normal(8).tolist(), 0 if i < 90 else i % 7) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    plain = sorted(map(tuple, near_vectors(df).collect()))
+    monkeypatch.setattr(embed_dedup, "LEAF", 20)
+    monkeypatch.setattr(embed_dedup, "BLOCK", 10)
+    monkeypatch.setattr(embed_dedup, "MOST_NODES", 40)  # room for two labels' roots only
+    assert sorted(map(tuple, near_vectors(df).collect())) == plain
 
 
 def test_components_of_a_chain(spark):
