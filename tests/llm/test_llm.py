@@ -247,7 +247,7 @@ def test_features_of_long_texts_add_up():
     ("page", "text"),
     [
         ("", ""),
-        ("no tags at all", ""),
+        ("no tags at all", "no tags at all"),
         ("<nav><a href=/>Home</a></nav><article><h1>A &amp; B</h1><p>One<b>two</b>\n three<br>four<p>Last &lt;p&gt;</article><footer>(c)</footer>", "A & B Onetwo three four Last <p>"),
         ("<article><p>Text here</p><div class='comments'><p>I say so</p></div><aside>Ad</aside><form>Name</form><script>var a='<p>x</p>'</script></article>", "Text here"),
         ("<main><!-- <p>gone</p> --><p>5 < 6 and so on</p><style>p{}</style></main>", "5 < 6 and so on"),
@@ -273,6 +273,62 @@ def test_html_after_unclosed_silent_elements(page):
     assert html_text.main_text(page) == "Text here and more"
 
 
+PROSE = " ".join(["some words of prose"] * 12)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<div class="content with-sidebar"><article><h1>A title</h1><p>{PROSE}</p></article></div>', f"A title {PROSE}"),
+        (f'<div class="legal"><article><p>{PROSE}</p></article></div>', PROSE),
+        (f'<article><header class="article-header"><h1>A title</h1></header><p>{PROSE}</p></article>', f"A title {PROSE}"),
+        (f"<article><p>{PROSE}</p><ul><li>One<li>Two</ul><table><tr><td>2<td>alpha<tr><td>3<td>beta</table></article>", f"{PROSE} One Two 2 alpha 3 beta"),
+        (f"<div><div><a href=1>Home</a></div></div><div><h1>A title of words</h1><p>{PROSE}</p><p>{PROSE}</p></div><div><a href=2>Next page here</a></div>", f"A title of words {PROSE} {PROSE}"),
+        (f'<main><p>{PROSE}</p><section class="comment-list"><article class="comment"><p>{PROSE}</p></article></section></main>', PROSE),
+        (f'<article><svg viewBox="0 0 1 1"/><p>{PROSE}</p></article>', PROSE),
+        (f'<article title="a > b"><p class=\'x">y\'>{PROSE} 1 < 2 </></p></article>', f"{PROSE} 1 < 2"),
+        (f"<article><p>{PROSE}</p><a {PROSE}", PROSE),
+        (f"<article><p>{PROSE}</p><!-- no end {PROSE}", PROSE),
+    ],
+)
+def test_html_designs(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_html_time_is_linear():
+    import time
+
+    began = time.time()
+    for page in ("<a " * 350_000, "<div>" * 200_000 + "</section>" * 200_000, "<p title='" * 100_000, "<!-- " * 200_000, "<script>" * 100_000, '<div class="a b">' * 60_000 + "x", "< " * 300_000, "<p =" * 200_000):
+        html_text.main_text(page)
+    assert time.time() - began < 30
+
+
+def test_html_blocks_against_words_and_links():
+    """The tree uses more than where a block stands: link lists go and prose stays where nothing is named."""
+    weights, node = html_text.trained()
+    used, todo = set(), [node]
+    while todo:
+        if isinstance(n := todo.pop(), tuple):
+            used.add(n[0])
+            todo += n[2:]
+    assert used & {0, 1, 2, 3, 4, 5} and weights["comments"] < -1 < 1 < weights["content"]
+
+
+def test_html_pages_against_brute_force(spark):
+    """The given pages have one article element each; its text without tags is the main text."""
+    import html
+    import re
+
+    from conftest import DATA
+
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.read.parquet(f"{DATA}/pages.parquet")).collect()}
+    for r in spark.read.parquet(f"{DATA}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*)</article>", r["html"] or "", re.S)
+        plain = re.sub(r"<(?:br|/?p|/?h\d)[^>]*>", " ", re.sub(r"<!--.*?-->|</?b>", "", inner[1], flags=re.S)) if inner else ""
+        assert got[r["page_id"]] == " ".join(html.unescape(plain).split())
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, "u", "<article><p>é x</p></article>")], "page_id long, url string, html string")
     assert [(r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, "", 0), (2, "é x", 3)]

@@ -1,7 +1,8 @@
 """Main text of web pages: flat text blocks, classified by a decision tree over the block and its neighbours.
 
 A page is cut into blocks at block-level tags. A block's features are its words and link density, those of the blocks
-before and after it, and where it stands. A tree grown on the small labelled table below says which blocks are article.
+before and after it, the elements it stands in, and what the names (class, id) of those elements say. Both the tree and
+the weights of names are learnt from the labelled pages in labelled_pages.py. Pages are scanned once from left to right.
 """
 
 from __future__ import annotations
@@ -11,13 +12,16 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
+from math import log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from wordspan.llm import labelled_pages
 from wordspan.llm.common import arrow_pass, texts
 
-TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S)
+#: A tag, up to its end outside quoted values; nothing is tried twice, so the time is in proportion to the page.
+TAG = re.compile(r"""(/?+)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 #: Elements whose text is never shown or is no text of the page's own.
 SILENT = frozenset("script style noscript template svg math textarea select button iframe object canvas audio video head title".split())
@@ -29,109 +33,13 @@ IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script st
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul head".split())
 #: Blocks that have no end of their own but that of others, or none at all; they are not kept on the stack.
 LEAF = frozenset("p hr li dt dd tr td th tbody thead tfoot caption h1 h2 h3 h4 h5 h6 html body".split())
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+#: What kind of block a tag opens: 1 paragraphs, 2 headings, 3 items of lists, 4 cells of tables; 0 all others.
+KIND = dict.fromkeys("p blockquote pre".split(), 1) | dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 2) | dict.fromkeys("li dt dd".split(), 3) | dict.fromkeys("td th caption figcaption".split(), 4)
 APART = frozenset("nav aside footer form menu dialog".split())
-#: Words in class or id that mark what isn't article.
-HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|legal|masthead|menu|modal|nav\w*|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-
-#: words, link density, words and link density before, words and link density after, main (1: in the article or main
-#: element, 0: the page has none, -1: outside it), apart (in navigation, notices and the like), prose (paragraph or
-#: heading); and whether the block is article. Labelled by hand after typical page designs.
-LABELLED = [
-    # an article element between menu, advert and footer
-    (1, 1.0, 0, 0.0, 1, 1.0, -1, 1, 0, 0),
-    (2, 1.0, 1, 1.0, 1, 1.0, -1, 1, 0, 0),
-    (1, 1.0, 1, 1.0, 8, 0.0, -1, 1, 0, 0),
-    (8, 0.0, 1, 1.0, 9, 0.0, -1, 1, 0, 0),
-    (40, 0.0, 1, 1.0, 9, 0.0, -1, 1, 1, 0),
-    (9, 0.0, 8, 0.0, 9, 0.0, 1, 0, 1, 1),
-    (3, 0.0, 8, 0.0, 60, 0.0, 1, 0, 1, 1),
-    (60, 0.0, 9, 0.0, 80, 0.0, 1, 0, 1, 1),
-    (2, 0.0, 60, 0.0, 70, 0.0, 1, 0, 1, 1),
-    (1, 0.0, 70, 0.0, 6, 0.0, 1, 0, 1, 1),
-    (120, 0.05, 2, 0.0, 6, 0.0, 1, 0, 1, 1),
-    (35, 0.3, 60, 0.0, 50, 0.0, 1, 0, 1, 1),
-    (6, 0.0, 120, 0.0, 0, 0.0, -1, 1, 0, 0),
-    (25, 0.2, 60, 0.0, 0, 0.0, -1, 1, 0, 0),
-    # plain boxes, lists, quotations and code in the article
-    (50, 0.0, 40, 0.0, 45, 0.0, 1, 0, 0, 1),
-    (7, 0.0, 40, 0.0, 8, 0.0, 1, 0, 0, 1),
-    (8, 0.1, 7, 0.0, 30, 0.0, 1, 0, 0, 1),
-    (30, 0.0, 8, 0.1, 20, 0.0, 1, 0, 0, 1),
-    (4, 0.5, 30, 0.0, 40, 0.0, 1, 0, 1, 1),
-    (3, 1.0, 60, 0.0, 60, 0.0, 1, 0, 1, 1),
-    (20, 0.4, 30, 0.0, 6, 0.0, 1, 0, 1, 1),
-    (4, 0.5, 30, 0.0, 5, 0.0, 1, 0, 1, 1),
-    (3, 1.0, 20, 0.0, 10, 0.0, 1, 0, 1, 1),
-    (9, 0.2, 30, 0.0, 12, 0.0, 1, 0, 0, 1),
-    # prose of the article next to links, at its ends, and next to nothing
-    (45, 0.0, 60, 0.0, 6, 1.0, 1, 0, 1, 1),
-    (10, 0.0, 6, 1.0, 50, 0.0, 1, 0, 1, 1),
-    (3, 0.0, 4, 1.0, 5, 1.0, 1, 0, 1, 1),
-    (1, 0.0, 5, 0.0, 0, 0.0, 1, 0, 1, 1),
-    (30, 0.0, 0, 0.0, 3, 0.9, 1, 0, 1, 1),
-    (2, 1.0, 3, 0.0, 4, 0.0, 1, 0, 1, 1),
-    (6, 0.7, 2, 1.0, 1, 0.0, 1, 0, 1, 1),
-    (80, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1, 1),
-    (5, 0.0, 3, 1.0, 3, 0.3, 1, 0, 1, 1),
-    # lists of links, reader comments, share bars, newsletters and notices in the article
-    (6, 1.0, 50, 0.0, 7, 1.0, 1, 0, 0, 0),
-    (7, 1.0, 6, 1.0, 5, 1.0, 1, 0, 0, 0),
-    (5, 0.9, 7, 1.0, 2, 0.0, 1, 0, 0, 0),
-    (40, 0.0, 60, 0.0, 35, 0.0, 1, 1, 1, 0),
-    (90, 0.0, 40, 0.0, 10, 0.0, 1, 1, 1, 0),
-    (3, 0.0, 35, 0.0, 12, 0.0, 1, 1, 1, 0),
-    (2, 1.0, 60, 0.0, 2, 1.0, 1, 1, 0, 0),
-    (12, 0.0, 50, 0.0, 0, 0.0, 1, 1, 0, 0),
-    # beside the article element, in plain boxes
-    (30, 0.0, 9, 0.0, 4, 1.0, -1, 0, 0, 0),
-    (12, 0.0, 50, 0.0, 10, 0.0, -1, 0, 1, 0),
-    (60, 0.0, 50, 0.0, 10, 0.0, -1, 0, 1, 0),
-    (5, 0.0, 60, 0.0, 0, 0.0, -1, 0, 0, 0),
-    (4, 1.0, 3, 1.0, 6, 1.0, -1, 0, 0, 0),
-    (9, 0.0, 3, 1.0, 40, 0.0, -1, 0, 1, 0),
-    # pages without article or main element: paragraphs and headings
-    (8, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1, 1),
-    (60, 0.0, 8, 0.0, 55, 0.0, 0, 0, 1, 1),
-    (55, 0.1, 60, 0.0, 12, 0.0, 0, 0, 1, 1),
-    (12, 0.0, 55, 0.1, 40, 0.0, 0, 0, 1, 1),
-    (4, 0.0, 40, 0.0, 45, 0.0, 0, 0, 1, 1),
-    (2, 0.0, 60, 0.0, 30, 0.0, 0, 0, 1, 1),
-    (25, 0.3, 45, 0.0, 30, 0.0, 0, 0, 1, 1),
-    (30, 0.0, 25, 0.3, 5, 0.0, 0, 0, 1, 1),
-    (6, 0.0, 30, 0.0, 3, 0.0, 0, 0, 1, 1),
-    (14, 0.0, 3, 0.0, 9, 0.0, 0, 0, 1, 1),
-    (20, 0.3, 40, 0.0, 5, 0.0, 0, 0, 1, 1),
-    (16, 0.2, 50, 0.0, 2, 0.0, 0, 0, 1, 1),
-    (30, 0.0, 3, 1.0, 40, 0.0, 0, 0, 1, 1),
-    (50, 0.0, 40, 0.0, 4, 1.0, 0, 0, 1, 1),
-    (22, 0.1, 2, 1.0, 2, 1.0, 0, 0, 1, 1),
-    (40, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1, 1),
-    # the same, in plain boxes
-    (50, 0.0, 10, 0.0, 60, 0.0, 0, 0, 0, 1),
-    (70, 0.1, 50, 0.0, 4, 0.0, 0, 0, 0, 1),
-    (24, 0.0, 70, 0.1, 40, 0.0, 0, 0, 0, 1),
-    (18, 0.0, 40, 0.0, 45, 0.0, 0, 0, 0, 1),
-    # their menus, copyright lines, teasers and notices
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0),
-    (2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0, 0),
-    (2, 1.0, 1, 1.0, 60, 0.0, 0, 0, 0, 0),
-    (3, 0.7, 2, 1.0, 8, 0.0, 0, 0, 0, 0),
-    (4, 1.0, 55, 0.0, 4, 1.0, 0, 0, 1, 0),
-    (10, 0.8, 3, 1.0, 12, 0.9, 0, 0, 1, 0),
-    (12, 0.9, 10, 0.8, 11, 0.9, 0, 0, 1, 0),
-    (6, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0),
-    (5, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (8, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 0),
-    (3, 0.0, 2, 0.0, 4, 0.5, 0, 0, 0, 0),
-    (40, 0.0, 3, 1.0, 60, 0.0, 0, 1, 1, 0),
-    (15, 0.0, 6, 0.0, 0, 0.0, 0, 1, 1, 0),
-    (70, 0.0, 60, 0.0, 40, 0.0, 0, 1, 0, 0),
-    (2, 1.0, 2, 1.0, 3, 1.0, 0, 1, 0, 0),
-]
+#: The most that the names of one element say, either way.
+MOST_SAID = 3.0
 
 
 @dataclass
@@ -141,7 +49,18 @@ class Block:
     links: float
     main: bool
     apart: bool
-    prose: bool
+    kind: int
+    names: tuple[tuple[str, ...], ...]  # the parts of class and id, for each element around the block that has any
+
+
+@dataclass
+class Element:
+    """What holds in an open element, with all that is around it."""
+
+    name: str
+    main: bool = False
+    apart: bool = False
+    names: tuple[tuple[str, ...], ...] = ()
 
 
 @dataclass
@@ -149,13 +68,12 @@ class Cutter:
     """Goes through a page's tags once and collects its blocks."""
 
     blocks: list[Block] = field(default_factory=list)
-    stack: list[tuple[str, bool, bool]] = field(default_factory=list)  # name, main, apart: each with what is above
+    stack: list[Element] = field(default_factory=lambda: [Element("")])
+    open_names: Counter = field(default_factory=Counter)
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     in_link: bool = False
-    prose: bool = False
-    leaf_apart: str = ""
-    leaf: str = ""  # the leaf block that is open
+    leaf: Element | None = None  # the leaf block that is open
 
     def say(self, raw: str) -> None:
         if raw:
@@ -168,8 +86,8 @@ class Cutter:
             words = html.unescape("".join(self.parts)).split()
             if words:
                 linked = len(html.unescape(" ".join(self.linked)).split())
-                _, main, apart = self.stack[-1] if self.stack else ("", False, False)
-                self.blocks.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), main, apart or bool(self.leaf_apart), self.prose))
+                at = self.leaf or self.stack[-1]
+                self.blocks.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), at.main, at.apart, KIND.get(at.name, 0), at.names))
             self.parts, self.linked = [], []
 
     def open(self, name: str, attributes: str) -> None:
@@ -180,15 +98,20 @@ class Cutter:
         if name not in BLOCK:
             return
         self.end_block()
-        self.in_link, self.prose = False, name in PROSE
-        _, main, apart = self.stack[-1] if self.stack else ("", False, False)
-        off = name in APART or (name == "header" and not main) or marked_apart(attributes)
-        self.leaf = name if name in LEAF else ""
+        self.in_link = False
+        around = self.stack[-1]
+        names, role, hidden = described(attributes)
+        main = around.main or name in ("article", "main") or role == "main"
+        apart = around.apart or hidden or name in APART or role in ROLES or (name == "header" and not around.main)
+        # names around the article element say nothing about it; of those within, the nearest sixteen count
+        outer = () if main and not around.main else around.names
+        element = Element(name, main, apart, (*outer[-15:], names) if names else outer)
         if name in LEAF:
-            self.leaf_apart = name if off and name not in ("html", "body") else ""
+            self.leaf = element if name not in ("html", "body") else None
         elif not attributes.rstrip().endswith("/"):
-            self.leaf_apart = ""
-            self.stack.append((name, main or name in ("article", "main"), apart or off))
+            self.leaf = None
+            self.stack.append(element)
+            self.open_names[name] += 1
 
     def close(self, name: str) -> None:
         if name == "a":
@@ -196,55 +119,68 @@ class Cutter:
         if name not in BLOCK:
             return
         self.end_block()
-        self.prose = False
-        self.leaf = "" if name not in LEAF or self.leaf == name else self.leaf
         if name in LEAF:
-            self.leaf_apart = "" if self.leaf_apart == name else self.leaf_apart
-            return
-        for i in reversed(range(len(self.stack))):
-            if self.stack[i][0] == name:
-                del self.stack[i:]
-                self.leaf_apart = ""
-                break
-
-
-def marked_apart(attributes: str) -> bool:
-    """Whether class, id, role or style say that an element is no part of the article."""
-    for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id"):
-            if HINT.search(value):
-                return True
-        elif name == "role":
-            if value.lower() in ROLES:
-                return True
-        elif name == "style":
-            if HIDDEN.search(value):
-                return True
-        elif name == "hidden" or value.lower() == "true":
-            return True
-    return False
+            self.leaf = None if self.leaf is None or self.leaf.name == name else self.leaf
+        elif self.open_names[name]:
+            self.leaf = None
+            while (gone := self.stack.pop().name) != name:
+                self.open_names[gone] -= 1
+            self.open_names[name] -= 1
+
+
+def described(attributes: str) -> tuple[tuple[str, ...], str, bool]:
+    """Parts of class and id, the role, and whether the element is hidden."""
+    names, role, hidden = [], "", False
+    if attributes.strip(" /"):
+        for name, value in ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), value.strip("\"'").lower()
+            if name in ("class", "id"):
+                names += re.findall(r"[^\W\d_]+", value)
+            elif name == "role":
+                role = value
+            else:
+                hidden = hidden or (bool(HIDDEN.search(value)) if name == "style" else name == "hidden" or value == "true")
+    return tuple(names), role, hidden
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order. Unclosed elements end with the page; stray end tags are skipped.
 
-    A silent element ends at its own end tag or with a block around it; head ends at the first tag that can't stand in it.
+    A silent element ends at its own end tag or with a block around it; head ends at the first tag that can't stand in
+    it. What follows a comment or tag without an end is no text, as in browsers.
     """
     cutter, at, silent, inner = Cutter(), 0, "", Counter()
-    while (m := TAG.search(page, at)) is not None:
+    while (begin := page.find("<", at)) >= 0:
+        after = page[begin + 1 : begin + 2]
+        if after in ("!", "?"):
+            comment = page.startswith("<!--", begin)
+            end = page.find("-->", begin + 4) if comment else page.find(">", begin)
+            m = None
+        elif not (after == "/" or (after.isascii() and after.isalpha())) or page[begin + 1 : begin + 3] in ("/", "/ "):
+            if not silent:
+                cutter.say(page[at : begin + 1])
+            at = begin + 1
+            continue
+        else:
+            m = TAG.match(page, begin + 1)
+            if m is None and after == "/" and not page[begin + 2 : begin + 3].isalpha():  # </> and the like
+                end, comment = page.find(">", begin), False
+            else:
+                end, comment = (m.end() - 1 if m else -1), False
         if not silent:
-            cutter.say(page[at : m.start()])
-        at = m.end()
-        end, name = (m[1], m[2]) if m[2] else (m[4], m[5])
-        if not name:
+            cutter.say(page[at:begin])
+        if end < 0:
+            at = len(page)
+            break
+        at = end + (3 if comment else 1)
+        if m is None:
             continue
-        name = name.lower()
+        end, name = m[1], m[2].lower()
         if silent == "head" and not end and name not in IN_HEAD:
             silent = ""
         if silent:
             if not end and name in RAW:
-                close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
+                close = raw_end(name).search(page, at)
                 at = close.end() if close else len(page)
                 continue
             if end and name == silent:
@@ -253,38 +189,61 @@ def blocks_of(page: str) -> list[Block]:
                 inner[name] += 1
             elif name in BLOCK and inner[name]:
                 inner[name] -= 1
-            elif end and (name == cutter.leaf or any(name == above for above, *_ in cutter.stack)):
+            elif end and ((cutter.leaf and name == cutter.leaf.name) or cutter.open_names[name]):
                 silent = ""
                 cutter.close(name)
         elif end:
             cutter.close(name)
         elif name in SILENT:
             if name in RAW:
-                close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
+                close = raw_end(name).search(page, at)
                 at = close.end() if close else len(page)
-            else:
+            elif not m[3].rstrip().endswith("/"):
                 silent, inner = name, Counter()
             if name not in ("script", "style"):
                 cutter.say(" ")
         else:
-            cutter.open(name, m[3] or m[6] or "")
+            cutter.open(name, m[3])
     if not silent:
         cutter.say(page[at:])
     cutter.end_block()
     return cutter.blocks
 
 
-def place(main: int, apart: int, prose: int) -> int:
-    """Where a block stands: 0 apart or beside the article element, 1 on a page without one, 2 in it, 3 prose in it."""
-    return 0 if apart or main < 0 else 1 if main == 0 else 2 + prose
+@lru_cache(32)
+def raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}[^>]*>", re.I)
 
 
-def rows_of(blocks: list[Block]) -> list[tuple[float, ...]]:
-    """Each block's features: the first six of the labelled table, its place, and whether it is prose."""
+def rows_of(blocks: list[Block], weights: dict[str, float]) -> list[tuple[float, ...]]:
+    """Each block's features: words and link density of it, of the block before and the block after; where it stands (in
+    the article or main element 1, on a page that has none 0, beside it -1); whether it is in navigation, a form or the
+    like; its kind; and what the names around it say."""
     has_main = any(b.main for b in blocks)
-    plain = [(b.words, b.links) for b in blocks]
-    around = [(0, 0.0), *plain, (0, 0.0)]
-    return [(*plain[i], *around[i], *around[i + 2], place((1 if b.main else -1) if has_main else 0, b.apart, b.prose), int(b.prose)) for i, b in enumerate(blocks)]
+    around = [(0, 0.0), *((b.words, b.links) for b in blocks), (0, 0.0)]
+    return [(*around[i + 1], *around[i], *around[i + 2], (1 if b.main else -1) if has_main else 0, int(b.apart), b.kind, said(b.names, weights)) for i, b in enumerate(blocks)]
+
+
+def said(names: tuple[tuple[str, ...], ...], weights: dict[str, float]) -> float:
+    """The sum over the elements around a block of what the parts of their names weigh, bounded for each element."""
+    return sum(max(-MOST_SAID, min(MOST_SAID, sum(weights.get(part, 0.0) for part in own))) for own in names)
+
+
+def name_weights(pages: list[tuple[list[Block], list[bool]]]) -> dict[str, float]:
+    """How much likelier each part of a name is on a labelled page around a block that is kept, as a logarithm.
+
+    Each element counts once, by the share of kept blocks in it, so that long articles don't outweigh.
+    """
+    seen: dict[str, list[float]] = {}
+    for blocks, kept in pages:
+        elements: dict[tuple, list[bool]] = {}
+        for b, k in zip(blocks, kept, strict=True):
+            for depth in range(len(b.names)):
+                elements.setdefault(b.names[: depth + 1], []).append(k)
+        for path, marks in elements.items():
+            for part in path[-1]:
+                seen.setdefault(part, []).append(sum(marks) / len(marks))
+    return {part: log((sum(x) + 0.25) / (len(x) - sum(x) + 0.25)) for part, x in seen.items()}
 
 
 def grow(rows: list[tuple[float, ...]], depth: int = 8):
@@ -308,12 +267,16 @@ def grow(rows: list[tuple[float, ...]], depth: int = 8):
 
 
 @lru_cache(1)
-def tree():
-    return grow([(*r[:6], place(*r[6:9]), *r[8:]) for r in LABELLED])
+def trained():
+    """The weights of names and the tree, from the labelled pages."""
+    pages = [blocks_of(labelled_pages.filled(p)) for p in labelled_pages.PAGES]
+    marked = [(blocks, [b.text.startswith(labelled_pages.OWN) for b in blocks]) for blocks in pages]
+    weights = name_weights(marked)
+    return weights, grow([(*row, int(k)) for blocks, kept in marked for row, k in zip(rows_of(blocks, weights), kept, strict=True)])
 
 
 def is_article(row: tuple[float, ...]) -> bool:
-    node = tree()
+    node = trained()[1]
     while isinstance(node, tuple):
         k, split, low, high = node
         node = low if row[k] <= split else high
@@ -323,11 +286,16 @@ def is_article(row: tuple[float, ...]) -> bool:
 def main_text(page: str) -> str:
     """The article's blocks, joined by a space."""
     blocks = blocks_of(page)
-    return " ".join(b.text for b, row in zip(blocks, rows_of(blocks), strict=True) if is_article(row))
+    return " ".join(b.text for b, row in zip(blocks, rows_of(blocks, trained()[0]), strict=True) if is_article(row))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text and n_chars of every row; null and empty pages, and pages without article, have empty text."""
+    """page_id, url, text and n_chars of every row; no shuffle.
+
+    Null and empty pages, and pages without article, have empty text. Repeated rows each have theirs, null ids are
+    carried, other columns are not read, an empty table gives no rows. Pages of any length are read whole, in time in
+    proportion to their length, unclosed tags and comments included.
+    """
 
     def each():
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
