@@ -219,7 +219,33 @@ def test_toxicity_knows_rare_words_of_a_large_vocabulary(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels, F.lit(True))
-    assert min(model.ratios(bad)) > 0 and not model.ratios(ordinary[:200]).any()
+    assert min(model.ratios(bad)) > 0 >= max(model.ratios(ordinary[:200]))
+
+
+def auc(score, y):
+    from itertools import product
+
+    pairs = [(a > b) + 0.5 * (a == b) for (a, u), (b, v) in product(zip(score, y, strict=True), repeat=2) if u > v]
+    return sum(pairs) / len(pairs)
+
+
+@pytest.mark.parametrize(("sf", "least"), [("sf0.001", 0.6), ("sf0.01", 0.9)])
+def test_toxicity_ranks_held_out_rows_of_the_tables(spark, sf, least):
+    from wordspan.llm.queries import op2_toxicity
+
+    folder = f"/root/testdata/{sf}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    rows = op2_toxicity(spark, folder).where("held_out").join(labels, "doc_id").collect()
+    assert auc([r["score"] for r in rows], [r["toxic"] for r in rows]) > least
+    assert sum(r["predicted"] for r in rows if not r["toxic"]) <= 1
+
+
+def test_toxicity_of_empty_tables(spark, none):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    assert toxicity.score(none, toxicity.fit(none, labels, F.lit(True))).count() == 0
+    twice = spark.createDataFrame([(1, "vile words here"), (1, "vile words here"), (None, "vile"), (2, "plain words")], "doc_id long, text string")
+    got = toxicity.score(twice, toxicity.fit(twice, labels, F.lit(True))).collect()
+    assert len(got) == 4 and len({r["score"] for r in got if r["doc_id"] == 1}) == 1
 
 
 def test_language_id(spark):

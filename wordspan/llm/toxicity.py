@@ -4,27 +4,29 @@ A class's model gives a word its continuation count (distinct words seen before
 backs off to the same distribution over stems, and that to word counts shared by both classes, taken from the whole
 corpus. Rare and inflected expressions thus get their likelihood from their stem and from the shared counts. Every word
 and stem of the labelled documents counts; those that have just what they would back off to are not sent. A
-document's score compares its two log-likelihoods, divided by its number of words, through a logistic curve fitted on
-labelled documents whose counts were left out.
+document's score compares its two log-likelihoods, divided by its number of words, through a logistic curve. The curve,
+and how far apart the models must be on a word for it to count, are fitted across two halves of the labelled documents,
+each scored by the models of the other.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordspan.llm.common import arrow_pass, stage, texts, where_arrow
 
 #: Labelled rows that models learn from at most.
 MOST_LABELLED = 200_000
-#: Absolute discount (counts up to it are left to the backoff), the log ratio up to which the models don't tell a word
-#: apart, words a document counts as at least, and the share (1 in so many) kept for the logistic curve.
-DISCOUNT, INDIFFERENT, LEAST_WORDS, CURVE_FOLD = 2.0, 3.0, 8, 5
+#: Absolute discount (counts up to it are left to the backoff), and words a document counts as at least.
+DISCOUNT, LEAST_WORDS = 2.0, 8
+#: Log ratios up to which the models may be taken not to tell a word apart; the halves decide.
+CUTS = (0.0, 1.0, 2.0, 3.0, 4.0)
 #: Characters of a stem.
 STEM = 6
 #: ASCII characters other than letters and digits separate words.
@@ -32,10 +34,10 @@ SEPARATE = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum(
 
 
 def word_codes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """A 32-bit code for each word of the lower-cased text, and one for its stem."""
+    """A 64-bit code for each word of the lower-cased text, and one for its stem."""
     words = text.lower().translate(SEPARATE).split()
-    crc = zlib.crc32
-    return np.array([crc(w.encode()) for w in words], np.int64), np.array([crc(w[:STEM].encode()) for w in words], np.int64)
+    made = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return made.view(np.int64), np.fromiter((xxhash.xxh64_intdigest(w[:STEM]) for w in words), np.uint64, len(words)).view(np.int64)
 
 
 def places(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -62,13 +64,31 @@ class Model:
         word[rest] = len(self.words) + places(self.stems, codes[1][rest])
         return word
 
+    def cut(self, least: float) -> Model:
+        """The model without ratios up to `least`; words that then have what their stem has are still kept apart."""
+        return Model(self.words, self.stems, np.where(np.abs(self.ratio) > least, self.ratio, 0.0))
+
+    def slim(self, stem_of: np.ndarray) -> Model:
+        """Without words and stems whose ratio is what they would back off to."""
+        n = len(self.words)
+        unknown = self.ratio[n]
+        by_stem = np.concatenate([[unknown], self.ratio[n + 1 :]])[places(self.stems, stem_of)]
+        apart, known = self.ratio[:n] != by_stem, self.ratio[n + 1 :] != unknown
+        return Model(self.words[apart], self.stems[known], np.concatenate([self.ratio[:n][apart], [unknown], self.ratio[n + 1 :][known]]))
+
     def ratios(self, values: list[str]) -> np.ndarray:
         """Each text's log-likelihood ratio a word."""
-        out = np.zeros(len(values))
+        return self.ratios_by_cut(values, [0.0])[:, 0]
+
+    def ratios_by_cut(self, values: list[str], cuts) -> np.ndarray:
+        """The same for each of several cuts, as columns."""
+        out = np.zeros((len(values), len(cuts)))
         for i, text in enumerate(values):
             codes = word_codes(text)
-            if len(codes[0]):
-                out[i] = self.ratio[self.units(codes)].sum() / max(len(codes[0]), LEAST_WORDS)
+            if n := len(codes[0]):
+                own = self.ratio[self.units(codes)]
+                size = np.abs(own)
+                out[i] = [own[size > c].sum() / max(n, LEAST_WORDS) for c in cuts]
         return out
 
     def scores(self, values: list[str]) -> np.ndarray:
@@ -90,42 +110,48 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return arrow_pass(docs.select(text_col), each, "code long, stem long, n long").groupBy("code").agg(F.min("stem").alias("stem"), F.sum("n").alias("n"))
 
 
+CLASSES = ("ordinary", "toxic")
+HALVES = ("first", "second", "whole")
+
+
 def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
-    """code, ordinary, toxic: after how many distinct words each class has a word."""
+    """code, and for each class and each half and the whole, after how many distinct words the class has the word."""
 
     def each():
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            pairs: list[list[np.ndarray]] = [[], []]
-            for t, y in zip(texts(batch, text_col), batch.column("toxic").to_pylist(), strict=True):
+            found: dict[tuple[int, int], list[np.ndarray]] = {}
+            for t, y, half in zip(texts(batch, text_col), batch.column("toxic").to_pylist(), batch.column("half").to_pylist(), strict=True):
                 code = word_codes(t)[0]
-                pairs[y].append(np.concatenate([[0], code])[:-1] << 32 | code)
-            found = [np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64) for own in pairs]
-            toxic = np.repeat(np.arange(2, dtype=np.int32), list(map(len, found)))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(toxic)], ["pair", "toxic"])
+                # the word before, in 32 bits: only within the pairs of one word must it be told apart
+                before = np.concatenate([[0], code])[:-1] >> 32
+                found.setdefault((y, half), []).append(np.stack([code, before], axis=1))
+            rows = {key: np.unique(np.concatenate(own), axis=0) for key, own in found.items()}
+            code, before = (np.concatenate([r[:, k] for r in rows.values()]) for k in (0, 1))
+            y, half = (np.repeat(np.array([key[k] for key in rows], np.int32), list(map(len, rows.values()))) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(before.astype(np.int32)), pa.array(y), pa.array(half)], ["code", "before", "toxic", "half"])
 
         return turn
 
-    pairs = arrow_pass(labelled.select(text_col, "toxic"), each, "pair long, toxic int").distinct()
-    code = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("code")
-    return pairs.groupBy(code).agg(F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic"))
+    pairs = arrow_pass(labelled.select(text_col, "toxic", "half"), each, "code long, before int, toxic int, half int")
+    met = pairs.groupBy("code", "before", "toxic").agg(F.bit_or("half").alias("half"))
+    in_ = {"first": F.col("half").bitwiseAND(F.lit(1)) > 0, "second": F.col("half").bitwiseAND(F.lit(2)) > 0, "whole": F.lit(True)}
+    return met.groupBy("code").agg(*(F.count_if(in_[h] & (F.col("toxic") == y)).alias(f"{h}_{c}") for h in HALVES for y, c in enumerate(CLASSES)))
 
 
-CLASSES = ("ordinary", "toxic")
-
-
-def learnt(counts: DataFrame, found: DataFrame) -> Model:
-    """The model without its curve, from corpus counts and continuation counts.
+def learnt(known: DataFrame, half: str) -> tuple[Model, np.ndarray]:
+    """The model of a half or the whole, all ratios kept, and the stems of its words.
 
-    A word that no class has more often than the discount has its stem's ratio whatever its counts, and such a stem that
-    of the unknown stem; they enter the sums in Spark and only the others are fetched.
+    `known` has the corpus count, stem and continuation counts of every word. A word that no class has more often than
+    the discount has its stem's ratio whatever its counts, and such a stem that of the unknown stem; they enter the sums
+    in Spark and only the others are fetched.
     """
-    known = stage(counts.join(found, "code", "left"))
-    stems = known.groupBy("stem").agg(F.sum("n").alias("n"), F.count("toxic").alias("words"), *(F.sum(c).alias(c) for c in CLASSES)).where("words > 0")
+    own_counts = known.select("code", "stem", "n", *(F.col(f"{half}_{c}").alias(c) for c in CLASSES), (F.col(f"{half}_{CLASSES[0]}") + F.col(f"{half}_{CLASSES[1]}") > 0).alias("seen"))
+    stems = own_counts.groupBy("stem").agg(F.sum("n").alias("n"), F.count_if("seen").alias("words"), *(F.sum(c).alias(c) for c in CLASSES)).where("words > 0")
     often = " or ".join(f"{c} > {DISCOUNT}" for c in CLASSES)
     spare = [F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"spare_{c}") for c in CLASSES]
-    of_words = known.agg(F.sum("n").alias("n"), F.count("toxic").alias("units"), *(F.sum(c).alias(c) for c in CLASSES), *spare).first()
+    of_words = own_counts.agg(F.sum("n").alias("n"), F.count_if("seen").alias("units"), *(F.sum(c).alias(c) for c in CLASSES), *spare).first()
     of_stems = stems.agg(F.count("*").alias("units"), *spare).first()
-    word = known.where(often).toPandas().sort_values("code", ignore_index=True)
+    word = own_counts.where(often).toPandas().sort_values("code", ignore_index=True)
     stem = stems.where(often).toPandas().sort_values("stem", ignore_index=True)
 
     # Every unit (word, other words of a stem, words of unknown stems) has half an occurrence more.
@@ -140,60 +166,78 @@ def learnt(counts: DataFrame, found: DataFrame) -> Model:
         likely = np.maximum(stem[c].to_numpy(float) - DISCOUNT, 0) / own + spare_stem * in_stem
         words = np.maximum(word[c].to_numpy(float) - DISCOUNT, 0) / own + spare_word * likely[of] * shared / in_stem[of]
         # for other words the shared part is the same in both classes
-        logs.append([np.log(words), np.log(spare_word * likely / in_stem), np.log([spare_word * spare_stem])])
-    by_word, by_stem, unknown = (np.where(np.abs(b - a) > INDIFFERENT, b - a, 0.0) for a, b in zip(*logs, strict=True))
-    apart, known_stem = by_word != by_stem[of], by_stem != unknown[0]
-    return Model(word["code"].to_numpy(np.int64)[apart], stem["stem"].to_numpy(np.int64)[known_stem], np.concatenate([by_word[apart], unknown, by_stem[known_stem]]))
+        logs.append([np.log(words), np.log([spare_word * spare_stem]), np.log(spare_word * likely / in_stem)])
+    ratio = np.concatenate([b - a for a, b in zip(*logs, strict=True)])
+    return Model(word["code"].to_numpy(np.int64), stem["stem"].to_numpy(np.int64), ratio), word["stem"].to_numpy(np.int64)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve by Newton's method, with a weak pull to slope 0."""
+def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Slope, shift and mean loss of a logistic curve by Newton's method, with a weak pull to a rise of 1 a deviation.
+
+    A curve never falls: a higher ratio is never a lower score. With one class only, every score is the same.
+    """
     if not len(x) or y.min() == y.max():
-        return 0.0, 8.0 if len(x) and y.max() == 1 else -8.0
+        return 0.0, 8.0 if len(x) and y.max() == 1 else -8.0, np.inf
     scale = x.std() or 1.0
     a = np.stack([(x - x.mean()) / scale, np.ones(len(x))], axis=1)
-    w = np.zeros(2)
+    w, prior, pull = np.array([1.0, 0.0]), np.array([1.0, 0.0]), np.diag([0.1, 1e-3])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, a.T @ (y - p) - 1e-3 * w)
+        h = (a * (p * (1 - p))[:, None]).T @ a + pull
+        step = np.linalg.solve(h, a.T @ (y - p) - pull @ (w - prior))
         w = w + np.clip(step, -2, 2)
         if abs(step).max() < 1e-8:
             break
-    return float(w[0] / scale), float(w[1] - w[0] * x.mean() / scale)
+    w[0] = max(w[0], 0.1)
+    p = np.clip(1 / (1 + np.exp(-np.clip(a @ w, -30, 30))), 1e-9, 1 - 1e-9)
+    return float(w[0] / scale), float(w[1] - w[0] * x.mean() / scale), float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", most_labelled: int = MOST_LABELLED) -> Model:
     """Learns a model from the documents that `labels` (id, toxic) marks; `usable`: a condition on the id.
 
     About `most_labelled` labelled rows at most, chosen by a hash of the id, are used, so they can be broadcast; word
-    counts come from all of `docs`. Rows that are labelled twice count as toxic if one label says so; null labels don't
-    count; without labels of both classes every score is the same.
+    counts come from all of `docs`. Rows that are labelled twice count as toxic if one label says so; null labels and
+    ids don't count; without labels of both classes every score is the same. Repeated documents each count.
     """
     spark = docs.sparkSession
     marks = labels.where(usable & F.col("toxic").isNotNull()).groupBy(id_col).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     n = marks.count()
     if n > most_labelled:
-        marks = marks.where(F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(1_000_000)) < int(1_000_000 * most_labelled / n))
+        marks = marks.where(F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(1 << 40)) < int((1 << 40) * (most_labelled / n)))
+    # the halves have as many documents of either class; at most `most_labelled` rows are put in order
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(5), id_col), id_col))
+    marks = stage(marks.withColumn("half", (1 + place % 2).cast("int")))
     marked = docs.select(id_col, text_col).join(F.broadcast(marks), id_col)
-    held = F.pmod(F.xxhash64(F.lit(5), id_col), F.lit(CURVE_FOLD)) == 0
 
-    model = learnt(word_counts(docs, text_col), continuation_counts(marked.where(~held), text_col))
-    sent = spark.sparkContext.broadcast(model)
+    found = continuation_counts(marked, text_col)
+    known = stage(word_counts(docs, text_col).join(found, "code", "left").na.fill(0))
+    whole, stem_of = learnt(known, "whole")
+    sent = spark.sparkContext.broadcast({2: learnt(known, "first")[0], 1: learnt(known, "second")[0]})
 
     def each():
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(sent.value.ratios(texts(batch, text_col))), batch.column("toxic")], ["x", "y"])
+            values, half = texts(batch, text_col), batch.column("half").to_numpy()
+            x = np.zeros((len(values), len(CUTS)))
+            for h, model in sent.value.items():
+                own = np.flatnonzero(half == h)
+                x[own] = model.ratios_by_cut([values[i] for i in own], CUTS)
+            return pa.RecordBatch.from_arrays([*map(pa.array, x.T), batch.column("toxic")], [*(f"x{k}" for k in range(len(CUTS))), "y"])
 
         return turn
 
-    curve = arrow_pass(marked.where(held).select(text_col, "toxic"), each, "x double, y int").toPandas()
-    model.curve = fit_curve(curve["x"].to_numpy(float), curve["y"].to_numpy(float))
+    kinds = ", ".join(f"x{k} double" for k in range(len(CUTS)))
+    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int").toPandas()
+    y = rows["y"].to_numpy(float)
+    curves = [fit_curve(rows[f"x{k}"].to_numpy(float), y) for k in range(len(CUTS))]
+    best = min(range(len(CUTS)), key=lambda k: curves[k][2])
+    model = whole.cut(CUTS[best]).slim(stem_of)
+    model.curve = curves[best][:2]
     return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1) of every row; null and empty texts are scored as texts without words."""
+    """doc_id and score (0 to 1) of every row; null and empty texts are scored as texts without words; repeated rows alike."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def each():
