@@ -58,7 +58,7 @@ def two_way(lens):
 def test_two_way_cut_by_brute_force(spark):
     random.seed(3)
     cases = [[random.randint(1, 40) for _ in range(random.randint(2, 25))] for _ in range(200)]
-    rows = spark.createDataFrame([(c,) for c in cases], "c array<int>").select("c", splits.two_way_cut(T.prefix_sums(F.col("c"))).alias("k")).collect()
+    rows = spark.createDataFrame([(c,) for c in cases], "c array<int>").select("c", splits.two_way_cut(F.col("c")).alias("k")).collect()
     assert all(r["k"] == two_way(r["c"]) for r in rows)
 
 
@@ -167,3 +167,53 @@ def test_injected_tokenizer_and_scorer(spark):
     assert rows.first()["labels"] == [-100, 0, -100, 1]
     got = score.scored_words(df, lambda: lambda batch: [[0.1] * len(w) for w in batch], "id").collect()
     assert [(r["word"], r["y"], r["p"]) for r in got] == [("ab", 0, 0.1), ("c", 1, 0.1)]
+
+
+def three_way(lens):
+    n = len(lens)
+    a, b = n // 3, 2 * n // 3
+    for _ in range(10):
+        x, y, z = sum(lens[:a]), sum(lens[a:b]), sum(lens[b:])
+        if a <= 1 or b <= a + 1 or b >= n - 1:
+            break
+        if x - y > 2 * lens[a - 1]:
+            a -= 1
+        elif y - z > 2 * lens[b - 1]:
+            b -= 1
+        elif y - x > 2 * lens[a]:
+            a += 1
+        elif z - y > 2 * lens[b]:
+            b += 1
+        else:
+            break
+    return a, b
+
+
+def test_three_way_cut_by_brute_force(spark):
+    random.seed(8)
+    cases = [[random.randint(1, 40) for _ in range(random.randint(3, 25))] for _ in range(200)]
+    rows = spark.createDataFrame([(c,) for c in cases], "c array<int>").select("c", splits.three_way_cut(F.col("c")).alias("k")).collect()
+    assert all((r["k"]["a"], r["k"]["b"]) == three_way(r["c"]) for r in rows)
+
+
+def test_sums_of_blocks(spark):
+    lengths = [random.Random(2).randint(1, 9) for _ in range(200)]
+    df = spark.createDataFrame([(lengths,)], "v array<int>").withColumn("s", T.block_starts(F.col("v")))
+    got = df.select(F.transform(F.sequence(F.lit(0), F.lit(200)), lambda k: T.sum_before(F.col("v"), F.col("s"), k)).alias("x")).first()["x"]
+    assert got == [sum(lengths[:k]) for k in range(201)]
+
+
+def test_first_words(spark):
+    df = spark.createDataFrame([(t,) for t in [*TEXTS, None]], "t string")
+    for n in (1, 2, 5):
+        for r in df.select("t", T.first_words(F.coalesce("t", F.lit("")), n).alias("w"), T.has_words(F.col("t"), n).alias("h")).collect():
+            words = (r["t"] or "").split()
+            assert (r["w"], r["h"]) == (words[:n], len(words) >= n)
+
+
+def test_buckets_of_far_ids_and_own_columns(spark):
+    df = spark.createDataFrame([(i, "a b c", 1, 2) for i in [*range(50), 1 << 60]], "doc_id long, text string, _bucket int, _n int")
+    got = corpus.indexed(df, "doc_id", buckets=5)
+    assert {"_bucket", "_n"} <= set(got.columns) and [r["idx"] for r in got.orderBy("doc_id").collect()] == list(range(51))
+    sizes = df.groupBy(corpus.key_bucket(df, "doc_id", 5).alias("b")).count().collect()
+    assert max(r["count"] for r in sizes) <= 15

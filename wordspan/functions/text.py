@@ -45,9 +45,36 @@ def sentences(text: Column) -> Column:
     return F.when(is_blank(text), F.array().cast("array<string>")).when(F.size(found) == 0, F.array(whole)).otherwise(found)
 
 
-def prefix_sums(lengths: Column) -> Column:
-    """0, then the running sums."""
-    return F.transform(F.sequence(F.lit(0), F.size(lengths)), lambda k: F.aggregate(F.slice(lengths, F.lit(1), k), F.lit(0), lambda a, x: a + x))
+def first_words(text: Column, n: int) -> Column:
+    """The first n words, or all of a shorter text; the rest of the text is not looked at."""
+    opening = rf"^[{SPACE_CLASS}]*+(?:{WORD}+[{SPACE_CLASS}]++){{0,{max(0, n - 1)}}}+(?:{WORD}+)?"
+    return F.slice(tokens(F.regexp_extract(text, opening, 0)), 1, n)
+
+
+def has_words(text: Column, n: int) -> Column:
+    """Whether the text has n words; null and blank texts have none."""
+    return F.size(first_words(F.coalesce(text, F.lit("")), n)) >= n
+
+
+#: Lengths that are summed up in a row by block_starts.
+SUMMED = 32
+
+
+def block_starts(lengths: Column) -> Column:
+    """Running sums at every SUMMED-th place, from 0."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(lengths) / SUMMED).cast("int")), lambda j: total(F.slice(lengths, j * SUMMED + 1, F.lit(SUMMED))))
+    add = lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["starts"], F.array(acc["sum"])).alias("starts"))
+    return F.aggregate(blocks, F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("starts")), add)["starts"]
+
+
+def sum_before(lengths: Column, starts: Column, k: Column) -> Column:
+    """The sum of the first k lengths, from the block_starts of the lengths."""
+    block = F.floor(k / SUMMED).cast("int")
+    return F.get(starts, block) + total(F.slice(lengths, block * SUMMED + 1, k - block * SUMMED))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
 def starts_equal(words: Column, other: Column, count: int = 0) -> Column:

@@ -23,9 +23,9 @@ def shuffle_key(seed: int, *keys: Column) -> Column:
 
 def shuffled(samples: DataFrame, seed: int, keys: list[str]) -> DataFrame:
     """Adds pos, the place in an order that only the seed and the keys decide. Keys name a row."""
-    keyed = samples.withColumn("_key", shuffle_key(seed, *map(F.col, keys)))
-    bucket = F.conv(F.substring("_key", 1, 3), 16, 10).cast("int")
-    return ranked(keyed, bucket, [F.col("_key"), *map(F.col, keys)], "pos").drop("_key")
+    keyed = samples.withColumn("__key", shuffle_key(seed, *map(F.col, keys)))
+    bucket = F.conv(F.substring("__key", 1, 3), 16, 10).cast("int")
+    return ranked(keyed, bucket, [F.col("__key"), *map(F.col, keys)], "pos").drop("__key")
 
 
 def split(shuffled_samples: DataFrame, train: float = 0.80, validation: float = 0.05, test: float = 0.15) -> DataFrame:

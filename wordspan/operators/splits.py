@@ -8,51 +8,52 @@ from pyspark.sql import functions as F
 from wordspan.functions.labels import build
 from wordspan.functions.once import once
 from wordspan.functions.rng import draw
-from wordspan.functions.text import join_words, prefix_sums, sentences, tokens
+from wordspan.functions.text import join_words, sentences, tokens, total
 
 # Moves of a balancer at most, words of a part and of a text that is cut by words.
 MOVES, LEAST_PART, LEAST_TEXT = 10, 2, 30
 
 
-def two_way_cut(sums: Column) -> Column:
-    """How many sentences the first half has; `sums` holds the running lengths of two sentences or more.
+def two_way_cut(lengths: Column) -> Column:
+    """How many sentences the first half has; `lengths` has those of two sentences or more.
 
-    From the middle, a sentence at a time moves to the shorter side while that helps, ten times at most.
+    From the middle, a sentence at a time moves to the shorter side while that helps, ten times at most. The state holds
+    both sides' lengths, so the sentences are summed up once.
     """
-    n = F.size(sums) - 1
-    whole = F.get(sums, n)
-    start = F.struct(F.greatest(F.lit(1), F.floor(n / 2).cast("int")).alias("k"), F.lit(False).alias("done"))
+    n = F.size(lengths)
+    k = F.greatest(F.lit(1), F.floor(n / 2).cast("int"))
+    start = F.struct(k.alias("k"), total(F.slice(lengths, F.lit(1), k)).alias("head"), total(F.slice(lengths, k + 1, n)).alias("tail"), F.lit(False).alias("done"))
 
     def move(state: Column, _: Column) -> Column:
-        k = state["k"]
-        head, nxt = F.get(sums, k), F.get(sums, k + 1) - F.get(sums, k)
-        tail = whole - head
+        k, head, tail = state["k"], state["head"], state["tail"]
+        last, nxt = F.get(lengths, k - 1), F.get(lengths, k)
         step = F.when(state["done"] | (k <= 1) | (k >= n - 1), 0).when(head > tail, -1).when(head + nxt < tail - nxt, 1).otherwise(0)
-        return F.struct((k + step).alias("k"), (step == 0).alias("done"))
+        moved = F.when(step == -1, -last).when(step == 1, nxt).otherwise(0)
+        return F.struct((k + step).alias("k"), (head + moved).alias("head"), (tail - moved).alias("tail"), (step == 0).alias("done"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(MOVES)), start, move)["k"]
 
 
-def three_way_cut(sums: Column) -> Column:
-    """(a, b): sentences before the middle, and before the end; `sums` as above, of three sentences or more.
+def three_way_cut(lengths: Column) -> Column:
+    """(a, b): sentences before the middle, and before the end; `lengths` as above, of three sentences or more.
 
     A sentence moves across a cut while the larger side stays the larger; of the four moves the first that applies.
     """
-    n = F.size(sums) - 1
-    whole = F.get(sums, n)
-    start = F.struct(F.floor(n / 3).cast("int").alias("a"), F.floor(2 * n / 3).cast("int").alias("b"), F.lit(False).alias("done"))
+    n = F.size(lengths)
+    a, b = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
+    parts = {"first": F.slice(lengths, F.lit(1), a), "second": F.slice(lengths, a + 1, b - a), "third": F.slice(lengths, b + 1, n)}
+    start = F.struct(a.alias("a"), b.alias("b"), *(total(v).alias(c) for c, v in parts.items()), F.lit(False).alias("done"))
 
     def move(state: Column, _: Column) -> Column:
-        a, b = state["a"], state["b"]
-        at_a, at_b = F.get(sums, a), F.get(sums, b)
-        before_a, after_a = at_a - F.get(sums, a - 1), F.get(sums, a + 1) - at_a
-        before_b, after_b = at_b - F.get(sums, b - 1), F.get(sums, b + 1) - at_b
-        first, second, third = at_a, at_b - at_a, whole - at_b
+        a, b, first, second, third = (state[c] for c in ("a", "b", "first", "second", "third"))
+        before_a, after_a, before_b, after_b = (F.get(lengths, k) for k in (a - 1, a, b - 1, b))
         stop = state["done"] | (a <= 1) | (b <= a + 1) | (b >= n - 1)
         which = F.when(stop, 0).when(first - second > 2 * before_a, 1).when(second - third > 2 * before_b, 2).when(second - first > 2 * after_a, 3).when(third - second > 2 * after_b, 4).otherwise(0)
         step_a = F.when(which == 1, -1).when(which == 3, 1).otherwise(0)
         step_b = F.when(which == 2, -1).when(which == 4, 1).otherwise(0)
-        return F.struct((a + step_a).alias("a"), (b + step_b).alias("b"), (which == 0).alias("done"))
+        over_a = F.when(which == 1, -before_a).when(which == 3, after_a).otherwise(0)
+        over_b = F.when(which == 2, -before_b).when(which == 4, after_b).otherwise(0)
+        return F.struct((a + step_a).alias("a"), (b + step_b).alias("b"), (first + over_a).alias("first"), (second - over_a + over_b).alias("second"), (third - over_b).alias("third"), (which == 0).alias("done"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(MOVES)), start, move)
 
@@ -62,9 +63,9 @@ def joined(parts: Column, start: Column, length: Column) -> Column:
 
 
 def with_sentences(docs: DataFrame, text_col: str) -> DataFrame:
-    """Adds _words, _parts (sentences) and _sums (their running lengths), each worked out once a row."""
+    """Adds _words, _parts (sentences) and _lengths (of these), each worked out once a row."""
     cut = once(docs, _words=tokens(F.col(text_col)), _parts=sentences(F.col(text_col)))
-    return once(once(cut, _lengths=F.transform("_parts", F.length)), _sums=prefix_sums(F.col("_lengths"))).drop("_lengths")
+    return once(cut, _lengths=F.transform("_parts", F.length))
 
 
 def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -73,7 +74,7 @@ def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
     By sentences if there are two or more and both parts have two words; else by words, which takes thirty.
     """
     few = lambda c: F.size(c) < LEAST_PART
-    out = once(with_sentences(docs, text_col), _k=F.when(F.size("_parts") >= 2, two_way_cut(F.col("_sums"))))
+    out = once(with_sentences(docs, text_col), _k=F.when(F.size("_parts") >= 2, two_way_cut(F.col("_lengths"))))
     out = once(out, _p=tokens(joined(F.col("_parts"), F.lit(1), F.col("_k"))), _s=tokens(joined(F.col("_parts"), F.col("_k") + 1, F.size("_parts"))))
     n = F.size("_words")
     half = F.greatest(F.lit(LEAST_PART), F.floor(n / 2).cast("int"))
@@ -81,12 +82,12 @@ def prefix_suffix(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("how", how)
     by_words = F.col("how") == "words"
     parts = {"prefix": F.when(by_words, F.slice("_words", F.lit(1), half)).when(F.col("how") == "sentences", F.col("_p")), "suffix": F.when(by_words, F.slice("_words", half + 1, n)).when(F.col("how") == "sentences", F.col("_s")), "reason": F.when(F.col("how").isNull(), "too few words")}
-    return out.withColumns(parts).drop("_words", "_parts", "_sums", "_k", "_p", "_s")
+    return out.withColumns(parts).drop("_words", "_parts", "_lengths", "_k", "_p", "_s")
 
 
 def three_parts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds begin, middle, end (word arrays), how and reason, like prefix_suffix."""
-    out = once(with_sentences(docs, text_col), _c=F.when(F.size("_parts") >= 3, three_way_cut(F.col("_sums"))))
+    out = once(with_sentences(docs, text_col), _c=F.when(F.size("_parts") >= 3, three_way_cut(F.col("_lengths"))))
     a, b, parts = F.col("_c.a"), F.col("_c.b"), F.col("_parts")
     cut = {"_b": joined(parts, F.lit(1), a), "_m": joined(parts, a + 1, b - a), "_e": joined(parts, b + 1, F.size(parts))}
     out = once(out, **{k: tokens(v) for k, v in cut.items()})
@@ -97,7 +98,7 @@ def three_parts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("how", F.when(F.col("_c").isNotNull() & enough, "sentences").when(n >= LEAST_TEXT, "words"))
     by = {"begin": ("_b", F.slice("_words", F.lit(1), first)), "middle": ("_m", F.slice("_words", first + 1, second - first)), "end": ("_e", F.slice("_words", second + 1, n))}
     out = out.withColumns({k: F.when(F.col("how") == "words", w).when(F.col("how") == "sentences", F.col(s)) for k, (s, w) in by.items()})
-    return out.withColumn("reason", F.when(F.col("how").isNull(), "too few words")).drop("_words", "_parts", "_sums", "_c", "_b", "_m", "_e")
+    return out.withColumn("reason", F.when(F.col("how").isNull(), "too few words")).drop("_words", "_parts", "_lengths", "_c", "_b", "_m", "_e")
 
 
 def between(low: Column | int, high: Column, seed: int, *keys: Column | str) -> Column:

@@ -172,11 +172,14 @@ FROM a JOIN b USING (lang) WHERE a.r = 1 AND b.r = 1""",
     "filtered_index_range": f"SELECT doc_id, idx, {wc('text')} AS wc FROM ({INDEXED} 30) WHERE idx >= 100 AND idx < 700",
     "source_point_lookup": f"SELECT doc_id, idx, text FROM ({INDEXED} 3) WHERE idx = 123",
     "prefix_source_match": f"""
-WITH src AS (SELECT doc_id, idx, {words('text')} AS w FROM ({INDEXED} 3)),
-pr AS (SELECT doc_id AS probe_id, idx + doc_id % 5 - 2 AS hint, w[1:20] AS p, least(20, len(w)) AS k FROM src),
-direct AS (SELECT probe_id, s.idx FROM pr JOIN src s ON s.idx = hint WHERE s.w[1:k] = p),
-near AS (SELECT probe_id, min(s.idx) AS idx FROM pr JOIN src s ON s.w[1] = p[1] AND s.w[1:k] = p AND s.idx BETWEEN hint - 2000 AND hint + 2000 GROUP BY probe_id)
-SELECT probe_id, coalesce(d.idx, n.idx) AS idx, CASE WHEN d.idx IS NOT NULL THEN 'index' WHEN n.idx IS NOT NULL THEN 'prefix' ELSE 'none' END AS how
+WITH src AS (SELECT 3 AS least, doc_id, idx, {words('text')} AS w FROM ({INDEXED} 3) UNION ALL SELECT 15, doc_id, idx, {words('text')} FROM ({INDEXED} 15)
+  UNION ALL SELECT 30, doc_id, idx, {words('text')} FROM ({INDEXED} 30)),
+pr AS (SELECT s.doc_id AS probe_id, CASE WHEN s.doc_id % 3 = 0 THEN coalesce(t.idx, s.idx) ELSE s.idx END + s.doc_id % 5 - 2 AS hint, s.w[1:20] AS p, least(20, len(s.w)) AS k
+  FROM src s LEFT JOIN src t ON t.least = 30 AND t.doc_id = s.doc_id WHERE s.least = 3),
+direct AS (SELECT probe_id, s.idx FROM pr JOIN src s ON s.least = 3 AND s.idx = hint WHERE s.w[1:k] = p),
+near AS (SELECT probe_id, min([s.least, s.idx]) AS b FROM pr JOIN src s ON s.w[1] = p[1] AND s.w[1:k] = p AND s.idx BETWEEN hint - 2000 AND hint + 2000 GROUP BY probe_id)
+SELECT probe_id, coalesce(d.idx, n.b[2]) AS idx, CASE WHEN d.idx IS NOT NULL THEN 'index' WHEN n.b IS NOT NULL THEN 'prefix' ELSE 'none' END AS how,
+  CASE WHEN d.idx IS NOT NULL THEN 3 ELSE n.b[1]::INTEGER END AS least_words
 FROM pr LEFT JOIN direct d USING (probe_id) LEFT JOIN near n USING (probe_id)""",
     "sentence_segments": f"WITH {SENTENCES} SELECT doc_id, (i - 1)::INTEGER AS pos, parts[i] AS sentence, c[i]::INTEGER AS begin FROM sized, unnest(range(1, len(parts) + 1)) AS t(i)",
     "prefix_suffix_split": TWO_WAY,

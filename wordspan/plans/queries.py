@@ -9,13 +9,14 @@ from wordspan.functions import labels as L
 from wordspan.functions.once import once
 from wordspan.functions.probability import hard_label, named_label
 from wordspan.functions.rng import draw, draw32
-from wordspan.functions.text import join_words, prefix_sums, sentences, tokens, word_count
+from wordspan.functions.text import block_starts, first_words, join_words, sentences, sum_before, tokens, word_count
 from wordspan.operators import align, dataset, metrics, profile, splits, windows
 from wordspan.sources import catalog, chunks, corpus
+from wordspan.sources.staging import new_path, staged
 from wordspan.streaming import cooldown
 
 SEED, AI_SEED, SPLIT_SEED = 42, 44, 42
-#: Fixed values of the prompts: opening instructions to choose from.
+#: Opening instructions of prompts, to choose from.
 OPENINGS = ("Summarise the text in a few sentences.", "Give a short overview of the text.", "State the main points of the text.", "Write a synopsis of the text.")
 
 
@@ -53,17 +54,27 @@ def source_point_lookup(spark, sf_dir):
     return corpus.source_at(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 123).select("doc_id", "idx", "text")
 
 
+#: Filters under which a sample's index may have been taken.
+FILTERS = (3, 15, 30)
+
+
 def prefix_source_match(spark, sf_dir):
-    source = corpus.indexed(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    opening = join_words(F.slice(tokens(F.col("text")), 1, 25))
-    probes = source.select(F.col("doc_id").alias("probe_id"), opening.alias("text"), (F.col("idx") + F.col("doc_id") % 5 - 2).alias("hint"))
-    return corpus.resolve(probes, source.select("idx", "text"))
+    """Each text's opening is sought at an index near its own, which every third one counts under a stricter filter."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sources = {n: staged(corpus.indexed(texts, "doc_id", n).select("doc_id", "idx", first_words(F.col("text"), 25).alias("words"))) for n in FILTERS}
+    opening = sources[3].select(F.col("doc_id").alias("probe_id"), "words", "idx", F.lit(3).alias("min_words"))
+    strict = sources[30].select(F.col("doc_id").alias("probe_id"), F.col("idx").alias("strict_idx"))
+    hint = F.when(F.col("probe_id") % 3 == 0, F.coalesce("strict_idx", "idx")).otherwise(F.col("idx")) + F.col("probe_id") % 5 - 2
+    probes = opening.join(strict, "probe_id", "left").select("probe_id", "words", hint.alias("hint"), "min_words")
+    return corpus.resolve(probes, {n: s.select("idx", "words") for n, s in sources.items()})
 
 
 def sentence_segments(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", sentences(F.col("text")).alias("parts"))
-    sums = docs.withColumn("sums", prefix_sums(F.transform("parts", F.length)))
-    return sums.select("doc_id", "sums", F.posexplode("parts").alias("pos", "sentence")).select("doc_id", "pos", "sentence", F.get("sums", F.col("pos")).alias("begin"))
+    docs = once(table(spark, sf_dir, "documents").select("doc_id", "text"), parts=sentences(F.col("text"))).select("doc_id", "parts")
+    sums = once(once(docs, lengths=F.transform("parts", F.length)), starts=block_starts(F.col("lengths")))
+    lengths, starts = F.col("lengths"), F.col("starts")
+    rows = F.transform("parts", lambda part, k: F.struct(k.alias("pos"), part.alias("sentence"), sum_before(lengths, starts, k).alias("begin")))
+    return once(sums, rows=rows).select("doc_id", F.inline("rows"))
 
 
 def prefix_suffix_split(spark, sf_dir):
@@ -168,7 +179,7 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_split_counts(spark, sf_dir):
-    placed = dataset.split(dataset.shuffled(merged(spark, sf_dir), SPLIT_SEED, ["kind", "id", "copy"]))
+    placed = dataset.split(dataset.shuffled(staged(merged(spark, sf_dir)), SPLIT_SEED, ["kind", "id", "copy"]))
     return placed.groupBy("split", "kind").agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum(F.col("e") - F.col("s")).alias("words"))
 
 

@@ -2,45 +2,57 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordspan.functions.once import once
-from wordspan.functions.text import starts_equal, tokens, word_count
+from wordspan.functions.text import has_words, starts_equal
+from wordspan.sources.staging import staged
+
+#: Columns that exist within `ranked` only.
+BUCKET, FIRST = "__bucket", "__first"
 
 
 def ranked(df: DataFrame, bucket: Column, order: list[Column], name: str) -> DataFrame:
     """Adds each row's place from 0 in a total order, without sorting in one task.
 
     `bucket` is an int that never falls as the order rises. Rows are numbered within their bucket; the counts of the
-    buckets, a row each, are summed up and added. `bucket` and `order` must not depend on chance.
+    buckets, a row each, are summed up and added. `bucket` and `order` must not depend on chance. `df` is read twice.
     """
-    kept = df.withColumn("_bucket", bucket)
-    sizes = kept.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    first = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    firsts = sizes.select("_bucket", F.coalesce(first, F.lit(0)).alias("_first"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
-    return kept.join(firsts, "_bucket").withColumn(name, (F.col("_first") + within).cast("long")).drop("_bucket", "_first")
+    kept = df.withColumn(BUCKET, bucket)
+    sizes = kept.groupBy(BUCKET).agg(F.count("*").alias("n"))
+    first = F.sum("n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))
+    firsts = sizes.select(F.col(BUCKET), F.coalesce(first, F.lit(0)).alias(FIRST))
+    within = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order)) - 1
+    return kept.join(firsts, BUCKET).withColumn(name, (F.col(FIRST) + within).cast("long")).drop(BUCKET, FIRST)
 
 
 def key_bucket(df: DataFrame, key: str, buckets: int) -> Column:
-    """Equal ranges of an integer key."""
-    ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if ends["lo"] is None:
+    """Ranges of a key with about as many rows each; a job finds their bounds, one number for each range."""
+    shares = [k / buckets for k in range(1, buckets)]
+    if not shares:
         return F.lit(0)
-    width = -(-(ends["hi"] - ends["lo"] + 1) // buckets)
-    return F.floor((F.col(key) - ends["lo"]) / width).cast("int")
+    bounds = df.agg(F.percentile_approx(key, shares, 10 * buckets).alias("bounds")).first()["bounds"]
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(key)))
 
 
 def filtered(docs: DataFrame, least_words: int = 3, text_col: str = "text") -> DataFrame:
-    """Texts that aren't null or blank and have enough words."""
-    return once(docs, _n=word_count(F.col(text_col))).where(F.col("_n") >= max(1, least_words)).drop("_n")
+    """Texts that aren't null or blank and have enough words; no more of a text is looked at than it takes to tell."""
+    return docs.where(has_words(F.col(text_col), max(1, least_words)))
 
 
 def indexed(docs: DataFrame, key: str, least_words: int = 3, buckets: int | None = None, text_col: str = "text") -> DataFrame:
-    """Adds idx, the place among the texts that survive the filter, in the order of `key`."""
+    """Adds idx, the place among the texts that survive the filter, in the order of `key`; keys name a row.
+
+    Places come from a table of the keys alone, so texts are not sorted.
+    """
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ranked(filtered(docs, least_words, text_col), key_bucket(docs, key, buckets), [F.col(key)], "idx")
+    kept = filtered(docs, least_words, text_col)
+    keys = staged(kept.select(key))
+    return kept.join(ranked(keys, key_bucket(keys, key, buckets), [F.col(key)], "idx"), key)
 
 
 def index_range(docs: DataFrame, key: str, start: int = 0, end: int | None = None, least_words: int = 3) -> DataFrame:
@@ -57,25 +69,37 @@ def source_at(docs: DataFrame, key: str, index: int, least_words: int = 3) -> Da
 
 
 def by_prefix(probes: DataFrame, source: DataFrame, count: int = 20, radius: int = 2000) -> DataFrame:
-    """For each probe (probe_id, text, hint) the first source row (idx, text) that begins with the probe's first words.
+    """For each probe (probe_id, words, hint) the first source row (idx, words) that begins with the probe's first words.
 
     Up to `count` words, or all of a shorter probe's, must agree, and idx lie from hint - radius to hint + radius. The
     join is on a hash of the prefix, for each prefix length that occurs among the probes; then words are compared.
     """
-    asked = probes.withColumn("_p", F.slice(tokens(F.col("text")), 1, count)).where(F.size("_p") > 0).select("probe_id", "hint", "_p", F.size("_p").alias("_n"))
-    lengths = asked.select("_n").distinct()  # at most `count` rows
-    held = source.withColumn("_w", F.slice(tokens(F.col("text")), 1, count)).select("idx", "_w")
-    keyed = held.join(F.broadcast(lengths), F.size("_w") >= F.col("_n")).withColumn("_h", F.xxhash64(F.slice("_w", F.lit(1), F.col("_n"))))
-    met = asked.withColumn("_h", F.xxhash64("_p")).join(keyed, ["_n", "_h"]).where(starts_equal(F.col("_w"), F.col("_p"), 0) & F.col("idx").between(F.col("hint") - radius, F.col("hint") + radius))
+    asked = probes.select("probe_id", "hint", F.slice("words", 1, count).alias("asked")).where(F.size("asked") > 0).withColumn("size", F.size("asked"))
+    lengths = asked.select("size").distinct()  # at most `count` rows
+    held = source.select("idx", F.slice("words", 1, count).alias("held")).where(F.size("held") > 0)
+    cut = held.select("idx", "held", F.explode(F.sequence(F.lit(1), F.size("held"))).alias("size")).join(F.broadcast(lengths), "size")
+    keyed = cut.withColumn("hash", F.xxhash64(F.slice("held", F.lit(1), F.col("size"))))
+    met = asked.withColumn("hash", F.xxhash64("asked")).join(keyed, ["size", "hash"])
+    met = met.where(starts_equal(F.col("held"), F.col("asked"), 0) & F.col("idx").between(F.col("hint") - radius, F.col("hint") + radius))
     return met.groupBy("probe_id").agg(F.min("idx").alias("idx"))
 
 
-def resolve(samples: DataFrame, source: DataFrame) -> DataFrame:
-    """probe_id, idx, how: the row at the sample's own index if it begins alike, else the first nearby that does."""
-    direct = samples.join(source.select("idx", F.col("text").alias("_t")), samples["hint"] == F.col("idx"), "left")
-    same = starts_equal(tokens(F.col("_t")), F.slice(tokens(F.col("text")), 1, 20))
-    direct = direct.select("probe_id", "hint", F.when(same, F.col("idx")).alias("at"))
-    found = by_prefix(samples, source).withColumnRenamed("idx", "near")
-    out = direct.join(found, "probe_id", "left")
+def resolve(probes: DataFrame, sources: dict[int, DataFrame]) -> DataFrame:
+    """probe_id, idx, how, min_words: where each probe (probe_id, words, hint, min_words) comes from.
+
+    `sources` has the corpus (idx, words) under each filter by least words that may have been used. The row at the
+    probe's own index and filter is taken if it begins alike; else the filters are gone through in ascending order, and
+    the first row nearby that begins alike is taken.
+    """
+    out = probes.select("probe_id", "words", "hint", "min_words")
+    own = None
+    for least, source in sources.items():
+        part = source.select(F.lit(least).alias("min_words"), F.col("idx").alias("hint"), F.slice("words", 1, 20).alias("there"))
+        own = part if own is None else own.unionByName(part)
+    direct = out.join(own, ["min_words", "hint"]).where(starts_equal(F.col("there"), F.slice("words", 1, 20))).select("probe_id", F.col("hint").alias("at"))
+    near = [by_prefix(probes, sources[n]).withColumn("least", F.lit(n)) for n in sorted(sources)]
+    found = reduce(DataFrame.unionByName, near).groupBy("probe_id").agg(F.min(F.struct("least", "idx")).alias("near"))
+    out = out.select("probe_id", "min_words").join(direct, "probe_id", "left").join(found, "probe_id", "left")
     how = F.when(F.col("at").isNotNull(), "index").when(F.col("near").isNotNull(), "prefix").otherwise("none")
-    return out.select("probe_id", F.coalesce("at", "near").alias("idx"), how.alias("how"))
+    least = F.when(F.col("at").isNotNull(), F.col("min_words")).otherwise(F.col("near.least"))
+    return out.select("probe_id", F.coalesce("at", "near.idx").alias("idx"), how.alias("how"), least.alias("least_words"))
