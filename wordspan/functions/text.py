@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 # The code points that separate words.
 SPACE_CLASS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WORD = rf"[^{SPACE_CLASS}]+"
+SPACES = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: Printable ASCII characters are told by one range; only others are held against all that separate words.
+WORD = rf"(?:[!-~]++|[^{SPACE_CLASS}])+"
 # Fixed value: a sentence runs up to and with its end marks, or to the end of the text.
 SENTENCE = r"[^.!?]*[.!?]+|[^.!?]+$"
 
@@ -21,7 +23,7 @@ def tokens(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(tokens(F.coalesce(text, F.lit("")))).cast("int")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("int")
 
 
 def join_words(words: Column) -> Column:
@@ -35,13 +37,13 @@ def is_blank(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def sentences(text: Column) -> Column:
     """Sentences with their end marks and leading white space; a text without one is its own, a blank text has none."""
     whole = strip(text)
-    found = F.filter(F.regexp_extract_all(whole, F.lit(SENTENCE), F.lit(0)), lambda s: ~is_blank(s))
+    found = F.filter(F.regexp_extract_all(whole, F.lit(SENTENCE), F.lit(0)), lambda s: strip(s) != "")
     return F.when(is_blank(text), F.array().cast("array<string>")).when(F.size(found) == 0, F.array(whole)).otherwise(found)
 
 
