@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from wordspan.functions.errors import MOST_ATTEMPTS
+
 #: (prompt, max_tokens, model) to text.
 Generator = Callable[[str, int, str], str]
 
@@ -42,10 +44,23 @@ def attempt(generate: Generator, prompt: str, budget: int, models: list[str], tr
     return None, None, "failed", used
 
 
-def generated(requests: DataFrame, make: Callable[[], Generator], models: list[str], concurrency: int | None = None) -> DataFrame:
+def attempt_entry(generate: Generator, prompt: str, budget: int, models: list[str], entries: int = MOST_ATTEMPTS, wait: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None, str, int]:
+    """An entry's attempts with backoff between them: 5, 10, 15, ... seconds; none after a permanent failure."""
+    total = 0
+    for k in range(entries):
+        text, model, status, tries = attempt(generate, prompt, budget, models, wait=wait)
+        total += tries
+        if status != "failed":
+            return text, model, status, total
+        if k + 1 < entries:
+            wait(5.0 * (k + 1))
+    return None, None, "failed", total
+
+
+def generated(requests: DataFrame, make: Callable[[], Generator], models: list[str], concurrency: int | None = None, entries: int = 1) -> DataFrame:
     """Adds answer, model, status and attempts to requests (prompt, max_tokens, ...).
 
-    `make` gives a task its generator. As many requests run at once as there are partitions; `concurrency` sets them.
+    `entries` attempts are made for each request, each of which asks the models by turns. `make` gives a task its generator. As many requests run at once as there are partitions; `concurrency` sets them.
     """
     if concurrency is not None and concurrency < 1:
         raise ValueError("concurrency must be at least 1")
@@ -53,7 +68,7 @@ def generated(requests: DataFrame, make: Callable[[], Generator], models: list[s
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make()
         for pdf in frames:
-            done = [attempt(generate, p, int(b), models) for p, b in zip(pdf["prompt"], pdf["max_tokens"], strict=True)]
+            done = [attempt_entry(generate, p, int(b), models, entries) for p, b in zip(pdf["prompt"], pdf["max_tokens"], strict=True)]
             answers = pd.DataFrame(done, columns=["answer", "model", "status", "attempts"], index=pdf.index)
             yield pd.concat([pdf, answers], axis=1)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordspan.functions.labels import IGNORED
 from wordspan.functions.probability import hard_label
 
 
@@ -41,3 +42,22 @@ def rates(scored: DataFrame, *by: str) -> DataFrame:
     counts = [F.avg("y").alias("label_rate"), F.avg((F.col("p") >= 0.5).cast("int")).alias("predicted_rate"), F.count("p").alias("scored"), F.count_if(F.col("p").isNull()).alias("skipped"), F.avg(hit).alias("accuracy")]
     out = scored.groupBy(*by).agg(*counts)
     return out.withColumn("skipped_pct", 100.0 * F.col("skipped") / F.greatest(F.col("scored") + F.col("skipped"), F.lit(1)))
+
+
+def token_metrics(tokens: DataFrame, *by: str, ignored: int = IGNORED) -> DataFrame:
+    """kept, accuracy, f1, label_rate and predicted_rate of tokens (label, prediction) whose label isn't ignored.
+
+    Without such tokens all are 0.
+    """
+    kept, hit = F.col("label") != ignored, F.col("label") == F.col("prediction")
+    counts = {"kept": kept, "hits": kept & hit, "tp": kept & hit & (F.col("label") == 1), "positives": kept & (F.col("label") == 1), "predicted": kept & (F.col("prediction") == 1)}
+    out = tokens.groupBy(*by).agg(*(F.count_if(c).alias(n) for n, c in counts.items()))
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    return out.select(*by, "kept", share(F.col("hits"), F.col("kept")).alias("accuracy"), share(2 * F.col("tp"), F.col("positives") + F.col("predicted")).alias("f1"), share(F.col("positives"), F.col("kept")).alias("label_rate"), share(F.col("predicted"), F.col("kept")).alias("predicted_rate"))
+
+
+def run_counters(results: DataFrame, *by: str) -> DataFrame:
+    """generated, skipped, failed and total entries by status, and the share that is done, in percent."""
+    names = ("generated", "skipped", "failed")
+    out = results.groupBy(*by).agg(*(F.count_if(F.col("status") == n).alias(n) for n in names), F.count("*").alias("total"))
+    return out.withColumn("done_pct", 100.0 * (F.col("generated") + F.col("skipped") + F.col("failed")) / F.col("total"))

@@ -24,3 +24,20 @@ def scored_words(samples: DataFrame, make: Callable[[], WordScorer], key: str, b
                 yield pd.DataFrame(rows, columns=[key, "word_pos", "word", "y", "p"])
 
     return samples.select(key, "words", "labels").mapInPandas(run, f"{key} {dict(samples.dtypes)[key]}, word_pos int, word string, y int, p double")
+
+
+#: Texts to a probability for each.
+DocumentScorer = Callable[[list[str]], list[float]]
+
+
+def scored_documents(samples: DataFrame, make: Callable[[], DocumentScorer], key: str, text_col: str = "text", batch: int = 64) -> DataFrame:
+    """key and doc_p of every text, scored in batches in the tasks; null texts are scored as empty."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = make()
+        for pdf in frames:
+            texts = pdf[text_col].fillna("").tolist()
+            found = [p for i in range(0, len(texts), batch) for p in scorer(texts[i : i + batch])]
+            yield pd.DataFrame({key: pdf[key], "doc_p": found})
+
+    return samples.select(key, text_col).mapInPandas(run, f"{key} {dict(samples.dtypes)[key]}, doc_p double")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from wordspan.functions.labels import boundaries
 from wordspan.functions.once import once
 from wordspan.functions.rng import draw, heads
-from wordspan.functions.text import join_words, tokens
+from wordspan.functions.text import has_words, join_words, tokens
+from wordspan.operators.dataset import shuffled
+from wordspan.sources.staging import staged
 
 #: Attempts for each window that is wanted.
 ATTEMPTS = 6
@@ -54,3 +56,23 @@ def one_class_windows(docs: DataFrame, seed: int, id_col: str, label: int, least
     placed = F.transform(sized, lambda t: F.struct(draw(seed, key, t["k"], "s", below=n - t["n"] + 1).cast("int").alias("s"), t["n"].alias("n")))
     out = once(words, spans=placed).select(id_col, "w", F.posexplode("spans").alias("copy", "t"))
     return out.select(id_col, "copy", F.col("t.s").alias("s"), (F.col("t.s") + F.col("t.n")).alias("e"), join_words(F.slice("w", F.col("t.s") + 1, F.col("t.n"))).alias("text"), F.array_repeat(F.lit(label), F.col("t.n")).alias("label"))
+
+
+def to_target(docs: DataFrame, seed: int, id_col: str, label: int, target: int, least: int = 35, most: int = 350, copies: int = 8, text_col: str = "text") -> DataFrame:
+    """The first `target` of the one-class windows of all texts, sources in an order that the seed decides.
+
+    Only ids are put in order; windows are cut for the sources that the target takes, and no others.
+    """
+    ids = staged(docs.where(has_words(F.col(text_col), least)).select(id_col))
+    takes = shuffled(ids, seed, [id_col]).where(F.col("pos") * copies < target)
+    chosen = docs.join(takes, id_col)
+    cut = one_class_windows(chosen.select(id_col, text_col), seed, id_col, label, least, most, copies, text_col)
+    return cut.join(takes, id_col).where(F.col("pos") * copies + F.col("copy") < target).drop("pos")
+
+
+def yields(sources: DataFrame, windows: DataFrame, id_col: str, copies: int) -> DataFrame:
+    """sources, windows, wanted (copies of each source), yield_pct and skipped (sources without a window)."""
+    made = windows.groupBy(id_col).agg(F.count("*").alias("windows"))
+    each = sources.select(id_col).join(made, id_col, "left")
+    out = each.agg(F.count("*").alias("sources"), F.coalesce(F.sum("windows"), F.lit(0)).alias("windows"), F.count_if(F.col("windows").isNull()).alias("skipped"))
+    return out.withColumn("wanted", F.col("sources") * copies).withColumn("yield_pct", F.coalesce(F.try_divide(100.0 * F.col("windows"), F.col("wanted")), F.lit(0.0)))

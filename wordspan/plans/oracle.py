@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wordspan.plans.queries import FAILED as FAILED_ROWS
+
 SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -257,18 +259,47 @@ SELECT id, prompt, id LIKE '%:free%' OR coalesce(price = 0, false) AS free, coal
 WHERE id NOT LIKE '~%' AND lower(id) NOT LIKE '%embed%' AND z % 3 <> 0 AND z % 19 <> 0 AND z % 23 <> 0""",
 }
 
-FAILURES = f"""
-f AS (SELECT user_id AS model, event_id, epoch_us(ts) AS us, floor(epoch_us(ts) / 1000000)::DOUBLE AS at_s, {draw(7, 'event_id', "'kind'")} % 40 AS which,
-  CASE WHEN event_id % 3 = 0 THEN least(60.0, trunc(value) + 1) ELSE 10.0 END::DOUBLE AS wait FROM events WHERE event_type = 'error'),
-k AS (SELECT *, CASE WHEN which = 0 THEN 'quota' WHEN which < 4 THEN 'retry' WHEN which < 8 THEN 'content' ELSE 'rate' END AS kind, row_number() OVER (PARTITION BY model ORDER BY us, event_id) AS place FROM f),
-s AS (SELECT *, count(*) FILTER (kind = 'rate') OVER (PARTITION BY model ORDER BY place) AS strikes FROM k)
+def marks(x: str, *found: str) -> str:
+    return "(" + " OR ".join(f"contains({x}, '{m}')" for m in found) + ")"
+
+
+def values(*row: object) -> str:
+    return "(" + ", ".join("NULL" if v is None else repr(v) for v in row) + ")"
+
+
+FAILED = "(VALUES " + ", ".join(values(i, *row) for i, row in enumerate(FAILED_ROWS)) + ") v(which, exception, status, text, said, metadata)"
+TAXONOMY = f"""
+e AS (SELECT user_id AS model, event_id, epoch_us(ts) AS us, epoch_us(ts) // 1000000 AS sec, value, {draw(7, 'event_id', "'kind'")} % {len(FAILED_ROWS)} AS which FROM events WHERE event_type = 'error'),
+made AS (SELECT model, event_id, us, sec, exception, status, text, CASE WHEN metadata = '[]' THEN '[]' ELSE '{{"error": {{"message": "' || coalesce(said, '') || '", "metadata": '
+  || replace(replace(replace(metadata, '%d', trunc(value)::INTEGER::VARCHAR), '@late', ((sec + 7200) * 1000)::VARCHAR), '@soon', ((sec + 60) * 1000)::VARCHAR) || '}}}}' END AS body FROM e JOIN {FAILED} USING (which)),
+said AS (SELECT *, coalesce(nullif(body ->> '$.error.message', ''), text) AS message, lower(text) AS raw,
+  coalesce(body ->> '$.error.metadata.retry_after_seconds', body ->> '$.error.metadata.retry_after_seconds_raw') AS asked,
+  body ->> '$.error.metadata.headers."X-RateLimit-Remaining"' AS remaining, try_cast(body ->> '$.error.metadata.headers."X-RateLimit-Reset"' AS BIGINT) AS reset FROM made),
+one AS (SELECT *, lower(message) AS m, exception = 'rate' OR coalesce(status = 429, false) AS rate_limit,
+  {marks('lower(message)', 'daily limit', 'limit_rpd')} OR coalesce(remaining = '0' AND reset / 1000 - sec > 3600, false) AS daily_quota,
+  exception IN ('json', 'connection', 'timeout', 'transport') OR (exception = 'runtime' AND contains(raw, 'all models unavailable')) AS transient,
+  exception = 'value' AND {marks('raw', 'returned no choices', 'returned empty content')} AS content,
+  {marks('raw', 'context length', 'maximum context', 'max context', 'too many tokens', 'token limit')} AS context_length FROM said),
+two AS (SELECT *, rate_limit AND NOT daily_quota AND ({marks('m', 'temporarily rate-limited', 'retry shortly')} OR asked IS NOT NULL) AS temporary,
+  CASE WHEN exception = 'value' THEN {marks('text', 'words; need at least', 'Could not produce begin, middle, and end')} ELSE context_length END AS non_retryable,
+  transient OR content OR exception IN ('server', 'not_found', 'rate') OR coalesce(status IN (402, 403, 404, 429, 500, 502, 503), false) OR (coalesce(status = 400, false) AND {marks('raw', 'provider returned error', 'model_not_available', 'model_not_found', 'non-serverless', 'not found', 'does not exist', 'do not have access', 'no longer available', 'invalid model', 'unsupported model', 'invalid argument', 'invalid_argument')}) AS retry_other_model FROM one),
+three AS (SELECT *, retry_other_model AND NOT (transient OR content OR rate_limit OR daily_quota) AS blocks_model, least(60, coalesce(try_cast(asked AS DOUBLE) + 1, 10))::DOUBLE AS wait FROM two),
+taxonomy AS (SELECT *, CASE WHEN daily_quota THEN 'quota' WHEN rate_limit THEN 'rate' WHEN content THEN 'content' WHEN blocks_model THEN 'retry' ELSE 'other' END AS kind FROM three)
 """
-SQL["cooldown_strikes"] = f"""
-WITH {FAILURES},
-u AS (SELECT *, at_s + CASE WHEN kind = 'rate' AND strikes >= 3 THEN least(300.0, 30.0 * strikes) WHEN kind = 'rate' THEN wait WHEN kind = 'content' THEN 30.0 END AS u,
+SQL["error_taxonomy"] = f"""WITH {TAXONOMY} SELECT event_id, message, rate_limit, daily_quota, temporary, transient, content, context_length, non_retryable, retry_other_model, blocks_model, kind, wait,
+  CASE WHEN non_retryable OR daily_quota OR event_id % 13 + 1 >= 12 THEN NULL WHEN transient THEN greatest(7, 5 * (event_id % 13 + 1)) WHEN temporary THEN wait ELSE 5 * (event_id % 13 + 1) END::DOUBLE AS backoff FROM taxonomy"""
+STRIKES = f"""{TAXONOMY},
+k AS (SELECT *, sec::DOUBLE AS at_s, row_number() OVER (PARTITION BY model ORDER BY us, event_id) AS place FROM taxonomy),
+s AS (SELECT *, count(*) FILTER (kind = 'rate') OVER (PARTITION BY model ORDER BY place) AS strikes FROM k),
+u AS (SELECT *, CASE WHEN kind = 'rate' AND strikes >= 3 THEN least(300.0, 30.0 * strikes) WHEN kind = 'rate' THEN wait WHEN kind = 'content' THEN 30.0 END AS lasts,
   CASE WHEN kind IN ('quota', 'retry') THEN place END AS b, CASE WHEN kind = 'rate' AND strikes >= 3 THEN place END AS r FROM s),
-v AS (SELECT *, max(u) OVER w AS til, max(b) OVER w AS lb, max(r) OVER w AS lr FROM u WINDOW w AS (PARTITION BY model ORDER BY place)),
+v AS (SELECT *, max(at_s + lasts) OVER w AS til, max(us / 1e6 + lasts) OVER w AS fine, max(b) OVER w AS lb, max(r) OVER w AS lr FROM u WINDOW w AS (PARTITION BY model ORDER BY place)),
 p AS (SELECT *, coalesce(lb > coalesce(lr, 0), false) AS permanent FROM v)
-SELECT model, event_id, kind, strikes, til::DOUBLE AS until, permanent, permanent OR coalesce(at_s < til, false) AS blocked FROM p
 """
-SQL["cooldown_stream"] = "SELECT user_id AS model, count(*) AS strikes FROM events WHERE event_type = 'error' AND " + draw(7, "event_id", "'kind'") + " % 40 >= 8 GROUP BY user_id"
+SQL["cooldown_strikes"] = f"WITH {STRIKES} SELECT model, event_id, kind, strikes, til::DOUBLE AS until, permanent, permanent OR coalesce(at_s < til, false) AS blocked FROM p"
+SQL["cooldown_stream"] = f"WITH {STRIKES} SELECT model, max(strikes) AS strikes, round(coalesce(max(fine), 0), 3)::DOUBLE AS until, arg_max(permanent, place) AS permanent FROM p GROUP BY model"
+SQL["available_models"] = f"""WITH {STRIKES}, ends AS (SELECT model, model % 10 AS part, max(til) AS til, arg_max(permanent, place) AS permanent, max(at_s) AS at_s FROM p GROUP BY model),
+n AS (SELECT *, max(at_s) OVER (PARTITION BY part) - 40 AS now FROM ends), c AS (SELECT *, coalesce(now < til, false) AS cooling FROM n),
+g AS (SELECT part, coalesce(list_sort(list(model) FILTER (NOT permanent AND NOT cooling)), []) AS models, count(*) FILTER (permanent OR cooling) AS blocked,
+  coalesce(greatest(0.5, min(til - now) FILTER (cooling AND NOT permanent)), 0)::DOUBLE AS wait FROM c GROUP BY part)
+SELECT part, models, blocked, wait, CASE WHEN len(models) > 0 THEN models[1 + ({draw(11, 'part', "'model'")} % 2147483648) % len(models)] END AS choice FROM g"""

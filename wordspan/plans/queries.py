@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordspan.functions import errors
 from wordspan.functions import labels as L
 from wordspan.functions.once import once
 from wordspan.functions.probability import hard_label, named_label
@@ -295,34 +296,95 @@ def catalog_filter(spark, sf_dir):
     return chat.select("id", F.col("pricing.prompt").alias("prompt"), catalog.is_affordable(free_only=True).alias("free"), catalog.is_affordable(most_prompt=1.4, most_completion=1.5).alias("affordable"))
 
 
+#: Failures that events stand for: exception, status, text, and the body's message and metadata.
+FAILED = [("rate", 429, "too many requests", None, '{"retry_after_seconds": %d}')] * 20 + [
+    ("rate", 429, "slow down", "Model is temporarily rate-limited upstream", "{}"),
+    ("status", 429, "Error 429", "please RETRY SHORTLY", '{"retry_after_seconds_raw": "soon"}'),
+    ("rate", 429, "no more today", "Daily limit reached", "{}"),
+    ("status", 429, "limit_rpd exceeded", None, "{}"),
+    ("rate", 429, "wait for it", "limit", '{"headers": {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "@late"}}'),
+    ("rate", 429, "wait for it", "limit", '{"headers": {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "@soon"}}'),
+    ("value", None, "model x returned empty content", None, None),
+    ("value", None, "model y Returned No Choices", None, None),
+    ("value", None, "Text has 7 words; need at least 30", None, None),
+    ("json", None, "returned no choices", None, None),
+    ("timeout", None, "timed out", None, None),
+    ("runtime", None, "All models unavailable now", None, None),
+    ("runtime", None, "something else", None, None),
+    ("status", 400, "maximum context is 4096 tokens", None, "{}"),
+    ("status", 400, "Provider returned error: context length", None, "{}"),
+    ("status", 400, "bad request", None, "{}"),
+    ("status", 404, "no such model", None, "{}"),
+    ("server", 500, "internal error", "", "{}"),
+    ("status", 503, "overloaded", "try another", "{}"),
+    ("status", 418, "teapot", None, "[]"),
+]
+
+
+def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as failures: model, event_id, us, at (seconds), exception, status, text and body."""
+    which = draw(7, F.col("event_id"), "kind", below=F.lit(len(FAILED))).cast("int")
+    columns = [F.get(F.array(*(F.lit(row[k]) for row in FAILED)), which) for k in range(5)]
+    exception, status, text, said, metadata = columns
+    at = F.floor(F.col("us") / 1000000)
+    filled = F.replace(F.replace(F.replace(metadata, F.lit("%d"), F.col("value").cast("int").cast("string")), F.lit("@late"), ((at + 7200) * 1000).cast("string")), F.lit("@soon"), ((at + 60) * 1000).cast("string"))
+    body = F.when(metadata == "[]", metadata).otherwise(F.concat(F.lit('{"error": {"message": "'), F.coalesce(said, F.lit("")), F.lit('", "metadata": '), filled, F.lit("}}")))
+    events = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("model"), "event_id", "value", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', cast(ts AS timestamp_ntz))").alias("us"))
+    return once(events, exception=exception, status=status, text=text, body=body, at=at.cast("double")).drop("value")
+
+
+def error_taxonomy(spark, sf_dir):
+    rows = failed(spark, sf_dir)
+    f = errors.flags(*map(F.col, ("exception", "status", "body", "text", "at")))
+    attempt = (F.col("event_id") % 13).cast("int")
+    wait = errors.retry_after(errors.retry_value(F.col("body")))
+    return rows.select("event_id", errors.message(F.col("body"), F.col("text")).alias("message"), *(c.alias(n) for n, c in f.items()), errors.failure_class(f).alias("kind"), wait.alias("wait"), errors.backoff(f, attempt, wait, F.lit(7.0)).alias("backoff"))
+
+
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as failures: errors are rate limits, and hashes of the id give a few of the other kinds."""
-    which = draw(7, F.col("event_id"), "kind", below=F.lit(40))
-    kind = F.when(which == 0, "quota").when(which < 4, "retry").when(which < 8, "content").otherwise("rate")
-    return table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("model"), "event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', cast(ts AS timestamp_ntz))").alias("us"), kind.alias("kind"), cooldown.retry_after(F.when(F.col("event_id") % 3 == 0, F.col("value").cast("int").cast("string"))).alias("wait")).withColumn("at", F.floor(F.col("us") / 1000000).cast("double"))
+    """Failures by class, with the seconds to wait."""
+    kind = errors.failure_class(errors.flags(*map(F.col, ("exception", "status", "body", "text", "at"))))
+    return once(failed(spark, sf_dir), kind=kind, wait=errors.retry_after(errors.retry_value(F.col("body")))).select("model", "event_id", "us", "at", "kind", "wait")
 
 
 def cooldown_strikes(spark, sf_dir):
     return cooldown.cooldowns(failures(spark, sf_dir), ["us", "event_id"]).select("model", "event_id", "kind", "strikes", "until", "permanent", "blocked")
 
 
+#: Files that the stream of events comes in, in the order of time.
+SLICES = 4
+
+
 def cooldown_stream(spark, sf_dir):
-    """The state after the events have been read as a stream."""
-    import tempfile
-    import uuid
+    """The state of every model after the events have been read as a stream, a file at a time."""
+    base = new_path(spark, "cooldown")
+    given = staged(failures(spark, sf_dir))
+    part = corpus.key_bucket(given, "us", SLICES)
+    for k in range(SLICES):  # each written after the one before, as a stream's files are
+        given.where(part == k).select("model", (F.col("us") / 1e6).alias("at"), "kind", "wait", "at").toDF("model", "order", "kind", "wait", "at").repartition(1).write.mode("append").parquet(f"{base}/in")
+    read = spark.readStream.schema("model long, order double, kind string, wait double, at double").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    changes = cooldown.strikes_stream(read.select("model", F.col("order").alias("at"), "kind", "wait"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{base}/out")
+
+    changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    last = F.max(F.struct("batch", "strikes", "until", "permanent")).alias("s")
+    return spark.read.schema("model long, strikes long, until double, permanent boolean, batch int").parquet(f"{base}/out").groupBy("model").agg(last).select("model", "s.strikes", F.round("s.until", 3).alias("until"), "s.permanent")
+
 
-    given = failures(spark, sf_dir).select("model", "at", "kind", "wait", "us", "event_id")
-    base = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()).rstrip("/") + f"/cooldown-{uuid.uuid4().hex}"
-    given.withColumn("at", F.col("us") / 1e6).write.parquet(f"{base}/in")
-    name = f"cooldown_{uuid.uuid4().hex}"
-    read = spark.readStream.schema(given.schema).parquet(f"{base}/in")
-    run = cooldown.strikes_stream(read.select("model", "at", "kind", "wait")).writeStream.outputMode("update").format("memory").queryName(name).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).groupBy("model").agg(F.max("strikes").alias("strikes"))
+def available_models(spark, sf_dir):
+    """Which of a group's models may be asked at the end of the events, and one drawn from them."""
+    last = failures(spark, sf_dir)
+    state = cooldown.cooldowns(last, ["us", "event_id"]).groupBy("model").agg(F.max(F.struct("us", "event_id", "until", "permanent", "at")).alias("s"))
+    ends = state.select("model", "s.until", "s.permanent", (F.col("model") % 10).alias("part"), F.col("s.at").alias("at"))
+    now = ends.groupBy("part").agg((F.max("at") - 40).alias("now"))
+    out = cooldown.available(ends.join(now, "part"), F.col("now"), "part")
+    return out.withColumn("choice", cooldown.picked(F.col("models"), draw(11, F.col("part"), "model", below=F.lit(1 << 31))))
 
 
 ALL = [
     word_profile_by_lang, word_profile_by_source_file, shortest_longest_per_group, upper_median_lengths, filtered_index_range, source_point_lookup, prefix_source_match, sentence_segments, prefix_suffix_split, three_part_split,
     append_plan, sandwich_plan, prompt_plan, mixed_labels, conversation_word_labels, label_boundaries, detect_mode_distribution, label_segments, label_segments_whole, one_class_windows, labelled_one_class_windows, boundary_windows, window_audit, merged_split_counts,
-    chunk_manifest, chunk_range_prune, subword_label_alignment, subword_label_alignment_whole, padded_label_batches, first_subword_probs, truncation_fallback, confusion_f1, average_precision, reward, model_comparison, document_prob_broadcast, threshold_vs_round, catalog_filter, cooldown_strikes, cooldown_stream,
+    chunk_manifest, chunk_range_prune, subword_label_alignment, subword_label_alignment_whole, padded_label_batches, first_subword_probs, truncation_fallback, confusion_f1, average_precision, reward, model_comparison, document_prob_broadcast, threshold_vs_round, catalog_filter, error_taxonomy, cooldown_strikes, cooldown_stream, available_models,
 ]

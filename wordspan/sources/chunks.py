@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import is_valid
@@ -55,3 +55,46 @@ def summary(samples: DataFrame, *by: str) -> DataFrame:
     """n, first and last index in stored order (column pos), average words and labels, and the models, sorted."""
     ends = [f(F.struct("pos", "idx"))["idx"].alias(n) for f, n in ((F.min, "first_idx"), (F.max, "last_idx"))]
     return samples.groupBy(*by).agg(F.count("*").alias("n"), *ends, F.avg(word_count(F.col("text"))).alias("avg_words"), F.avg(F.size("labels")).alias("avg_labels"), F.sort_array(F.collect_set("model")).alias("models"))
+
+
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """name (split_lo_hi), split, chunk_id, lo, hi and n of every stored chunk; `place` is the order of the names."""
+    found = manifest(read(spark, path), "split", "chunk_id")
+    named = found.withColumn("name", F.concat_ws("_", "split", F.col("lo").cast("string"), F.col("hi").cast("string")))
+    return named.withColumn("place", F.row_number().over(Window.partitionBy("split").orderBy("name")))
+
+
+def read_range(spark: SparkSession, path: str, split: str, start: int, end: int) -> DataFrame:
+    """A split's samples with start <= idx < end; folders of chunks that can't hold any are not read."""
+    if start < 0 or end <= start:
+        raise ValueError("need 0 <= start < end")
+    chunks = [r["chunk_id"] for r in overlapping(manifest(read(spark, path, [split]), "chunk_id"), start, end).select("chunk_id").collect()]
+    return read(spark, path, [split]).where(F.col("chunk_id").isin(chunks) & (F.col("idx") >= start) & (F.col("idx") < end))
+
+
+def faults(samples: DataFrame) -> DataFrame:
+    """n, valid, and samples dropped because their labels don't fit their words or aren't 0 and 1, by split."""
+    words = F.size(tokens(F.col("text")))
+    fits, binary = words == F.size("labels"), F.forall("labels", lambda x: x.isin(0, 1))
+    return samples.groupBy("split").agg(F.count("*").alias("n"), F.count_if(fits & binary).alias("valid"), F.count_if(~fits).alias("misaligned"), F.count_if(fits & ~binary).alias("bad_labels"))
+
+
+#: Models named in a preview.
+SHOWN = 5
+
+
+def models_preview(models: Column) -> Column:
+    """The first few of sorted models, and how many more there are."""
+    more = F.size(models) - SHOWN
+    return F.concat(F.array_join(F.slice(models, 1, SHOWN), ", "), F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(""))
+
+
+def ready(slots: DataFrame, chunk_size: int, first: int = 0) -> DataFrame:
+    """Chunks of result slots (split, idx, status) that can be written: every slot is resolved, and not all are skipped.
+
+    split, chunk_id, n (samples to write) and dropped (slots without a sample).
+    """
+    chunk = chunk_of(F.col("idx"), chunk_size, first)
+    done = F.col("status").isin("generated", "skipped", "failed")
+    out = slots.groupBy("split", chunk.alias("chunk_id")).agg(F.bool_and(F.coalesce(done, F.lit(False))).alias("whole"), F.count_if(F.col("status") == "generated").alias("n"), F.count("*").alias("slots"))
+    return out.where("whole AND n > 0").select("split", "chunk_id", "n", (F.col("slots") - F.col("n")).alias("dropped"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,30 +14,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 STRIKES, A_STRIKE, LONGEST, AFTER_EMPTY = 3, 30.0, 300.0, 30.0
 
 
-def error_class(status: Column, message: Column) -> Column:
-    """quota, rate, content, length, retry or other, by the first rule that applies."""
-    text = F.lower(F.coalesce(message, F.lit("")))
-    has = lambda *marks: F.lit(False) if not marks else has(*marks[1:]) | text.contains(marks[0])
-    return (
-        F.when(has("daily limit", "limit_rpd"), "quota")
-        .when(status == 429, "rate")
-        .when(has("returned no choices", "returned empty content"), "content")
-        .when(has("context length", "maximum context", "max context", "too many tokens", "token limit"), "length")
-        .when(status.isin(402, 403, 404, 500, 502, 503), "retry")
-        .when((status == 400) & has("provider returned error", "model_not_available", "model_not_found", "non-serverless", "not found", "does not exist", "do not have access", "no longer available", "invalid model", "unsupported model", "invalid argument", "invalid_argument"), "retry")
-        .otherwise("other")
-    )
-
-
-def retry_after(value: Column) -> Column:
-    """Seconds to wait: one more than asked for, a minute at most, ten if nothing is said."""
-    return F.least(F.lit(60.0), F.coalesce(value.try_cast("double") + 1, F.lit(10.0)))
-
-
 def cooldowns(failures: DataFrame, order: list[str]) -> DataFrame:
     """Adds strikes, until (seconds; only ever grows), permanent and blocked to failures (model, at in seconds, kind, wait).
 
-    kind is that of error_class. The third rate-limit strike and later ones end a permanent block.
+    kind is that of errors.failure_class. The third rate-limit strike and later ones end a permanent block.
     """
     by = Window.partitionBy("model").orderBy(*order)
     upto = by.rowsBetween(Window.unboundedPreceding, 0)
@@ -51,23 +32,48 @@ def cooldowns(failures: DataFrame, order: list[str]) -> DataFrame:
     return out.withColumn("blocked", F.col("permanent") | F.coalesce(F.col("at") < F.col("until"), F.lit(False))).drop("_u", "_block", "_free")
 
 
+#: Fixed value: the least time to wait for a model.
+LEAST_WAIT = 0.5
+
+
+def available(states: DataFrame, at: Column, *by: str) -> DataFrame:
+    """Models that may be asked at a time, and how long to wait for the next, of states (model, until, permanent).
+
+    models (sorted), blocked, and wait: 0 if no cooldown runs, else the shortest that is left, half a second at least.
+    """
+    cooling = F.coalesce(at < F.col("until"), F.lit(False))
+    free = ~F.col("permanent") & ~cooling
+    left = F.min(F.when(cooling & ~F.col("permanent"), F.col("until") - at))
+    return states.groupBy(*by).agg(F.sort_array(F.collect_set(F.when(free, F.col("model")))).alias("models"), F.count_if(~free).alias("blocked"), F.coalesce(F.greatest(F.lit(LEAST_WAIT), left), F.lit(0.0)).alias("wait"))
+
+
+def picked(models: Column, number: Column) -> Column:
+    """One of the models, each as likely as the others; null if there is none. `number`: a whole random number."""
+    return F.when(F.size(models) > 0, F.get(models, (number % F.greatest(F.size(models), F.lit(1))).cast("int")))
+
+
+def after(strikes: int, until: float, permanent: bool, at: np.ndarray, kind: np.ndarray, wait: np.ndarray) -> tuple[int, float, bool]:
+    """A model's state after failures, given in any order; as arrays, a few bytes for each."""
+    order = np.argsort(at, kind="stable")
+    at, kind, wait = at[order], kind[order], wait[order]
+    rate = kind == "rate"
+    count = strikes + np.cumsum(rate)
+    forgives = rate & (count >= STRIKES)
+    lasts = np.where(forgives, np.minimum(LONGEST, A_STRIKE * count), np.where(rate, wait, np.where(kind == "content", AFTER_EMPTY, -np.inf)))
+    changes = np.flatnonzero(forgives | (kind == "quota") | (kind == "retry"))
+    return int(count[-1]), float(max(until, (at + lasts).max())), bool(~forgives[changes[-1]]) if len(changes) else permanent
+
+
 def strikes_stream(failures: DataFrame) -> DataFrame:
     """For a stream of failures (model, at, kind, wait): model, strikes, until and permanent after each micro-batch.
 
-    State is three numbers a model. Events of a batch are taken in the order of `at`.
+    State is three numbers a model. Events of a batch are taken in the order of `at`; batches must come in that order.
     """
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         strikes, until, permanent = state.get if state.exists else (0, 0.0, False)
-        for _, r in pd.concat(list(frames)).sort_values("at", kind="stable").iterrows():
-            if r["kind"] == "rate":
-                strikes += 1
-                lasts = min(LONGEST, A_STRIKE * strikes) if strikes >= STRIKES else float(r["wait"])
-                until, permanent = max(until, float(r["at"]) + lasts), permanent and strikes < STRIKES
-            elif r["kind"] == "content":
-                until = max(until, float(r["at"]) + AFTER_EMPTY)
-            elif r["kind"] in ("quota", "retry"):
-                permanent = True
+        columns = zip(*([f[c].to_numpy() for c in ("at", "kind", "wait")] for f in frames), strict=True)
+        strikes, until, permanent = after(strikes, until, permanent, *map(np.concatenate, columns))
         state.update((strikes, until, permanent))
         yield pd.DataFrame({"model": [key[0]], "strikes": [strikes], "until": [until], "permanent": [permanent]})
 
