@@ -114,6 +114,36 @@ def test_ngram_join(docs, none):
     assert near_documents(none).count() == 0
 
 
+def test_regions_join_recursively(spark, monkeypatch):
+    """Families around a few texts, at all distances, in regions of many blocks, against brute force."""
+    from wordspan.llm import ngram_join
+
+    random.seed(21)
+    texts = []
+    for family in range(6):
+        base = [f"f{family}w{k}" for k in range(70)]
+        for _ in range(70):
+            words = list(base)
+            for at in random.sample(range(70), random.choice([0, 1, 2, 4, 8, 12, 16])):
+                words[at] = f"x{random.randint(0, 3)}"
+            texts.append(" ".join(words))
+    sets = [frozenset(tuple(t.split()[k : k + 5]) for k in range(66)) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    cut, parts = ngram_join.divided, []
+    monkeypatch.setattr(ngram_join, "divided", lambda *a: parts.append(cut(*a)) or parts[-1])
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in near_documents(df).collect()} == dict(enumerate(root))
+    assert sum(p.where("part <> 0").count() for p in parts) > 50
+    assert len(set(root)) > 6
+
+
 def test_sharding(docs, none):
     got = shard_documents(docs, 4).collect()
     texts = {i: t for i, t, *_ in corpus()}

@@ -2,22 +2,24 @@
 
 Equal sets are one node. A set's prefix in a global order of n-grams (rare ones first) meets the prefix of every set
 within the distance, so nodes are within reach of each other only if they share a cell, the nodes of one prefix
-n-gram. The smallest node of a cell is its pivot, and a node's Voronoi region is that of the pivot it shares most
-cells with. Distances to pivots are exact: nodes within the distance link to their pivot; the others are compared with
+n-gram. The smallest node of a cell is its pivot, and a node's Voronoi region is that of the nearest pivot among its
+cells'. Distances to pivots are exact: nodes within the distance link to their pivot; the others are compared with
 each other and with those covered nodes that the triangle inequality leaves in reach. Cells that span regions give
-pairs of regions, whose boundary nodes, again by the triangle inequality, are sent to the pair and compared. Only
-links that connectivity needs are returned.
+pairs of regions, whose boundary nodes, again by the triangle inequality, are sent to the pair and compared. A region,
+or pair, with too much to compare is joined recursively: new pivots are drawn from it, its nodes go to the nearest and,
+as boundary nodes, to all that the triangle inequality leaves in reach. Only links that connectivity needs are returned.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordspan.llm.common import arrow_pass, commonest, stage, texts
@@ -30,6 +32,8 @@ DISTANCE = 1 - NEAR / WHOLE
 MOST_FREQUENT, FILTER_BITS, BLOCK = 1 << 18, 1 << 25, 1000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SLACK = 1e-9
+#: Pivots drawn from a region that is joined recursively, and how far the comparisons must fall for its split to stand.
+PIVOTS, WORTH = 8, 0.9
 #: A set's prefix has 1/LONGER of its n-grams more than needed: two sets within the distance, n and m in size, then share
 #: 1 + min(n, m) // LONGER cells or more.
 LONGER = 10
@@ -156,7 +160,8 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def linker(across: bool):
     """Links within a group of nodes: those of side 0 with those of side 1 and, unless `across`, with each other.
 
-    A group holds one block or two; with two, only pairs of one from each are looked at. An inverted index over the
+    A pair counts where one of the two is at home (core). A group holds one block or two; with two, only pairs of one
+    from each are looked at. An inverted index over the
     group's sets gives a node's intersections with all others at once. Pairs that earlier links connect are left out.
     """
 
@@ -165,6 +170,7 @@ def linker(across: bool):
         pdf = pdf.sort_values("x", ignore_index=True)
         sets = [np.frombuffer(c, np.uint64) for c in pdf["codes"]]
         size, side, block, own = np.array(list(map(len, sets))), pdf["side"].to_numpy(), pdf["block"].to_numpy(), pdf["x"].to_numpy()
+        core = pdf["core"].to_numpy()
         flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
@@ -175,7 +181,7 @@ def linker(across: bool):
             at = np.repeat(start - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
             both = np.bincount(owner[at], minlength=len(sets))
             ok = WHOLE * both >= NEAR * (size[x] + size - both)
-            ok &= (block == (j if block[x] == i else i)) & (root != root[x])
+            ok &= (block == (j if block[x] == i else i)) & (root != root[x]) & (core | core[x])
             for y in np.flatnonzero(ok & (side == 1) if across else ok):
                 if root[x] != root[y]:
                     found.append((own[x], own[y]))
@@ -185,10 +191,55 @@ def linker(across: bool):
     return work
 
 
+def to_compare(across: bool) -> Column:
+    """The comparisons of a region, over its rows."""
+    apart, other = F.count_if(F.col("side") == 0), F.count_if(F.col("side") == 1)
+    return apart * (other if across else F.count("*"))
+
+
+def divided(rows: DataFrame, sets: DataFrame, group: list[str], across: bool) -> DataFrame:
+    """Rows (group, x, side) with part and core: regions with over BLOCK * BLOCK comparisons are cut around new pivots.
+
+    A node goes to its nearest pivot, where it is core if it was before, and to every part whose core nodes it may be
+    within the distance of: by the triangle inequality its distance from each pivot is within the window that those
+    nodes' distances span, widened by the join's distance, and no more than twice that farther than its nearest pivot.
+    A region stays whole where its parts would have nearly as much to compare; `compared` cuts it into blocks.
+    """
+    whole = [*group, "part"]
+    todo = rows.select(*group, F.lit(0).cast("long").alias("part"), "x", "side", F.lit(True).alias("core"))
+    done, level = [], 0
+    while True:
+        work = todo.groupBy(*whole).agg(to_compare(across).alias("work"), F.count("*").alias("n")).where(F.col("work") > BLOCK * BLOCK)
+        large = stage(work)
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, done, todo)
+        done.append(todo.join(large, whole, "left_anti"))
+        open_ = stage(todo.join(large, whole))
+        drawn = F.pmod(F.xxhash64(F.lit(37 + level), "x"), F.col("n")) < PIVOTS
+        pivots = open_.where(drawn & F.col("core")).select(*whole, F.col("x").alias("pivot")).distinct()
+        pairs = stage(open_.join(pivots, whole))
+        near = distances(pairs.select("x", F.col("pivot").alias("p")).distinct(), sets).select("x", F.col("p").alias("pivot"), "d")
+        near = pairs.join(near, ["x", "pivot"]).groupBy(*whole, "x").agg(F.sort_array(F.collect_list(F.struct("pivot", "d"))).alias("ds"), F.min(F.struct("d", "pivot")).alias("home"), *(F.first(c).alias(c) for c in ("side", "core", "work")))
+        near = stage(near)
+        # the distances from every pivot that the core nodes of a part have
+        spans = near.where("core").select(*whole, F.col("home.pivot").alias("at"), F.explode("ds").alias("e")).groupBy(*whole, "at", F.col("e.pivot").alias("pivot")).agg(F.min("e.d").alias("least"), F.max("e.d").alias("most"))
+        windows = spans.groupBy(*whole, "at").agg(F.sort_array(F.collect_list(F.struct("pivot", "least", "most"))).alias("window"))
+        inside = F.forall(F.zip_with("ds", "window", lambda d, w: d["d"].between(w["least"] - DISTANCE - SLACK, w["most"] + DISTANCE + SLACK)), lambda ok: ok)
+        to_it = F.filter("ds", lambda d: d["pivot"] == F.col("at"))[0]["d"]
+        placed = near.join(windows, whole).where(inside & (to_it <= F.col("home.d") + 2 * DISTANCE + SLACK))
+        placed = stage(placed.select(*whole, F.xxhash64("part", "at", F.lit(level)).alias("new"), "x", "side", (F.col("core") & (F.col("at") == F.col("home.pivot"))).alias("core"), "work"))
+        parts = placed.groupBy(*whole, "new").agg(to_compare(across).alias("own"), F.first("work").alias("work"))
+        good = stage(parts.groupBy(*whole).agg(F.sum("own").alias("own"), F.first("work").alias("work")).where(F.col("own") < WORTH * F.col("work")).select(*whole))
+        done.append(open_.join(good, whole, "left_anti").select(*whole, "x", "side", "core"))
+        todo = placed.join(good, whole, "left_semi").select(*group, F.col("new").alias("part"), "x", "side", "core")
+        level += 1
+
+
 def compared(rows: DataFrame, sets: DataFrame, group: list[str], across: bool) -> DataFrame:
-    """a, b: links among the rows (group, x, side) of each group, by blocks."""
-    counts = rows.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(counts, group).withColumn("block", F.pmod(F.xxhash64(F.lit(31), "x"), F.col("blocks")).cast("int"))
+    """a, b: links among the rows (group, x, side) of each group, by parts and blocks."""
+    cut, group = stage(divided(stage(rows), sets, group, across)), [*group, "part"]
+    counts = cut.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = cut.join(counts, group).withColumn("block", F.pmod(F.xxhash64(F.lit(31), "x"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     full = dealt.join(sets.select(F.col("id").alias("x"), "codes"), "x")
@@ -222,10 +273,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cells = stage(cells.join(pivots, "cell").select("cell", F.col("node").alias("x"), "n", "p"))
     sets = stage(sets_of(docs, cells.select(F.col("x").alias("id")).distinct(), id_col, text_col))
 
-    # Regions: the pivot that a node shares most cells with. A node that is the pivot of all its cells is its own.
-    met = cells.where("x <> p").groupBy("x", "p").agg(F.count("*").alias("n"))
-    home = met.groupBy("x").agg(F.max(F.struct("n", (-F.col("p")).alias("p"))).alias("m")).select("x", (-F.col("m.p")).alias("p"))
-    members = stage(distances(home, sets))
+    # Regions: the nearest pivot of a node's cells. A node that is the pivot of all its cells is its own.
+    met = cells.where("x <> p").select("x", "p").distinct()
+    home = F.min(F.struct("d", "p", "near")).alias("m")
+    members = stage(distances(met, sets).groupBy("x").agg(home).select("x", "m.p", "m.d", "m.near"))
     links = members.where("near").select(F.col("x").alias("a"), F.col("p").alias("b"))
     reach = members.where("not near").groupBy("p").agg(F.min("d").alias("from"))
     window = members.join(reach, "p").where(~F.col("near") | (F.col("d") >= F.col("from") - DISTANCE - SLACK))
