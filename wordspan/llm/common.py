@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 #: Bytes of an Arrow batch that are worked on at once.
 BATCH_BYTES = 16 << 20
+#: Rows of an Arrow batch between Spark and Python: whole texts are wide rows, and a batch is held on both sides.
+BATCH_ROWS = 4000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; what is made of it goes through Python in narrow batches."""
+    narrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +42,13 @@ def stage(df: DataFrame, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrow_batches(spark: SparkSession) -> None:
+    """Lowers the rows of a batch to BATCH_ROWS for the session's queries; what is lower already stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -64,6 +75,8 @@ def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.R
             for part in parts(batch, most_bytes):
                 if (out := turn(part)) is not None:
                     yield out
+        del turn  # workers are used again by other tasks: nothing of this one stays
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordspan.llm.common import arrow_pass, stage, texts, where_arrow
+from wordspan.llm.common import arrow_pass, parts, stage, texts, where_arrow
 
 #: Labelled rows that models learn from at most.
 MOST_LABELLED = 200_000
@@ -33,11 +33,29 @@ STEM = 6
 SEPARATE = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
 
 
-def word_codes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit code for each word of the lower-cased text, and one for its stem."""
-    words = text.lower().translate(SEPARATE).split()
-    made = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    return made.view(np.int64), np.fromiter((xxhash.xxh64_intdigest(w[:STEM]) for w in words), np.uint64, len(words)).view(np.int64)
+#: Words that a task keeps the codes of at once, and bytes of text it works on at once.
+MOST_HELD, PART_BYTES = 200_000, 4 << 20
+
+
+class Words(dict):
+    """Places of words in the order they were met, with a 64-bit code for each and one for its stem."""
+
+    def __init__(self):
+        self.codes: list[int] = []
+        self.stems: list[int] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self.codes)
+        self.codes.append(xxhash.xxh64_intdigest(word))
+        self.stems.append(xxhash.xxh64_intdigest(word[:STEM]))
+        return at
+
+    def of(self, text: str) -> np.ndarray:
+        """The places of the words of the lower-cased text."""
+        return np.array(list(map(self.__getitem__, text.lower().translate(SEPARATE).split())), np.int64)
+
+    def arrays(self, since: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.array(x[since:], np.uint64).view(np.int64) for x in (self.codes, self.stems))
 
 
 def places(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -78,36 +96,51 @@ class Model:
 
     def ratios(self, values: list[str]) -> np.ndarray:
         """Each text's log-likelihood ratio a word."""
-        return self.ratios_by_cut(values, [0.0])[:, 0]
-
-    def ratios_by_cut(self, values: list[str], cuts) -> np.ndarray:
-        """The same for each of several cuts, as columns."""
-        out = np.zeros((len(values), len(cuts)))
-        for i, text in enumerate(values):
-            codes = word_codes(text)
-            if n := len(codes[0]):
-                own = self.ratio[self.units(codes)]
-                size = np.abs(own)
-                out[i] = [own[size > c].sum() / max(n, LEAST_WORDS) for c in cuts]
-        return out
+        return Reader(self).by_cut(values, [0.0])[:, 0]
+
+
+class Reader:
+    """Reads texts by a model; the ratio of a word is looked up once while the word is held."""
+
+    def __init__(self, model: Model):
+        self.model, self.words, self.ratio = model, Words(), np.zeros(0)
+
+    def by_cut(self, values: list[str], cuts) -> np.ndarray:
+        """Each text's log-likelihood ratio a word, without ratios up to each of several cuts, as columns."""
+        if len(self.words) > MOST_HELD:
+            self.words, self.ratio = Words(), np.zeros(0)
+        found = list(map(self.words.of, values))
+        if len(self.words) > len(self.ratio):
+            self.ratio = np.concatenate([self.ratio, self.model.ratio[self.model.units(self.words.arrays(len(self.ratio)))]])
+        by_cut = [np.where(np.abs(self.ratio) > c, self.ratio, 0.0) if c else self.ratio for c in cuts]
+        return np.array([[r[own].sum() / max(len(own), LEAST_WORDS) for r in by_cut] for own in found]).reshape(len(values), len(cuts))
 
     def scores(self, values: list[str]) -> np.ndarray:
-        slope, shift = self.curve
-        return 1 / (1 + np.exp(-np.clip(slope * self.ratios(values) + shift, -40, 40)))
+        slope, shift = self.model.curve
+        return 1 / (1 + np.exp(-np.clip(slope * self.by_cut(values, [0.0])[:, 0] + shift, -40, 40)))
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """code, stem, n: how often each word occurs in the corpus."""
+    """code, stem, n: how often each word occurs in the corpus. A task adds up the words it holds before it sends them."""
 
-    def each():
-        def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            code, stem = map(np.concatenate, zip(*map(word_codes, texts(batch, text_col)), strict=True))
-            code, first, n = np.unique(code, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(stem[first]), pa.array(n)], ["code", "stem", "n"])
+    def run(batches):
+        words, n = Words(), np.zeros(0, np.int64)
 
-        return turn
+        def counted():
+            code, stem = words.arrays()
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(stem), pa.array(n)], ["code", "stem", "n"])
+
+        for batch in batches:
+            for part in parts(batch, PART_BYTES):
+                met = np.concatenate([words.of(t) for t in texts(part, text_col)])
+                n = np.bincount(met, minlength=len(words)) + np.pad(n, (0, len(words) - len(n)))
+                if len(words) > MOST_HELD:
+                    yield counted()
+                    words, n = Words(), np.zeros(0, np.int64)
+        yield counted()
 
-    return arrow_pass(docs.select(text_col), each, "code long, stem long, n long").groupBy("code").agg(F.min("stem").alias("stem"), F.sum("n").alias("n"))
+    made = docs.select(text_col).mapInArrow(run, "code long, stem long, n long")
+    return made.groupBy("code").agg(F.min("stem").alias("stem"), F.sum("n").alias("n"))
 
 
 CLASSES = ("ordinary", "toxic")
@@ -119,20 +152,21 @@ def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
 
     def each():
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found: dict[tuple[int, int], list[np.ndarray]] = {}
+            words, found = Words(), {}
             for t, y, half in zip(texts(batch, text_col), batch.column("toxic").to_pylist(), batch.column("half").to_pylist(), strict=True):
-                code = word_codes(t)[0]
-                # the word before, in 32 bits: only within the pairs of one word must it be told apart
-                before = np.concatenate([[0], code])[:-1] >> 32
-                found.setdefault((y, half), []).append(np.stack([code, before], axis=1))
-            rows = {key: np.unique(np.concatenate(own), axis=0) for key, own in found.items()}
-            code, before = (np.concatenate([r[:, k] for r in rows.values()]) for k in (0, 1))
+                own = words.of(t)
+                found.setdefault((y, half), []).append(np.concatenate([[-1], own])[:-1] << 32 | own)
+            rows = {key: np.unique(np.concatenate(own)) for key, own in found.items()}
+            pair = np.concatenate(list(rows.values()))
+            code = words.arrays()[0]
+            # the word before, in 32 bits: only within the pairs of one word must it be told apart
+            before = np.concatenate([code, [0]])[pair >> 32] >> 32 if len(code) else pair
             y, half = (np.repeat(np.array([key[k] for key in rows], np.int32), list(map(len, rows.values()))) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(before.astype(np.int32)), pa.array(y), pa.array(half)], ["code", "before", "toxic", "half"])
+            return pa.RecordBatch.from_arrays([pa.array(code[pair & 0xFFFFFFFF]), pa.array(before.astype(np.int32)), pa.array(y), pa.array(half)], ["code", "before", "toxic", "half"])
 
         return turn
 
-    pairs = arrow_pass(labelled.select(text_col, "toxic", "half"), each, "code long, before int, toxic int, half int")
+    pairs = arrow_pass(labelled.select(text_col, "toxic", "half"), each, "code long, before int, toxic int, half int", PART_BYTES)
     met = pairs.groupBy("code", "before", "toxic").agg(F.bit_or("half").alias("half"))
     in_ = {"first": F.col("half").bitwiseAND(F.lit(1)) > 0, "second": F.col("half").bitwiseAND(F.lit(2)) > 0, "whole": F.lit(True)}
     return met.groupBy("code").agg(*(F.count_if(in_[h] & (F.col("toxic") == y)).alias(f"{h}_{c}") for h in HALVES for y, c in enumerate(CLASSES)))
@@ -216,18 +250,20 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     sent = spark.sparkContext.broadcast({2: learnt(known, "first")[0], 1: learnt(known, "second")[0]})
 
     def each():
+        readers = {h: Reader(model) for h, model in sent.value.items()}
+
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             values, half = texts(batch, text_col), batch.column("half").to_numpy()
             x = np.zeros((len(values), len(CUTS)))
-            for h, model in sent.value.items():
+            for h, reader in readers.items():
                 own = np.flatnonzero(half == h)
-                x[own] = model.ratios_by_cut([values[i] for i in own], CUTS)
+                x[own] = reader.by_cut([values[i] for i in own], CUTS)
             return pa.RecordBatch.from_arrays([*map(pa.array, x.T), batch.column("toxic")], [*(f"x{k}" for k in range(len(CUTS))), "y"])
 
         return turn
 
     kinds = ", ".join(f"x{k} double" for k in range(len(CUTS)))
-    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int").toPandas()
+    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int", PART_BYTES).toPandas()
     y = rows["y"].to_numpy(float)
     curves = [fit_curve(rows[f"x{k}"].to_numpy(float), y) for k in range(len(CUTS))]
     best = min(range(len(CUTS)), key=lambda k: curves[k][2])
@@ -241,12 +277,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def each():
-        def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(sent.value.scores(texts(batch, text_col)))], ["doc_id", "score"])
-
-        return turn
+        reader = Reader(sent.value)
+        return lambda batch: pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(reader.scores(texts(batch, text_col)))], ["doc_id", "score"])
 
-    return arrow_pass(docs.select(id_col, text_col), each, "doc_id long, score double")
+    return arrow_pass(docs.select(id_col, text_col), each, "doc_id long, score double", PART_BYTES)
 
 
 def ordinary(docs: DataFrame, model: Model, from_score: float = 0.7, text_col: str = "text") -> DataFrame:
@@ -254,6 +288,7 @@ def ordinary(docs: DataFrame, model: Model, from_score: float = 0.7, text_col: s
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def each():
-        return lambda batch: (sent.value.scores(texts(batch, text_col)) < from_score).tolist()
+        reader = Reader(sent.value)
+        return lambda batch: (reader.scores(texts(batch, text_col)) < from_score).tolist()
 
     return where_arrow(docs, each)
