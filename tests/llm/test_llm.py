@@ -540,3 +540,10 @@ def test_memo_is_bounded_and_exact():
             assert got == b"".join(f"<{x}>".encode() for x in [first, *(" " + x for x in rest)])
         assert chunks.size <= 3000
     assert list(Chunks(lambda some: [x.encode() for x in some]).encoded(["a b  c", ""])) == [b"a b  c", b""]
+
+
+def test_sharding_keeps_columns_of_any_name(docs):
+    named = docs.select("doc_id", "text", *(F.lit(7).alias(c) for c in ("_h", "_t", "_cell", "_first")))
+    got = shard_documents(named, 4)
+    assert {"_h", "_t", "_cell", "_first"} <= set(got.columns)
+    assert got.agg(F.min("_h"), F.max("_t"), F.sum("_cell") / F.count("*"), F.min("_first")).first()[:] == (7, 7, 7.0, 7)

@@ -18,7 +18,7 @@ from wordspan.llm.common import shuffle_width, stage
 #: Bits of the key that one round resolves: a round collects at most 2**STEP counts for each open splitter.
 STEP = 12
 #: The two hashes of the key, each 64 bits, are read as one string of digits of STEP bits; the last digit is short.
-DIGITS = [(part, max(0, 64 - STEP * (k + 1)), min(STEP, 64 - STEP * k)) for part in ("_h", "_t") for k in range(-(-64 // STEP))]
+DIGITS = [(part, max(0, 64 - STEP * (k + 1)), min(STEP, 64 - STEP * k)) for part in ("__h", "__t") for k in range(-(-64 // STEP))]
 
 
 def digit(k: int) -> Column:
@@ -43,14 +43,14 @@ def splitters(keys: DataFrame, n_shards: int, tolerance: float, whole_below: flo
             break
         bins = [digit(j) for j in range(k)]
         path = F.concat_ws(".", *bins) if k else F.lit("")
-        counted = keys.withColumn("_path", path)
+        counted = keys.withColumn("__path", path)
         if k:
-            counted = counted.where(F.col("_path").isin(sorted({".".join(map(str, p)) for p in waiting.values()})))
-        rows = counted.groupBy("_path", digit(k).alias("_digit")).agg(F.sum("size").alias("n")).collect()
+            counted = counted.where(F.col("__path").isin(sorted({".".join(map(str, p)) for p in waiting.values()})))
+        rows = counted.groupBy("__path", digit(k).alias("__digit")).agg(F.sum("size").alias("n")).collect()
         found: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for r in rows:
-            prefix = tuple(map(int, r["_path"].split("."))) if r["_path"] else ()
-            found.setdefault(prefix, []).append((r["_digit"], r["n"]))
+            prefix = tuple(map(int, r["__path"].split("."))) if r["__path"] else ()
+            found.setdefault(prefix, []).append((r["__digit"], r["n"]))
         opened = {}
         for i, prefix in list(waiting.items()):
             steps = sorted(found[prefix])
@@ -87,19 +87,19 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.002
     slot are replaced.
     """
     spark = docs.sparkSession
-    keyed = docs.drop("size", "shard", "slot").withColumns({"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1, "_h": F.xxhash64(F.col(text_col)), "_t": F.xxhash64(F.lit(7), F.col(id_col))})
-    keys = stage(keyed.select("_h", "_t", "size"))
+    keyed = docs.drop("size", "shard", "slot").withColumns({"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1, "__h": F.xxhash64(F.col(text_col)), "__t": F.xxhash64(F.lit(7), F.col(id_col))})
+    keys = stage(keyed.select("__h", "__t", "size"))
     bounds, _ = splitters(keys, n_shards, tolerance, whole_below)
     shard = sum((at_or_after(b).cast("int") for b in bounds if b), F.lit(0))
     n = keys.count()
     cells = max(-(-2 * shuffle_width(spark) // n_shards), -(-n // (n_shards * rows_a_cell)), 1)
-    place = {"shard": shard.cast("int"), "_cell": F.pmod(F.shiftright("_t", 20), F.lit(cells)).cast("int")}
-    counts = sorted((r["shard"], r["_cell"], r["n"]) for r in keys.withColumns(place).groupBy("shard", "_cell").agg(F.count("*").alias("n")).collect())
+    place = {"shard": shard.cast("int"), "__cell": F.pmod(F.shiftright("__t", 20), F.lit(cells)).cast("int")}
+    counts = sorted((r["shard"], r["__cell"], r["n"]) for r in keys.withColumns(place).groupBy("shard", "__cell").agg(F.count("*").alias("n")).collect())
     firsts, so_far = [], {}
     for s, c, m in counts:
         firsts.append((s, c, so_far.get(s, 0)))
         so_far[s] = so_far.get(s, 0) + m
     # At most n_shards * cells rows: two for each shuffle partition, or one for rows_a_cell documents.
-    offsets = spark.createDataFrame(firsts, "shard int, _cell int, _first long")
-    within = Window.partitionBy("shard", "_cell").orderBy("_h", "_t", id_col, text_col)
-    return keyed.withColumns(place).join(F.broadcast(offsets), ["shard", "_cell"]).withColumn("slot", F.col("_first") + F.row_number().over(within) - 1).select(*[c for c in docs.columns if c not in ("size", "shard", "slot")], "size", "shard", "slot")
+    offsets = spark.createDataFrame(firsts, "shard int, __cell int, __first long")
+    within = Window.partitionBy("shard", "__cell").orderBy("__h", "__t", id_col, text_col)
+    return keyed.withColumns(place).join(F.broadcast(offsets), ["shard", "__cell"]).withColumn("slot", F.col("__first") + F.row_number().over(within) - 1).select(*[c for c in docs.columns if c not in ("size", "shard", "slot")], "size", "shard", "slot")
