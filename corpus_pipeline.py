@@ -42,10 +42,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     most = docs.agg(F.max("doc_id")).first()[0] or 0
     room = min((1 << 63) - 1 - max(most, 0), 1 << 62)
     key = F.coalesce("doc_id", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(room)) + F.lit(max(most, 0) + 1))
-    keyed = docs.withColumn("_key", key)
-    found = near_documents(keyed, id_col="_key")
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    keyed = docs.withColumn("__key", key)
+    found = near_documents(keyed, id_col="__key")
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(kept, "__key", "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
