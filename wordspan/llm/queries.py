@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from wordspan.llm import html_text, langid, toxicity
 from wordspan.llm.bpe import encode_documents
 from wordspan.llm.common import remainder, table
+from wordspan.llm.divergence import divergence
 from wordspan.llm.embed_dedup import near_vectors
 from wordspan.llm.exact_dedup import exact_dedup
+from wordspan.llm.hard_negatives import mine
+from wordspan.llm.licenses import scan_documents
 from wordspan.llm.ngram_join import near_documents
 from wordspan.llm.packing import pack_documents
 from wordspan.llm.sharding import shard_documents
@@ -66,6 +69,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_edit_aware_token_counts": op9_edit_aware_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_scan": op12_license_scan,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 OP1_SQL = r"""
@@ -88,4 +107,46 @@ SELECT d.doc_id, k.keep_id, w.group_size, d.doc_id = k.keep_id AS kept, d.h AS t
 FROM d JOIN w ON d.h = w.h JOIN k ON d.h = k.h
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.id <> c.id AND a.id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank,
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+t AS (SELECT k, lang, source, term, count(*) AS n FROM (SELECT k, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS c FROM t GROUP BY lang, term HAVING count(*) >= 3),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+own AS (SELECT lang, source, term, sum(n)::HUGEINT AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce((SELECT sum(c) FROM own WHERE own.lang = d.lang AND own.source = d.source), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) d),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(own.c, 0) AS c, 1 + 1000000000 * (coalesce(own.c, 0) + 1) // (g.n + l.v) AS p,
+    1 + 1000000000 * (kept.c + 1) // (l.n + l.v) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = kept.term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM p x JOIN p y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+term AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term))
+WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op13_source_divergence": OP13_SQL}
