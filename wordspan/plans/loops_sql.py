@@ -46,3 +46,16 @@ r AS (
 SELECT r.id, status, CASE WHEN status = 'generated' THEN trim(model || ' continues ' || prompt) END AS answer, model, attempts, asked, round(waited, 6) AS waited
 FROM r JOIN prompts USING (id) WHERE status IS NOT NULL
 """
+
+SLOTS = f"""
+s AS (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'test' ELSE 'train' END AS split, CASE WHEN doc_id % 3 = 0 THEN doc_id // 3 ELSE doc_id - doc_id // 3 - 1 END AS idx,
+    {draw(13, 'doc_id', "'slot'")} % 150 AS fate, ({words("coalesce(text, '')")})[1:40] AS w FROM documents),
+slots AS (
+  SELECT *, idx // 20 AS chunk_id, CASE WHEN idx // 20 % 7 = 3 THEN 'skipped' WHEN fate = 0 THEN NULL WHEN fate < 10 THEN 'skipped' WHEN fate < 15 THEN 'failed' ELSE 'generated' END AS status FROM s),
+filled AS (
+  SELECT split, chunk_id, min(idx) FILTER (status = 'generated') AS lo, max(idx) FILTER (status = 'generated') AS hi, count(*) FILTER (status = 'generated') AS n,
+    count(*) FILTER (status <> 'generated') AS dropped, count(status) = count(*) AS whole FROM slots GROUP BY split, chunk_id)
+"""
+SQL["committed_chunks"] = f"WITH {SLOTS} SELECT * FROM filled WHERE n + dropped > 0"
+SQL["committed_range"] = f"WITH {SLOTS} SELECT chunk_id, idx, array_to_string(w, ' ') AS text, len(w)::INTEGER AS n, 'm' || doc_id % 5 AS model FROM slots JOIN filled USING (split, chunk_id) WHERE split = 'train' AND idx >= 50 AND idx < 290 AND status = 'generated' AND whole"

@@ -19,8 +19,16 @@ def chunk_of(idx: Column, chunk_size: int, first: int = 0) -> Column:
 
 
 def write(samples: DataFrame, path: str, chunk_size: int = 1000, first: int = 0) -> None:
-    """Writes samples (split and the columns of SCHEMA), a folder for each split and chunk; chunks without rows have none."""
-    samples.withColumn("chunk_id", chunk_of(F.col("idx"), chunk_size, first)).repartition("split", "chunk_id").write.mode("append").partitionBy("split", "chunk_id").parquet(path)
+    """Writes samples (split and the columns of SCHEMA), a folder for each split and chunk; chunks without rows have none.
+
+    The manifest of what is written goes to _manifest. Without samples ValueError is raised.
+    """
+    placed = samples.withColumn("chunk_id", chunk_of(F.col("idx"), chunk_size, first))
+    if samples.isEmpty():
+        raise ValueError("cannot write chunks without samples")
+    placed.repartition("split", "chunk_id").write.mode("append").partitionBy("split", "chunk_id").parquet(path)
+    folder = F.concat(F.lit("split="), F.col("split"), F.lit("/chunk_id="), F.col("chunk_id").cast("string"))
+    manifest(placed, "split", "chunk_id").withColumn("folder", folder).write.mode("append").parquet(f"{path}/_manifest")
 
 
 def read(spark: SparkSession, path: str, splits: list[str] | None = None) -> DataFrame:
@@ -65,11 +73,10 @@ def listed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_range(spark: SparkSession, path: str, split: str, start: int, end: int) -> DataFrame:
-    """A split's samples with start <= idx < end; folders of chunks that can't hold any are not read."""
-    if start < 0 or end <= start:
-        raise ValueError("need 0 <= start < end")
-    chunks = [r["chunk_id"] for r in overlapping(manifest(read(spark, path, [split]), "chunk_id"), start, end).select("chunk_id").collect()]
-    return read(spark, path, [split]).where(F.col("chunk_id").isin(chunks) & (F.col("idx") >= start) & (F.col("idx") < end))
+    """A split's samples with start <= idx < end; the manifest says which chunks are opened."""
+    from wordspan.sources import planned
+
+    return planned.read_range(spark, path, split, start, end)
 
 
 def faults(samples: DataFrame) -> DataFrame:
