@@ -37,8 +37,8 @@ def cases():
 def test_failures_one_by_one_as_in_columns(spark):
     rows = [(i, *c, i % 13) for i, c in enumerate(cases())]
     df = spark.createDataFrame(rows, "i int, kind string, status int, body string, text string, attempt int")
-    f = errors.flags(F.col("kind"), F.col("status"), F.col("body"), F.col("text"), F.lit(NOW))
-    wait = errors.retry_after(errors.retry_value(F.col("body")))
+    f = errors.flags(F.col("kind"), F.col("status"), errors.parsed(F.col("body")), F.col("text"), F.lit(NOW))
+    wait = errors.retry_after(errors.retry_value(errors.parsed(F.col("body"))))
     got = df.select("i", F.struct(*(c.alias(n) for n, c in f.items())).alias("f"), errors.failure_class(f).alias("named"), wait.alias("wait"), errors.backoff(f, F.col("attempt"), wait, F.lit(7.0)).alias("backoff")).collect()
     for r in got:
         _, kind, status, body, text, attempt = rows[r["i"]]

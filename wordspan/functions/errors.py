@@ -22,14 +22,24 @@ CONNECTION = ("json", "connection", "timeout", "transport")
 MODEL_KINDS = ("server", "not_found", "rate")
 
 
-def field(body: Column, *path: str) -> Column:
-    """A string within the body's error object; null where the body is no JSON object or lacks it."""
-    return F.get_json_object(body, "$.error" + "".join(f"['{p}']" for p in path))
+#: What is looked for in a body.
+BODY = "error struct<message: string, metadata: struct<retry_after_seconds: string, retry_after_seconds_raw: string, headers: struct<`X-RateLimit-Remaining`: string, `X-RateLimit-Reset`: string>>>"
 
 
-def message(body: Column, text: Column) -> Column:
+def parsed(body: Column) -> Column:
+    """The body's error object, parsed once; null where the body is no JSON object or lacks it. The `error` of what follows."""
+    return F.from_json(body, BODY)["error"]
+
+
+def field(error: Column, *path: str) -> Column:
+    for name in path:
+        error = error.getField(name)
+    return error
+
+
+def message(error: Column, text: Column) -> Column:
     """The body's own message, else the exception's text."""
-    return F.coalesce(F.nullif(field(body, "message"), F.lit("")), text, F.lit(""))
+    return F.coalesce(F.nullif(field(error, "message"), F.lit("")), text, F.lit(""))
 
 
 def has(text: Column, marks: tuple[str, ...]) -> Column:
@@ -39,9 +49,9 @@ def has(text: Column, marks: tuple[str, ...]) -> Column:
     return found
 
 
-def retry_value(body: Column) -> Column:
+def retry_value(error: Column) -> Column:
     """How many seconds the body asks to wait, as it stands there."""
-    return F.coalesce(*(field(body, "metadata", key) for key in RETRY_KEYS))
+    return F.coalesce(*(field(error, "metadata", key) for key in RETRY_KEYS))
 
 
 def retry_after(value: Column) -> Column:
@@ -49,12 +59,12 @@ def retry_after(value: Column) -> Column:
     return F.least(F.lit(LONGEST_WAIT), F.coalesce(value.try_cast("double") + 1, F.lit(USUAL_WAIT)))
 
 
-def flags(kind: Column, status: Column, body: Column, text: Column, now: Column) -> dict[str, Column]:
-    """The predicates of a failure; `now` in seconds."""
-    said, raw = F.lower(message(body, text)), F.lower(F.coalesce(text, F.lit("")))
+def flags(kind: Column, status: Column, error: Column, text: Column, now: Column) -> dict[str, Column]:
+    """The predicates of a failure, its body `parsed`; `now` in seconds."""
+    said, raw = F.lower(message(error, text)), F.lower(F.coalesce(text, F.lit("")))
     is_status = lambda *values: F.coalesce(status.isin(*values), F.lit(False))
     rate = (kind == "rate") | is_status(429)
-    header = lambda name: field(body, "metadata", "headers", name)
+    header = lambda name: field(error, "metadata", "headers", name)
     far = header("X-RateLimit-Reset").try_cast("long") / 1000 - now > FAR_RESET
     quota = has(said, DAILY_MARKS) | F.coalesce((header("X-RateLimit-Remaining") == "0") & far, F.lit(False))
     transient = kind.isin(*CONNECTION) | ((kind == "runtime") & has(raw, (UNAVAILABLE,)))
@@ -64,7 +74,7 @@ def flags(kind: Column, status: Column, body: Column, text: Column, now: Column)
     return {
         "rate_limit": rate,
         "daily_quota": quota,
-        "temporary": rate & ~quota & (has(said, TEMPORARY_MARKS) | retry_value(body).isNotNull()),
+        "temporary": rate & ~quota & (has(said, TEMPORARY_MARKS) | retry_value(error).isNotNull()),
         "transient": transient,
         "content": content,
         "context_length": length,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import IGNORED
 from wordspan.functions.probability import hard_label
+from wordspan.operators.scan import running
+from wordspan.sources.corpus import key_bucket
+from wordspan.sources.staging import staged
 
 
 def confusion(scored: DataFrame, *by: str) -> DataFrame:
@@ -17,15 +20,17 @@ def confusion(scored: DataFrame, *by: str) -> DataFrame:
     return out.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0)))
 
 
-def average_precision(scored: DataFrame, *by: str) -> DataFrame:
+def average_precision(scored: DataFrame, *by: str, segments: int | None = None) -> DataFrame:
     """ap: the sum over distinct scores, from the highest, of the gain in recall times precision; 0 without positives.
 
-    Rows are first counted by score, so the ordered part has a row for each distinct score of a group.
+    Rows are first counted by score. The scores are run over in ranges, `segments` of them, so that a group whose scores
+    all differ is the work of many tasks.
     """
-    steps = scored.where("p is not null").groupBy(*by, "p").agg(F.sum("y").alias("pos"), F.count("*").alias("m"))
-    w = Window.partitionBy(*by).orderBy(F.desc("p"))
-    ran = steps.withColumns({"tp": F.sum("pos").over(w), "n": F.sum("m").over(w), "all": F.sum("pos").over(Window.partitionBy(*by))})
-    return ran.groupBy(*by).agg(F.coalesce(F.sum(F.try_divide(F.col("pos") * F.col("tp"), F.col("all") * F.col("n"))), F.lit(0.0)).alias("ap"))
+    steps = staged(scored.where("p is not null").groupBy(*by, "p").agg(F.sum("y").cast("long").alias("pos"), F.count("*").alias("m")))
+    width = segments or int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ran = running(steps, list(by), [F.desc("p")], -key_bucket(steps, "p", width), sums={"tp": F.col("pos"), "n": F.col("m")})
+    gain = F.sum(F.try_divide(F.col("pos") * F.col("tp"), F.col("n")))
+    return ran.groupBy(*by).agg(F.coalesce(F.try_divide(gain, F.sum("pos")), F.lit(0.0)).alias("ap"))
 
 
 def reward(scored: DataFrame, *by: str) -> DataFrame:

@@ -322,7 +322,7 @@ FAILED = [("rate", 429, "too many requests", None, '{"retry_after_seconds": %d}'
 
 
 def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as failures: model, event_id, us, at (seconds), exception, status, text and body."""
+    """Events as failures: model, event_id, us, at (seconds), exception, status, text and the body's error."""
     which = draw(7, F.col("event_id"), "kind", below=F.lit(len(FAILED))).cast("int")
     columns = [F.get(F.array(*(F.lit(row[k]) for row in FAILED)), which) for k in range(5)]
     exception, status, text, said, metadata = columns
@@ -330,52 +330,55 @@ def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = F.replace(F.replace(F.replace(metadata, F.lit("%d"), F.col("value").cast("int").cast("string")), F.lit("@late"), ((at + 7200) * 1000).cast("string")), F.lit("@soon"), ((at + 60) * 1000).cast("string"))
     body = F.when(metadata == "[]", metadata).otherwise(F.concat(F.lit('{"error": {"message": "'), F.coalesce(said, F.lit("")), F.lit('", "metadata": '), filled, F.lit("}}")))
     events = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("model"), "event_id", "value", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', cast(ts AS timestamp_ntz))").alias("us"))
-    return once(events, exception=exception, status=status, text=text, body=body, at=at.cast("double")).drop("value")
+    made = once(events, exception=exception, status=status, text=text, body=body, at=at.cast("double")).drop("value")
+    return once(made, error=errors.parsed(F.col("body"))).drop("body")
 
 
 def error_taxonomy(spark, sf_dir):
     rows = failed(spark, sf_dir)
-    f = errors.flags(*map(F.col, ("exception", "status", "body", "text", "at")))
+    f = errors.flags(*map(F.col, ("exception", "status", "error", "text", "at")))
     attempt = (F.col("event_id") % 13).cast("int")
-    wait = errors.retry_after(errors.retry_value(F.col("body")))
-    return rows.select("event_id", errors.message(F.col("body"), F.col("text")).alias("message"), *(c.alias(n) for n, c in f.items()), errors.failure_class(f).alias("kind"), wait.alias("wait"), errors.backoff(f, attempt, wait, F.lit(7.0)).alias("backoff"))
+    wait = errors.retry_after(errors.retry_value(F.col("error")))
+    return rows.select("event_id", errors.message(F.col("error"), F.col("text")).alias("message"), *(c.alias(n) for n, c in f.items()), errors.failure_class(f).alias("kind"), wait.alias("wait"), errors.backoff(f, attempt, wait, F.lit(7.0)).alias("backoff"))
 
 
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures by class, with the seconds to wait."""
-    kind = errors.failure_class(errors.flags(*map(F.col, ("exception", "status", "body", "text", "at"))))
-    return once(failed(spark, sf_dir), kind=kind, wait=errors.retry_after(errors.retry_value(F.col("body")))).select("model", "event_id", "us", "at", "kind", "wait")
+    kind = errors.failure_class(errors.flags(*map(F.col, ("exception", "status", "error", "text", "at"))))
+    return once(failed(spark, sf_dir), kind=kind, wait=errors.retry_after(errors.retry_value(F.col("error")))).select("model", "event_id", "us", "at", "kind", "wait")
 
 
 def cooldown_strikes(spark, sf_dir):
-    return cooldown.cooldowns(failures(spark, sf_dir), ["us", "event_id"]).select("model", "event_id", "kind", "strikes", "until", "permanent", "blocked")
+    return cooldown.cooldowns(staged(failures(spark, sf_dir)), ["us", "event_id"]).select("model", "event_id", "kind", "strikes", "until", "permanent", "blocked")
 
 
-#: Files that the stream of events comes in, in the order of time.
+#: Slices that the stream of events comes in, in the order of time.
 SLICES = 4
 
 
 def cooldown_stream(spark, sf_dir):
-    """The state of every model after the events have been read as a stream, a file at a time."""
+    """The state of every model after the events have been read as a stream, a slice at a time."""
     base = new_path(spark, "cooldown")
     given = staged(failures(spark, sf_dir))
     part = corpus.key_bucket(given, "us", SLICES)
-    for k in range(SLICES):  # each written after the one before, as a stream's files are
-        given.where(part == k).select("model", (F.col("us") / 1e6).alias("at"), "kind", "wait", "at").toDF("model", "order", "kind", "wait", "at").repartition(1).write.mode("append").parquet(f"{base}/in")
-    read = spark.readStream.schema("model long, order double, kind string, wait double, at double").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    changes = cooldown.strikes_stream(read.select("model", F.col("order").alias("at"), "kind", "wait"))
+    rows = given.select("model", (F.col("us") / 1e6).alias("at"), "kind", "wait")
+    rows.limit(0).write.parquet(f"{base}/in")
+    read = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    changes = cooldown.strikes_stream(read)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{base}/out")
 
-    changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    for k in range(SLICES):  # what comes is read as it comes; the state goes on from one run to the next
+        rows.where(part == k).write.mode("append").parquet(f"{base}/in")
+        changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     last = F.max(F.struct("batch", "strikes", "until", "permanent")).alias("s")
     return spark.read.schema("model long, strikes long, until double, permanent boolean, batch int").parquet(f"{base}/out").groupBy("model").agg(last).select("model", "s.strikes", F.round("s.until", 3).alias("until"), "s.permanent")
 
 
 def available_models(spark, sf_dir):
     """Which of a group's models may be asked at the end of the events, and one drawn from them."""
-    last = failures(spark, sf_dir)
+    last = staged(failures(spark, sf_dir))
     state = cooldown.cooldowns(last, ["us", "event_id"]).groupBy("model").agg(F.max(F.struct("us", "event_id", "until", "permanent", "at")).alias("s"))
     ends = state.select("model", "s.until", "s.permanent", (F.col("model") % 10).alias("part"), F.col("s.at").alias("at"))
     now = ends.groupBy("part").agg((F.max("at") - 40).alias("now"))

@@ -71,16 +71,25 @@ def source_at(docs: DataFrame, key: str, index: int, least_words: int = 3) -> Da
 def by_prefix(probes: DataFrame, source: DataFrame, count: int = 20, radius: int = 2000) -> DataFrame:
     """For each probe (probe_id, words, hint) the first source row (idx, words) that begins with the probe's first words.
 
-    Up to `count` words, or all of a shorter probe's, must agree, and idx lie from hint - radius to hint + radius. The
-    join is on a hash of the prefix, for each prefix length that occurs among the probes; then words are compared.
+    Up to `count` words, or all of a shorter probe's, must agree, and idx lie from hint - radius to hint + radius. Source
+    rows and probes that begin alike are dealt into bands of idx and put in one order there; a probe takes the first
+    source row from where its range begins. A range reaches into two bands, so source rows stand in their own band and
+    in the one before. Rows are sorted, not paired: an opening that all texts share costs no more than others.
     """
-    asked = probes.select("probe_id", "hint", F.slice("words", 1, count).alias("asked")).where(F.size("asked") > 0).withColumn("size", F.size("asked"))
-    lengths = asked.select("size").distinct()  # at most `count` rows
-    held = source.select("idx", F.slice("words", 1, count).alias("held")).where(F.size("held") > 0)
+    width = 2 * radius + 1
+    first = F.slice("words", 1, count)
+    asks = probes.where(F.size("words") > 0).select("probe_id", F.col("hint").cast("long").alias("hint"), F.size(first).alias("size"), F.array_join(first, " ").alias("opening"))
+    lengths = asks.select("size").distinct()  # at most `count` rows
+    held = source.select(F.col("idx").cast("long").alias("idx"), first.alias("held")).where(F.size("held") > 0)
     cut = held.select("idx", "held", F.explode(F.sequence(F.lit(1), F.size("held"))).alias("size")).join(F.broadcast(lengths), "size")
-    keyed = cut.withColumn("hash", F.xxhash64(F.slice("held", F.lit(1), F.col("size"))))
-    met = asked.withColumn("hash", F.xxhash64("asked")).join(keyed, ["size", "hash"])
-    met = met.where(starts_equal(F.col("held"), F.col("asked"), 0) & F.col("idx").between(F.col("hint") - radius, F.col("hint") + radius))
+    band = lambda at: F.floor(at / width).cast("long")
+    none = F.lit(None).cast("long")
+    start = F.col("hint") - radius
+    places = cut.select("size", F.array_join(F.slice("held", F.lit(1), F.col("size")), " ").alias("opening"), F.explode(F.array(band(F.col("idx")) - 1, band(F.col("idx")))).alias("band"), F.col("idx").alias("at"), F.col("idx").alias("row"))
+    starts = asks.select("size", "opening", band(start).alias("band"), start.alias("at"), none.alias("row")).distinct()
+    following = Window.partitionBy("size", "opening", "band").orderBy("at", F.col("row").asc_nulls_first()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    next_row = starts.unionByName(places).withColumn("idx", F.min("row").over(following)).where(F.col("row").isNull() & (F.col("idx") <= F.col("at") + 2 * radius))
+    met = asks.withColumn("at", start).join(next_row.select("size", "opening", "at", "idx"), ["size", "opening", "at"])
     return met.groupBy("probe_id").agg(F.min("idx").alias("idx"))
 
 

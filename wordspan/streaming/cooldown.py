@@ -6,30 +6,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from wordspan.functions.names import free
+from wordspan.operators.scan import running
+from wordspan.sources.corpus import key_bucket
+
 # Strikes until cooldowns grow, seconds a strike, the longest cooldown, and that after an empty answer.
 STRIKES, A_STRIKE, LONGEST, AFTER_EMPTY = 3, 30.0, 300.0, 30.0
 
 
-def cooldowns(failures: DataFrame, order: list[str]) -> DataFrame:
+def cooldowns(failures: DataFrame, order: list[str], segments: int | None = None) -> DataFrame:
     """Adds strikes, until (seconds; only ever grows), permanent and blocked to failures (model, at in seconds, kind, wait).
 
-    kind is that of errors.failure_class. The third rate-limit strike and later ones end a permanent block.
+    kind is that of errors.failure_class. The third rate-limit strike and later ones end a permanent block. `order` names
+    columns that put a model's failures in one order; the first, a number, cuts them into `segments`, so that a model
+    with most of the failures is the work of many tasks: strikes are counted first, then what follows from them is run
+    over. `failures` is read again and again.
     """
-    by = Window.partitionBy("model").orderBy(*order)
-    upto = by.rowsBetween(Window.unboundedPreceding, 0)
-    out = failures.withColumn("strikes", F.count_if(F.col("kind") == "rate").over(upto))
-    lasts = F.when((F.col("kind") == "rate") & (F.col("strikes") >= STRIKES), F.least(F.lit(LONGEST), A_STRIKE * F.col("strikes"))).when(F.col("kind") == "rate", F.col("wait")).when(F.col("kind") == "content", AFTER_EMPTY)
+    width = segments or int(failures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block, pardon = free(failures.columns, "block", "pardon")
+    bucket = key_bucket(failures, order[0], width)
+    counted = running(failures, ["model"], order, bucket, sums={"strikes": (F.col("kind") == "rate").cast("long")})
     forgives = (F.col("kind") == "rate") & (F.col("strikes") >= STRIKES)
-    blocks = F.col("kind").isin("quota", "retry")
-    place = F.row_number().over(by)
-    out = out.withColumns({"_u": F.col("at") + lasts, "_block": F.when(blocks, place), "_free": F.when(forgives, place)})
-    out = out.withColumns({"until": F.max("_u").over(upto), "_block": F.max("_block").over(upto), "_free": F.max("_free").over(upto)})
-    out = out.withColumn("permanent", F.coalesce(F.col("_block") > F.coalesce("_free", F.lit(0)), F.lit(False)))
-    return out.withColumn("blocked", F.col("permanent") | F.coalesce(F.col("at") < F.col("until"), F.lit(False))).drop("_u", "_block", "_free")
+    lasts = F.when(forgives, F.least(F.lit(LONGEST), A_STRIKE * F.col("strikes"))).when(F.col("kind") == "rate", F.col("wait")).when(F.col("kind") == "content", AFTER_EMPTY)
+    place = F.struct(*order)
+    ends = {"until": F.col("at") + lasts, block: F.when(F.col("kind").isin("quota", "retry"), place), pardon: F.when(forgives, place)}
+    out = running(counted, ["model"], order, bucket, maxima=ends)
+    out = out.withColumn("permanent", F.col(block).isNotNull() & (F.col(pardon).isNull() | (F.col(block) > F.col(pardon))))
+    return out.withColumn("blocked", F.col("permanent") | F.coalesce(F.col("at") < F.col("until"), F.lit(False))).drop(block, pardon)
 
 
 #: Fixed value: the least time to wait for a model.
