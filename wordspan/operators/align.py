@@ -9,16 +9,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import IGNORED, align, pad
+from wordspan.functions.names import free
 
 #: Words to (token ids, word ids with None for special tokens).
 Tokenizer = Callable[[list[str]], tuple[list[int], list[int | None]]]
 
 
 def tokenized(samples: DataFrame, tokenizer: Tokenizer, most: int, id_col: str, words_col: str = "words", labels_col: str = "labels") -> DataFrame:
-    """id, input_ids, attention_mask and labels of samples, cut at `most` tokens. The tokenizer runs in the tasks."""
+    """id, input_ids, attention_mask and labels of samples, cut at `most` tokens. The tokenizer runs in the tasks.
+
+    Samples with null words or labels, or not a label for each word, raise ValueError; sources.rejects parts them off.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
+            for key, words, labels in zip(pdf[id_col], pdf[words_col], pdf[labels_col], strict=True):
+                if words is None or labels is None or len(words) != len(labels):
+                    raise ValueError(f"{id_col} {key}: {'no' if words is None else len(words)} words, {'no' if labels is None else len(labels)} labels")
             cut = [tokenizer(list(w)) for w in pdf[words_col]]
             yield pdf[[id_col, labels_col]].assign(input_ids=[i[:most] for i, _ in cut], word_ids=[w[:most] for _, w in cut])
 
@@ -30,9 +37,10 @@ def tokenized(samples: DataFrame, tokenizer: Tokenizer, most: int, id_col: str,
 
 def padded(rows: DataFrame, batch: str, pad_id: int = 0) -> DataFrame:
     """Token rows filled up to the longest of their batch."""
-    width = F.max(F.size("input_ids")).over(Window.partitionBy(batch))
+    (width,) = free(rows.columns, "width")
     fill = {"input_ids": pad_id, "attention_mask": 0, "labels": IGNORED}
-    return rows.withColumn("_width", width).withColumns({c: pad(F.col(c), F.col("_width"), v) for c, v in fill.items()}).drop("_width")
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy(batch))
+    return rows.withColumn(width, longest).withColumns({c: pad(F.col(c), F.col(width), v) for c, v in fill.items()}).drop(width)
 
 
 def word_probabilities(subwords: DataFrame, samples: DataFrame, key: str, fill: float | None = None) -> DataFrame:

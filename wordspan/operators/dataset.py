@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import has_boundary, is_valid
+from wordspan.functions.names import free
 from wordspan.functions.text import tokens
+from wordspan.operators.scan import joined, running
 from wordspan.sources.corpus import ranked
+from wordspan.sources.staging import staged
 
 
 def merge(*sources: DataFrame) -> DataFrame:
@@ -59,3 +62,24 @@ def check(audited: DataFrame) -> None:
     bad = [r.asDict() for r in audited.where("bad_length + bad_align + bad_class + bad_boundary > 0").take(5)]
     if bad:
         raise ValueError(f"windows with faults: {bad}")
+
+
+def split_groups(samples: DataFrame, seed: int, groups: list[str], train: float = 0.80, validation: float = 0.05, test: float = 0.15) -> DataFrame:
+    """Adds split so that all rows of a group (a source document) get the same; null keys are keys too.
+
+    Groups stand in an order that only the seed and their keys decide. A group goes where the rows of the groups before
+    it end: to train while they are fewer than floor(n * train), and so on. Each split is within one group of its ratio.
+    """
+    if abs(train + validation + test - 1) > 1e-6:
+        raise ValueError("ratios must sum to 1")
+    weight, key, upto, prefix = free(samples.columns, "weight", "key", "upto", "of_")
+    sizes = staged(samples.groupBy(*groups).agg(F.count("*").alias(weight)))
+    n = sizes.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    keyed = sizes.withColumn(key, shuffle_key(seed, *map(F.col, groups)))
+    bucket = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
+    ran = running(keyed, [], [key, *groups], bucket, sums={upto: F.col(weight)})
+    a = int(n * train)
+    b = a + int(n * validation)
+    start = F.col(upto) - F.col(weight)
+    placed = ran.select(*groups, F.when(start < a, "train").when(start < b, "validation").otherwise("test").alias("split"))
+    return joined(samples, placed, groups, prefix)

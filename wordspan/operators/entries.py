@@ -55,8 +55,8 @@ class Model:
     permanent: bool = False
 
 
-#: (entry, model) to text; raises Failed.
-Ask = Callable[[Entry, str], str]
+#: (entry, model) to text, None where the model has no choices to offer; raises Failed.
+Ask = Callable[[Entry, str], str | None]
 
 
 @dataclass
@@ -103,8 +103,10 @@ class Lane:
         name = self.pick(entry, free)
         entry = replace(entry, asked=entry.asked + 1)
         try:
-            text = (ask(entry, name) or "").strip()
-            if not text:
+            said = ask(entry, name)
+            if said is None:
+                raise Failed("value", text=f"Model {name} returned no choices.")
+            if not (text := said.strip()):
                 raise Failed("value", text=f"Model {name} returned empty content.")
             return Outcome(entry.id, "generated", text, name, entry.attempt + 1, entry.asked, now - entry.at)
         except Failed as failure:

@@ -3,7 +3,7 @@ out within the row, and the words are only cut for the windows that are kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordspan.functions.labels import boundaries
@@ -11,6 +11,7 @@ from wordspan.functions.once import once
 from wordspan.functions.rng import draw, heads
 from wordspan.functions.text import has_words, join_words, tokens
 from wordspan.operators.dataset import shuffled
+from wordspan.sources import ordered_files
 from wordspan.sources.staging import staged
 
 #: Attempts for each window that is wanted.
@@ -76,3 +77,34 @@ def yields(sources: DataFrame, windows: DataFrame, id_col: str, copies: int) ->
     each = sources.select(id_col).join(made, id_col, "left")
     out = each.agg(F.count("*").alias("sources"), F.coalesce(F.sum("windows"), F.lit(0)).alias("windows"), F.count_if(F.col("windows").isNull()).alias("skipped"))
     return out.withColumn("wanted", F.col("sources") * copies).withColumn("yield_pct", F.coalesce(F.try_divide(100.0 * F.col("windows"), F.col("wanted")), F.lit(0.0)))
+
+
+def stream_to_target(spark: SparkSession, path: str, base: str, seed: int, id_col: str, label: int, target: int, schema: str, per_trigger: int = 1, least: int = 35, most: int = 350, copies: int = 8) -> DataFrame:
+    """`target` one-class windows, or all there are, of texts in a store of folders; folders that aren't needed aren't opened.
+
+    Folders come in an order that the seed decides, `per_trigger` at a time. Of the batch that reaches the target the
+    windows that a hash of seed, id and copy puts first are kept, so the result is the same each time. `base` is a new
+    folder for the windows and the state of the stream. `schema` has the id and text.
+    """
+    out = f"{base}/windows"
+    shape = one_class_windows(spark.createDataFrame([], schema), seed, id_col, label, least, most, copies).schema
+    found = [0]
+
+    def take(batch: DataFrame, number: int) -> None:
+        made = staged(one_class_windows(batch, seed, id_col, label, least, most, copies))
+        n, left = made.count(), target - found[0]
+        if n > left:
+            made = shuffled(made, seed, [id_col, "copy"]).where(F.col("pos") < left).drop("pos")
+        made.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        found[0] += min(n, left)
+        if found[0] >= target:
+            spark.range(1).write.mode("overwrite").parquet(f"{base}/enough")
+
+    spark.createDataFrame([], shape).write.parquet(f"{out}/batch=none")
+    texts = ordered_files.stream(spark, path, f"{base}/enough", seed, schema, per_trigger)
+    query = texts.writeStream.foreachBatch(take).option("checkpointLocation", f"{base}/state").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(shape).parquet(f"{out}/*")

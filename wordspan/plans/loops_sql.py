@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wordspan.plans.oracle import draw, words
+from wordspan.plans.generation_sql import FATE, REQUESTS
+from wordspan.plans.oracle import MERGED, SAMPLES, WINDOWS, draw, pure, words
 
 #: What each roll stands for, by hand: kind, the seconds it asks to wait, and what it means for model and entry.
 FATES = ", ".join(
@@ -59,3 +60,21 @@ filled AS (
 """
 SQL["committed_chunks"] = f"WITH {SLOTS} SELECT * FROM filled WHERE n + dropped > 0"
 SQL["committed_range"] = f"WITH {SLOTS} SELECT chunk_id, idx, array_to_string(w, ' ') AS text, len(w)::INTEGER AS n, 'm' || doc_id % 5 AS model FROM slots JOIN filled USING (split, chunk_id) WHERE split = 'train' AND idx >= 50 AND idx < 290 AND status = 'generated' AND whole"
+
+SQL["leak_free_split"] = MERGED + """,
+g AS (SELECT kind, id, count(*) AS n FROM merged GROUP BY kind, id),
+o AS (SELECT *, sum(n) OVER (ORDER BY md5('42|' || kind || '|' || id), kind, id) - n AS start, sum(n) OVER () AS total FROM g)
+SELECT CASE WHEN start < floor(total * 0.8::DOUBLE) THEN 'train' WHEN start < floor(total * 0.8::DOUBLE) + floor(total * 0.05::DOUBLE) THEN 'validation' ELSE 'test' END AS split, kind, id, n FROM o"""
+SQL["sample_rejects"] = f"""WITH {SAMPLES},
+f AS (SELECT conv_id, conv_id % 12 AS k, len(words) AS n, label FROM samples)
+SELECT conv_id, CASE WHEN k = 7 THEN 'no index' WHEN k IN (4, 5) OR n = 0 THEN 'no text' WHEN k = 6 THEN 'no model' WHEN k = 2 OR (k = 0 AND n = 1) THEN 'no labels' WHEN k = 0 THEN 'misaligned'
+    WHEN k = 1 AND list_contains(label, 1) OR k = 3 THEN 'bad labels' ELSE 'valid' END AS reason,
+  CASE WHEN k = 7 THEN 'idx is null' WHEN k = 4 THEN 'text is null' WHEN k = 5 OR n = 0 THEN 'text is blank' WHEN k = 6 THEN 'model is null or blank' WHEN k = 2 OR (k = 0 AND n = 1) THEN 'no label'
+    WHEN k = 0 THEN n || ' words, ' || n - 1 || ' labels' WHEN k = 1 AND list_contains(label, 1) THEN list_sum(label)::BIGINT || ' labels, the first 2' WHEN k = 3 THEN '1 labels, the first null' ELSE '' END AS message
+FROM f"""
+SQL["observed_windows"] = f"WITH {WINDOWS} SELECT count(*) AS windows, sum(len(label))::BIGINT AS words, sum(list_sum(label))::BIGINT AS ones, min(len(label)) AS least, max(len(label)) AS most FROM mixed"
+SQL["observed_run"] = f"WITH {REQUESTS}, f AS (SELECT {FATE} AS fate FROM requests) SELECT count(*) FILTER (fate > 1) AS generated, count(*) FILTER (fate = 0) AS skipped, count(*) FILTER (fate = 1) AS failed, count(*) AS total FROM f"
+SQL["streamed_to_target"] = f"""WITH {pure('documents', 44, 1, 8, 'ai')},
+folders AS (SELECT part, n, sum(n) OVER (ORDER BY md5('44|part=' || part)) AS upto FROM (SELECT doc_id % 16 AS part, count(*) AS n FROM ai GROUP BY 1)),
+placed AS (SELECT ai.*, upto - n AS before, row_number() OVER (PARTITION BY part ORDER BY md5('44|' || doc_id || '|' || copy), doc_id, copy) AS place FROM ai JOIN folders ON doc_id % 16 = part)
+SELECT doc_id, copy, s, e, text, label FROM placed WHERE before + place <= 700"""
