@@ -15,3 +15,8 @@ def free(taken: Iterable[str], *wanted: str) -> list[str]:
         held.add(name.lower())
         out.append(name)
     return out
+
+
+def quoted(name: str) -> str:
+    """The name as it is written in an expression, whatever stands in it."""
+    return f"`{name.replace('`', '``')}`"
