@@ -77,7 +77,7 @@ SELECT split, chunk_id, lo, hi, n, name, row_number() OVER (PARTITION BY split O
     "chunk_samples": f"WITH {STORED} SELECT idx, model, coalesce(generation_mode, 'sandwich') AS source_mode, len(labels)::INTEGER AS n, text FROM stored WHERE split = 'train' AND idx BETWEEN 7 AND 74 AND len(labels) = n AND len(list_filter(labels, lambda x: x > 1)) = 0",
     "chunk_faults": f"""WITH {STORED}, f AS (SELECT split, len(labels) = n AS fits, len(list_filter(labels, lambda x: x > 1)) = 0 AS ok FROM stored)
 SELECT split, count(*) AS n, count(*) FILTER (fits AND ok) AS valid, count(*) FILTER (NOT fits) AS misaligned, count(*) FILTER (fits AND NOT ok) AS bad_labels FROM f GROUP BY split""",
-    "token_metrics": f"""WITH {PIECES}, cut AS (SELECT conv_id, label, word_ids[1:256] AS word_ids FROM ids), al AS (SELECT conv_id, {ALIGNED} AS l FROM cut),
+    "token_metrics": f"""WITH {PIECES}, al AS (SELECT conv_id, {ALIGNED} AS l FROM ids),
 t AS (SELECT conv_id, i - 1 AS tok, l[i] AS y FROM al, unnest(range(1, len(l) + 1)) AS u(i)),
 q AS (SELECT conv_id % 5 AS part, y, ({draw(7, 'conv_id', 'tok', "'m'")} % 21 > 10)::INTEGER AS x FROM t WHERE y <> -100)
 SELECT part, count(*) AS kept, avg((x = y)::INTEGER) AS accuracy, coalesce(2 * count(*) FILTER (x = 1 AND y = 1) / nullif(count(*) FILTER (y = 1) + count(*) FILTER (x = 1), 0), 0)::DOUBLE AS f1, avg((y = 1)::INTEGER) AS label_rate, avg((x = 1)::INTEGER) AS predicted_rate FROM q GROUP BY part""",

@@ -133,9 +133,12 @@ ids AS (SELECT conv_id, label, list_concat([NULL::BIGINT], list_concat(o, [NULL:
 """
 ALIGNED = "list_transform(range(0, len(word_ids)), lambda i: CASE WHEN word_ids[i+1] IS NULL OR (i > 0 AND word_ids[i] IS NOT NULL AND word_ids[i] = word_ids[i+1]) THEN -100 ELSE coalesce(label[word_ids[i+1]+1], -100) END::INTEGER)"
 
-SUBWORDS = f"""
+
+
+def subwords(most: str) -> str:
+    return f"""
 {PIECES},
-toks AS (SELECT conv_id, unnest(range(0, least(256, len(word_ids)))) AS tok, unnest(word_ids[1:256]) AS word_id FROM ids),
+toks AS (SELECT conv_id, unnest(range(0, least({most}, len(word_ids)))) AS tok, unnest(word_ids[1:{most}]) AS word_id FROM ids),
 firsts AS (SELECT conv_id, word_id, min(tok) AS tok FROM toks WHERE word_id IS NOT NULL GROUP BY ALL),
 truth AS (SELECT conv_id, unnest(range(0, len(label))) AS word_pos, unnest(label) AS y FROM samples),
 probs AS (SELECT t.conv_id, t.word_pos::INTEGER AS word_pos, y, CASE WHEN tok IS NOT NULL THEN ({draw(7, 't.conv_id', 'tok', "'t'")} % 21)::DOUBLE / 20 END AS p
@@ -234,13 +237,13 @@ SELECT split, kind, count(*) AS n, min(pos) AS first, max(pos) AS last, sum(e -
     "subword_label_alignment": f"WITH {PIECES} SELECT conv_id, len(word_ids)::INTEGER AS n_pieces, ({ALIGNED})[1:256] AS labels FROM ids",
     "subword_label_alignment_whole": f"WITH {PIECES} SELECT conv_id, {ALIGNED} AS labels FROM ids",
     "padded_label_batches": f"""
-WITH {PIECES}, c AS (SELECT conv_id, conv_id // 4 AS batch, label, word_ids[1:128] AS word_ids FROM ids),
+WITH {PIECES}, c AS (SELECT conv_id, conv_id // 4 AS batch, label, word_ids FROM ids),
 w AS (SELECT *, len(word_ids) AS own, max(len(word_ids)) OVER (PARTITION BY batch) AS width FROM c)
 SELECT conv_id, batch, list_concat(list_transform(word_ids, lambda x: coalesce(x + 1, 0)::INTEGER), list_transform(range(own, width), lambda x: 0)) AS input_ids,
   list_concat(list_transform(word_ids, lambda x: 1), list_transform(range(own, width), lambda x: 0)) AS attention_mask,
   list_concat({ALIGNED}, list_transform(range(own, width), lambda x: -100)) AS labels FROM w""",
-    "first_subword_probs": f"WITH {SUBWORDS} SELECT conv_id, word_pos, y, p FROM probs",
-    "truncation_fallback": f"""WITH {SUBWORDS} SELECT conv_id, count(p) AS scored, count(*) - count(p) AS skipped, 100.0::DOUBLE * (count(*) - count(p)) / greatest(count(*), 1) AS skipped_pct,
+    "first_subword_probs": f"WITH {subwords('len(word_ids)')} SELECT conv_id, word_pos, y, p FROM probs",
+    "truncation_fallback": f"""WITH {subwords('256')} SELECT conv_id, avg(((p > 0.5)::INTEGER = y)::INTEGER) AS accuracy, count(p) AS scored, count(*) - count(p) AS skipped, 100.0::DOUBLE * (count(*) - count(p)) / greatest(count(*), 1) AS skipped_pct,
   avg(coalesce(p, 0.0)) AS mean_human, avg(coalesce(p, 1.0)) AS mean_ai, avg(coalesce(p, 0.5)) AS mean_neutral FROM probs GROUP BY conv_id""",
     "confusion_f1": f"WITH {scored()}, {ranking('conv_id % 5', 'scored')} SELECT g AS part, tn, fp, fn, tp, f1 FROM whole",
     "average_precision": f"WITH {scored()}, {ranking('conv_id % 5', 'scored')} SELECT g AS part, ap FROM whole",

@@ -216,7 +216,7 @@ def subword_label_alignment_whole(spark, sf_dir):
 
 
 def padded_label_batches(spark, sf_dir):
-    ids = once(samples(spark, sf_dir), word_ids=F.slice(pieces_of(F.col("words")), 1, 128))
+    ids = once(samples(spark, sf_dir), word_ids=pieces_of(F.col("words")))
     rows = ids.select("conv_id", F.floor(F.col("conv_id") / 4).cast("long").alias("batch"), F.transform("word_ids", lambda w: F.coalesce(w + 1, F.lit(0))).alias("input_ids"), F.transform("word_ids", lambda _: F.lit(1)).alias("attention_mask"), L.align(F.col("label"), F.col("word_ids")).alias("labels"))
     return align.padded(rows, "batch")
 
@@ -226,8 +226,10 @@ def pseudo(*keys: Column | str) -> Column:
     return (draw32(7, *keys) % 21).cast("double") / 20
 
 
-def subwords(spark: SparkSession, sf_dir: str, most: int = 256) -> tuple[DataFrame, DataFrame]:
-    ids = once(samples(spark, sf_dir), word_ids=F.slice(pieces_of(F.col("words")), 1, most))
+def subwords(spark: SparkSession, sf_dir: str, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pieces with probabilities, of the first `most` of each conversation if it is given, and the labels of words."""
+    own = pieces_of(F.col("words"))
+    ids = once(samples(spark, sf_dir), word_ids=own if most is None else F.slice(own, 1, most))
     pieces = ids.select("conv_id", F.posexplode("word_ids").alias("tok", "word_id")).withColumn("p", pseudo(F.col("conv_id"), F.col("tok"), "t"))
     return pieces, ids.select("conv_id", F.col("label").alias("labels"))
 
@@ -237,8 +239,9 @@ def first_subword_probs(spark, sf_dir):
 
 
 def truncation_fallback(spark, sf_dir):
-    words = align.word_probabilities(*subwords(spark, sf_dir), "conv_id")
-    out = metrics.rates(words, "conv_id").select("conv_id", "scored", "skipped", "skipped_pct")
+    """What becomes of words beyond a cut of 256 pieces."""
+    words = align.word_probabilities(*subwords(spark, sf_dir, 256), "conv_id")
+    out = metrics.rates(words, "conv_id").select("conv_id", "scored", "skipped", "skipped_pct", "accuracy")
     filled = words.groupBy("conv_id").agg(*(F.avg(F.coalesce("p", F.lit(v))).alias(f"mean_{k}") for k, v in align.FALLBACK.items()))
     return out.join(filled, "conv_id")
 
