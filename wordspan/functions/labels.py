@@ -60,3 +60,13 @@ def align(labels: Column, word_ids: Column) -> Column:
 def pad(values: Column, width: Column, filler: int) -> Column:
     """The array, filled up to `width`."""
     return F.concat(values, F.array_repeat(F.lit(filler), F.greatest(width - F.size(values), F.lit(0)).cast("int")))
+
+
+def as_ints(labels: Column) -> Column:
+    """Numbers as ints, whatever kind of number they are; null stays null, and a number that isn't whole is null."""
+    return F.transform(labels, lambda x: F.when(x == F.floor(x), x.cast("int")))
+
+
+def parsed_ints(text: Column) -> Column:
+    """Labels that were stored as JSON text; null where it is no array of numbers."""
+    return as_ints(F.from_json(text, "array<double>"))

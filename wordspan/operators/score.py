@@ -6,6 +6,11 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wordspan.functions.labels import is_valid
+from wordspan.functions.probability import named_label
+from wordspan.operators import metrics
 
 #: Lists of words to lists of probabilities, null where a word was cut off.
 WordScorer = Callable[[list[list[str]]], list[list[float | None]]]
@@ -41,3 +46,29 @@ def scored_documents(samples: DataFrame, make: Callable[[], DocumentScorer], key
             yield pd.DataFrame({key: pdf[key], "doc_p": found})
 
     return samples.select(key, text_col).mapInPandas(run, f"{key} {dict(samples.dtypes)[key]}, doc_p double")
+
+
+def predictions(words: DataFrame, key: str, threshold: float = 0.5) -> DataFrame:
+    """Adds named (ai, human or a dash) to words (key, word_pos, word, p), and what holds for the whole text on each.
+
+    doc_p is the mean over scored words, null without any; n_words, n_skipped and ai_pct (of the scored words) count them.
+    """
+    named = words.withColumn("named", named_label(F.col("p"), threshold))
+    whole = named.groupBy(key).agg(F.avg("p").alias("doc_p"), F.count("*").alias("n_words"), F.count_if(F.col("p").isNull()).alias("n_skipped"), F.count_if(F.col("named") == "ai").alias("ai"))
+    share = F.coalesce(F.try_divide(100.0 * F.col("ai"), F.col("n_words") - F.col("n_skipped")), F.lit(0.0))
+    return named.join(whole.withColumn("ai_pct", share).drop("ai"), key)
+
+
+def evaluated(samples: DataFrame, make: Callable[[], WordScorer], key: str, *by: str, batch: int = 64) -> DataFrame:
+    """Metrics of a model on samples (key, words, labels), for each group: what a trainer asks for after an epoch.
+
+    accuracy, label_rate, predicted_rate, scored, skipped and the columns of metrics.reward. Samples whose words and
+    labels don't agree are left out. `by` names columns of the samples.
+    """
+    good = samples.where(is_valid(F.col("words"), F.col("labels")))
+    words = scored_words(good, make, key, batch)
+    if by:
+        words = words.join(good.select(key, *by), key)
+    rates = metrics.rates(words, *by)
+    both = metrics.reward(words, *by)
+    return both.join(rates, list(by)) if by else both.crossJoin(F.broadcast(rates))

@@ -12,7 +12,7 @@ from wordspan.functions.once import once
 from wordspan.functions.probability import argmax_of_two, render
 from wordspan.functions.rng import draw32
 from wordspan.functions.text import chunk_range, join_words, preview, setting, tokens
-from wordspan.operators import generate, metrics, modes, score, windows
+from wordspan.operators import generate, metrics, modes, score, splits, windows
 from wordspan.plans.queries import AI_SEED, SEED, pieces_of, pseudo, sample_texts, samples, table
 from wordspan.sources import catalog, chunks, token_rows
 from wordspan.sources.staging import new_path, staged
@@ -163,4 +163,36 @@ def score_report(spark, sf_dir):
     return marked.select("conv_id", render(F.col("words"), F.col("p")).alias("line"), argmax_of_two(a, b).alias("likelier"), F.round(catalog.cost(n, F.lit(50), F.lit(0.0015), F.lit(0.002)), 6).alias("cost"))
 
 
-ALL = [generation_requests, source_segments, segment_comparison, run_counters, ready_chunks, chunk_listing, chunk_samples, chunk_faults, token_metrics, token_row_cache, windows_to_target, augment_yield, document_scores, text_helpers, score_report]
+def whole_prompts(spark, sf_dir):
+    """Prompts that ask for a text again from its ends and a summary, for which the opening of the middle stands."""
+    cut = splits.three_parts(table(spark, sf_dir, "documents").select("doc_id", "text")).where("how is not null")
+    prompt = modes.whole_prompt(join_words(F.slice("middle", 1, 12)), join_words(F.col("begin")), join_words(F.col("end")), F.size("middle"))
+    return cut.select("doc_id", prompt.alias("prompt"))
+
+
+def hashed_words():
+    """Stands for a word scorer: the word's hash in steps of a twentieth; what comes after 40 words is cut off."""
+    p = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 21 / 20
+    return lambda lists: [[p(w) if k < 40 else None for k, w in enumerate(words)] for words in lists]
+
+
+def word_predictions(spark, sf_dir):
+    """Every word with its score and name, and what that makes of its text."""
+    given = samples(spark, sf_dir).select("conv_id", "words", F.col("label").alias("labels"))
+    out = score.predictions(score.scored_words(given, hashed_words, "conv_id").drop("y"), "conv_id")
+    return out.withColumn("doc_p", F.round("doc_p", 9))
+
+
+def evaluated_scorer(spark, sf_dir):
+    """Metrics of a scorer by group of conversations."""
+    given = samples(spark, sf_dir).select("conv_id", "words", F.col("label").alias("labels"), (F.col("conv_id") % 4).alias("part"))
+    return score.evaluated(given, hashed_words, "conv_id", "part").withColumns({c: F.round(c, 6) for c in ("ap", "reward", "label_rate", "predicted_rate", "accuracy")})
+
+
+def normalised_labels(spark, sf_dir):
+    """Labels that come as JSON text, as doubles and as longs, as ints."""
+    rows = samples(spark, sf_dir)
+    return rows.select("conv_id", L.parsed_ints(F.concat(F.lit("["), F.array_join(F.transform("label", lambda x: x.cast("string")), ", "), F.lit("]"))).alias("from_text"), L.as_ints(F.transform("label", lambda x, k: x.cast("double") + F.when(k % 5 == 4, 0.5).otherwise(0.0))).alias("from_doubles"), L.as_ints(F.col("label").cast("array<long>")).alias("from_longs"))
+
+
+ALL = [whole_prompts, word_predictions, evaluated_scorer, normalised_labels, generation_requests, source_segments, segment_comparison, run_counters, ready_chunks, chunk_listing, chunk_samples, chunk_faults, token_metrics, token_row_cache, windows_to_target, augment_yield, document_scores, text_helpers, score_report]

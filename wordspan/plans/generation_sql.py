@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from wordspan.operators.modes import BRIDGE, FOLLOW
 from wordspan.plans.oracle import ALIGNED, PIECES, SAMPLES, SQL as BASE
-from wordspan.plans.oracle import THREE_CUT, TWO_WAY, draw, joined, pure, words
+from wordspan.plans.oracle import THREE_CUT, TWO_WAY, draw, joined, pure, ranking, words
 
 
 def listed(values: tuple[str, ...]) -> str:
@@ -57,6 +57,9 @@ stored AS (SELECT {joined('words')} AS text, CASE conv_id % 10 WHEN 0 THEN label
 """
 FATE = "('0x' || substr(md5(prompt), 1, 8))::BIGINT % 10"
 
+HASHED = """hashed AS (SELECT conv_id, (i - 1)::INTEGER AS word_pos, words[i] AS word, label[i] AS y, CASE WHEN i <= 40 THEN (('0x' || substr(md5(words[i]), 1, 8))::BIGINT % 21)::DOUBLE / 20 END AS p
+  FROM samples, unnest(range(1, len(words) + 1)) AS u(i))"""
+
 SQL = {
     "generation_requests": f"WITH {REQUESTS} SELECT * FROM requests",
     "run_counters": f"""WITH {REQUESTS}, f AS (SELECT mode, {FATE} AS fate FROM requests)
@@ -71,6 +74,15 @@ made AS (SELECT *, w[1:n_start] AS hs, CASE WHEN n_end > 0 THEN w[len(w)-n_end+1
 SELECT doc_id, detected, m.mode, n_start::INTEGER AS n_start, n_end::INTEGER AS n_end, coalesce(hs = a, false) AS start_match, coalesce(he = b, false) AS end_match, coalesce(len(k), -1)::INTEGER AS n_skipped FROM made m JOIN seg USING (doc_id)""",
     "ready_chunks": """SELECT l_returnflag AS split, l_orderkey // 100 AS chunk_id, count(*) FILTER (l_partkey % 300 >= 30) AS n, count(*) FILTER (l_partkey % 300 < 30) AS dropped FROM lineitem
 GROUP BY ALL HAVING count(*) FILTER (l_partkey % 300 = 0) = 0 AND count(*) FILTER (l_partkey % 300 >= 30) > 0""",
+    "whole_prompts": THREE_CUT + f"""SELECT doc_id, 'Between the parts below the text said: ' || array_to_string(y[1:12], ' ') || {NL} || {NL} || 'Write ' || len(y) || ' words that lead from the first part to the second, and nothing else.' || {NL} || {NL}
+  || 'First part:' || {NL} || array_to_string(x, ' ') || {NL} || {NL} || 'Second part:' || {NL} || array_to_string(z, ' ') AS prompt FROM parted WHERE how IS NOT NULL""",
+    "word_predictions": f"""WITH {SAMPLES}, {HASHED}
+SELECT conv_id, word_pos, word, p, CASE WHEN p IS NULL THEN '—' WHEN p >= 0.5 THEN 'ai' ELSE 'human' END AS named, round(avg(p) OVER c, 9) AS doc_p, count(*) OVER c AS n_words, count(*) OVER c - count(p) OVER c AS n_skipped,
+  coalesce(100.0::DOUBLE * sum((p >= 0.5)::INTEGER) OVER c / count(p) OVER c, 0) AS ai_pct FROM hashed WINDOW c AS (PARTITION BY conv_id)""",
+    "evaluated_scorer": f"""WITH {SAMPLES}, {HASHED}, {ranking('conv_id % 4', '(SELECT * FROM hashed WHERE p IS NOT NULL)')},
+r AS (SELECT conv_id % 4 AS g, avg(y) AS label_rate, avg(coalesce(p >= 0.5, false)::INTEGER) FILTER (p IS NOT NULL) AS predicted_rate, count(p) AS scored, count(*) - count(p) AS skipped, 100.0::DOUBLE * (count(*) - count(p)) / count(*) AS skipped_pct, avg(((p > 0.5)::INTEGER = y)::INTEGER) AS accuracy FROM hashed GROUP BY 1)
+SELECT g AS part, tn, fp, fn, tp, f1, round(ap, 6) AS ap, fp_score, round((fp_score + f1 + ap) / 3, 6) AS reward, round(label_rate, 6) AS label_rate, round(predicted_rate, 6) AS predicted_rate, scored, skipped, skipped_pct, round(accuracy, 6) AS accuracy FROM whole JOIN r USING (g)""",
+    "normalised_labels": f"WITH {SAMPLES} SELECT conv_id, label AS from_text, list_transform(range(0, len(label)), lambda k: CASE WHEN k % 5 <> 4 THEN label[k + 1] END) AS from_doubles, label AS from_longs FROM samples",
     "chunk_listing": f"""WITH {STORED}, c AS (SELECT split, chunk_id, min(idx) AS lo, max(idx) AS hi, count(*) AS n, list_sort(list_distinct(list(model))) AS m FROM stored GROUP BY split, chunk_id),
 k AS (SELECT *, split || '_' || lo || '_' || hi AS name FROM c)
 SELECT split, chunk_id, lo, hi, n, name, row_number() OVER (PARTITION BY split ORDER BY name)::INTEGER AS place, array_to_string(m[1:5], ', ') || CASE WHEN len(m) > 5 THEN ' (+' || len(m) - 5 || ' more)' ELSE '' END AS models FROM k""",
