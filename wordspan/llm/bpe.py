@@ -29,6 +29,8 @@ MIXED = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 MIXED_ASCII = [x for x in MIXED if x.isascii()]
 #: Bytes that the ids of chunks met before may take in a Python worker, and what an entry takes besides its strings.
 MEMO_BYTES, ENTRY = 64 << 20, 200
+#: Characters of the texts whose chunks are held at once.
+CUT_CHARS = 2 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -211,14 +213,22 @@ class Chunks:
         self.size = 0
 
     def encoded(self, values: list[str]) -> Iterator[bytes]:
-        """The encoded form of each text; texts are cut twice rather than kept in pieces."""
-        need: set[str] = set()
-        firsts, mixed = [], []
+        """The encoded form of each text; texts are cut a few megabytes at a time, at most a text more."""
+        held, size = [], 0
         for text in values:
-            mixed.append(is_mixed(text))
-            first, *rest = cut(text, mixed[-1])
-            firsts.append(first)
-            need.update(rest)
+            held.append(text)
+            size += len(text)
+            if size >= CUT_CHARS:
+                yield from self.of(held)
+                held, size = [], 0
+        if held:
+            yield from self.of(held)
+
+    def of(self, values: list[str]) -> Iterator[bytes]:
+        pieces = [cut(text, is_mixed(text)) for text in values]
+        need: set[str] = set()
+        for own in pieces:
+            need.update(own[1:])
         need -= self.memo.keys()
         added = {x: self.older[x] for x in need & self.older.keys()}
         new = list(need - added.keys())
@@ -228,8 +238,8 @@ class Chunks:
             added.update(zip(some, self.encode([" " + x for x in some]), strict=True))
         self.memo.update(added)
         find = self.memo.__getitem__
-        for text, apart, first in zip(values, mixed, self.encode(firsts), strict=True):
-            yield first + b"".join(map(find, cut(text, apart)[1:]))
+        for own, first in zip(pieces, self.encode([own[0] for own in pieces]), strict=True):
+            yield first + b"".join(map(find, own[1:]))
         for x in new:
             if len(x) > self.longest:
                 del self.memo[x], added[x]
