@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from wordspan.llm.common import arrow_pass, texts, where_arrow
 
 #: Features, documents that a language trains on at most, passes over them, and the share kept for the temperature.
-FEATURES, MOST_A_LANGUAGE, PASSES, TEMPERATURE_FOLD = 1 << 17, 600, 3, 5
+FEATURES, MOST_A_LANGUAGE, MOST_IN_ALL, PASSES, TEMPERATURE_FOLD = 1 << 17, 600, 20_000, 3, 5
 #: FTRL: learning rate, its smoothing, and the elastic-net penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 #: Characters worked on at once, and the predicted language of texts without letters.
@@ -118,18 +118,31 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-def sample_vectors(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
-    """(language, fold, features, counts) of up to about MOST_A_LANGUAGE documents of each language, chosen by a hash."""
-    sizes = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
-    draw = F.pmod(F.xxhash64(F.lit(11), id_col), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for lang, n in sizes.items():
-        chosen = chosen | ((F.col(lang_col) == lang) & (draw < int(min(1.0, MOST_A_LANGUAGE / n) * 1_000_000)))
+#: Steps of the draw that picks documents: a language of any size keeps its share.
+STEPS = 1 << 40
+
+
+def share(n: int, most: int) -> int:
+    """Below which step, of STEPS, a document of a language with n of them is drawn, so that about `most` are."""
+    return STEPS if n <= most else max(1, STEPS * most // n)
+
+
+def sample_vectors(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int, most_in_all: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
+    """(language, fold, features, counts) of up to about `most` documents of each language, chosen by a hash.
+
+    Of rows that share id and text one is taken; with many languages each has an equal part of `most_in_all`.
+    """
+    sizes = docs.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
+    counts = {r["lang"]: r["n"] for r in sizes.orderBy(F.desc("n"), "lang").limit(most_in_all).collect()}
+    most = max(1, min(most, most_in_all // max(1, len(counts))))
+    # the hash of the id alone would take all rows of one id or none
+    draw = F.pmod(F.xxhash64(F.lit(11), id_col, F.xxhash64(text_col)), F.lit(STEPS))
+    below = docs.sparkSession.createDataFrame([(lang, share(n, most)) for lang, n in counts.items()], "lang string, below long")
 
     def each():
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             found, counts = [], []
-            for text in texts(batch, text_col):
+            for text in texts(batch):
                 f, n = np.unique(np.concatenate(list(each_feature(letters(text)))), return_counts=True)
                 found.append(f.astype(np.int32).tobytes())
                 counts.append(n.astype(np.float32).tobytes())
@@ -138,7 +151,8 @@ def sample_vectors(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -
         return turn
 
     fold = F.pmod(F.xxhash64(F.lit(13), id_col), F.lit(TEMPERATURE_FOLD)).cast("int")
-    picked = docs.where(chosen).select(F.col(lang_col).alias("lang"), fold.alias("fold"), text_col)
+    given = docs.select(F.col(lang_col).alias("lang"), fold.alias("fold"), F.col(text_col).alias("text"), draw.alias("draw"))
+    picked = given.join(F.broadcast(below), "lang").where("draw < below").dropDuplicates(["lang", "draw", "text"]).select("lang", "fold", "text")
     rows = arrow_pass(picked, each, "lang string, fold int, f binary, n binary").collect()
     made = [(r["lang"], r["fold"], np.frombuffer(r["f"], np.int32), np.frombuffer(r["n"], np.float32)) for r in rows]
     return sorted(made, key=lambda r: (r[0], r[1], len(r[2]), r[2].tobytes()))
@@ -193,16 +207,25 @@ def train(sample, idf: np.ndarray) -> Model:
     return model
 
 
-def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from text and non-null language of the rows where `usable` holds."""
+def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_a_language: int = MOST_A_LANGUAGE, most_in_all: int = MOST_IN_ALL) -> Model:
+    """Learns from text and non-null language of the rows where `usable` holds.
+
+    Document frequencies are those of all these rows. Weights are learnt from about `most_a_language` of them for each
+    language, `most_in_all` at most, which the driver holds as counts of features; beyond that many languages the rarest
+    aren't learnt. Null texts count as empty, null ids are ids like others, and rows that share id and text are drawn
+    once. Without rows nothing is predicted but `und`.
+    """
     learn = docs.where(usable & F.col(lang_col).isNotNull())
     df = document_frequencies(learn, text_col)
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
-    return train(sample_vectors(learn, id_col, text_col, lang_col), idf)
+    return train(sample_vectors(learn, id_col, text_col, lang_col, most_a_language, most_in_all), idf)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score of every row; `und` with score 0 for null texts and texts without a letter."""
+    """doc_id, lang_pred and score of every row; `und` with score 0 for null texts and texts without a letter.
+
+    Repeated rows and null ids each have their own row; an empty table gives none.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def each():
