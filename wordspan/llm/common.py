@@ -82,13 +82,18 @@ def arrow_pass(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.R
 
 
 def where_arrow(df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], list[bool]]]) -> DataFrame:
-    """The rows, with all columns, for which the function that `each` returns says True; no shuffle."""
+    """The rows, with all columns, for which the function that `each` returns says True; no shuffle.
+
+    Columns go through Python by number, as not every name a column can have may be given to it.
+    """
+    names = df.columns
+    plain = df.toDF(*(f"c{k}" for k in range(len(names))))
 
     def masked():
         turn = each()
-        return lambda batch: batch.filter(pa.array(turn(batch), pa.bool_()))
+        return lambda batch: batch.filter(pa.array(turn(batch.rename_columns(names)), pa.bool_()))
 
-    return arrow_pass(df, masked, df.schema)
+    return arrow_pass(plain, masked, plain.schema).toDF(*names)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

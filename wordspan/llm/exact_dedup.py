@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordspan.functions.names import free
 from wordspan.llm.common import SPACES, arrow_pass, shuffle_width, stage, texts
 
 #: Keys a bucket of the perfect hash holds on average, and digests a shard has when there are many.
@@ -148,10 +149,11 @@ def longest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows with a null id stay if they are among the longest of a group and none of those has an id.
     """
     found = compared(docs, None, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("doc_id").isNotNull() | (F.col("n_points") == F.col("keep_len"))))
-    kept = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("n_points").alias("_n")).distinct()
+    own_id, digest, n = free(docs.columns, "id", "digest", "n")
+    kept = found.select(F.col("doc_id").alias(own_id), F.col("digest").alias(digest), F.col("n_points").alias(n)).distinct()
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = F.unhex(F.sha2(F.translate(text, SPACES, "").cast("binary"), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (bare == F.col("_digest")) & (F.length(text).cast("long") == F.col("_n"))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (bare == F.col(digest)) & (F.length(text).cast("long") == F.col(n))
     return docs.join(kept, same, "left_semi")
 
 
@@ -159,23 +161,23 @@ def compared(docs: DataFrame, is_history: Column | None, id_col: str, text_col:
     """A row for each row: doc_id, n_points, digest, and its group's keep_id, keep_len and group_size."""
     spark = docs.sparkSession
     is_history = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 0 if is_history is None else is_history
-    made = stage(digests(docs.withColumn("_old", F.coalesce(is_history, F.lit(False))), id_col, text_col))
+    made = stage(digests(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(is_history, F.lit(False)).alias("old"))))
     shards = max(2 * shuffle_width(spark), -(-made.count() // SHARD))
     found = look_up_within(grouped(made, shards)).select("digest", F.nullif("keep_id", F.lit(NO_ID)).alias("keep_id"), "keep_len", "group_size")
     return made.join(found, "digest").select("doc_id", "n_points", "digest", "keep_id", "keep_len", "group_size")
 
 
-def digests(marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_points (code points of the text), digest (SHA-256 of the text without white space), old."""
+def digests(marked: DataFrame) -> DataFrame:
+    """doc_id, n_points (code points of the text), digest (SHA-256 of the text without white space), old, of rows (doc_id, text, old)."""
 
     def each():
         spaces = SPACES.encode()
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values = texts(batch, text_col)
+            values = texts(batch)
             found = [hashlib.sha256(t.encode().translate(None, spaces)).digest() for t in values]
-            return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(map(len, values), pa.int64()), pa.array(found, pa.binary()), batch.column("_old")], ["doc_id", "n_points", "digest", "old"])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, values), pa.int64()), pa.array(found, pa.binary()), batch.column("old")], ["doc_id", "n_points", "digest", "old"])
 
         return turn
 
-    return arrow_pass(marked.select(id_col, text_col, "_old"), each, "doc_id long, n_points long, digest binary, old boolean")
+    return arrow_pass(marked, each, "doc_id long, n_points long, digest binary, old boolean")

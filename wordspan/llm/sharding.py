@@ -13,6 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordspan.functions.names import quoted
 from wordspan.llm.common import shuffle_width, stage
 
 #: Bits of the key that one round resolves: a round collects at most 2**STEP counts for each open splitter.
@@ -84,10 +85,14 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.002
     Shards have near equal bytes. Equal texts share a shard unless their group holds over `whole_below` of one.
     Rows are numbered in cells of a shard dealt by the hash of the id, so that no task holds a whole shard or group.
     Repeated rows are numbered apart; an empty table gives no rows. Columns of `docs` that are called size, shard or
-    slot are replaced.
+    slot, in whatever case, are replaced; those of any other name are kept.
     """
     spark = docs.sparkSession
-    keyed = docs.drop("size", "shard", "slot").withColumns({"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1, "__h": F.xxhash64(F.col(text_col)), "__t": F.xxhash64(F.lit(7), F.col(id_col))})
+    kept = [c for c in docs.columns if c.lower() not in ("size", "shard", "slot")]
+    own = {c: f"c{k}" for k, c in enumerate(dict.fromkeys([*kept, id_col, text_col]))}  # names that none of the columns below has
+    key, text = own[id_col], own[text_col]
+    plain = docs.select(*(F.col(quoted(c)).alias(n) for c, n in own.items()))
+    keyed = plain.withColumns({"size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1, "__h": F.xxhash64(text), "__t": F.xxhash64(F.lit(7), key)})
     keys = stage(keyed.select("__h", "__t", "size"))
     bounds, _ = splitters(keys, n_shards, tolerance, whole_below)
     shard = sum((at_or_after(b).cast("int") for b in bounds if b), F.lit(0))
@@ -101,5 +106,6 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.002
         so_far[s] = so_far.get(s, 0) + m
     # At most n_shards * cells rows: two for each shuffle partition, or one for rows_a_cell documents.
     offsets = spark.createDataFrame(firsts, "shard int, __cell int, __first long")
-    within = Window.partitionBy("shard", "__cell").orderBy("__h", "__t", id_col, text_col)
-    return keyed.withColumns(place).join(F.broadcast(offsets), ["shard", "__cell"]).withColumn("slot", F.col("__first") + F.row_number().over(within) - 1).select(*[c for c in docs.columns if c not in ("size", "shard", "slot")], "size", "shard", "slot")
+    within = Window.partitionBy("shard", "__cell").orderBy("__h", "__t", key, text)
+    numbered = keyed.withColumns(place).join(F.broadcast(offsets), ["shard", "__cell"]).withColumn("slot", F.col("__first") + F.row_number().over(within) - 1)
+    return numbered.select(*(F.col(own[c]).alias(c) for c in kept), "size", "shard", "slot")
