@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordspan.functions.names import free
 from wordspan.llm import langid, toxicity
 from wordspan.llm.common import remainder, stage, table
 from wordspan.llm.exact_dedup import longest
@@ -20,7 +21,7 @@ from wordspan.llm.packing import pack_documents
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those whose language is less likely than not, whichever it is."""
+    """Drops texts without a letter, null ones too, and those whose language is less likely than not, whichever it is."""
     return langid.accepted(docs, langid.fit(docs, remainder("doc_id", 4) != 2))
 
 
@@ -42,14 +43,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     most = docs.agg(F.max("doc_id")).first()[0] or 0
     room = min((1 << 63) - 1 - max(most, 0), 1 << 62)
     key = F.coalesce("doc_id", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(room)) + F.lit(max(most, 0) + 1))
-    keyed = docs.withColumn("__key", key)
-    found = near_documents(keyed, id_col="__key")
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(kept, "__key", "left_semi").select(*docs.columns)
+    (own,) = free(docs.columns, "key")
+    keyed = docs.withColumn(own, key)
+    found = near_documents(keyed.select(own, "text"), id_col=own)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
+    return keyed.join(kept, own, "left_semi").drop(own)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of at most 2048 tokens."""
+    """Packs what is left into sequences of at most 2048 tokens; null ids are carried, repeated rows packed each."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -65,6 +67,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read back. Null texts go with the first; an empty table gives none."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = step(spark, docs, sf_dir)
