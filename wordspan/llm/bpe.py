@@ -2,9 +2,11 @@
 
 The bytes of all pre-tokens of a batch form one linked list, cut between pre-tokens. Every adjacent pair that may merge
 waits in the bucket of its merge rank, and a bitmap in three levels says which buckets hold anything: find-first-set
-gives the next rank without comparing pairs, so the time is in proportion to the bytes, however long a pre-token is. A
-bucket's pairs merge together, as arrays; entries whose pair has changed since they were filed are skipped. Pre-tokens
-don't touch each other, so the order of ranks over the whole batch is the order of ranks within each.
+gives the next rank without comparing pairs. A bucket's pairs merge together, as arrays; entries whose pair has changed
+since they were filed are skipped. Pre-tokens don't touch each other, so the order of ranks over the whole batch is the
+order of ranks within each. Where a merge may bring up a lower rank beside it, those of one pre-token merge one after
+the other; a pre-token with many such places leaves the arrays and goes on by a queue of single positions, so the time
+grows with the bytes (times a logarithm), however long a pre-token is.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ MIXED_ASCII = [x for x in MIXED if x.isascii()]
 MEMO_BYTES, ENTRY = 64 << 20, 200
 #: Characters of the texts whose chunks are held at once.
 CUT_CHARS = 2 << 20
+#: Places in one pre-token where a merge that may disturb its neighbours waits, from which on the pre-token goes on alone.
+MANY = 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -109,6 +114,7 @@ class Merges:
                     pairs[left << 20 | right] = rank
                 # When the merge that makes such a part happens, a pair of lower rank may appear beside it.
                 self.strict.update(part for part in (left, right) if part is not None and part > rank)
+        self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
 
@@ -119,6 +125,81 @@ class Merges:
         return np.where(self.keys[at] == key, self.values[at], -1)
 
 
+class PlaceQueue:
+    """Positions of one pre-token waiting by rank, the leftmost first; the same bitmap over the buckets."""
+
+    def __init__(self):
+        self.buckets: dict[int, list[int]] = {}
+        self.levels: list[dict[int, int]] = [{}, {}, {}]
+
+    def push(self, rank: int, position: int) -> None:
+        waiting = self.buckets.get(rank)
+        if waiting is not None:
+            heappush(waiting, position)
+            return
+        self.buckets[rank] = [position]
+        for level in self.levels:
+            word = rank >> 6
+            old = level.get(word, 0)
+            level[word] = old | 1 << (rank & 63)
+            if old:
+                break
+            rank = word
+
+    def pop(self) -> tuple[int, int]:
+        """The lowest rank that waits and its leftmost position; (-1, 0) if none does."""
+        at = min(self.levels[2], default=-1)
+        if at < 0:
+            return -1, 0
+        for level in reversed(self.levels):
+            word = level[at]
+            at = (at << 6) | ((word & -word).bit_length() - 1)
+        rank, waiting = at, self.buckets[at]
+        position = heappop(waiting)
+        if not waiting:
+            del self.buckets[rank]
+            for level in self.levels:
+                word = at >> 6
+                left = level[word] & ~(1 << (at & 63))
+                if left:
+                    level[word] = left
+                    break
+                del level[word]
+                at = word
+        return rank, position
+
+
+def merged(tokens: list[int], merges: Merges) -> list[int]:
+    """A pre-token's ids from the tokens it has so far: one merge after the other, each in logarithmic time."""
+    find, n = merges.pairs.get, len(tokens)
+    after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+    queue = PlaceQueue()
+    for at in range(n - 1):
+        rank = find(tokens[at] << 20 | tokens[at + 1])
+        if rank is not None:
+            queue.push(rank, at)
+    while True:
+        rank, at = queue.pop()
+        if rank < 0:
+            break
+        right = after[at]
+        if tokens[at] < 0 or right < 0 or find(tokens[at] << 20 | tokens[right]) != rank:
+            continue
+        tokens[at], tokens[right] = rank, -1
+        after[at] = beyond = after[right]
+        if beyond >= 0:
+            before[beyond] = at
+            own = find(rank << 20 | tokens[beyond])
+            if own is not None:
+                queue.push(own, at)
+        left = before[at]
+        if left >= 0:
+            own = find(tokens[left] << 20 | rank)
+            if own is not None:
+                queue.push(own, left)
+    return [t for t in tokens if t >= 0]
+
+
 def leftmost_runs(positions: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Of sorted positions whose pairs may overlap (runs of one token), those that merge from the left."""
     overlaps = np.zeros(len(positions), bool)
@@ -148,6 +229,7 @@ def encode_many(pieces: list[bytes], merges: Merges) -> list[bytes]:
     after[ends - 1] = n  # place n stands for the end of a pre-token
     before[ends[:-1]] = n
     before[0] = n
+    starts, alone = ends - lengths, {}
     queue, live = RankQueue(), np.ones(n + 1, bool)
     inner = np.flatnonzero(after[:n] < n).astype(np.int32)
     queue.file(merges.rank(token[inner], token[after[inner]]), inner)
@@ -163,6 +245,16 @@ def encode_many(pieces: list[bytes], merges: Merges) -> list[bytes]:
         if rank in merges.strict:  # one merge of a pre-token at a time, as a lower rank may come up
             first = np.ones(len(at), bool)
             first[1:] = piece[at[1:]] != piece[at[:-1]]
+            if len(at) - np.count_nonzero(first) >= MANY:
+                crowded, held = np.unique(piece[at], return_counts=True)
+                for k in crowded[held > MANY].tolist():  # many such places: the pre-token goes on by itself
+                    own = starts[k] + np.flatnonzero(live[starts[k] : ends[k]])
+                    alone[k] = np.array(merged(token[own].tolist(), merges), "<u4").tobytes()
+                    live[own] = False
+                stay = live[at]
+                at, first = at[stay], first[stay]
+                if not len(at):
+                    continue
             if not first.all():
                 queue.push(rank, at[~first])
             at = at[first]
@@ -181,7 +273,7 @@ def encode_many(pieces: list[bytes], merges: Merges) -> list[bytes]:
     ids = token[keep].astype("<u4").tobytes()
     bounds = (4 * np.searchsorted(keep, np.concatenate([[0], ends]))).tolist()
     for k, i in enumerate(todo):
-        out[i] = ids[bounds[k] : bounds[k + 1]]
+        out[i] = alone.get(k) or ids[bounds[k] : bounds[k + 1]]
     return out
 
 
