@@ -236,6 +236,8 @@ def apply_edits(table: DataFrame, path: str, pattern: str) -> DataFrame:
                 if not changes:
                     rows.append((0, n, 0, None, leaves))
                     continue
+                if any(b["start"] < a["end"] for a, b in pairwise(changes)) or changes[0]["start"] < 0 or any(c["end"] < c["start"] or c["end"] > len(text) for c in changes):
+                    raise ValueError("edits overlap or reach beyond their text")
                 tree = Tree(text, pieces, leaves)
                 for change in reversed(changes):  # from the end, so that offsets stay true
                     tree.edit(change["start"], change["end"], change["new"])
@@ -248,6 +250,26 @@ def apply_edits(table: DataFrame, path: str, pattern: str) -> DataFrame:
     return arrow_pass(table.select("doc_id", "n_tokens", "leaves", "edits", "text"), each, f"doc_id long, n_tokens long, {kinds}")
 
 
+def edited_table(table: DataFrame, docs: DataFrame, edits: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A leaf table after edits that came later: doc_id, n_tokens, leaves, n_edits and n_reencoded of all its rows.
+
+    `docs` has the texts as they were when the table was made or last edited, `edits` (id, start, end, new) what becomes
+    of them, as offsets into those texts. Only the texts of edited documents are fetched, and of those only what the
+    edits touch is encoded; the leaves of others pass as they are. Ids are unique in table and docs; edits of unknown and
+    null ids change nothing. Edits that overlap, or reach beyond their text, raise ValueError. Written and read back, the
+    result is the table for the next edits.
+    """
+    change = F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.coalesce("new", F.lit("")).alias("new"))
+    listed = edits.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.array_sort(F.collect_list(change)).alias("edits"))
+    held = docs.join(listed.select(F.col("doc_id").alias(id_col)), id_col, "left_semi").select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    plain = table.select("doc_id", "n_tokens", "leaves")
+    touched = plain.join(listed, "doc_id").join(held, "doc_id")
+    made = apply_edits(touched, path, pattern).select("doc_id", F.col("n_tokens_edited").alias("n_tokens"), "leaves", "n_edits", "n_reencoded")
+    none = F.lit(0).cast("long")
+    left = plain.join(touched.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_tokens", "leaves", none.alias("n_edits"), none.alias("n_reencoded"))
+    return made.unionByName(left)
+
+
 def count_edited(docs: DataFrame, path: str, pattern: str, edits: Callable[[str], list[Edit]] = personal_edits, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_edits, n_tokens_edited and n_reencoded (pre-tokens encoded again) of every row; no shuffle.
 
