@@ -1,8 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a decision tree over the block and its neighbours.
 
 A page is cut into blocks at block-level tags. A block's features are its words and link density, those of the blocks
-before and after it, the elements it stands in, and what the names (class, id) of those elements say. Both the tree and
-the weights of names are learnt from the labelled pages in labelled_pages.py. Pages are scanned once from left to right.
+before and after it, the elements it stands in, and what the names (class, id) of those elements say, but for the names
+of the article element itself. Both the tree and the weights of names are learnt from the labelled pages in
+labelled_pages.py; the tree also from copies of other lengths and without names, where words and links of a block and
+its neighbours must tell. Pages are scanned once from left to right.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 from math import log
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -103,9 +106,9 @@ class Cutter:
         names, role, hidden = described(attributes)
         main = around.main or name in ("article", "main") or role == "main"
         apart = around.apart or hidden or name in APART or role in ROLES or (name == "header" and not around.main)
-        # names around the article element say nothing about it; of those within, the nearest sixteen count
-        outer = () if main and not around.main else around.names
-        element = Element(name, main, apart, (*outer[-15:], names) if names else outer)
+        # the article element's own names and those around it say nothing about it; of those within, the nearest sixteen count
+        begins = main and not around.main
+        element = Element(name, main, apart, () if begins else (*around.names[-15:], names) if names else around.names)
         if name in LEAF:
             self.leaf = element if name not in ("html", "body") else None
         elif not attributes.rstrip().endswith("/"):
@@ -246,33 +249,56 @@ def name_weights(pages: list[tuple[list[Block], list[bool]]]) -> dict[str, float
     return {part: log((sum(x) + 0.25) / (len(x) - sum(x) + 0.25)) for part, x in seen.items()}
 
 
-def grow(rows: list[tuple[float, ...]], depth: int = 8):
-    """A decision tree by Gini impurity: (feature, threshold, at most, above), or the share of article in a leaf."""
-    kept = sum(r[-1] for r in rows)
-    if not depth or kept in (0, len(rows)):
-        return kept / len(rows)
+#: Rows that a leaf of the tree has at least, and questions on the way to it at most.
+LEAST_ROWS, DEPTH = 8, 8
+
+
+def grow(rows: np.ndarray, depth: int = DEPTH):
+    """A decision tree by Gini impurity over rows of features and a last column, 1 for blocks that are kept.
+
+    (feature, threshold, at most, above), or the share of kept blocks in a leaf.
+    """
+    kept, n = rows[:, -1].sum(), len(rows)
+    if not depth or kept in (0, n) or n < 2 * LEAST_ROWS:
+        return float(kept / n)
     best = None
-    for k in range(len(rows[0]) - 1):
-        values = sorted({r[k] for r in rows})
-        for low, high in zip(values, values[1:], strict=False):
-            split = (low + high) / 2
-            sides = [[r[-1] for r in rows if r[k] <= split], [r[-1] for r in rows if r[k] > split]]
-            impurity = sum(sum(s) * (len(s) - sum(s)) / len(s) for s in sides)
-            if best is None or impurity < best[0] - 1e-12:
-                best = (impurity, k, split)
-    if best is None:
-        return kept / len(rows)
+    for k in range(rows.shape[1] - 1):
+        order = np.argsort(rows[:, k], kind="stable")
+        values, ones = rows[order, k], np.cumsum(rows[order, -1])
+        left = np.arange(1, n)
+        impurity = ones[:-1] * (left - ones[:-1]) / left + (kept - ones[:-1]) * (n - left - kept + ones[:-1]) / (n - left)
+        fits = (values[1:] > values[:-1]) & (left >= LEAST_ROWS) & (n - left >= LEAST_ROWS)
+        if fits.any():
+            at = int(np.argmin(np.where(fits, impurity, np.inf)))
+            if best is None or impurity[at] < best[0] - 1e-12:
+                best = (impurity[at], k, float(values[at] + values[at + 1]) / 2)
+    if best is None or best[0] > kept * (n - kept) / n - 1e-9:
+        return float(kept / n)
     _, k, split = best
-    return k, split, grow([r for r in rows if r[k] <= split], depth - 1), grow([r for r in rows if r[k] > split], depth - 1)
+    return k, split, grow(rows[rows[:, k] <= split], depth - 1), grow(rows[rows[:, k] > split], depth - 1)
+
+
+def marked_pages(pages: list[str]) -> list[tuple[list[Block], list[bool]]]:
+    return [(blocks, [b.text.startswith(labelled_pages.OWN) for b in blocks]) for blocks in map(blocks_of, pages)]
+
+
+#: Places of features in rows_of: where a block stands.
+STANDS = 6
 
 
 @lru_cache(1)
 def trained():
-    """The weights of names and the tree, from the labelled pages."""
-    pages = [blocks_of(labelled_pages.filled(p)) for p in labelled_pages.PAGES]
-    marked = [(blocks, [b.text.startswith(labelled_pages.OWN) for b in blocks]) for blocks in pages]
-    weights = name_weights(marked)
-    return weights, grow([(*row, int(k)) for blocks, kept in marked for row, k in zip(rows_of(blocks, weights), kept, strict=True)])
+    """The weights of names, from the labelled pages, and the tree, from them and their copies.
+
+    Its first questions are whether the page says where its article is; pages that do and pages that don't each have
+    a tree of their own below them.
+    """
+    weights = name_weights(marked_pages(list(map(labelled_pages.filled, labelled_pages.PAGES))))
+    marked = marked_pages(labelled_pages.training_pages())
+    rows = np.array([(*row, int(k)) for blocks, kept in marked for row, k in zip(rows_of(blocks, weights), kept, strict=True)], float)
+    says = rows[:, STANDS] != 0
+    with_element, without = grow(rows[says]), grow(rows[~says])
+    return weights, (STANDS, -0.5, with_element, (STANDS, 0.5, without, with_element))
 
 
 def is_article(row: tuple[float, ...]) -> bool:

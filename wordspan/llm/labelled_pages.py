@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 PAGES = [
@@ -43,5 +44,42 @@ PAGES = [
 OWN, OTHER = "kept", "left"
 
 
-def filled(page: str) -> str:
-    return re.sub(r"\{(\+?)(\d+)\}", lambda m: " ".join([OWN if m[1] else OTHER] * int(m[2])), page)
+#: Copies of each page with other lengths, as drawn, and of those that can be told without names, without any.
+VARIANTS = 8
+#: Words of a block from which on it is prose, wherever it stands.
+PROSE = 13
+
+
+def filled(page: str, draw: random.Random | None = None) -> str:
+    """The page with its words; with `draw`, texts of over three words have from half to twice as many."""
+
+    def words(m: re.Match) -> str:
+        n = int(m[2])
+        n = n if draw is None or n <= 3 else max(2, round(n * 2 ** draw.uniform(-1, 1)))
+        return " ".join([OWN if m[1] else OTHER] * n)
+
+    return re.sub(r"\{(\+?)(\d+)\}", words, page)
+
+
+def is_plain(page: str) -> bool:
+    """Whether nothing but links and short texts stands beside the article, so that it can be told without names."""
+    beside = re.sub(r"<a [^>]*>[^<]*</a>", "", page)
+    return all(int(n) < PROSE for n in re.findall(r"\{(\d+)\}", beside))
+
+
+def bare(page: str) -> str:
+    """The page without class, id and role, and with plain boxes for elements that say what they hold."""
+    page = re.sub(r' (?:class|id|role)=(?:"[^"]*"|[^ >]+)', "", page)
+    return re.sub(r"<(/?)(?:article|main|nav|aside|footer|header|section|form|figure|figcaption)\b", r"<\1div", page)
+
+
+def training_pages(seed: int = 1) -> list[str]:
+    """The pages as they are, copies of other lengths, and such copies without names."""
+    draw = random.Random(seed)
+    out = list(map(filled, PAGES)) if seed == 1 else []
+    for page in PAGES:
+        for _ in range(VARIANTS):
+            out.append(filled(page, draw))
+            if is_plain(page):
+                out.append(filled(bare(page), draw))
+    return out
