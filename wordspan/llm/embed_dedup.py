@@ -24,7 +24,7 @@ from wordspan.llm.common import arrow_pass, stage
 from wordspan.llm.components import components
 
 #: Trees of a label, classes a leaf should have at most, random directions that a leaf chooses from, directions in all.
-TREES, LEAF, TRIES, POOL = 5, 256, 4, 256
+TREES, LEAF, TRIES, POOL = 5, 32, 4, 256
 #: Nodes of the forest at most, 24 bytes each: it is broadcast. Beyond that, leaves stay larger.
 MOST_NODES = 1 << 20
 #: Vectors of a block; leaves with more are compared in pairs of blocks.
