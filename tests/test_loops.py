@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wordspan.functions import errors
 from wordspan.functions.failures import Failed, backoff, verdict
+from wordspan.operators import generate
 from wordspan.operators.entries import Entry, Lane, Model
 from wordspan.plans.loops import MODELS, rolling
 from wordspan.sources import chunks, commits, planned
@@ -107,6 +108,41 @@ def test_a_lane_runs_the_same_in_parts():
     assert not none and not left and sorted(whole, key=str) == sorted(done, key=str) and len(whole) == 120
 
 
+class Clock:
+    """Time that passes only by sleeping."""
+
+    def __init__(self):
+        self.now, self.slept = 0.0, []
+
+    def time(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.now += seconds
+        self.slept.append(seconds)
+
+
+def test_a_lane_goes_on_while_an_entry_waits():
+    clock = Clock()
+    entries = [Entry(n, f"p{n}", 64, 0.0, 0.0) for n in range(60)]
+    got = list(generate.in_lane(entries, Lane({m: Model() for m in MODELS}), rolling(), clock.time, clock.sleep))
+    want, _ = Lane({m: Model() for m in MODELS}).run(list(enumerate(entries)), rolling(), 1e9)
+    assert sorted(got, key=str) == sorted((o for _, o in want), key=str)
+    assert sum(clock.slept) < sum(o.waited for o in got) / 3  # waits overlap
+
+
+def test_generation_by_availability(spark):
+    def quick():
+        return lambda entry, model: f"{model}: {entry.prompt}" if entry.asked > 1 or entry.id % 3 else (_ for _ in ()).throw(Failed("status", 404))
+
+    df = spark.createDataFrame([(i, f"p{i}", 64) for i in range(30)] + [(3, "again", 64), (None, "p", 64)], "id long, prompt string, max_tokens int")
+    got = generate.generated_by_availability(df, quick, [f"m{k}" for k in range(40)], lanes=3).collect()
+    assert len(got) == 31 and {r["status"] for r in got} == {"generated"}
+    assert all(r["asked"] == (1 if r["id"] % 3 else 2) and r["answer"].startswith(r["model"]) for r in got)
+    with pytest.raises(ValueError, match="lanes"):
+        generate.generated_by_availability(df, quick, ["m"], lanes=0)
+
+
 def streamed(spark, files, per_trigger, **how):
     base = new_path(spark, "gen")
     schema = "id long, prompt string, max_tokens int, at double"

@@ -1,14 +1,18 @@
-"""Generation with an injected generator: retries, backoff and skipping, row by row inside the tasks."""
+"""Generation with an injected generator inside the tasks: models by turns, or by availability under cooldowns."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import astuple, replace
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from wordspan.functions.errors import MOST_ATTEMPTS
+from wordspan.operators.entries import Ask, Entry, Lane, Model, Outcome
 
 #: (prompt, max_tokens, model) to text.
 Generator = Callable[[str, int, str], str]
@@ -75,3 +79,41 @@ def generated(requests: DataFrame, make: Callable[[], Generator], models: list[s
     dealt = requests if concurrency is None else requests.repartition(concurrency)
     schema = ", ".join(f"`{n}` {t}" for n, t in requests.dtypes)
     return dealt.mapInPandas(run, f"{schema}, answer string, model string, status string, attempts int")
+
+
+def in_lane(entries: list[Entry], lane: Lane, ask: Ask, clock: Callable[[], float], sleep: Callable[[float], None]) -> Iterator[Outcome]:
+    """Runs entries by a clock: whichever is due first is asked next, and the lane sleeps only when none is due."""
+    queue = [(e.due, e.id, n, e) for n, e in enumerate(entries)]
+    heapify(queue)
+    while queue:
+        due, _, n, entry = heappop(queue)
+        now = clock()
+        if due > now:
+            sleep(due - now)
+            now = max(due, clock())
+        after = lane.step(replace(entry, due=now), ask)
+        if isinstance(after, Outcome):
+            yield after
+        else:
+            heappush(queue, (after.due, after.id, n, after))
+
+
+def generated_by_availability(requests: DataFrame, make: Callable[[], Ask], models: list[str], lanes: int = 32, seed: int = 0, clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """id, status, answer, model, attempts, asked and waited of requests (id, prompt, max_tokens), under cooldowns.
+
+    A task is a lane: it asks one model at a time, of those that are available, by the rules of operators.entries, and
+    goes on with other requests while one waits. `lanes` sets how many run at once. A lane takes an Arrow batch of
+    requests at a time. Null ids are left out, equal ids wait on their own.
+    """
+    if lanes < 1:
+        raise ValueError("lanes must be at least 1")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ask, lane = make(), Lane({m: Model() for m in models}, seed + TaskContext.get().partitionId())
+        for pdf in frames:
+            now = clock()
+            entries = [Entry(int(i), p, int(b), now, now) for i, p, b in zip(pdf["id"], pdf["prompt"], pdf["max_tokens"], strict=True)]
+            yield pd.DataFrame([astuple(o) for o in in_lane(entries, lane, ask, clock, sleep)], columns=["id", "status", "answer", "model", "attempts", "asked", "waited"])
+
+    dealt = requests.where("id IS NOT NULL").select("id", "prompt", "max_tokens").repartition(lanes)
+    return dealt.mapInPandas(run, "id long, status string, answer string, model string, attempts int, asked int, waited double")

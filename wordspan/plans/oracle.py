@@ -289,6 +289,10 @@ two AS (SELECT *, rate_limit AND NOT daily_quota AND ({marks('m', 'temporarily r
 three AS (SELECT *, retry_other_model AND NOT (transient OR content OR rate_limit OR daily_quota) AS blocks_model, least(60, coalesce(try_cast(asked AS DOUBLE) + 1, 10))::DOUBLE AS wait FROM two),
 taxonomy AS (SELECT *, CASE WHEN daily_quota THEN 'quota' WHEN rate_limit THEN 'rate' WHEN content THEN 'content' WHEN blocks_model THEN 'retry' ELSE 'other' END AS kind FROM three)
 """
+SQL["prefix_source_texts"] = f"""WITH found AS ({SQL["prefix_source_match"]}),
+kept AS (SELECT 3 AS least_words, doc_id, text, idx FROM ({INDEXED} 3) UNION ALL SELECT 15, doc_id, text, idx FROM ({INDEXED} 15) UNION ALL SELECT 30, doc_id, text, idx FROM ({INDEXED} 30))
+SELECT probe_id, doc_id, idx, how, text FROM found JOIN kept USING (least_words, idx)"""
+
 SQL["error_taxonomy"] = f"""WITH {TAXONOMY} SELECT event_id, message, rate_limit, daily_quota, temporary, transient, content, context_length, non_retryable, retry_other_model, blocks_model, kind, wait,
   CASE WHEN non_retryable OR daily_quota OR event_id % 13 + 1 >= 12 THEN NULL WHEN transient THEN greatest(7, 5 * (event_id % 13 + 1)) WHEN temporary THEN wait ELSE 5 * (event_id % 13 + 1) END::DOUBLE AS backoff FROM taxonomy"""
 STRIKES = f"""{TAXONOMY},

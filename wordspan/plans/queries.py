@@ -59,17 +59,28 @@ def source_point_lookup(spark, sf_dir):
 FILTERS = (3, 15, 30)
 
 
-def prefix_source_match(spark, sf_dir):
-    """Each text's opening is sought at an index near its own, which every third one counts under a stricter filter."""
+def prefix_probes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """Each text's opening, sought at an index near its own, which every third one counts under a stricter filter; the corpus by filter."""
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     sources = {n: staged(corpus.indexed(texts, "doc_id", n).select("doc_id", "idx", first_words(F.col("text"), 25).alias("words"))) for n in FILTERS}
     opening = sources[3].select(F.col("doc_id").alias("probe_id"), "words", "idx", F.lit(3).alias("min_words"))
     strict = sources[30].select(F.col("doc_id").alias("probe_id"), F.col("idx").alias("strict_idx"))
     hint = F.when(F.col("probe_id") % 3 == 0, F.coalesce("strict_idx", "idx")).otherwise(F.col("idx")) + F.col("probe_id") % 5 - 2
-    probes = opening.join(strict, "probe_id", "left").select("probe_id", "words", hint.alias("hint"), "min_words")
+    return opening.join(strict, "probe_id", "left").select("probe_id", "words", hint.alias("hint"), "min_words"), sources
+
+
+def prefix_source_match(spark, sf_dir):
+    probes, sources = prefix_probes(spark, sf_dir)
     return corpus.resolve(probes, {n: s.select("idx", "words") for n, s in sources.items()})
 
 
+def prefix_source_texts(spark, sf_dir):
+    """The source row of every opening, with its whole text."""
+    probes, sources = prefix_probes(spark, sf_dir)
+    found = corpus.resolve(probes, {n: s.select("idx", "words") for n, s in sources.items()})
+    return corpus.source_texts(found, sources, table(spark, sf_dir, "documents"), "doc_id").select("probe_id", "doc_id", "idx", "how", "text")
+
+
 def sentence_segments(spark, sf_dir):
     docs = once(table(spark, sf_dir, "documents").select("doc_id", "text"), parts=sentences(F.col("text"))).select("doc_id", "parts")
     sums = once(once(docs, lengths=F.transform("parts", F.length)), starts=block_starts(F.col("lengths")))
@@ -390,7 +401,7 @@ def available_models(spark, sf_dir):
 
 
 ALL = [
-    word_profile_by_lang, word_profile_by_source_file, shortest_longest_per_group, upper_median_lengths, filtered_index_range, source_point_lookup, prefix_source_match, sentence_segments, prefix_suffix_split, three_part_split,
+    word_profile_by_lang, word_profile_by_source_file, shortest_longest_per_group, upper_median_lengths, filtered_index_range, source_point_lookup, prefix_source_match, prefix_source_texts, sentence_segments, prefix_suffix_split, three_part_split,
     append_plan, sandwich_plan, prompt_plan, mixed_labels, conversation_word_labels, label_boundaries, detect_mode_distribution, label_segments, label_segments_whole, one_class_windows, labelled_one_class_windows, boundary_windows, window_audit, merged_split_counts,
     chunk_manifest, chunk_range_prune, subword_label_alignment, subword_label_alignment_whole, padded_label_batches, first_subword_probs, truncation_fallback, confusion_f1, average_precision, reward, model_comparison, document_prob_broadcast, threshold_vs_round, catalog_filter, error_taxonomy, cooldown_strikes, cooldown_stream, available_models,
 ]

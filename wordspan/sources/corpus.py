@@ -112,3 +112,12 @@ def resolve(probes: DataFrame, sources: dict[int, DataFrame]) -> DataFrame:
     how = F.when(F.col("at").isNotNull(), "index").when(F.col("near").isNotNull(), "prefix").otherwise("none")
     least = F.when(F.col("at").isNotNull(), F.col("min_words")).otherwise(F.col("near.least"))
     return out.select("probe_id", F.coalesce("at", "near.idx").alias("idx"), how.alias("how"), least.alias("least_words"))
+
+
+def source_texts(found: DataFrame, sources: dict[int, DataFrame], docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """What `resolve` has found, with the source row's key and its whole text; probes without a source are left out.
+
+    `sources` has the key and idx of the corpus under each filter, `docs` its texts.
+    """
+    keys = reduce(DataFrame.unionByName, [s.select(F.lit(n).alias("least_words"), "idx", key) for n, s in sources.items()])
+    return found.join(keys, ["least_words", "idx"]).join(docs.select(key, text_col), key)
