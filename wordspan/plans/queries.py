@@ -295,21 +295,29 @@ def threshold_vs_round(spark, sf_dir):
     return words.groupBy("p").agg(F.count("*").alias("n"), F.min(hard_label(F.col("p"))).alias("rounded"), F.min(named_label(F.col("p"))).alias("named"), F.avg("y").alias("label_rate"))
 
 
-def catalog_filter(spark, sf_dir):
+def parts_as_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts stand for generators: name, price and size give their ids, prices and abilities."""
     text, size = F.array(F.lit("text")), F.col("p_size")
     priced = F.when(size % 11 == 0, F.lit("n/a")).when(size % 13 == 0, F.lit("0")).otherwise((F.floor(F.col("p_retailprice")) / 1000).cast("string"))
-    made = table(spark, sf_dir, "part").select(
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
         F.concat(F.when(size % 17 == 0, "~").otherwise(""), F.lower(F.translate("p_brand", "#", "-")), F.lit("/"), F.col("p_partkey").cast("string"), F.when(size % 7 == 0, "-Embed").when(size % 5 == 0, ":free").otherwise("")).alias("id"),
         F.struct(priced.alias("prompt"), priced.alias("completion")).alias("pricing"),
         F.when(size % 3 == 0, F.array(F.lit("top_p"))).otherwise(F.array(F.lit("top_p"), F.lit("max_tokens"))).alias("supported_parameters"),
         F.struct(text.alias("input_modalities"), F.when(size % 19 == 0, F.array(F.lit("text"), F.lit("audio"))).otherwise(text).alias("output_modalities")).alias("architecture"),
         F.when(size % 23 == 0, "2025-01-01").alias("expiration_date"),
     )
+
+
+def chosen_models(made: DataFrame) -> DataFrame:
     chat = made.where(catalog.is_chat_model())
     return chat.select("id", F.col("pricing.prompt").alias("prompt"), catalog.is_affordable(free_only=True).alias("free"), catalog.is_affordable(most_prompt=1.4, most_completion=1.5).alias("affordable"))
 
 
+def catalog_filter(spark, sf_dir):
+    return chosen_models(parts_as_models(spark, sf_dir))
+
+
 #: Failures that events stand for: exception, status, text, and the body's message and metadata.
 FAILED = [("rate", 429, "too many requests", None, '{"retry_after_seconds": %d}')] * 20 + [
     ("rate", 429, "slow down", "Model is temporarily rate-limited upstream", "{}"),
