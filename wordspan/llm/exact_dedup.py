@@ -30,9 +30,14 @@ def words_of(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 4)
 
 
+#: Low bits of a product that don't count: where n is a power of two, they come again after few pilots, and two keys may
+#: then never find two free places. And how many pilots a bucket is given; equal keys, which can't be, would need more.
+LOW, MOST_TRIES = np.uint64(33), 1 << 26
+
+
 def position(keys: np.ndarray, pilot: np.ndarray, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return (((keys[:, 2] + pilot * (keys[:, 3] | np.uint64(1))) >> np.uint64(7)) % np.uint64(n)).astype(np.int64)
+        return (((keys[:, 2] + pilot * (keys[:, 3] | np.uint64(1))) >> LOW) % np.uint64(n)).astype(np.int64)
 
 
 def build(keys: np.ndarray) -> np.ndarray:
@@ -50,7 +55,7 @@ def build(keys: np.ndarray) -> np.ndarray:
         while True:
             tries = np.arange(base, base + width, dtype=np.uint64)
             with np.errstate(over="ignore"):
-                at = (((own[:, 2] + tries[:, None] * (own[:, 3] | np.uint64(1))) >> np.uint64(7)) % np.uint64(n)).astype(np.int64)
+                at = (((own[:, 2] + tries[:, None] * (own[:, 3] | np.uint64(1))) >> LOW) % np.uint64(n)).astype(np.int64)
             fits = ~taken[at].any(axis=1)
             if len(own) > 1:
                 in_order = np.sort(at, axis=1)
@@ -61,6 +66,8 @@ def build(keys: np.ndarray) -> np.ndarray:
                 taken[at[pick]] = True
                 break
             base, width = base + width, min(4 * width, 8192)
+            if base > MOST_TRIES:
+                raise ValueError("no perfect hash: keys repeat")
     return pilots
 
 
