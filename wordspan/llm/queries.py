@@ -107,6 +107,26 @@ SELECT d.doc_id, k.keep_id, w.group_size, d.doc_id = k.keep_id AS kept, d.h AS t
 FROM d JOIN w ON d.h = w.h JOIN k ON d.h = k.h
 """
 
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.k <> b.k AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT y, c FROM reached JOIN links ON vec_id = x),
+n AS (SELECT x, count(*) AS n_links FROM links GROUP BY x), least AS (SELECT vec_id, min(c) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN least USING (vec_id) LEFT JOIN n ON vec_id = x
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(list_zip(w, w[2:], w[3:], w[4:], w[5:])[:len(w) - 4], lambda z: concat_ws(' ', z[1], z[2], z[3], z[4], z[5]))) END AS g FROM w),
+u AS (SELECT doc_id, unnest(g) AS h FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM u a JOIN u b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * m >= 80 * (len(a.g) + len(b.g) - m)),
+reached AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT y, c FROM reached JOIN links ON doc_id = x),
+least AS (SELECT doc_id, min(c) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN least USING (doc_id)
+"""
+
 OP11_SQL = """
 WITH v AS (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -149,4 +169,4 @@ SELECT lang, source, part, item, value, rank FROM (
 WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op13_source_divergence": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op4_embedding_near_dedup": OP4_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op13_source_divergence": OP13_SQL}
