@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import wordspan.llm as llm
 from wordspan.llm import bpe, html_text, labelled_pages, langid, packing
-from wordspan.llm.exact_dedup import longest
+from wordspan.llm.exact_dedup import build, longest, position
 from wordspan.llm.sharding import shard_documents
 from wordspan.llm.token_counts import edited_table, leaf_table, piece_counts
 
@@ -192,3 +192,13 @@ def test_words_and_links_tell_where_nothing_is_named():
                 fixed = tuple(((40, 0.0)[k % 2] if k in places else x) for k, x in enumerate(row))
                 changed[name] += html_text.is_article(fixed) != html_text.is_article(row)
     assert all(changed.values()), changed
+
+
+@pytest.mark.parametrize("n", [2, 4, 8, 16, 32, 64, 128])
+def test_perfect_hashes_of_powers_of_two_are_found(n):
+    rng = np.random.default_rng(n)
+    for _ in range(300):
+        keys = rng.integers(0, 1 << 63, (n, 4), dtype=np.uint64)
+        pilots = build(keys)
+        at = position(keys, pilots[(keys[:, 1] % np.uint64(len(pilots))).astype(int)], n)
+        assert sorted(at.tolist()) == list(range(n)) and pilots.max() < 1 << 20
