@@ -172,6 +172,13 @@ def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
     return met.groupBy("code").agg(*(F.count_if(in_[h] & (F.col("toxic") == y)).alias(f"{h}_{c}") for h in HALVES for y, c in enumerate(CLASSES)))
 
 
+def fetched(rows: DataFrame, by: str) -> dict[str, np.ndarray]:
+    """Whole numbers as arrays by column, in the order of one."""
+    made = rows.toArrow()
+    order = np.argsort(np.asarray(made.column(by)), kind="stable")
+    return {c: np.asarray(made.column(c))[order] for c in made.column_names}
+
+
 def learnt(known: DataFrame, half: str) -> tuple[Model, np.ndarray]:
     """The model of a half or the whole, all ratios kept, and the stems of its words.
 
@@ -185,24 +192,23 @@ def learnt(known: DataFrame, half: str) -> tuple[Model, np.ndarray]:
     spare = [F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"spare_{c}") for c in CLASSES]
     of_words = own_counts.agg(F.sum("n").alias("n"), F.count_if("seen").alias("units"), *(F.sum(c).alias(c) for c in CLASSES), *spare).first()
     of_stems = stems.agg(F.count("*").alias("units"), *spare).first()
-    word = own_counts.where(often).toPandas().sort_values("code", ignore_index=True)
-    stem = stems.where(often).toPandas().sort_values("stem", ignore_index=True)
+    word, stem = fetched(own_counts.where(often).drop("seen"), "code"), fetched(stems.where(often), "stem")
 
     # Every unit (word, other words of a stem, words of unknown stems) has half an occurrence more.
     total = (of_words["n"] or 0) + 0.5 * (of_words["units"] + of_stems["units"] + 1)
-    in_stem = (stem["n"].to_numpy(float) + 0.5 * (stem["words"].to_numpy(float) + 1)) / total
-    shared = (word["n"].to_numpy(float) + 0.5) / total
-    of = places(stem["stem"].to_numpy(np.int64), word["stem"].to_numpy(np.int64)) - 1
+    in_stem = (stem["n"] + 0.5 * (stem["words"] + 1)) / total
+    shared = (word["n"] + 0.5) / total
+    of = places(stem["stem"], word["stem"]) - 1
     logs = []
     for c in CLASSES:
         own = max(1.0, float(of_words[c] or 0))
         spare_word, spare_stem = (max(float(r[f"spare_{c}"] or 0) / own, 1e-6) for r in (of_words, of_stems))
-        likely = np.maximum(stem[c].to_numpy(float) - DISCOUNT, 0) / own + spare_stem * in_stem
-        words = np.maximum(word[c].to_numpy(float) - DISCOUNT, 0) / own + spare_word * likely[of] * shared / in_stem[of]
+        likely = np.maximum(stem[c] - DISCOUNT, 0) / own + spare_stem * in_stem
+        words = np.maximum(word[c] - DISCOUNT, 0) / own + spare_word * likely[of] * shared / in_stem[of]
         # for other words the shared part is the same in both classes
         logs.append([np.log(words), np.log([spare_word * spare_stem]), np.log(spare_word * likely / in_stem)])
     ratio = np.concatenate([b - a for a, b in zip(*logs, strict=True)])
-    return Model(word["code"].to_numpy(np.int64), stem["stem"].to_numpy(np.int64), ratio), word["stem"].to_numpy(np.int64)
+    return Model(word["code"], stem["stem"], ratio), word["stem"]
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -246,7 +252,6 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
 
     found = continuation_counts(marked, text_col)
     known = stage(word_counts(docs, text_col).join(found, "code", "left").na.fill(0))
-    whole, stem_of = learnt(known, "whole")
     sent = spark.sparkContext.broadcast({2: learnt(known, "first")[0], 1: learnt(known, "second")[0]})
 
     def each():
@@ -263,10 +268,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
         return turn
 
     kinds = ", ".join(f"x{k} double" for k in range(len(CUTS)))
-    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int", PART_BYTES).toPandas()
-    y = rows["y"].to_numpy(float)
-    curves = [fit_curve(rows[f"x{k}"].to_numpy(float), y) for k in range(len(CUTS))]
+    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int", PART_BYTES).toArrow()
+    y = np.asarray(rows.column("y")).astype(float)
+    curves = [fit_curve(np.asarray(rows.column(f"x{k}")), y) for k in range(len(CUTS))]
+    del rows
+    sent.destroy()
     best = min(range(len(CUTS)), key=lambda k: curves[k][2])
+    whole, stem_of = learnt(known, "whole")
+    pa.default_memory_pool().release_unused()
     model = whole.cut(CUTS[best]).slim(stem_of)
     model.curve = curves[best][:2]
     return model
