@@ -270,6 +270,24 @@ def test_toxicity_ranks_held_out_rows_of_the_tables(spark, sf, least):
     assert sum(r["predicted"] for r in rows if not r["toxic"]) <= 1
 
 
+def test_toxicity_of_long_documents(spark):
+    """A few toxic words are enough however many ordinary ones stand around them, and ordinary length adds nothing."""
+    random.seed(11)
+    common, bad = [f"word{i}" for i in range(300)], ["vile", "rotten", "filthy"]
+    rows = []
+    for i in range(1200):
+        words = [random.choice(common) for _ in range(random.choice([20, 60, 200, 600, 4000]) if i < 800 or i % 2 else 4000)]
+        if i % 4 == 0:
+            for _ in range(random.randint(3, 6)):
+                words[random.randrange(len(words))] = random.choice(bad)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(800)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels, F.lit(True))).collect()}
+    held = range(800, 1200)
+    assert min(got[i] for i in held if i % 4 == 0) >= 0.7 > max(got[i] for i in held if i % 4)
+
+
 def test_toxicity_of_empty_tables(spark, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
     assert toxicity.score(none, toxicity.fit(none, labels, F.lit(True))).count() == 0

@@ -4,9 +4,10 @@ A class's model gives a word its continuation count (distinct words seen before
 backs off to the same distribution over stems, and that to word counts shared by both classes, taken from the whole
 corpus. Rare and inflected expressions thus get their likelihood from their stem and from the shared counts. Every word
 and stem of the labelled documents counts; those that have just what they would back off to are not sent. A
-document's score compares its two log-likelihoods, divided by its number of words, through a logistic curve. The curve,
-and how far apart the models must be on a word for it to count, are fitted across two halves of the labelled documents,
-each scored by the models of the other.
+document's score compares its two log-likelihoods, divided by a power of its number of words, through a logistic curve.
+The curve, the power (0: evidence adds up however long the text, 1: it is diluted by every other word), and how far apart
+the models must be on a word for it to count, are fitted across two halves of the labelled documents, each scored by the
+models of the other.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MOST_LABELLED = 200_000
 DISCOUNT, LEAST_WORDS = 2.0, 8
 #: Log ratios up to which the models may be taken not to tell a word apart; the halves decide.
 CUTS = (0.0, 1.0, 2.0, 3.0, 4.0)
+#: Powers of its number of words by which a document's ratio may be divided; the halves decide.
+POWERS = (1.0, 0.75, 0.5, 0.25, 0.0)
 #: Characters of a stem.
 STEM = 6
 #: ASCII characters other than letters and digits separate words.
@@ -74,6 +77,7 @@ class Model:
     stems: np.ndarray
     ratio: np.ndarray
     curve: tuple[float, float] = (1.0, 0.0)
+    power: float = 1.0
 
     def units(self, codes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Places 0.. are words; from len(words) on stems, the first of which is the unknown stem."""
@@ -96,7 +100,8 @@ class Model:
 
     def ratios(self, values: list[str]) -> np.ndarray:
         """Each text's log-likelihood ratio a word."""
-        return Reader(self).by_cut(values, [0.0])[:, 0]
+        total, n = Reader(self).by_cut(values, [0.0])
+        return total[:, 0] / n
 
 
 class Reader:
@@ -105,19 +110,20 @@ class Reader:
     def __init__(self, model: Model):
         self.model, self.words, self.ratio = model, Words(), np.zeros(0)
 
-    def by_cut(self, values: list[str], cuts) -> np.ndarray:
-        """Each text's log-likelihood ratio a word, without ratios up to each of several cuts, as columns."""
+    def by_cut(self, values: list[str], cuts) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's log-likelihood ratio, without ratios up to each of several cuts, as columns; and its words."""
         if len(self.words) > MOST_HELD:
             self.words, self.ratio = Words(), np.zeros(0)
         found = list(map(self.words.of, values))
         if len(self.words) > len(self.ratio):
             self.ratio = np.concatenate([self.ratio, self.model.ratio[self.model.units(self.words.arrays(len(self.ratio)))]])
         by_cut = [np.where(np.abs(self.ratio) > c, self.ratio, 0.0) if c else self.ratio for c in cuts]
-        return np.array([[r[own].sum() / max(len(own), LEAST_WORDS) for r in by_cut] for own in found]).reshape(len(values), len(cuts))
+        total = np.array([[r[own].sum() for r in by_cut] for own in found]).reshape(len(values), len(cuts))
+        return total, np.array([max(len(own), LEAST_WORDS) for own in found], float)
 
     def scores(self, values: list[str]) -> np.ndarray:
-        slope, shift = self.model.curve
-        return 1 / (1 + np.exp(-np.clip(slope * self.by_cut(values, [0.0])[:, 0] + shift, -40, 40)))
+        (slope, shift), (total, n) = self.model.curve, self.by_cut(values, [0.0])
+        return 1 / (1 + np.exp(-np.clip(slope * total[:, 0] / n**self.model.power + shift, -40, 40)))
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -259,25 +265,25 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             values, half = texts(batch, text_col), batch.column("half").to_numpy()
-            x = np.zeros((len(values), len(CUTS)))
+            x, n = np.zeros((len(values), len(CUTS))), np.zeros(len(values))
             for h, reader in readers.items():
                 own = np.flatnonzero(half == h)
-                x[own] = reader.by_cut([values[i] for i in own], CUTS)
-            return pa.RecordBatch.from_arrays([*map(pa.array, x.T), batch.column("toxic")], [*(f"x{k}" for k in range(len(CUTS))), "y"])
+                x[own], n[own] = reader.by_cut([values[i] for i in own], CUTS)
+            return pa.RecordBatch.from_arrays([*map(pa.array, x.T), pa.array(n), batch.column("toxic")], [*(f"x{k}" for k in range(len(CUTS))), "n", "y"])
 
         return turn
 
     kinds = ", ".join(f"x{k} double" for k in range(len(CUTS)))
-    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, y int", PART_BYTES).toArrow()
-    y = np.asarray(rows.column("y")).astype(float)
-    curves = [fit_curve(np.asarray(rows.column(f"x{k}")), y) for k in range(len(CUTS))]
+    rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, n double, y int", PART_BYTES).toArrow()
+    y, n = np.asarray(rows.column("y")).astype(float), np.asarray(rows.column("n"))
+    curves = {(cut, power): fit_curve(np.asarray(rows.column(f"x{k}")) / n**power, y) for k, cut in enumerate(CUTS) for power in POWERS}
     del rows
     sent.destroy()
-    best = min(range(len(CUTS)), key=lambda k: curves[k][2])
+    cut, power = min(curves, key=lambda k: curves[k][2])
     whole, stem_of = learnt(known, "whole")
     pa.default_memory_pool().release_unused()
-    model = whole.cut(CUTS[best]).slim(stem_of)
-    model.curve = curves[best][:2]
+    model = whole.cut(cut).slim(stem_of)
+    model.curve, model.power = curves[cut, power][:2], power
     return model
 
 
