@@ -144,6 +144,29 @@ def test_regions_join_recursively(spark, monkeypatch):
     assert len(set(root)) > 6
 
 
+@pytest.mark.parametrize("across", [True, False])
+def test_a_large_side_that_meets_a_few_rows_is_sent_once(spark, monkeypatch, across):
+    from itertools import combinations
+
+    from wordspan.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    sizes = {0: (2, 90), 1: (3, 4), 2: (20, 17), 3: (11, 0), 4: (0, 30)}
+    rows = [(p, 0, 100 * side + k, side) for p, n in sizes.items() for side in (0, 1) for k in range(n[side])]
+    met, sent = {p: set() for p in sizes}, dict.fromkeys(sizes, 0)
+    cells = {}
+    for r in ngram_join.dealt(spark.createDataFrame(rows, "p long, part long, x long, side int"), ["p", "part"], across).collect():
+        cells.setdefault((r["p"], r["i"], r["j"]), []).append((r["x"], r["side"], r["block"]))
+        sent[r["p"]] += 1
+    for (p, i, j), own in cells.items():
+        for (x, s, a), (y, t, b) in combinations(own, 2):
+            if sorted((a, b)) == [i, j] and (s != t if across else s * t == 0):
+                assert frozenset((x, y)) not in met[p]
+                met[p].add(frozenset((x, y)))
+    assert {p: len(m) for p, m in met.items()} == {p: n * m + (0 if across else n * (n - 1) // 2) for p, (n, m) in sizes.items()}
+    assert sent[0] <= 90 + 2 * 13
+
+
 def test_sharding(docs, none):
     got = shard_documents(docs, 4).collect()
     texts = {i: t for i, t, *_ in corpus()}

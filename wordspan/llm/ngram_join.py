@@ -235,14 +235,28 @@ def divided(rows: DataFrame, sets: DataFrame, group: list[str], across: bool) ->
         level += 1
 
 
+def dealt(rows: DataFrame, group: list[str], across: bool) -> DataFrame:
+    """The rows of each group by block, and in the pairs of blocks i, j in which they are compared.
+
+    A group of up to BLOCK rows is one block. In a larger one each side has blocks of its own, and only those meet that
+    have pairs to compare: rows of side 0 go to each block of side 1 and, unless `across`, of side 0, rows of side 1 to
+    each block of side 0. A large side that meets a few rows is thus sent once.
+    """
+    one, side = F.col("n0") + F.col("n1") <= BLOCK, F.col("side") == 0
+    counts = rows.groupBy(*group).agg(F.count_if(side).alias("n0"), F.count_if(~side).alias("n1"))
+    counts = counts.withColumn("own", F.when(one, 1).otherwise(F.ceil(F.col("n0") / BLOCK)).cast("int"))
+    counts = counts.select(*group, one.alias("one"), "own", F.when(one, 1).otherwise(F.col("own") + F.ceil(F.col("n1") / BLOCK)).cast("int").alias("blocks"))
+    hashed, rest = F.xxhash64(F.lit(31), "x"), F.greatest(F.lit(1), F.col("blocks") - F.col("own"))
+    block = F.when(F.col("one") | side, F.pmod(hashed, F.greatest(F.lit(1), "own"))).otherwise(F.col("own") + F.pmod(hashed, rest)).cast("int")
+    meets = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.col("one") | F.when(side, o >= F.col("own") if across else F.lit(True)).otherwise(o < F.col("own")))
+    both = rows.join(counts, group).withColumn("block", block).withColumn("other", F.explode(meets)).drop("one", "own", "blocks")
+    return both.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+
+
 def compared(rows: DataFrame, sets: DataFrame, group: list[str], across: bool) -> DataFrame:
     """a, b: links among the rows (group, x, side) of each group, by parts and blocks."""
     cut, group = stage(divided(stage(rows), sets, group, across)), [*group, "part"]
-    counts = cut.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = cut.join(counts, group).withColumn("block", F.pmod(F.xxhash64(F.lit(31), "x"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    full = dealt.join(sets.select(F.col("id").alias("x"), "codes"), "x")
+    full = dealt(cut, group, across).join(sets.select(F.col("id").alias("x"), "codes"), "x")
     return full.groupBy(*group, "i", "j").applyInPandas(linker(across), "a long, b long")
 
 
