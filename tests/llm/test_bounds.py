@@ -9,6 +9,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -57,6 +58,30 @@ def test_crowded_pretokens_beside_others(single):
         assert np.frombuffer(got, "<u4").tolist() == single(raw)
 
 
+def test_chunks_are_split_as_one_string_and_encoded_together():
+    from wordspan.llm.bpe import Chunks, splitter
+
+    find = regex.compile(P.PATTERN).findall
+    chunks = ["", " ", " a", " don't", " x,y", "first", " \u3000b", " c\n", " \x1c", " d1\n\ne", " 'll", " \U0001f469", " e\u0301", "f g"] * 3
+
+    def split(pattern, some):
+        flat, spans = splitter(pattern)(some)
+        return [flat[a:b] for a, b in spans]
+
+    assert split(P.PATTERN, chunks) == list(map(find, chunks)) and split(P.PATTERN, []) == []
+    spanning = r"\w \w|."  # a pattern whose matches span chunks
+    assert split(spanning, [" ab", " cd"]) == [list(" ab"), list(" cd")]
+    calls = []
+
+    def encode(some):
+        calls.append(len(some))
+        return [x.encode() for x in some]
+
+    texts = [f"w{k} w{k + 1} w{k % 7}" for k in range(50)] + ["", "one\n two"]
+    assert [x.decode() for x in Chunks(encode).encoded(texts)] == texts
+    assert len(calls) == 1  # first chunks with the new ones
+
+
 def test_ranks_as_the_library():
     path = P.path("byte_bpe_50k.json")
     tokenizer, chunks = packing.library_tokenizer(path), packing.library_chunks(path)

@@ -32,8 +32,9 @@ MIXED = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 MIXED_ASCII = [x for x in MIXED if x.isascii()]
 #: Bytes that the ids of chunks met before may take in a Python worker, and what an entry takes besides its strings.
 MEMO_BYTES, ENTRY = 64 << 20, 200
-#: Characters of the texts whose chunks are held at once.
-CUT_CHARS = 2 << 20
+#: Characters of the texts whose chunks are held at once; and where the queue encodes them, as its rounds cost the same
+#: for few chunks and many.
+CUT_CHARS, QUEUE_CHARS = 2 << 20, 8 << 20
 #: Places in one pre-token where a merge that may disturb its neighbours waits, from which on the pre-token goes on alone.
 MANY = 16
 
@@ -239,9 +240,11 @@ def encode_many(pieces: list[bytes], merges: Merges) -> list[bytes]:
         right = after[at]
         at = at[(right < n) & (merges.rank(token[at], token[right]) == rank)]
         at.sort()
-        at = at[np.flatnonzero(np.diff(at, prepend=-1))]
         if not len(at):
             continue
+        fresh = np.ones(len(at), bool)
+        np.not_equal(at[1:], at[:-1], out=fresh[1:])
+        at = at[fresh]
         if rank in merges.strict:  # one merge of a pre-token at a time, as a lower rank may come up
             first = np.ones(len(at), bool)
             first[1:] = piece[at[1:]] != piece[at[:-1]]
@@ -298,8 +301,8 @@ class Chunks:
     go with the older one. A task makes its own, so nothing outlives the task. Chunks over `longest` aren't kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most_bytes: int = MEMO_BYTES, longest: int = 64, slab: int = 400_000):
-        self.encode, self.most_bytes, self.longest, self.slab = encode, most_bytes, longest, slab
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most_bytes: int = MEMO_BYTES, longest: int = 64, slab: int = 400_000, chars: int = CUT_CHARS):
+        self.encode, self.most_bytes, self.longest, self.slab, self.chars = encode, most_bytes, longest, slab, chars
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
@@ -310,7 +313,7 @@ class Chunks:
         for text in values:
             held.append(text)
             size += len(text)
-            if size >= CUT_CHARS:
+            if size >= self.chars:
                 yield from self.of(held)
                 held, size = [], 0
         if held:
@@ -325,12 +328,14 @@ class Chunks:
         added = {x: self.older[x] for x in need & self.older.keys()}
         new = list(need - added.keys())
         del need
-        for i in range(0, len(new), self.slab):
+        firsts = self.encode([*[own[0] for own in pieces], *[" " + x for x in new[: self.slab]]])
+        added.update(zip(new, firsts[len(pieces) :], strict=False))
+        for i in range(self.slab, len(new), self.slab):
             some = new[i : i + self.slab]
             added.update(zip(some, self.encode([" " + x for x in some]), strict=True))
         self.memo.update(added)
         find = self.memo.__getitem__
-        for own, first in zip(pieces, self.encode([own[0] for own in pieces]), strict=True):
+        for own, first in zip(pieces, firsts, strict=False):
             yield first + b"".join(map(find, own[1:]))
         for x in new:
             if len(x) > self.longest:
@@ -340,6 +345,35 @@ class Chunks:
             self.older, self.memo, self.size = self.memo, {}, 0
 
 
+def splitter(pattern: str) -> Callable[[list[str]], tuple[list[str], list[tuple[int, int]]]]:
+    """The pre-tokens of all chunks as one list, and where those of each chunk begin and end in it.
+
+    Chunks that begin with a space and don't end with white space may follow each other in a text, where no pre-token spans
+    two of them: they are split as one string. Should a pattern not end a pre-token with each chunk, each is split alone.
+    No list is made for each chunk: Python's collector would go through them again and again.
+    """
+    find = regex.compile(pattern).findall
+
+    def split(chunks: list[str]) -> tuple[list[str], list[tuple[int, int]]]:
+        inner = [i for i, c in enumerate(chunks) if c[:1] == " " and not c[-1].isspace()]
+        some = [chunks[i] for i in inner]
+        flat = find("".join(some))
+        ends, bounds = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in (flat, some))
+        last = np.searchsorted(ends, bounds)
+        if some and (not len(ends) or last[-1] == len(ends) or (ends[last] != bounds).any()):
+            inner, flat, last = [], [], last[:0]
+        begin, end, alone = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), np.ones(len(chunks), bool)
+        end[inner], alone[inner] = last + 1, False
+        begin[inner[1:]] = last[:-1] + 1
+        for i in np.flatnonzero(alone).tolist():
+            begin[i] = len(flat)
+            flat += find(chunks[i])
+            end[i] = len(flat)
+        return flat, list(zip(begin.tolist(), end.tolist(), strict=True))
+
+    return split
+
+
 @lru_cache(1)
 def merges_of(path: str) -> Merges:
     """The merge table, which depends on the file only; kept while the worker lives."""
@@ -348,13 +382,14 @@ def merges_of(path: str) -> Merges:
 
 def encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
     """Ids of strings by the rank file at `path`, each match of `pattern` by itself, as little-endian 32-bit numbers."""
-    merges, find = merges_of(path), regex.compile(pattern).findall
+    merges, split = merges_of(path), splitter(pattern)
 
     def encode(chunks: list[str]) -> list[bytes]:
-        found = list(map(find, chunks))
-        pieces = list(set().union(*found))
+        flat, spans = split(chunks)
+        pieces = list(set(flat))
         ids = dict(zip(pieces, encode_many([p.encode() for p in pieces], merges), strict=True))
-        return [ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for c in found]
+        found = list(map(ids.__getitem__, flat))
+        return [found[a] if b == a + 1 else b"".join(found[a:b]) for a, b in spans]
 
     return encode
 
@@ -381,7 +416,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """
 
     def each():
-        chunks, tokens = Chunks(encoder(path, pattern)), token_table(path)
+        chunks, tokens = Chunks(encoder(path, pattern), chars=QUEUE_CHARS), token_table(path)
         decimal = [str(i) for i in range(len(tokens))]
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordspan.llm.bpe import Chunks, encode_many, merges_of
+from wordspan.llm.bpe import QUEUE_CHARS, Chunks, encode_many, merges_of, splitter
 from wordspan.llm.common import arrow_pass, stage, texts
 
 #: What the registered query edits out: e-mail and IP addresses, and long numbers. An address's local part is tried from
@@ -42,6 +42,7 @@ class PieceCounts:
 
     def __init__(self, path: str, pattern: str, most: int = MOST_PIECES, longest: int = 64):
         self.merges, self.find, self.most, self.longest = merges_of(path), regex.compile(pattern).findall, most, longest
+        self.split = splitter(pattern)
         self.memo: dict[str, int] = {}
 
     def counts(self, pieces: list[str]) -> list[int]:
@@ -60,12 +61,13 @@ class PieceCounts:
 
     def leaves(self, strings: list[str]) -> list[bytes]:
         """Each string's leaves: characters and tokens of its pre-tokens in turn, as little-endian 32-bit numbers."""
-        split = list(map(self.find, strings))
-        met = list(set().union(*split))
+        flat, spans = self.split(strings)
+        met = list(set(flat))
         tokens = [len(x) // 4 for x in encode_many([p.encode() for p in met], self.merges)]
         raw = np.stack([np.array(list(map(len, met)), "<u4"), np.array(tokens, "<u4")], axis=1).tobytes()
         known = {p: raw[8 * i : 8 * i + 8] for i, p in enumerate(met)}
-        return [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in split]
+        found = list(map(known.__getitem__, flat))
+        return [found[a] if b == a + 1 else b"".join(found[a:b]) for a, b in spans]
 
 
 class Tree:
@@ -204,7 +206,7 @@ def leaf_table(docs: DataFrame, path: str, pattern: str, edits: Callable[[str],
     """
 
     def each():
-        chunks = Chunks(piece_counts(path, pattern).leaves)
+        chunks = Chunks(piece_counts(path, pattern).leaves, chars=QUEUE_CHARS)
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             values = texts(batch, text_col)
