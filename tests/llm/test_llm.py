@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from wordspan.llm import html_text, langid, toxicity
@@ -311,6 +312,34 @@ def test_toxicity_of_long_documents(spark):
     assert min(got[i] for i in held if i % 4 == 0) >= 0.7 > max(got[i] for i in held if i % 4)
 
 
+def test_toxicity_beside_many_words_that_a_class_lacks_by_chance(spark):
+    """Names that toxic documents are too few to have had differ by more between the models than any fixed bound."""
+    random.seed(12)
+    common, names, bad = [f"w{i}" for i in range(200)], [f"n{i}" for i in range(3000)], [f"vile{i}x" for i in range(10)]
+    rows = []
+    for i in range(6000):
+        n = random.choice([60, 200, 600])
+        words = random.choices(common, k=n) + random.choices(names, k=n // 10) + random.choices(bad, k=4 if i % 20 == 0 else 0)
+        random.shuffle(words)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels, F.lit(True))).collect()}
+    held = [(got[i] >= 0.7, i % 20 == 0) for i in range(4000, 6000)]
+    assert sum(hit for hit, y in held if y) > 0.95 * sum(y for _, y in held) and sum(hit for hit, y in held if not y) <= 1
+
+
+def test_toxicity_sums_by_cut():
+    words = {"aa": 0.5, "bb": -3.0, "cc": 6.5, "dd": 2.0}
+    code = {xxhash.xxh64_intdigest(w): r for w, r in words.items()}
+    order = np.array(sorted(np.array(list(code), np.uint64).view(np.int64)))
+    ratio = np.array([code[c] for c in order.view(np.uint64).tolist()] + [-0.25])
+    model = toxicity.Model(order, np.zeros(0, np.int64), ratio)
+    total, n = toxicity.Reader(model).by_cut(["aa bb cc dd dd", "", "zz cc"], [0.0, 1.0, 2.0, 3.0])
+    assert total.tolist() == [[8.0, 7.5, 3.5, 6.5], [0.0] * 4, [6.25, 6.5, 6.5, 6.5]] and n.tolist() == [8.0] * 3
+    assert [x.shape for x in toxicity.Reader(model).by_cut([], [0.0, 1.0])] == [(0, 2), (0,)]
+
+
 def test_toxicity_of_empty_tables(spark, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
     assert toxicity.score(none, toxicity.fit(none, labels, F.lit(True))).count() == 0

@@ -26,8 +26,8 @@ from wordspan.llm.common import arrow_pass, parts, stage, texts, where_arrow
 MOST_LABELLED = 200_000
 #: Absolute discount (counts up to it are left to the backoff), and words a document counts as at least.
 DISCOUNT, LEAST_WORDS = 2.0, 8
-#: Log ratios up to which the models may be taken not to tell a word apart; the halves decide.
-CUTS = (0.0, 1.0, 2.0, 3.0, 4.0)
+#: Step of the log ratios up to which the models may be taken not to tell a word apart: from 0 to the largest; the halves decide.
+CUT_STEP = 1.0
 #: Powers of its number of words by which a document's ratio may be divided; the halves decide.
 POWERS = (1.0, 0.75, 0.5, 0.25, 0.0)
 #: Characters of a stem.
@@ -117,9 +117,12 @@ class Reader:
         found = list(map(self.words.of, values))
         if len(self.words) > len(self.ratio):
             self.ratio = np.concatenate([self.ratio, self.model.ratio[self.model.units(self.words.arrays(len(self.ratio)))]])
-        by_cut = [np.where(np.abs(self.ratio) > c, self.ratio, 0.0) if c else self.ratio for c in cuts]
-        total = np.array([[r[own].sum() for r in by_cut] for own in found]).reshape(len(values), len(cuts))
-        return total, np.array([max(len(own), LEAST_WORDS) for own in found], float)
+        n, own = np.array(list(map(len, found)), np.int64), np.concatenate([np.zeros(0, np.int64), *found])
+        # each text's sum by the number of cuts that a ratio exceeds; a cut keeps all from its own number on
+        exceeded, width = np.searchsorted(cuts, np.abs(self.ratio)), len(cuts) + 1
+        at = np.repeat(np.arange(len(values)) * width, n) + exceeded[own]
+        by_number = np.bincount(at, self.ratio[own], len(values) * width).reshape(-1, width)
+        return by_number[:, :0:-1].cumsum(axis=1)[:, ::-1], np.maximum(n, LEAST_WORDS).astype(float)
 
     def scores(self, values: list[str]) -> np.ndarray:
         (slope, shift), (total, n) = self.model.curve, self.by_cut(values, [0.0])
@@ -258,25 +261,29 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
 
     found = continuation_counts(marked, text_col)
     known = stage(word_counts(docs, text_col).join(found, "code", "left").na.fill(0))
-    sent = spark.sparkContext.broadcast({2: learnt(known, "first")[0], 1: learnt(known, "second")[0]})
+    models = {2: learnt(known, "first")[0], 1: learnt(known, "second")[0]}
+    # chance ratios grow with the corpus, so what may be left out has no fixed bound
+    cuts = np.arange(0.0, max(max(float(np.abs(m.ratio).max()) for m in models.values()), CUT_STEP), CUT_STEP).tolist()
+    sent = spark.sparkContext.broadcast(models)
+    del models
 
     def each():
         readers = {h: Reader(model) for h, model in sent.value.items()}
 
         def turn(batch: pa.RecordBatch) -> pa.RecordBatch:
             values, half = texts(batch, text_col), batch.column("half").to_numpy()
-            x, n = np.zeros((len(values), len(CUTS))), np.zeros(len(values))
+            x, n = np.zeros((len(values), len(cuts))), np.zeros(len(values))
             for h, reader in readers.items():
                 own = np.flatnonzero(half == h)
-                x[own], n[own] = reader.by_cut([values[i] for i in own], CUTS)
-            return pa.RecordBatch.from_arrays([*map(pa.array, x.T), pa.array(n), batch.column("toxic")], [*(f"x{k}" for k in range(len(CUTS))), "n", "y"])
+                x[own], n[own] = reader.by_cut([values[i] for i in own], cuts)
+            return pa.RecordBatch.from_arrays([*map(pa.array, x.T), pa.array(n), batch.column("toxic")], [*(f"x{k}" for k in range(len(cuts))), "n", "y"])
 
         return turn
 
-    kinds = ", ".join(f"x{k} double" for k in range(len(CUTS)))
+    kinds = ", ".join(f"x{k} double" for k in range(len(cuts)))
     rows = arrow_pass(marked.select(text_col, "toxic", "half"), each, f"{kinds}, n double, y int", PART_BYTES).toArrow()
     y, n = np.asarray(rows.column("y")).astype(float), np.asarray(rows.column("n"))
-    curves = {(cut, power): fit_curve(np.asarray(rows.column(f"x{k}")) / n**power, y) for k, cut in enumerate(CUTS) for power in POWERS}
+    curves = {(cut, power): fit_curve(np.asarray(rows.column(f"x{k}")) / n**power, y) for k, cut in enumerate(cuts) for power in POWERS}
     del rows
     sent.destroy()
     cut, power = min(curves, key=lambda k: curves[k][2])
