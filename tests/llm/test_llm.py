@@ -340,6 +340,29 @@ def test_toxicity_sums_by_cut():
     assert [x.shape for x in toxicity.Reader(model).by_cut([], [0.0, 1.0])] == [(0, 2), (0,)]
 
 
+def test_toxicity_counts_of_words_and_stems(spark):
+    """A pair of words is one row whatever classes and halves have it; the counts of stems are made once for all models."""
+    random.seed(13)
+    vocabulary = ["shared", "sharedly", "sharedness", "vile", "vileness", "a", "b"]
+    rows = [(" ".join(random.choices(vocabulary, k=random.randint(0, 6))), random.randint(0, 1), random.randint(1, 2)) for _ in range(40)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int, half int")
+    counts = toxicity.continuation_counts(labelled, "text")
+    exchanges = [x for x in counts._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 2 and not any("toxic" in x for x in exchanges)
+    met = {(w, b, y, h) for t, y, h in rows for b, w in zip(["", *t.split()], t.split(), strict=False)}
+    of = {xxhash.xxh64_intdigest(w) - ((xxhash.xxh64_intdigest(w) >> 63) << 64): w for w in vocabulary}
+    names = [(h, y, f"{h}_{c}") for h in toxicity.HALVES for y, c in enumerate(toxicity.CLASSES)]
+    got = {of[r["code"]]: r for r in counts.collect()}
+    want = {w: {c: len({b for v, b, u, k in met if v == w and u == y and (h == "whole" or toxicity.HALVES[h] == k)}) for h, y, c in names} for w in vocabulary}
+    assert {w: {c: r[c] for _, _, c in names} for w, r in got.items()} == want
+    known = toxicity.word_counts(spark.createDataFrame([*((t,) for t, _, _ in rows), ("other",)], "text string"), "text").join(counts, "code", "left").na.fill(0)
+    stems = {r["stem"]: r for r in toxicity.by_stem(known).collect()}
+    assert len(stems) == 5 and sum(r["n"] for r in stems.values()) == sum(len(t.split()) for t, _, _ in rows)
+    shared = max(stems.values(), key=lambda r: r["whole_words"])
+    assert all(shared[c] == sum(want[w][c] for w in vocabulary[:3]) for _, _, c in names)
+    assert all(shared[f"{h}_words"] == sum(want[w][f"{h}_ordinary"] + want[w][f"{h}_toxic"] > 0 for w in vocabulary[:3]) for h in toxicity.HALVES)
+
+
 def test_toxicity_of_empty_tables(spark, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
     assert toxicity.score(none, toxicity.fit(none, labels, F.lit(True))).count() == 0

@@ -153,7 +153,7 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 CLASSES = ("ordinary", "toxic")
-HALVES = ("first", "second", "whole")
+HALVES = {"first": 1, "second": 2, "whole": 3}
 
 
 def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
@@ -164,21 +164,29 @@ def continuation_counts(labelled: DataFrame, text_col: str) -> DataFrame:
             words, found = Words(), {}
             for t, y, half in zip(texts(batch, text_col), batch.column("toxic").to_pylist(), batch.column("half").to_pylist(), strict=True):
                 own = words.of(t)
-                found.setdefault((y, half), []).append(np.concatenate([[-1], own])[:-1] << 32 | own)
-            rows = {key: np.unique(np.concatenate(own)) for key, own in found.items()}
+                found.setdefault(half << 2 * y, []).append(np.concatenate([[-1], own])[:-1] << 32 | own)
+            rows = {bit: np.unique(np.concatenate(own)) for bit, own in found.items()}
             pair = np.concatenate(list(rows.values()))
             code = words.arrays()[0]
             # the word before, in 32 bits: only within the pairs of one word must it be told apart
             before = np.concatenate([code, [0]])[pair >> 32] >> 32 if len(code) else pair
-            y, half = (np.repeat(np.array([key[k] for key in rows], np.int32), list(map(len, rows.values()))) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(code[pair & 0xFFFFFFFF]), pa.array(before.astype(np.int32)), pa.array(y), pa.array(half)], ["code", "before", "toxic", "half"])
+            where = np.repeat(np.array(list(rows), np.int32), list(map(len, rows.values())))
+            return pa.RecordBatch.from_arrays([pa.array(code[pair & 0xFFFFFFFF]), pa.array(before.astype(np.int32)), pa.array(where)], ["code", "before", "where"])
 
         return turn
 
-    pairs = arrow_pass(labelled.select(text_col, "toxic", "half"), each, "code long, before int, toxic int, half int", PART_BYTES)
-    met = pairs.groupBy("code", "before", "toxic").agg(F.bit_or("half").alias("half"))
-    in_ = {"first": F.col("half").bitwiseAND(F.lit(1)) > 0, "second": F.col("half").bitwiseAND(F.lit(2)) > 0, "whole": F.lit(True)}
-    return met.groupBy("code").agg(*(F.count_if(in_[h] & (F.col("toxic") == y)).alias(f"{h}_{c}") for h in HALVES for y, c in enumerate(CLASSES)))
+    # where: a bit for each half of the ordinary class (1, 2) and of the toxic one (4, 8)
+    pairs = arrow_pass(labelled.select(text_col, "toxic", "half"), each, "code long, before int, where int", PART_BYTES)
+    met = pairs.groupBy("code", "before").agg(F.bit_or("where").alias("where"))
+    counts = [F.count_if(F.col("where").bitwiseAND(F.lit(bits << 2 * y)) > 0).alias(f"{h}_{c}") for h, bits in HALVES.items() for y, c in enumerate(CLASSES)]
+    return met.groupBy("code").agg(*counts)
+
+
+def by_stem(known: DataFrame) -> DataFrame:
+    """The stems of words that a class has: corpus counts, and for each half and the whole the words and their counts."""
+    words = [F.count_if(F.col(f"{h}_{CLASSES[0]}") + F.col(f"{h}_{CLASSES[1]}") > 0).alias(f"{h}_words") for h in HALVES]
+    sums = [F.sum(f"{h}_{c}").alias(f"{h}_{c}") for h in HALVES for c in CLASSES]
+    return known.groupBy("stem").agg(F.sum("n").alias("n"), *words, *sums).where("whole_words > 0")
 
 
 def fetched(rows: DataFrame, by: str) -> dict[str, np.ndarray]:
@@ -188,15 +196,16 @@ def fetched(rows: DataFrame, by: str) -> dict[str, np.ndarray]:
     return {c: np.asarray(made.column(c))[order] for c in made.column_names}
 
 
-def learnt(known: DataFrame, half: str) -> tuple[Model, np.ndarray]:
+def learnt(known: DataFrame, known_stems: DataFrame, half: str) -> tuple[Model, np.ndarray]:
     """The model of a half or the whole, all ratios kept, and the stems of its words.
 
-    `known` has the corpus count, stem and continuation counts of every word. A word that no class has more often than
+    `known` has the corpus count, stem and continuation counts of every word, `known_stems` those of stems. A word that no class has more often than
     the discount has its stem's ratio whatever its counts, and such a stem that of the unknown stem; they enter the sums
     in Spark and only the others are fetched.
     """
-    own_counts = known.select("code", "stem", "n", *(F.col(f"{half}_{c}").alias(c) for c in CLASSES), (F.col(f"{half}_{CLASSES[0]}") + F.col(f"{half}_{CLASSES[1]}") > 0).alias("seen"))
-    stems = own_counts.groupBy("stem").agg(F.sum("n").alias("n"), F.count_if("seen").alias("words"), *(F.sum(c).alias(c) for c in CLASSES)).where("words > 0")
+    own = [F.col(f"{half}_{c}").alias(c) for c in CLASSES]
+    own_counts = known.select("code", "stem", "n", *own, (F.col(f"{half}_{CLASSES[0]}") + F.col(f"{half}_{CLASSES[1]}") > 0).alias("seen"))
+    stems = known_stems.select("stem", "n", F.col(f"{half}_words").alias("words"), *own).where("words > 0")
     often = " or ".join(f"{c} > {DISCOUNT}" for c in CLASSES)
     spare = [F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"spare_{c}") for c in CLASSES]
     of_words = own_counts.agg(F.sum("n").alias("n"), F.count_if("seen").alias("units"), *(F.sum(c).alias(c) for c in CLASSES), *spare).first()
@@ -261,7 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
 
     found = continuation_counts(marked, text_col)
     known = stage(word_counts(docs, text_col).join(found, "code", "left").na.fill(0))
-    models = {2: learnt(known, "first")[0], 1: learnt(known, "second")[0]}
+    known_stems = stage(by_stem(known))
+    models = {2: learnt(known, known_stems, "first")[0], 1: learnt(known, known_stems, "second")[0]}
     # chance ratios grow with the corpus, so what may be left out has no fixed bound
     cuts = np.arange(0.0, max(max(float(np.abs(m.ratio).max()) for m in models.values()), CUT_STEP), CUT_STEP).tolist()
     sent = spark.sparkContext.broadcast(models)
@@ -287,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     del rows
     sent.destroy()
     cut, power = min(curves, key=lambda k: curves[k][2])
-    whole, stem_of = learnt(known, "whole")
+    whole, stem_of = learnt(known, known_stems, "whole")
     pa.default_memory_pool().release_unused()
     model = whole.cut(cut).slim(stem_of)
     model.curve, model.power = curves[cut, power][:2], power
