@@ -5,6 +5,7 @@ import json
 import random
 import shutil
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -281,6 +282,31 @@ def test_planned_reads_open_only_their_chunks(spark, store):
         planned.read_range(spark, f"{path}-none", "train", 0, 5).collect()
 
 
+def test_chunks_of_a_long_run_share_folders(spark):
+    base = new_path(spark, "shared")
+    rows = [(s, i, "failed" if i % 7 == 0 else "generated", f"{s}{i}", [0], "m", 3, "append") for s, n in (("a", 401), ("b", 9)) for i in range(n) if (s, i) != ("a", 9)]
+    random.Random(5).shuffle(rows)
+    spark.createDataFrame(rows, SAMPLE).repartition(3).write.parquet(f"{base}/in")
+    path, totals = f"{base}/store", {"a": 401, "b": 9}
+    stream = spark.readStream.schema(spark.createDataFrame([], SAMPLE).schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream.writeStream.foreachBatch(commits.sink(path, 2, totals)).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    held = commits.manifest(spark, path).collect()
+    want = {(s, c): [i for x, i, status, *_ in rows if (x, i // 2, status) == (s, c, "generated")] for s, c in {(x, i // 2) for x, i, *_ in rows} - {("a", 4)}}
+    assert {(r["split"], r["chunk_id"]): (r["lo"], r["hi"], r["n"], r["whole"]) for r in held} == {k: (min(v, default=None), max(v, default=None), len(v), True) for k, v in want.items()} and len(held) == len(want)
+    made = {r["folder"] for r in held}
+    assert len([f for f in made if "/split=a/" in f and "batch=2/" in f]) <= 16 and len(made) <= 3 * 21
+    files = [str(f) for f in Path(path.removeprefix("file:")).rglob("rows/**/*.parquet")]
+    assert len(files) <= 6 * 21
+    got = sorted(map(tuple, planned.read(spark, path, task_rows=7).select("split", "idx", "chunk_id", "text").collect()))
+    assert got == sorted((s, i, c, f"{s}{i}") for (s, c), v in want.items() for i in v)
+    fits = lambda r: r["split"] == "a" and r["n"] and r["hi"] >= 5 and r["lo"] < 31
+    for f in made - {r["folder"] for r in held if fits(r)}:
+        shutil.rmtree(f"{path.removeprefix('file:')}/{f}")
+    some = planned.read_range(spark, path, "a", 5, 31).select("idx", "chunk_id").collect()
+    assert sorted(map(tuple, some)) == [(i, i // 2) for i in range(5, 31) if i % 7 and i not in (8, 9)]
+    assert commits.chunks_a_folder(107, 10) == 1 and commits.chunks_a_folder(3_000_000, 20) == 1000 and commits.chunks_a_folder(0, 5) == 1 and commits.chunks_a_folder(10**9, 10**6) == 1
+
+
 def test_written_chunks_have_a_manifest(spark):
     path = new_path(spark, "written")
     df = spark.createDataFrame(sample_rows(), SAMPLE).drop("status")

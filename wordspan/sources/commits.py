@@ -1,10 +1,12 @@
 """Chunks committed as they fill, from a stream of resolved slots: each batch once, whole or not at all.
 
-    rows/batch=B/whole=true/split=S/chunk_id=C    slots of the chunks that batch B completed
-    rows/batch=B/whole=false/...                  slots of chunks that still lack some; the next batch takes them over
-    manifest/batch=B                              a row for each chunk that batch B completed
-    log/B                                         written last: only batches that have it are there for readers
+    rows/batch=B/whole=true/split=S/chunks=P    slots of the chunks that batch B completed
+    rows/batch=B/whole=false/...                slots of chunks that still lack some; the next batch takes them over
+    manifest/batch=B                            a row for each chunk that batch B completed
+    log/B                                       written last: only batches that have it are there for readers
 
+In a short run each chunk has a folder of its own. In a long one so many neighbours share a folder that a batch writes
+few files, whatever the size of a chunk; the column chunk_id of the files tells them apart.
 A batch that comes again after its entry in the log does nothing; one that broke off before is written over. So a run
 that fails and starts again leaves what a run without failures leaves.
 """
@@ -18,10 +20,18 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordspan.functions.names import free
 from wordspan.sources.chunks import chunk_of
 
 #: The batch that writes what is left when a run has ended.
 END = "end"
+#: Folders of a split up to which each chunk has its own, and slots of a folder up to which its chunks grow in number.
+FOLDERS, FOLDER_SLOTS = 16, 20_000
+
+
+def chunks_a_folder(total: int, chunk_size: int) -> int:
+    """How many neighbouring chunks of a split of `total` slots share a folder."""
+    return max(1, min(-(-total // (chunk_size * FOLDERS)), FOLDER_SLOTS // chunk_size))
 
 
 class Log:
@@ -52,7 +62,7 @@ class Log:
 def slots_of(spark: SparkSession, path: str, batch: str, whole: str, schema) -> DataFrame | None:
     """A batch's slots; None if it wrote none of that kind."""
     try:
-        return spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows/batch={batch}/whole={whole}").drop("batch", "whole", "chunk_id")
+        return spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows/batch={batch}/whole={whole}").select(*schema.names)
     except PySparkException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -81,19 +91,22 @@ def write_batch(batch: DataFrame, name: int | str, path: str, chunk_size: int, t
     keyed = rows.where(F.col("idx").isNotNull() & F.col("split").isin(list(totals)) & F.col("status").isNotNull()).withColumn("chunk_id", chunk_of(F.col("idx"), chunk_size))
     if (known := manifest(spark, path)) is not None:
         keyed = keyed.join(known.where("whole").select("split", "chunk_id"), ["split", "chunk_id"], "left_anti")
-    order = Window.partitionBy("split", "idx").orderBy(F.col("status") != "generated", F.xxhash64(*sorted(batch.columns)))
-    single = keyed.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
-    total = F.element_at(F.create_map(*(F.lit(x) for item in totals.items() for x in item)), F.col("split"))
-    size = F.least(F.lit(chunk_size).cast("long"), total - F.col("chunk_id") * chunk_size)
-    came = F.count("*").over(Window.partitionBy("split", "chunk_id"))
-    parted = single.withColumn("whole", F.lit(name == END) | (came >= size)).withColumn("__at", F.col("chunk_id"))
-    parted.repartition("split", "__at").drop("__at").write.mode("overwrite").partitionBy("whole", "split", "chunk_id").parquet(f"{path}/rows/batch={name}")
+    of_split = lambda values: F.element_at(F.create_map(*(F.lit(x) for item in values.items() for x in item)), F.col("split"))
+    (place,) = free([*batch.columns, "whole", "chunk_id"], "chunks")
+    # Both windows are within a folder's rows, so one shuffle deals them for the windows and for the files.
+    dealt = keyed.withColumn(place, F.floor(F.col("chunk_id") / of_split({s: chunks_a_folder(n, chunk_size) for s, n in totals.items()}))).repartition("split", place)
+    order = Window.partitionBy("split", place, "chunk_id", "idx").orderBy(F.col("status") != "generated", F.xxhash64(*sorted(batch.columns)))
+    single = dealt.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
+    size = F.least(F.lit(chunk_size).cast("long"), of_split(totals) - F.col("chunk_id") * chunk_size)
+    came = F.count("*").over(Window.partitionBy("split", place, "chunk_id"))
+    parted = single.withColumn("whole", F.lit(name == END) | (came >= size)).sortWithinPartitions("whole", "split", place, "idx")
+    parted.write.mode("overwrite").partitionBy("whole", "split", place).parquet(f"{path}/rows/batch={name}")
     stop("rows")
-    made = spark.read.schema("idx long, status string, whole boolean, split string, chunk_id long").parquet(f"{path}/rows/batch={name}").where("whole")
+    made = spark.read.schema(f"idx long, status string, chunk_id long, whole boolean, split string, {place} long").parquet(f"{path}/rows/batch={name}").where("whole")
     good = F.col("status") == "generated"
-    folder = F.concat(F.lit(f"rows/batch={name}/whole=true/split="), F.col("split"), F.lit("/chunk_id="), F.col("chunk_id").cast("string"))
-    counts = made.groupBy("split", "chunk_id").agg(F.min(F.when(good, F.col("idx"))).alias("lo"), F.max(F.when(good, F.col("idx"))).alias("hi"), F.count_if(good).alias("n"), F.count_if(~good).alias("dropped"))
-    counts.withColumns({"whole": F.lit(name != END), "folder": folder}).write.mode("overwrite").parquet(f"{path}/manifest/batch={name}")
+    folder = F.concat(F.lit(f"rows/batch={name}/whole=true/split="), F.col("split"), F.lit(f"/{place}="), F.col(place).cast("string"))
+    counts = made.groupBy("split", "chunk_id", folder.alias("folder")).agg(F.min(F.when(good, F.col("idx"))).alias("lo"), F.max(F.when(good, F.col("idx"))).alias("hi"), F.count_if(good).alias("n"), F.count_if(~good).alias("dropped"))
+    counts.withColumn("whole", F.lit(name != END)).write.mode("overwrite").parquet(f"{path}/manifest/batch={name}")
     stop("manifest")
     log.commit(name)
     for old in before[:-1]:  # nothing takes them over any more

@@ -2,7 +2,8 @@
 
 A range is asked for by options, or by filters on split and idx, which are pushed down where
 spark.sql.python.filterPushdown.enabled is on. A manifest has the range of each chunk and the folder of its files; where
-the store has a log, only the manifests of committed batches count. Files are listed when they are read, in the tasks.
+the store has a log, only the manifests of committed batches count. Files are listed when they are read, in the tasks. Chunks
+that share a folder have a column chunk_id in their files.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Folders(InputPartition):
-    """Chunks of a task: (split, chunk_id, folder)."""
+    """Folders of a task, and which chunks of each: (split, folder, chunk_ids)."""
 
-    chunks: list[tuple[str, int, str]]
+    folders: list[tuple[str, str, list[int]]]
 
 
 @dataclass
@@ -66,13 +67,16 @@ class Reader(DataSourceReader):
             fits &= ds.field("hi").is_null() | (ds.field("hi") >= self.start)
         if self.end is not None:
             fits &= ds.field("lo").is_null() | (ds.field("lo") < self.end)
-        rows = self.manifest().to_table(columns=["split", "chunk_id", "folder", "n"], filter=fits).group_by(["split", "chunk_id", "folder"]).aggregate([("n", "sum")]).sort_by("folder")
+        rows = self.manifest().to_table(columns=["split", "chunk_id", "folder", "n"], filter=fits).group_by(["split", "chunk_id", "folder"]).aggregate([("n", "sum")]).sort_by([("folder", "ascending"), ("chunk_id", "ascending")])
         out, held = [], self.task_rows
         for split, chunk, folder, n in zip(*(rows.column(c).to_pylist() for c in ("split", "chunk_id", "folder", "n_sum")), strict=True):
             if held + n > self.task_rows:
                 out.append(Folders([]))
                 held = 0
-            out[-1].chunks.append((split, chunk, folder))
+            held_folders = out[-1].folders
+            if not held_folders or held_folders[-1][:2] != (split, folder):
+                held_folders.append((split, folder, []))
+            held_folders[-1][2].append(chunk)
             held += n
         return out or [Folders([])]
 
@@ -81,17 +85,18 @@ class Reader(DataSourceReader):
         inside = [ds.field("idx") >= self.start] if self.start is not None else []
         inside += [ds.field("idx") < self.end] if self.end is not None else []
         stored = pa.schema([f for f in self.schema if f.name not in ("split", "chunk_id")])
-        for split, chunk, folder in partition.chunks:
+        for split, folder, chunks in partition.folders:
             parts = [i.path for i in files.get_file_info(fs.FileSelector(f"{path}/{folder}")) if i.path.endswith(".parquet")]
             found = ds.dataset(parts, format="parquet", filesystem=files)
             named = [n for n in stored.names if n in found.schema.names]
             if lacking := [n for n in ("text", "labels", "model", "idx") if n in stored.names and n not in named]:
                 raise ValueError(f"chunk {folder} lacks {lacking}")
             fits = ds.field("status") == "generated" if "status" in found.schema.names else None
-            for f in inside:
+            shared = "chunk_id" in found.schema.names
+            for f in [*inside, ds.field("chunk_id").isin(chunks)] if shared else inside:
                 fits = f if fits is None else fits & f
-            for batch in found.to_batches(columns=named, filter=fits):
-                own = {"split": pa.array([split] * batch.num_rows, pa.string()), "chunk_id": pa.array([chunk] * batch.num_rows, pa.int64())}
+            for batch in found.to_batches(columns=[*named, "chunk_id"] if shared else named, filter=fits):
+                own = {"split": pa.array([split] * batch.num_rows, pa.string()), "chunk_id": batch.column("chunk_id") if shared else pa.array([chunks[0]] * batch.num_rows, pa.int64())}
                 columns = [own[f.name] if f.name in own else batch.column(f.name).cast(f.type) if f.name in named else pa.nulls(batch.num_rows, f.type) for f in self.schema]
                 if batch.num_rows:
                     yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
