@@ -7,6 +7,7 @@ import shutil
 import uuid
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,9 @@ from wordspan.functions import errors
 from wordspan.functions.failures import Failed, backoff, verdict
 from wordspan.operators import generate
 from wordspan.operators.entries import Entry, Lane, Model
+from wordspan.plans import loops
 from wordspan.plans.loops import MODELS, rolling
+from wordspan.plans.loops_sql import SQL
 from wordspan.sources import chunks, commits, planned
 from wordspan.sources.staging import new_path
 from wordspan.streaming import generation
@@ -307,6 +310,19 @@ def test_chunks_of_a_long_run_share_folders(spark):
     assert commits.chunks_a_folder(107, 10) == 1 and commits.chunks_a_folder(3_000_000, 20) == 1000 and commits.chunks_a_folder(0, 5) == 1 and commits.chunks_a_folder(10**9, 10**6) == 1
 
 
+def test_places_need_no_texts_and_samples_only_first_words(spark):
+    path = new_path(spark, "docs")
+    rows = [(i, None if i % 5 == 0 else "w\u3000v " * (i % 30) + ("aé" * 20_000 if i % 30 > 20 else "\n")) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path.removeprefix('file:')}/documents.parquet/*.parquet'")
+    want = con.execute(SQL["committed_range"]).fetchall()
+    names = [d[0] for d in con.description]
+    assert sorted(map(tuple, loops.committed_range(spark, path).select(*names).collect())) == sorted(want) and "" in {dict(zip(names, r, strict=True))["text"] for r in want}
+    plan = loops.places(spark, path).groupBy("split").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint>" in plan and "Generate" not in plan
+
+
 def test_written_chunks_have_a_manifest(spark):
     path = new_path(spark, "written")
     df = spark.createDataFrame(sample_rows(), SAMPLE).drop("status")

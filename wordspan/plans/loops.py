@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wordspan.functions.failures import Failed
 from wordspan.functions.once import once
 from wordspan.functions.rng import draw
-from wordspan.functions.text import first_words, join_words, tokens
+from wordspan.functions.text import first_words, join_words
 from wordspan.operators import dataset, generate, observed, windows
 from wordspan.operators.entries import Entry
 from wordspan.plans.generation import fake_generator, generation_requests
@@ -66,22 +66,27 @@ def generation_with_cooldowns(spark, sf_dir):
 CHUNK = 20
 
 
-def slots(spark, sf_dir):
-    """Documents as slots of two splits; some are skipped or failed, a few are never resolved, one chunk in seven is all skipped."""
+def places(spark, sf_dir):
+    """Documents as places in two splits; some are skipped or failed, a few are never resolved, one chunk in seven is all skipped."""
     test = F.col("doc_id") % 3 == 0
     idx = F.when(test, F.floor(F.col("doc_id") / 3)).otherwise(F.col("doc_id") - F.floor(F.col("doc_id") / 3) - 1)
     fate = draw(13, F.col("doc_id"), "slot", below=F.lit(150))
     status = F.when(F.floor(F.col("idx") / CHUNK) % 7 == 3, "skipped").when(fate == 0, None).when(fate < 10, "skipped").when(fate < 15, "failed").otherwise("generated")
-    words = once(table(spark, sf_dir, "documents").withColumns({"split": F.when(test, "test").otherwise("train"), "idx": idx}), w=F.slice(tokens(F.col("text")), 1, 40))
-    return words.select("split", "idx", status.alias("status"), join_words(F.col("w")).alias("text"), F.transform("w", lambda _, k: (k % 2).cast("int")).alias("labels"), F.concat(F.lit("m"), (F.col("doc_id") % 5).cast("string")).alias("model"), F.lit(3).alias("min_words_filter"), F.lit("append").alias("generation_mode"))
+    return table(spark, sf_dir, "documents").withColumns({"split": F.when(test, "test").otherwise("train"), "idx": idx}).withColumn("status", status)
+
+
+def slots(spark, sf_dir):
+    """The resolved places and their samples, of the first words of each text."""
+    words = once(places(spark, sf_dir).where("status IS NOT NULL"), w=first_words(F.coalesce(F.col("text"), F.lit("")), 40))
+    return words.select("split", "idx", "status", join_words(F.col("w")).alias("text"), F.transform("w", lambda _, k: (k % 2).cast("int")).alias("labels"), F.concat(F.lit("m"), (F.col("doc_id") % 5).cast("string")).alias("model"), F.lit(3).alias("min_words_filter"), F.lit("append").alias("generation_mode"))
 
 
 def committed(spark, sf_dir):
     """A run whose slots come as a stream of files; the folder of its chunks, and the run's slots by split."""
     base = new_path(spark, "run")
     given = slots(spark, sf_dir)
-    totals = {r["split"]: r["n"] for r in given.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    given.where("status IS NOT NULL").repartition(6).write.parquet(f"{base}/in")
+    totals = {r["split"]: r["n"] for r in places(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n")).collect()}
+    given.repartition(6).write.parquet(f"{base}/in")
     stream = spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
     stream.writeStream.foreachBatch(commits.sink(f"{base}/store", CHUNK, totals)).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return f"{base}/store", totals, given.schema
